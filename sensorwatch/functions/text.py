@@ -34,12 +34,13 @@ def name_positionally(df: DataFrame, names) -> DataFrame:
     return df.toDF(*names)
 
 
-def percent_text(ratio: Column, digits: int = 3) -> Column:
-    return F.format_string(f"%.{digits}f%%", ratio.cast("double") * 100)
+def fixed_text(value: Column, digits: int = 3) -> Column:
+    """Fixed number of decimals; exact halves go to the even digit, as in printf."""
+    return F.call_function("format_number", value.cast("double"), F.lit("0." + "0" * digits))
 
 
-def fixed_text(value: Column, digits: int = 3) -> Column:
-    return F.format_string(f"%.{digits}f", value.cast("double"))
+def percent_text(ratio: Column, digits: int = 3) -> Column:
+    return F.concat(fixed_text(ratio.cast("double") * 100, digits), F.lit("%"))
 
 
 def announced_rows(message: Column) -> Column:

@@ -1,8 +1,11 @@
 """Forecast alarms: state, messages, schedule and status."""
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.calendar import following_week
+from ..functions.text import fixed_text
 
 TARGET = "stitcharea"
 
@@ -32,16 +35,22 @@ def forecast_rows(predictions: DataFrame, bands: DataFrame, sigma: float = 2.0)
     )
 
 
-# Texts of the alarm messages (printf style: value, week, lower limit, upper limit).
-ALARM_TEXT = "Alarm: predicted_stitcharea %f for week: %d is out of SPC limits %f: %f"
-NO_ALARM_TEXT = "No Alarm: predicted_stitcharea %f for week: %d is within SPC limits %f: %f"
+# Texts of the alarm messages.
+ALARM_TEXT = "Alarm: predicted_stitcharea {value} for week: {week} is out of SPC limits {lower}: {upper}"
+NO_ALARM_TEXT = "No Alarm: predicted_stitcharea {value} for week: {week} is within SPC limits {lower}: {upper}"
 MORE_DATA_TEXT = "Need to have more data for prediction model training...."
 RETRAIN_TEXT = "Need to re-train the data....."
 
 
 def alarm_message(value: Column, week: Column, lower: Column, upper: Column, alarm: Column) -> Column:
-    parts = [value.cast("double"), week.cast("int"), lower.cast("double"), upper.cast("double")]
-    return F.when(alarm, F.format_string(ALARM_TEXT, *parts)).otherwise(F.format_string(NO_ALARM_TEXT, *parts))
+    """Numbers with six decimals; a missing band reads `nan`."""
+    number = lambda c: F.coalesce(fixed_text(c, 6), F.lit("nan"))
+    parts = [number(value), F.coalesce(week.cast("string"), F.lit("nan")), number(lower), number(upper)]
+
+    def fill(text: str) -> Column:
+        return F.format_string(re.sub(r"\{\w+\}", "%s", text), *parts)
+
+    return F.when(alarm, fill(ALARM_TEXT)).otherwise(fill(NO_ALARM_TEXT))
 
 
 def alarm_state(rows: DataFrame, weeks: DataFrame | Column, min_records: int, next_train: int | Column) -> DataFrame:

@@ -1,30 +1,39 @@
 """Measurement extract: batches, tests and cells joined with their limits."""
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import calendar
 from ..functions.limits import range_text
 from ..functions.text import lower_names, strip_strings
 from ..schemas import MEASUREMENTS
-from .skew import MAX_GROUP_ROWS, attach, hot_groups
+from .skew import MAX_GROUP_ROWS, attach, hot_groups_of
 
 
 def join_measurements(batches: DataFrame, tests: DataFrame, cells: DataFrame,
-                      max_group_rows: int = MAX_GROUP_ROWS, check_skew: bool = True) -> DataFrame:
-    """batches x tests on batchid, x cells on testid. Name clashes keep the test's own column as tp_*."""
+                      max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[str, Mapping[int, int]] | None = None) -> DataFrame:
+    """batches x tests on batchid, x cells on testid. Name clashes keep the test's own column as tp_*.
+
+    `hot` holds the hot values of each key, if known already.
+    """
     clashes = [c for c in tests.columns if c in batches.columns and c != "batchid"]
     tests = tests.withColumnsRenamed({c: f"tp_{c}" for c in clashes})
-    hot_batches = hot_groups(tests, ["batchid"], max_group_rows) if check_skew else {}
-    hot_tests = hot_groups(tests, ["testid"], max_group_rows) if check_skew else {}
-    joined = attach(tests, batches, ["batchid"], hot_batches, max_group_rows)
-    return attach(joined, cells, ["testid"], hot_tests, max_group_rows)
+    hot = hot_keys(tests, ["batchid", "testid"], max_group_rows) if hot is None else hot
+    joined = attach(tests, batches, ["batchid"], hot["batchid"], max_group_rows)
+    return attach(joined, cells, ["testid"], hot["testid"], max_group_rows)
+
+
+def hot_keys(rows: DataFrame, names: Sequence[str], max_group_rows: int) -> dict[str, dict[int, int]]:
+    names = list(dict.fromkeys(names))
+    return dict(zip(names, hot_groups_of(rows, [[n] for n in names], max_group_rows)))
 
 
 def with_limits(rows: DataFrame, limits: DataFrame, key: str = "batchid", how: str = "inner",
-                max_group_rows: int = MAX_GROUP_ROWS, check_skew: bool = True) -> DataFrame:
+                max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[int, int] | None = None) -> DataFrame:
     """Limits of each row as `<measurement>_limit`. Several limit rows per key repeat the row."""
     renamed = limits.withColumnsRenamed({c: f"{c}_limit" for c in limits.columns if c != key})
-    hot = hot_groups(rows, [key], max_group_rows) if check_skew else {}
+    hot = hot_keys(rows, [key], max_group_rows)[key] if hot is None else hot
     return attach(rows, renamed, [key], hot, max_group_rows, how)
 
 
@@ -44,11 +53,12 @@ def _test_day(tests: DataFrame, column: str) -> Column:
 
 def extract(batches: DataFrame, tests: DataFrame, cells: DataFrame, limits: DataFrame, config_id=None,
             year=None, quarter=None, month=None, yearweek=None, weekday=None, week_rule: str = "server",
-            limit_key: str = "batchid", max_group_rows: int = MAX_GROUP_ROWS, check_skew: bool = True) -> DataFrame:
+            limit_key: str = "batchid", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Tests of one configuration and period with ranges, limits and calendar parts.
 
     The configuration filter reaches the batch scan. The period filter is applied to the tests
     before any join; over a typed date column the year also becomes a plain range for the scan.
+    Hot keys are looked for once, over the key columns of the tests; `limit_key` is one of them.
     """
     batches, tests, cells, limits = (lower_names(t) for t in (batches, tests, cells, limits))
     if config_id is not None:
@@ -57,6 +67,7 @@ def extract(batches: DataFrame, tests: DataFrame, cells: DataFrame, limits: Data
         tests = tests.filter(calendar.year_range(F.col("date"), year))
     tests = calendar.with_calendar_parts(tests, _test_day(tests, "date"), week_rule)
     tests = tests.filter(calendar.period_predicate(year, quarter, month, yearweek, weekday))
-    rows = join_measurements(batches, tests, cells, max_group_rows, check_skew)
-    rows = with_limits(with_spc_ranges(rows), limits, limit_key, "inner", max_group_rows, check_skew)
+    hot = hot_keys(tests, ["batchid", "testid", limit_key], max_group_rows)
+    rows = join_measurements(batches, tests, cells, max_group_rows, hot)
+    rows = with_limits(with_spc_ranges(rows), limits, limit_key, "inner", max_group_rows, hot[limit_key])
     return strip_strings(rows)

@@ -103,9 +103,13 @@ class IsolationForest:
         return ForestModel.from_nodes(features, nodes, wanted, depth_limit)
 
     def fit_score(self, df: DataFrame, row_id: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> tuple["ForestModel", DataFrame]:
-        """Fit, score each row once into a written table, and set the cut from its exact quantile."""
-        model = self.fit(df, row_id)
-        scored = staged(model.score(df), "scored")
+        """Fit, score each row once into a written table, and set the cut from its exact quantile.
+
+        The input is written first, because counting, drawing and scoring would each run its plan.
+        """
+        rows = staged(df, "unscored")
+        model = self.fit(rows, row_id)
+        scored = staged(model.score(rows), "scored")
         model = model.with_cut(scored, self.contamination, max_group_rows)
         return model, model.label(scored)
 
@@ -152,7 +156,8 @@ class ForestModel:
         @F.pandas_udf("double")
         def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             feature, threshold, path = shared.value
-            for columns in batches:
+            for batch in batches:
+                columns = batch if isinstance(batch, tuple) else (batch,)
                 points = np.column_stack([c.to_numpy(dtype=float) for c in columns])
                 flat, offsets = points.ravel(), np.arange(len(points)) * points.shape[1]
                 total = np.zeros(len(points))

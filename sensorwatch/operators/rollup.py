@@ -64,6 +64,11 @@ def append_frames(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
+def anomalies_first(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Anomalies (-1), then normals, each in order. A union would not keep any order."""
+    return df.orderBy("anomaly", *order)
+
+
 def slice_rows(df: DataFrame, week: Column | int, cells: Sequence[float]) -> DataFrame:
     return df.filter((F.col("week") == week) & F.col("tp_cell_name").isin(list(cells)))
 

@@ -20,8 +20,20 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 def hot_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> dict[int, int]:
     """Key hashes of the largest groups above the limit, with their row counts."""
-    counts = df.groupBy(key_hash(keys).alias("h")).count().filter(F.col("count") > max_group_rows)
-    return {r["h"]: r["count"] for r in counts.orderBy(F.desc("count")).limit(MAX_SPLITS).collect()}
+    return hot_groups_of(df, [keys], max_group_rows)[0]
+
+
+def hot_groups_of(df: DataFrame, key_sets: Sequence[Sequence[str]], max_group_rows: int = MAX_GROUP_ROWS) -> list[dict[int, int]]:
+    """The same for several keys of one frame, in one job over the key columns alone."""
+    if len(key_sets) == 1:
+        hashes = df.select(F.lit(0).alias("k"), key_hash(key_sets[0]).alias("h"))
+    else:
+        hashes = df.select(F.posexplode(F.array(*[key_hash(k) for k in key_sets])).alias("k", "h"))
+    large = hashes.groupBy("k", "h").count().filter(F.col("count") > max_group_rows)
+    found: list[dict[int, int]] = [{} for _ in key_sets]
+    for row in large.orderBy(F.desc("count")).limit(MAX_SPLITS).collect():
+        found[row["k"]][row["h"]] = row["count"]
+    return found
 
 
 def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], hot: Mapping[int, int] = {},

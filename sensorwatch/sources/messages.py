@@ -5,6 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.skew import attach, hot_groups
 from ..schemas import table
 
 FRAME = table("batch_id string, expected_rows long, row_no string, payload string")
@@ -15,11 +16,14 @@ def encode_rows(df: DataFrame, keep_nulls: bool = True) -> Column:
     return F.to_json(F.struct(*df.columns), {"ignoreNullFields": str(not keep_nulls).lower()})
 
 
-def to_messages(df: DataFrame, batch_id: str, row_id: Sequence[str]) -> DataFrame:
-    """One message per row. `row_id` must tell rows apart; it makes replays recognisable."""
-    expected = df.agg(F.count(F.lit(1))).scalar()
-    framed = df.select(
-        F.lit(batch_id).alias("batch_id"), expected.alias("expected_rows"),
+def to_messages(df: DataFrame, batch_id: str | Column, row_id: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """One message per row. `row_id` must tell rows apart; it makes replays recognisable. With `by`
+    there is one batch per value of those columns, and `batch_id` is a column made of them."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_expected"))
+    counted = attach(df, sizes, by, hot_groups(df, by) if by else {})
+    framed = counted.select(
+        (batch_id if isinstance(batch_id, Column) else F.lit(batch_id)).alias("batch_id"),
+        F.col("_expected").alias("expected_rows"),
         F.concat_ws("/", *[F.col(c).cast("string") for c in row_id]).alias("row_no"), encode_rows(df).alias("payload"),
     )
     return framed.select(F.to_json(F.struct(*framed.columns)).alias("value"))

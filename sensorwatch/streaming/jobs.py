@@ -98,8 +98,8 @@ class FramedBatches:
         spark = frames.sparkSession
         arriving = self._with_bucket(frames.select(*FRAME.fieldNames()))
         arriving.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.arrived}/epoch={batch}")
-        table = T.StructType([*FRAME.fields, T.StructField("epoch", T.LongType()), T.StructField("bucket", T.IntegerType())])
-        arrived = read_snapshot(spark, self.arrived, table)
+        stored = T.StructType([*FRAME.fields, T.StructField("epoch", T.LongType()), T.StructField("bucket", T.IntegerType())])
+        arrived = read_snapshot(spark, self.arrived, stored)
         done_schema = table("batch_id string, epoch long")
         done = read_snapshot(spark, self.released, done_schema).filter(F.col("epoch") < batch)
         touched = arrived.filter(F.col("epoch") == batch).select("bucket", "batch_id").distinct()
