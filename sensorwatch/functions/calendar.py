@@ -8,10 +8,15 @@ DAY_FIRST = "dd/MM/yyyy"
 
 
 def day_first_date(text: Column, strict: bool = False) -> Column:
-    """Day/month/year text as a date; unreadable text is NULL unless strict."""
+    """Day/month/year text as a date; unreadable text is NULL unless strict.
+
+    The parts are put in ISO order and cast, which is several times faster than a format pattern.
+    """
     if strict:
         return F.to_date(text, DAY_FIRST)
-    return F.try_to_timestamp(text, F.lit(DAY_FIRST)).cast("date")
+    day, month, year, rest = (F.split_part(text, F.lit("/"), F.lit(i)) for i in (1, 2, 3, 4))
+    shaped = (F.length(day) <= 2) & (F.length(month) <= 2) & (F.length(year) == 4) & (rest == "")
+    return F.when(shaped, F.concat_ws("-", year, month, day).try_cast("date"))
 
 
 def server_week(day: Column) -> Column:
@@ -83,9 +88,10 @@ def following_week(year: Column, week: Column) -> tuple[Column, Column]:
 
 def clock_seconds(text: Column) -> Column:
     """`HH:MM` text as seconds; anything outside 00:00..23:59 is NULL."""
-    pattern = r"^(\d{1,2}):(\d{1,2})$"
-    hour, minute = (F.regexp_extract(text, pattern, i).try_cast("int") for i in (1, 2))
-    return F.when((hour < 24) & (minute < 60), (hour * 60 + minute) * 60)
+    hour, minute, rest = (F.split_part(text, F.lit(":"), F.lit(i)) for i in (1, 2, 3))
+    shaped = F.length(hour).between(1, 2) & F.length(minute).between(1, 2) & (rest == "")
+    h, m = hour.try_cast("int"), minute.try_cast("int")
+    return F.when(shaped & h.between(0, 23) & m.between(0, 59), (h * 60 + m) * 60)
 
 
 def epoch_time(seconds: Column) -> Column:

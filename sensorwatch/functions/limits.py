@@ -15,7 +15,7 @@ def range_text(value: Column, low: float = 0.8, high: float = 1.2) -> Column:
 
 
 def _side(text: Column, index: int) -> Column:
-    part = F.trim(F.get(F.split(text, ":"), F.lit(index)))
+    part = F.trim(F.split_part(text, F.lit(":"), F.lit(index + 1)))
     return F.nullif(part, F.lit("")).try_cast("double")
 
 

@@ -24,8 +24,12 @@ def join_measurements(batches: DataFrame, tests: DataFrame, cells: DataFrame,
     return attach(joined, cells, ["testid"], hot["testid"], max_group_rows)
 
 
-def hot_keys(rows: DataFrame, names: Sequence[str], max_group_rows: int) -> dict[str, dict[int, int]]:
+def hot_keys(rows: DataFrame, names: Sequence[str], max_group_rows: int, source: DataFrame | None = None) -> dict[str, dict[int, int]]:
+    """Hot values per key. `source` is the plain table `rows` was filtered from: counting it is a
+    matter of file footers, and a table below the limit has no hot value."""
     names = list(dict.fromkeys(names))
+    if source is not None and source.count() <= max_group_rows:
+        return {n: {} for n in names}
     return dict(zip(names, hot_groups_of(rows, [[n] for n in names], max_group_rows)))
 
 
@@ -56,18 +60,18 @@ def extract(batches: DataFrame, tests: DataFrame, cells: DataFrame, limits: Data
             limit_key: str = "batchid", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Tests of one configuration and period with ranges, limits and calendar parts.
 
-    The configuration filter reaches the batch scan. The period filter is applied to the tests
+    Text is trimmed before the joins, where each value is still stored once. The configuration filter reaches the batch scan. The period filter is applied to the tests
     before any join; over a typed date column the year also becomes a plain range for the scan.
     Hot keys are looked for once, over the key columns of the tests; `limit_key` is one of them.
     """
-    batches, tests, cells, limits = (lower_names(t) for t in (batches, tests, cells, limits))
+    source = tests
+    batches, tests, cells, limits = (strip_strings(lower_names(t)) for t in (batches, tests, cells, limits))
     if config_id is not None:
         batches = batches.filter(F.col("configid") == config_id)
     if year and not isinstance(tests.schema["date"].dataType, T.StringType):
         tests = tests.filter(calendar.year_range(F.col("date"), year))
     tests = calendar.with_calendar_parts(tests, _test_day(tests, "date"), week_rule)
     tests = tests.filter(calendar.period_predicate(year, quarter, month, yearweek, weekday))
-    hot = hot_keys(tests, ["batchid", "testid", limit_key], max_group_rows)
+    hot = hot_keys(tests, ["batchid", "testid", limit_key], max_group_rows, source)
     rows = join_measurements(batches, tests, cells, max_group_rows, hot)
-    rows = with_limits(with_spc_ranges(rows), limits, limit_key, "inner", max_group_rows, hot[limit_key])
-    return strip_strings(rows)
+    return with_limits(with_spc_ranges(rows), limits, limit_key, "inner", max_group_rows, hot[limit_key])

@@ -50,17 +50,23 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], hot: Mapping
         return rows.withColumn("_packed", packed).select("*", *[F.col("_packed")[c].alias(c) for c in added]).drop("_packed")
     if not hot:
         return rows.join(groups, list(keys), how)
-    salts = {h: min(MAX_SPLITS, -(-n // max_group_rows)) for h, n in hot.items()}
-    widest = max(salts.values())
-    is_hot = key_hash(keys).isin(list(hot))
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(widest))
-    salted_rows = rows.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0).cast("long")))
-    copies = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(widest - 1).cast("long")))
-    copies = F.coalesce(copies, F.array(F.lit(0).cast("long")))
-    salted_groups = groups.withColumn("_salt", F.explode(copies))
+    copies, h = F.lit(1).cast("long"), key_hash(keys)
+    for size, members in _salt_tiers(hot, max_group_rows).items():
+        copies = F.when(h.isin(members), F.lit(size).cast("long")).otherwise(copies)
+    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), copies))
+    salted_groups = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
     return salted_rows.join(salted_groups, [*keys, "_salt"], how).drop("_salt")
 
 
+def _salt_tiers(hot: Mapping[int, int], max_group_rows: int) -> dict[int, list[int]]:
+    """Key hashes by number of salts, a power of two that leaves at most `max_group_rows` per salt."""
+    tiers: dict[int, list[int]] = {}
+    for h, rows in hot.items():
+        salts = 1 << (-(-rows // max_group_rows) - 1).bit_length()
+        tiers.setdefault(min(MAX_SPLITS, salts), []).append(h)
+    return tiers
+
+
 def _position(df: DataFrame, name: str) -> Column:
     """A double that never decreases as the column increases; NULL sorts first, as in Spark."""
     kind, col = df.schema[name].dataType, F.col(name)
@@ -76,9 +82,11 @@ def _position(df: DataFrame, name: str) -> Column:
     return F.coalesce(number, F.lit(float("-inf")))
 
 
-def _split_points(df: DataFrame, name: str, parts: int) -> list[float]:
+def _split_points(df: DataFrame, name: str, parts: int, rows: int) -> list[float]:
+    """Values that cut the rows into about equal parts, taken from a sample."""
     levels = [i / parts for i in range(1, parts)]
-    points = df.approxQuantile(name, levels, 1 / (4 * parts))
+    share = min(1.0, 2000 * parts / max(rows, 1))
+    points = df.sample(share, seed=1).approxQuantile(name, levels, 1 / (4 * parts))
     return sorted({p for p in points if p not in (float("-inf"), float("inf"))})
 
 
@@ -87,8 +95,9 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], order: str, hot: Mappin
     """Add `_hot` and `_part`; the parts of a hot group follow each other in the given order."""
     is_hot = key_hash(keys).isin(list(hot)) if keys else F.lit(True)
     marked = df.withColumns({"_hot": is_hot, "_pos": _position(df, order)})
-    parts = min(MAX_SPLITS, max(2, -(-sum(hot.values()) // max_group_rows)))
-    points = _split_points(marked.filter("_hot").select("_pos"), "_pos", parts)
+    rows = sum(hot.values())
+    parts = min(MAX_SPLITS, max(2, -(-rows // max_group_rows)))
+    points = _split_points(marked.filter("_hot").select("_pos"), "_pos", parts, rows)
     edges = [float("-inf"), *points, float("inf")]
     if len(edges) < 3:
         edges = [float("-inf"), 0.0, float("inf")]

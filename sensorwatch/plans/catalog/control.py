@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ...operators import alarms, guard, kpi, rollup, spc, thresholds
 from ...functions.limits import parse_range
 from ...operators.skew import attach, exact_quantiles, rolling
+from ...session import staged
 from . import bindings as b
 from .registry import query, rounded
 
@@ -23,6 +24,11 @@ def _longs(df, *names):
     return df.withColumns({n: F.col(n).cast("long") for n in names})
 
 
+def _stored_weekly(spark, folder):
+    """The weekly history as a written table, as the forecast and the guards find it."""
+    return staged(b.weekly(spark, folder), "weekly")
+
+
 _WEEK_KEYS = "CAST(year AS BIGINT) AS year, CAST(week AS BIGINT) AS week"
 
 
@@ -130,7 +136,7 @@ def distinct_values(spark, folder):
     FROM weekly""",
 )
 def row_count_gate(spark, folder):
-    weekly = b.weekly(spark, folder).select("year", "week")
+    weekly = _stored_weekly(spark, folder).select("year", "week")
     known = weekly.agg(F.count(F.lit(1))).scalar()
     return _longs(weekly, "year", "week").withColumn("known", known).withColumn("enough", F.col("known") >= 20)
 
@@ -293,11 +299,13 @@ def weekly_moving_average(spark, folder):
     "W7_drift_toward_limit",
     f"""WITH {b.SERIES}, d AS (SELECT lot, regr_slope(domecasegap, seq) AS slope, arg_max(domecasegap, seq) AS last_value, count(*) AS rows
     FROM series GROUP BY lot) SELECT lot, round(slope + 0.00000000123456, 8) AS slope, last_value, rows,
-    round(((CASE WHEN slope > 0 THEN 95.0 WHEN slope < 0 THEN 5.0 END) - last_value) / slope + 0.000123456, 3) AS steps_to_limit FROM d""",
+    round(slope / ((CASE WHEN slope > 0 THEN 95.0 WHEN slope < 0 THEN 5.0 END) - last_value) + 0.0000000000123456, 10) AS steps_inverse FROM d""",
 )
 def drift_toward_limit(spark, folder):
+    """The steps are compared by their inverse, which stays finite for a flat series."""
     moved = spc.drift(b.series(spark, folder), "domecasegap", "seq", ["lot"], 5.0, 95.0)
-    return _round(_round(moved, 8, "slope"), 3, "steps_to_limit")
+    moved = moved.withColumn("steps_inverse", F.try_divide(F.lit(1.0), F.col("steps_to_limit"))).drop("steps_to_limit")
+    return _round(_round(moved, 8, "slope"), 10, "steps_inverse")
 
 
 @query(
@@ -379,7 +387,7 @@ def remainder_of_sample(spark, folder):
 
 @query("S9_J4_guard_skip_rows", f"WITH {b.WEEKLY} SELECT {_WEEK_KEYS} FROM weekly WHERE year > 1998")
 def guard_skip_rows(spark, folder):
-    weekly = _longs(b.weekly(spark, folder).select("year", "week"), "year", "week")
+    weekly = _longs(_stored_weekly(spark, folder).select("year", "week"), "year", "week")
     return guard.new_period_rows(weekly.filter("year >= 1997"), weekly.filter("year <= 1998"), ["year", "week"], "skip_rows")
 
 
@@ -389,7 +397,7 @@ def guard_skip_rows(spark, folder):
 )
 def guard_skip_batch(spark, folder):
     """A batch that overlaps the stored periods adds nothing; one apart from them is added whole."""
-    weekly = _longs(b.weekly(spark, folder).select("year", "week"), "year", "week")
+    weekly = _longs(_stored_weekly(spark, folder).select("year", "week"), "year", "week")
     stored = weekly.filter("year <= 1998")
     apart = guard.new_period_rows(weekly.filter("year >= 1999"), stored, ["year", "week"])
     overlapping = guard.new_period_rows(weekly.filter("year >= 1998"), stored, ["year", "week"])
@@ -404,11 +412,11 @@ forecast AS (SELECT week, year + CASE WHEN week >= 52 THEN 1 ELSE 0 END AS pred_
 
 
 def _forecast(spark, folder):
-    rows = b.refined(spark, folder)
-    weekly = rollup.weekly_rollup(rows)
-    mean, spread = F.avg("stitcharea"), F.stddev_samp("stitcharea")
-    bands = rows.groupBy("year", "week").agg(
-        (mean - 0.5 * spread).alias("spc_lower_limit"), (mean + 1.99 * spread + (F.col("week") % 3 - 1) * 500).alias("spc_upper_limit")
+    weekly = _stored_weekly(spark, folder)
+    mean, spread = F.col("stitcharea_week_mean"), F.col("stitcharea_week_stddev")
+    bands = weekly.select(
+        "year", "week", (mean - 0.5 * spread).alias("spc_lower_limit"),
+        (mean + 1.99 * spread + (F.col("week") % 3 - 1) * 500).alias("spc_upper_limit"),
     )
     predictions = weekly.select(
         "year", "week", F.col("stitcharea_week_mean").alias("pred_stitcharea_week_mean"),
