@@ -3,12 +3,13 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..session import staged
-from .skew import MAX_GROUP_ROWS
+from .skew import MAX_GROUP_ROWS, attach, hot_groups
 
 PARTS = 256
+BROADCAST_VALUES = 100_000
 
 
 def _entry(df: DataFrame, name: str) -> Column:
@@ -69,33 +70,43 @@ class CategoryCodes:
     """A fitted dictionary. Kept with a stored model so that codes do not shift between batches."""
 
     dictionary: DataFrame
-    columns: list[str]
+    sizes: dict[str, int]
+
+    @classmethod
+    def of(cls, dictionary: DataFrame) -> "CategoryCodes":
+        sizes = dictionary.groupBy("column").count().orderBy("column").collect()
+        return cls(dictionary, {r["column"]: r["count"] for r in sizes})
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> "CategoryCodes":
         values = staged(category_values(df, columns), "categories")
-        return cls(staged(number_categories(values, max_group_rows), "codes"), list(columns))
+        codes = cls.of(staged(number_categories(values, max_group_rows), "codes"))
+        codes.sizes = {c: codes.sizes.get(c, 0) for c in columns}
+        return codes
 
-    def encode(self, df: DataFrame, as_codes: bool = True) -> DataFrame:
+    def encode(self, df: DataFrame, as_codes: bool = True, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
         """Replace each column by its code (or add `<column>_code`). Missing and unseen values are -1.
 
-        The dictionary is a written table, so Spark knows its size and broadcasts it only when it
-        is below the broadcast limit; otherwise adaptive execution splits skewed values.
+        A column with few values is joined by broadcast; its size is known from the dictionary. One
+        with many values is joined by shuffle, with its hot values spread over salts.
         """
-        for name in self.columns:
+        for name, size in self.sizes.items():
             is_number = isinstance(df.schema[name].dataType, T.NumericType)
-            match = F.col("number") if is_number else F.col("text")
-            kind = "double" if is_number else "string"
-            codes = self.dictionary.filter(F.col("column") == name).select(match.alias("_value"), F.col("code").alias("_code"))
-            joined = df.withColumn("_value", F.col(name).cast(kind)).join(codes, "_value", "left").drop("_value")
+            match, kind = ("number", "double") if is_number else ("text", "string")
+            codes = self.dictionary.filter(F.col("column") == name).select(F.col(match).alias("_value"), F.col("code").alias("_code"))
+            valued = df.withColumn("_value", F.col(name).cast(kind))
+            if size <= BROADCAST_VALUES or df.isStreaming:
+                joined = valued.join(F.broadcast(codes) if size <= BROADCAST_VALUES else codes, "_value", "left")
+            else:
+                hot = hot_groups(valued, ["_value"], max_group_rows)
+                joined = attach(valued, codes, ["_value"], hot, max_group_rows, "left")
             target = name if as_codes else f"{name}_code"
-            df = joined.withColumn(target, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_code")
+            df = joined.withColumn(target, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_code", "_value")
         return df
 
     def save(self, path: str) -> None:
         self.dictionary.write.mode("overwrite").parquet(path)
 
     @classmethod
-    def load(cls, spark, path: str) -> "CategoryCodes":
-        dictionary = spark.read.parquet(path)
-        return cls(dictionary, [r["column"] for r in dictionary.select("column").distinct().orderBy("column").collect()])
+    def load(cls, spark: SparkSession, path: str) -> "CategoryCodes":
+        return cls.of(spark.read.parquet(path))

@@ -1,11 +1,13 @@
 """Forecast models of weekly statistics and of the control bands."""
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -13,6 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .skew import MAX_GROUP_ROWS, attach, hot_groups
 
+# Executors need not have this package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BAND_FEATURES = ["week", "domecasegap", "stitcharea", "test_time_sec"]
 
 

@@ -6,17 +6,22 @@ at most `sample_size` rows. Scoring is a vectorised walk over the trees, map-onl
 row content and seed alone, so labels do not depend on partitioning or on task retries.
 """
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
 from math import ceil, log2
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import staged
 from .skew import MAX_GROUP_ROWS, exact_quantiles
 
+# Executors need not have this package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MISSING = -999.0
 POOL_ROWS = 200_000
 DRAW_RANGE = 1 << 30

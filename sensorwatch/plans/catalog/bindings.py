@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ...operators.extract import extract
 from ...operators.refine import refine
 from ...operators.rollup import weekly_rollup
+from ...sources.files import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(rows) if name == "lineitem" else rows
 
 
 def batches(spark: SparkSession, folder: str) -> DataFrame:

@@ -83,36 +83,46 @@ def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequ
 class FramedBatches:
     """Release a batch only when all of its announced rows have arrived.
 
-    Arriving rows go to an append-only table, in a folder per micro-batch, so a repeated micro-batch
-    replaces its own files. Only batches that got rows in this micro-batch can become complete, so
-    only their buckets are read again. A released batch is recorded and never released twice.
+    Arriving rows go to a folder per micro-batch, so a repeated micro-batch replaces its own files.
+    A small table of open batches remembers the micro-batch of their first row; only folders since
+    the oldest open batch that got rows now are read again, and in them only the buckets of such
+    batches. A released batch is recorded and never released again. `release` gets the rows and the
+    micro-batch number, and should write under that number, as Spark may repeat a micro-batch.
     """
 
     def __init__(self, root: str, release: Callable[[DataFrame, int], None]):
-        self.arrived, self.released, self.release = f"{root}/arrived", f"{root}/released", release
+        self.arrived, self.released, self.open = f"{root}/arrived", f"{root}/released", f"{root}/open"
+        self.release = release
 
-    def _with_bucket(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64("batch_id"), F.lit(BUCKETS)).cast("int"))
+    def _arrived_since(self, spark: SparkSession, first: int, last: int) -> DataFrame:
+        stored = T.StructType([*FRAME.fields, T.StructField("epoch", T.LongType()), T.StructField("bucket", T.IntegerType())])
+        folders = [f"{self.arrived}/epoch={n}" for n in range(first, last + 1)]
+        return spark.read.schema(stored).option("basePath", self.arrived).parquet(*folders)
 
     def __call__(self, frames: DataFrame, batch: int) -> None:
         spark = frames.sparkSession
-        arriving = self._with_bucket(frames.select(*FRAME.fieldNames()))
+        bucket = F.pmod(F.xxhash64("batch_id"), F.lit(BUCKETS)).cast("int")
+        arriving = frames.select(*FRAME.fieldNames()).withColumn("bucket", bucket)
         arriving.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.arrived}/epoch={batch}")
-        stored = T.StructType([*FRAME.fields, T.StructField("epoch", T.LongType()), T.StructField("bucket", T.IntegerType())])
-        arrived = read_snapshot(spark, self.arrived, stored)
-        done_schema = table("batch_id string, epoch long")
-        done = read_snapshot(spark, self.released, done_schema).filter(F.col("epoch") < batch)
-        touched = arrived.filter(F.col("epoch") == batch).select("bucket", "batch_id").distinct()
-        touched = touched.join(done, "batch_id", "left_anti")
-        candidates = arrived.filter(F.col("epoch") <= batch).join(touched, ["bucket", "batch_id"], "left_semi")
+
+        done = read_snapshot(spark, self.released, table("batch_id string, epoch long")).filter(F.col("epoch") < batch)
+        still_open = read_snapshot(spark, f"{self.open}/epoch={batch - 1}", table("batch_id string, first long"))
+        now = self._arrived_since(spark, batch, batch).select("bucket", "batch_id").distinct()
+        touched = now.join(done, "batch_id", "left_anti").join(still_open, "batch_id", "left")
+        first = touched.agg(F.min("first").alias("first")).first()["first"]
+
+        arrived = self._arrived_since(spark, batch if first is None else first, batch)
+        candidates = arrived.join(touched.select("bucket", "batch_id"), ["bucket", "batch_id"], "left_semi")
         rows = candidates.dropDuplicates(["bucket", "batch_id", "row_no"])
-        complete = rows.groupBy("bucket", "batch_id").agg(
-            F.count(F.lit(1)).alias("n"), F.max("expected_rows").alias("expected")
-        ).filter("n = expected").select("bucket", "batch_id")
-        complete.select("batch_id").write.mode("overwrite").parquet(f"{self.released}/epoch={batch}")
-        ready = read_snapshot(spark, self.released, done_schema).filter(F.col("epoch") == batch)
+        sizes = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("expected_rows").alias("expected"))
+        sizes.filter("n = expected").select("batch_id").write.mode("overwrite").parquet(f"{self.released}/epoch={batch}")
+        ready = spark.read.schema("batch_id string").parquet(f"{self.released}/epoch={batch}")
+
+        opened = touched.select("batch_id", F.coalesce("first", F.lit(batch).cast("long")).alias("first"))
+        kept = still_open.unionByName(opened).groupBy("batch_id").agg(F.min("first").alias("first"))
+        kept.join(ready, "batch_id", "left_anti").write.mode("overwrite").parquet(f"{self.open}/epoch={batch}")
         if not ready.isEmpty():
-            self.release(rows.join(ready.select("batch_id"), "batch_id", "left_semi").drop("bucket", "epoch"), batch)
+            self.release(rows.join(ready, "batch_id", "left_semi").drop("bucket", "epoch"), batch)
 
     def start(self, frames: DataFrame, checkpoint: str, trigger: dict = CATCH_UP) -> StreamingQuery:
         writer = frames.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
