@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -18,6 +18,7 @@ from .skew import MAX_GROUP_ROWS, attach, hot_groups
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+SENTINEL = -999.0
 BAND_FEATURES = ["week", "domecasegap", "stitcharea", "test_time_sec"]
 
 
@@ -49,31 +50,39 @@ def model_features(df: DataFrame, target: str, drop: Sequence[str] = ()) -> list
 
 
 def linear_model(df: DataFrame, target: str, features: Sequence[str], prediction: str) -> PipelineModel:
-    """Least squares by the normal equations, summed on the executors."""
+    """Least squares by the normal equations, summed on the executors, over the complete rows."""
     stages = [
-        VectorAssembler(inputCols=list(features), outputCol=f"_{prediction}_x", handleInvalid="skip"),
+        VectorAssembler(inputCols=list(features), outputCol=f"_{prediction}_x", handleInvalid="keep"),
         LinearRegression(
             featuresCol=f"_{prediction}_x", labelCol=target, predictionCol=prediction, solver="normal", regParam=0.0
         ),
     ]
-    return Pipeline(stages=stages).fit(df)
+    return Pipeline(stages=stages).fit(df.na.drop(subset=[target, *features]))
 
 
 def boosted_model(df: DataFrame, target: str, prediction: str, drop: Sequence[str] = (), seed: int = 42,
                   iterations: int = 20, depth: int = 3) -> PipelineModel:
+    """Boosted trees over all other numeric columns. A missing feature is the sentinel, in training and
+    in prediction, so no period is left without a forecast."""
     features = model_features(df, target, drop)
+    filled = ", ".join(f"coalesce(double(`{f}`), {SENTINEL}) AS `_{prediction}_{f}`" for f in features)
     stages = [
-        VectorAssembler(inputCols=features, outputCol=f"_{prediction}_x", handleInvalid="skip"),
+        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"_{prediction}_{f}" for f in features], outputCol=f"_{prediction}_x"),
         GBTRegressor(
             featuresCol=f"_{prediction}_x", labelCol=target, predictionCol=prediction, seed=seed, maxIter=iterations,
             maxDepth=depth,
         ),
     ]
-    return Pipeline(stages=stages).fit(df.na.drop(subset=[target, *features]))
+    return Pipeline(stages=stages).fit(df.na.drop(subset=[target]))
 
 
 def apply_model(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df).drop(model.stages[0].getOutputCol())
+    """Add the prediction column; NULL where a linear model misses a feature."""
+    name = model.stages[-1].getPredictionCol()
+    predicted = model.transform(df)
+    helpers = [c for c in predicted.columns if c.startswith(f"_{name}_")]
+    return predicted.drop(*helpers).withColumn(name, F.nanvl(F.col(name), F.lit(None).cast("double")))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -100,7 +109,9 @@ def residual_summary(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Importance of each feature as rows; one row per model column."""
-    names, values = model.stages[0].getInputCols(), model.stages[-1].featureImportances.toArray()
+    prefix = f"_{model.stages[-1].getPredictionCol()}_"
+    names = [c.removeprefix(prefix) for c in model.stages[-2].getInputCols()]
+    values = model.stages[-1].featureImportances.toArray()
     return df.sparkSession.createDataFrame(
         [(n, float(v)) for n, v in zip(names, values)], "feature string, importance double"
     )

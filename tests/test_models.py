@@ -142,3 +142,11 @@ def test_band_forecaster_alarms(spark):
     rows = spark.range(40).select(F.col("id").cast("double").alias("week"), (F.col("id") * 4).cast("double").alias("ma"), (F.col("id") / 4).alias("std"))
     found = fc.BandForecaster(["week"]).train(rows).alarms(rows)
     assert found.filter("ma_alarm").count() == 11 and found.filter("std_alarm").count() == 0
+
+
+def test_missing_features_still_get_a_forecast(spark):
+    rows = spark.range(60).select(F.col("id").cast("double").alias("a"), F.when(F.col("id") != 7, F.col("id") % 5).cast("double").alias("b"), (F.col("id") * 3).cast("double").alias("y"))
+    boosted = fc.apply_model(fc.boosted_model(rows, "y", "p", iterations=2), rows)
+    assert boosted.count() == 60 and boosted.filter("p is null").count() == 0
+    linear = fc.apply_model(fc.linear_model(rows, "y", ["a", "b"], "p"), rows)
+    assert [r["a"] for r in linear.filter("p is null").collect()] == [7.0]
