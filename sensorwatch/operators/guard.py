@@ -4,6 +4,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+BROADCAST_PERIODS = 100_000
+
 
 def new_period_rows(new: DataFrame, existing: DataFrame, keys: Sequence[str], on_conflict: str = "skip_batch") -> DataFrame:
     """Rows of `new` that may be appended.
@@ -22,9 +24,15 @@ def new_period_rows(new: DataFrame, existing: DataFrame, keys: Sequence[str], on
 
 def append_new_periods(new: DataFrame, path: str, keys: Sequence[str], on_conflict: str = "skip_batch",
                        partition_by: Sequence[str] = ()) -> None:
-    """Append to a parquet table under the guard; the first write creates the table."""
+    """Append to a parquet table under the guard; the first write creates the table.
+
+    Rows are rebalanced by their partition columns first: a partition gets few files, and a large one
+    is still written by several tasks.
+    """
     from ..sources.files import read_snapshot
 
     existing = read_snapshot(new.sparkSession, path, new.schema)
     allowed = new_period_rows(new, existing, keys, on_conflict)
+    if partition_by:
+        allowed = allowed.hint("rebalance", *partition_by)
     allowed.write.mode("append").partitionBy(*partition_by).parquet(path)

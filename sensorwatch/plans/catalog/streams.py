@@ -1,17 +1,19 @@
 """Storage round trips and streaming queries. Each writes to its own folder under the shared scratch
 folder and returns what it wrote; the streams run until their input is used up."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ...operators.encode import CategoryCodes
 from ...operators.forest import IsolationForest
 from ...operators.refine import refine
-from ...operators.rollup import weekly_rollup
 from ...schemas import WEEKLY
-from ...session import scratch_path
+from ...session import scratch_path, staged
 from ...sources import files, messages
 from ...sources.messages import FRAME
 from ...streaming import jobs
+from .. import jobs as daily
 from . import bindings as b
 from .registry import query, rounded
 
@@ -38,6 +40,36 @@ def snapshot_and_append(spark, folder):
     return _longs(rows.select("year", "week", "maximum_domecasegap", rounded("stitcharea_week_mean", 4).alias("stitcharea_week_mean")), "year", "week")
 
 
+@query(
+    "S5_column_documents",
+    f"""WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap, round(stitcharea_week_mean + 0.0000123456, 4) AS stitcharea_week_mean,
+    round(domecasegap_week_stddev + 0.0000123456, 4) AS domecasegap_week_stddev FROM weekly""",
+)
+def column_documents(spark, folder):
+    """The weekly history as one {column: {index: value}} document per year, imported again. A year has
+    at most 54 weeks, so a document is small."""
+    path = scratch_path(spark, "documents")
+    names = WEEKLY.fieldNames()
+    weekly = b.weekly(spark, folder).withColumn("folder", F.col("year"))
+    cells = [F.map_from_entries(F.collect_list(F.struct(F.col("week").cast("string"), F.col(n).cast("string")))).alias(n) for n in names]
+    documents = weekly.groupBy("folder").agg(*cells).select("folder", F.to_json(F.struct(*names)).alias("value"))
+    documents.repartition("folder").write.partitionBy("folder").text(path)
+    rows = files.read_column_documents(spark, f"{path}/*/*.txt", WEEKLY)
+    shown = rows.select("year", "week", "maximum_domecasegap", *[rounded(n, 4).alias(n) for n in ("stitcharea_week_mean", "domecasegap_week_stddev")])
+    return _longs(shown, "year", "week")
+
+
+@query(
+    "S11_positional_names",
+    "SELECT 'B' || l_suppkey AS blisterid, l_quantity AS domecasegap, l_extendedprice AS stitcharea, l_returnflag AS testtimemin, l_tax AS testtimesec, l_linestatus AS material FROM lineitem",
+)
+def positional_names(spark, folder):
+    rows = b.table(spark, folder, "lineitem").select(
+        F.concat(F.lit("B"), F.col("l_suppkey").cast("string")), "l_quantity", "l_extendedprice", "l_returnflag", "l_tax", "l_linestatus"
+    )
+    return files.read_payload(rows)
+
+
 @query("S6_message_round_trip", "SELECT event_id, user_id, event_type, value, (SELECT count(*) FROM events) AS expected_rows FROM events")
 def message_round_trip(spark, folder):
     rows = b.table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
@@ -149,3 +181,26 @@ def first_arrivals(spark, folder):
     live = _event_stream(spark, folder)
     twice = live.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
     return _run(jobs.first_arrivals(twice, ["event_id"], "ts", "1 day").select("event_id", "user_id", "value"), "first", spark)
+
+
+@query(
+    "X4_daily_ingest",
+    f"""WITH {b.RAW} SELECT testid, batchid, domecasegap, stitcharea, {_WEEK_KEYS} FROM raw WHERE configid = 2 AND year = 1998 AND week = 21""",
+)
+def daily_ingest(spark, folder):
+    """The rows of the week that holds a given day."""
+    tables = {n: getattr(b, n)(spark, folder) for n in ("batches", "tests", "cells", "limits")}
+    rows = daily.daily_ingest(tables, date(1998, 5, 20), config_id=2, limit_key="cell_id")
+    return _longs(rows.select("testid", "batchid", "domecasegap", "stitcharea", "year", "week"), "year", "week")
+
+
+@query("X5_weekly_forecast")
+def weekly_forecast(spark, folder):
+    """History, outlier trend, model and alarm log in turn; returns the alarm row."""
+    root = scratch_path(spark, "forecast")
+    refined = staged(b.refined(spark, folder), "refined")
+    daily.weekly_history(refined, f"{root}/weekly")
+    ident = ["batchid", "blister_id", "stitcharea", "domecasegap", "date"]
+    _, _, labelled = daily.score_rows(refined, ident, seed=917)
+    daily.anomaly_trends(labelled, ident, f"{root}/trend")
+    return daily.weekly_forecast(spark, f"{root}/weekly", f"{root}/trend", f"{root}/models", f"{root}/alarms", next_train=100_000)

@@ -48,7 +48,7 @@ def anomaly_trends(labelled: DataFrame, order, path: str | None = None, on_confl
     limits = spc.first_limits(labelled, FEATURES, keys, order)
     trend = spc.spc_trend(flagged, limits, FEATURES, keys, order, rule)
     if path:
-        append_new_periods(trend, path, ["feature", "year", "week"], on_conflict, ["feature", "year", "week"])
+        append_new_periods(trend, path, ["feature", "year", "week"], on_conflict, ["feature", "year"])
     return trend
 
 

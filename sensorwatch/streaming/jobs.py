@@ -15,12 +15,14 @@ from ..sources.messages import FRAME
 LIVE = {"processingTime": "15 seconds"}
 CATCH_UP = {"availableNow": True}
 BUCKETS = 64
+BROADCAST_BATCHES = 100_000
 
 
 def event_time(df: DataFrame, column: str) -> DataFrame:
-    """Watermarks need a zoned timestamp; files may carry one without a zone."""
+    """Watermarks need a zoned timestamp; files may carry one without a zone, which is read as UTC
+    whatever the zone of the session."""
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
-        return df.withColumn(column, F.col(column).cast("timestamp"))
+        return df.withColumn(column, F.from_utc_timestamp(F.col(column).cast("timestamp"), F.current_timezone()))
     return df
 
 
@@ -58,7 +60,7 @@ def weekly_stream(stream: DataFrame, time: str, value: str, delay: str, keys: Se
     return timed.groupBy(week.alias("w"), *keys).agg(
         F.max(value).alias("maximum"), F.min(value).alias("minimum"), F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("stddev"), F.count(value).alias("rows"),
-    ).select(F.col("w.start").cast("timestamp_ntz").alias("week_start"), *keys, "maximum", "minimum", "mean", "stddev", "rows")
+    ).select(F.to_utc_timestamp("w.start", F.current_timezone()).cast("timestamp_ntz").alias("week_start"), *keys, "maximum", "minimum", "mean", "stddev", "rows")
 
 
 def keep_latest(stream: DataFrame, keys: Sequence[str], path: str, checkpoint: str, trigger: dict = CATCH_UP) -> StreamingQuery:
@@ -109,10 +111,12 @@ class FramedBatches:
         still_open = read_snapshot(spark, f"{self.open}/epoch={batch - 1}", table("batch_id string, first long"))
         now = self._arrived_since(spark, batch, batch).select("bucket", "batch_id").distinct()
         touched = now.join(done, "batch_id", "left_anti").join(still_open, "batch_id", "left")
-        first = touched.agg(F.min("first").alias("first")).first()["first"]
+        seen = touched.agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("batches")).first()
 
-        arrived = self._arrived_since(spark, batch if first is None else first, batch)
-        candidates = arrived.join(touched.select("bucket", "batch_id"), ["bucket", "batch_id"], "left_semi")
+        arrived = self._arrived_since(spark, batch if seen["first"] is None else seen["first"], batch)
+        wanted = touched.select("bucket", "batch_id")
+        wanted = F.broadcast(wanted) if seen["batches"] <= BROADCAST_BATCHES else wanted
+        candidates = arrived.join(wanted, ["bucket", "batch_id"], "left_semi")
         rows = candidates.dropDuplicates(["bucket", "batch_id", "row_no"])
         sizes = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("expected_rows").alias("expected"))
         sizes.filter("n = expected").select("batch_id").write.mode("overwrite").parquet(f"{self.released}/epoch={batch}")
