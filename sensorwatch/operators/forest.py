@@ -1,7 +1,7 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) on Spark.
 
 Fitting needs `trees * sample_size` rows in total, whatever the size of the data: one hash per row
-draws a bounded pool, each tree draws its sample from the pool, and one task builds one tree from
+draws a bounded pool, in which copies stand by their number, each tree draws its sample from the pool, and one task builds one tree from
 at most `sample_size` rows. Scoring is a vectorised walk over the trees, map-only. Draws depend on
 row content and seed alone, so labels do not depend on partitioning or on task retries.
 """
@@ -25,6 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MISSING = -999.0
 POOL_ROWS = 200_000
 DRAW_RANGE = 1 << 30
+COPY_SHARE = 0.001
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, size int, path double"
 
 
@@ -73,24 +74,17 @@ class IsolationForest:
     def fit(self, df: DataFrame, row_id: Sequence[str]) -> "ForestModel":
         """Build the trees. `row_id` names columns that tell rows apart."""
         features = list(self.features)
-        ident = F.xxhash64(*row_id, F.lit(self.seed))
-        rows = df.select(ident.alias("_id"), *_numeric(features))
+        rows = df.select(F.xxhash64(*row_id, F.lit(self.seed)).alias("_id"), *_numeric(features))
         available = rows.count()
         if available == 0:
             raise ValueError("no rows to fit")
-        if available > self.pool_rows:
-            kept = int(DRAW_RANGE * self.pool_rows / available)
-            rows = rows.filter(F.pmod("_id", F.lit(DRAW_RANGE)) < kept)
-        wanted = min(self.sample_size, available)
-        pool = min(available, self.pool_rows)
+        wanted, pool = min(self.sample_size, available), min(available, self.pool_rows)
         expected = wanted + 8 * wanted**0.5
         cut = DRAW_RANGE if expected >= pool / 2 else int(DRAW_RANGE * expected / pool)
-        ticket = lambda t: F.xxhash64(F.col("_id"), t)
-        drawn = rows.withColumn(
-            "tree",
-            F.explode(F.filter(F.sequence(F.lit(0), F.lit(self.trees - 1)), lambda t: F.pmod(ticket(t), F.lit(DRAW_RANGE)) < cut)),
-        ).withColumn("_ticket", F.pmod(ticket(F.col("tree")), F.lit(DRAW_RANGE)))
-        order = ["_ticket", "_id", *features]
+        ticket = lambda t: F.pmod(F.xxhash64(F.col("_row"), t), F.lit(DRAW_RANGE))
+        trees = F.filter(F.sequence(F.lit(0), F.lit(self.trees - 1)), lambda t: ticket(t) < cut)
+        drawn = self._pool(rows, available).withColumn("tree", F.explode(trees)).withColumn("_ticket", ticket(F.col("tree")))
+        order = ["_ticket", "_row", *features]
         place = F.row_number().over(Window.partitionBy("tree").orderBy(*order))
         samples = drawn.withColumn("_place", place).filter(F.col("_place") <= wanted)
         depth_limit = max(1, ceil(log2(max(wanted, 2))))
@@ -107,6 +101,27 @@ class IsolationForest:
         nodes = samples.groupBy("tree").applyInPandas(build, NODE_SCHEMA).collect()
         return ForestModel.from_nodes(features, nodes, wanted, depth_limit)
 
+    def _pool(self, rows: DataFrame, available: int) -> DataFrame:
+        """About `pool_rows` rows, each told apart by `_row` even among copies.
+
+        Ids are kept by their hash, so all copies of an id would be kept or lost together. Copies are
+        therefore counted (combined before the shuffle) and stand in the pool by number: an id with a
+        large share of the rows always stands for that share, and a rare id for at most one sample.
+        """
+        share, chosen = self.pool_rows / available, F.lit(True)
+        heavy_from = available + 1
+        if share < 1:
+            frequent = rows.stat.freqItems(["_id"], COPY_SHARE).first()[0]
+            heavy_from = max(1, int(COPY_SHARE * available))
+            chosen = F.pmod("_id", F.lit(DRAW_RANGE)) < int(DRAW_RANGE * share)
+            rows = rows.filter(chosen | F.col("_id").isin(frequent))
+        counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+        heavy = F.col("_copies") >= heavy_from
+        limit = F.lit(available if share >= 1 else self.sample_size)
+        stands = F.when(heavy, F.ceil(F.col("_copies") * share)).otherwise(F.least("_copies", limit))
+        numbered = counted.filter(heavy | chosen).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), stands.cast("long"))))
+        return numbered.select(F.xxhash64("_id", "_copy").alias("_row"), *self.features)
+
     def fit_score(self, df: DataFrame, row_id: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> tuple["ForestModel", DataFrame]:
         """Fit, score each row once into a written table, and set the cut from its exact quantile.
 

@@ -42,7 +42,9 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], hot: Mapping
 
     Without keys `groups` is one row and is read as a scalar subquery. Rows of a hot key are spread
     over salts, and the matching `groups` rows are repeated once per salt. Any row-preserving or
-    filtering join type works, because each row of `rows` meets each partner exactly once.
+    filtering join type works, because each row of `rows` meets each partner exactly once. Salts are
+    hashes of the row, so a repeated task salts alike; exact copies share a salt, and a partition
+    they overfill is split by adaptive execution.
     """
     if not keys:
         packed = groups.select(F.struct("*")).scalar()

@@ -11,9 +11,8 @@ from ..operators.extract import extract
 from ..operators.forecast import apply_model, boosted_model, load_model, save_model
 from ..operators.forest import IsolationForest
 from ..operators.guard import append_new_periods
-from ..operators.refine import model_columns
 from ..operators.rollup import lagged_weeks, latest, weekly_rollup
-from ..schemas import ALARMS, CATEGORIES, FEATURES, WEEKLY
+from ..schemas import ALARMS, CATEGORIES, FEATURES, NOT_MODELLED, REFINED_COLUMNS, WEEKLY
 from ..sources.files import path_exists, read_snapshot
 from ..sources.messages import publish, to_messages
 
@@ -35,8 +34,8 @@ def score_rows(refined: DataFrame, row_id, seed: int, contamination: float = 0.0
     """Model, category dictionary and the refined rows with score and label beside them."""
     codes = CategoryCodes.fit(refined, CATEGORIES)
     coded = codes.encode(refined, as_codes=False)
-    plain = [c for c in model_columns(refined).columns if c not in CATEGORIES and c not in row_id]
-    forest = IsolationForest([*plain, *[f"{c}_code" for c in CATEGORIES]], seed, contamination, trees)
+    modelled = [c for c in REFINED_COLUMNS if c not in NOT_MODELLED]
+    forest = IsolationForest([f"{c}_code" if c in CATEGORIES else c for c in modelled], seed, contamination, trees)
     model, labelled = forest.fit_score(coded, row_id)
     return model, codes, labelled
 

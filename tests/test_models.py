@@ -41,6 +41,28 @@ def test_pool_smaller_than_the_data(spark, planted):
     assert all(labels(labelled)[i] == -1 for i in range(1000, 1010))
 
 
+@pytest.mark.parametrize("pool_rows", [500, 200_000])
+def test_copies_stand_by_their_number(spark, pool_rows):
+    """Two thirds of the rows are copies of one point; that point must fill its share of the draws."""
+    rng = np.random.default_rng(9)
+    frame = pd.DataFrame(rng.normal(0, 1, (3000, 2)), columns=["x", "y"])
+    frame.iloc[:2000] = 0.25
+    frame.iloc[2990:] += 40
+    rows = spark.createDataFrame(frame)
+    forest = IsolationForest(["x", "y"], seed=4, contamination=0.005, trees=30, sample_size=100, pool_rows=pool_rows)
+    prepared = rows.select(F.xxhash64("x", "y", F.lit(4)).alias("_id"), "x", "y")
+    pool = forest._pool(prepared, 3000)
+    size, copies = pool.count(), pool.filter("x = 0.25").count()
+    assert pool.select("_row").distinct().count() == size
+    assert size == 3000 if pool_rows > 3000 else size < 700
+    assert 0.55 < copies / size < 0.8
+    found = [forest.fit_score(rows.repartition(n), ["x", "y"])[1] for n in (1, 7)]
+    flagged = [df.filter("anomaly = -1").count() for df in found]
+    assert flagged[0] == flagged[1] and found[0].exceptAll(found[1].select(*found[0].columns)).count() == 0
+    assert found[0].filter("x = 0.25 and anomaly = -1").count() == 0
+    assert found[0].filter("x > 30 and anomaly = 1").count() == 0
+
+
 def test_scores_follow_the_published_formula(spark):
     """A point alone in its leaf at depth 1 in every tree scores 2 ** (-1 / c(n))."""
     rows = spark.createDataFrame([(i, 0.0) for i in range(9)] + [(9, 100.0)], "id int, x double")
