@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import calendar
 from ..functions.limits import range_text
@@ -49,10 +49,13 @@ def with_spc_ranges(rows: DataFrame, measurements=MEASUREMENTS) -> DataFrame:
     )
 
 
-def _test_day(tests: DataFrame, column: str) -> Column:
-    if isinstance(tests.schema[column].dataType, T.StringType):
-        return calendar.day_first_date(F.col(column))
-    return F.col(column).cast("date")
+def _with_test_day(tests: DataFrame) -> DataFrame:
+    """Add `_day`. Text is parsed in a generator, which the optimiser does not copy into every filter and
+    calendar part that uses the day; a typed date stays a plain column, so filters reach the scan."""
+    if isinstance(tests.schema["date"].dataType, T.StringType):
+        parsed = F.struct(calendar.day_first_date(F.col("date")).alias("_day"))
+        return tests.select("*", F.inline(F.array(parsed)))
+    return tests.withColumn("_day", F.col("date").cast("date"))
 
 
 def extract(batches: DataFrame, tests: DataFrame, cells: DataFrame, limits: DataFrame, config_id=None,
@@ -70,7 +73,7 @@ def extract(batches: DataFrame, tests: DataFrame, cells: DataFrame, limits: Data
         batches = batches.filter(F.col("configid") == config_id)
     if year and not isinstance(tests.schema["date"].dataType, T.StringType):
         tests = tests.filter(calendar.year_range(F.col("date"), year))
-    tests = calendar.with_calendar_parts(tests, _test_day(tests, "date"), week_rule)
+    tests = calendar.with_calendar_parts(_with_test_day(tests), F.col("_day"), week_rule).drop("_day")
     tests = tests.filter(calendar.period_predicate(year, quarter, month, yearweek, weekday))
     hot = hot_keys(tests, ["batchid", "testid", limit_key], max_group_rows, source)
     rows = join_measurements(batches, tests, cells, max_group_rows, hot)
