@@ -4,6 +4,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.calendar import sunday_ending
 from ..functions.limits import parse_range
 from .skew import MAX_GROUP_ROWS, attach, hot_groups, rolling
 
@@ -193,8 +194,7 @@ def alert_counts(df: DataFrame, value_range: DataFrame, limits: DataFrame, featu
 def weekly_moving_average(df: DataFrame, day: str, feature: str, weeks: int = 7) -> DataFrame:
     """Mean per week ending on Sunday, with empty weeks kept, and the mean of the last `weeks` weekly
     values (NULL until all are there). The ordered window runs over calendar weeks, not over rows."""
-    ends = F.date_add(F.date_trunc("week", F.col(day)).cast("date"), 6)
-    weekly = df.filter(F.col(day).isNotNull()).groupBy(ends.alias("week_end")).agg(F.avg(feature).alias("weekly_mean"))
+    weekly = df.filter(F.col(day).isNotNull()).groupBy(sunday_ending(F.col(day)).alias("week_end")).agg(F.avg(feature).alias("weekly_mean"))
     spine = weekly.agg(F.min("week_end").alias("first"), F.max("week_end").alias("last")).select(
         F.explode(F.sequence("first", "last", F.expr("interval 7 days"))).alias("week_end")
     )

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ...operators import alarms, guard, kpi, rollup, spc, thresholds
 from ...functions.limits import parse_range
-from ...operators.skew import attach, exact_quantiles, rolling
+from ...operators.skew import attach
 from ...session import staged
 from . import bindings as b
 from .registry import query, rounded

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ...operators.encode import CategoryCodes
 from ...operators.forest import IsolationForest
-from ...operators.refine import refine
 from ...schemas import WEEKLY
 from ...session import scratch_path, staged
 from ...sources import files, messages
