@@ -92,16 +92,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that each node of the undirected links reaches.
 
     Large-star and small-star rounds, each an aggregate and a join by node: a hub of any degree
-    is pre-aggregated, and its join rows are spread by Spark's skew handling. Rounds end when the links no longer change.
+    is pre-aggregated, and its join rows are spread by Spark's skew handling (which wants a shuffle right below the join, hence the hint). Rounds end when the links no longer change.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     edges, mark = _marked(edges)
     while mark[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
+        low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low")).hint("rebalance")
         # Each node hands its smallest neighbour to its larger neighbours.
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
+        low = large.groupBy("u").agg(F.min("v").alias("low")).hint("rebalance")
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", "low"), F.struct(F.col("v").alias("u"), "low"))).alias("e"))
         edges, after = _marked(small.select("e.u", F.col("e.low").alias("v")).where("u <> v").distinct())
         if after == mark:
