@@ -192,7 +192,7 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFram
     rows = rows.withColumn("_new", F.transform("_found", lambda v: pseudonym(v, key)))
     around = F.split(text, CANDIDATE, -1)
     shown = F.zip_with("_new", "_found", lambda n, v: F.coalesce(n["text"], v))
-    built = F.concat(F.array_join(F.zip_with(F.slice(around, F.lit(1), F.size("_found")), shown, F.concat), ""), F.element_at(around, -1))
+    built = F.concat(F.array_join(F.zip_with(F.slice(around, F.lit(1), F.size("_found")), shown, lambda a, b: F.concat(a, b)), ""), F.element_at(around, -1))
     replaced = F.filter("_new", lambda n: n["text"].isNotNull())
     rows = rows.withColumns({"n_replaced": F.coalesce(F.size(replaced), F.lit(0)).cast("long"), "replaced": F.coalesce(replaced, F.array().cast("array<struct<kind:string,text:string>>"))})
     rows = rows.withColumn("n_replaced", F.greatest("n_replaced", F.lit(0)))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorwatch.llm.common import ascii_lower, staged
+from sensorwatch.llm.common import BLANKS, ascii_lower, staged
 
 MIN_CHARS = 12
 QUOTED = r"^[ \t]*>[> \t]*"
@@ -59,7 +59,7 @@ def parsed(messages: DataFrame, text_col: str = "text") -> DataFrame:
         return F.when(goes_on, grown).otherwise(F.concat(state, F.array(one))).cast("array<struct<place:int,level:int,text:string>>")
 
     runs = F.filter(F.aggregate("_lines", start, add), lambda x: x["level"] > 0)
-    rows = rows.withColumn("body", F.trim(F.coalesce(F.when(F.col("_lines").isNotNull(), own), F.col(text_col), F.lit(""))))
+    rows = rows.withColumn("body", F.btrim(F.coalesce(F.when(F.col("_lines").isNotNull(), own), F.col(text_col), F.lit("")), F.lit(BLANKS)))
     return rows.withColumn("passages", F.coalesce(runs, start)).drop("_lines")
 
 

@@ -60,7 +60,7 @@ def test_conversations_of_the_sample(spark):
     table = spark.read.parquet(f"{SAMPLE}/conversations.parquet")
     got = QUERIES["op1_quotation_linking"](spark, SAMPLE).collect()
     assert len(got) == table.select("conv_id", "turn").distinct().count()
-    assert {(r["conv_id"], r["turn"]): r["body"] for r in got} == {(r["conv_id"], r["turn"]): r["text"].strip(" ") for r in table.collect()}
+    assert {(r["conv_id"], r["turn"]): r["body"] for r in got} == {(r["conv_id"], r["turn"]): r["text"].strip(" \t\n\x0b\f\r") for r in table.collect()}
 
 
 # ---- rollup
@@ -142,9 +142,10 @@ def test_pseudonyms_of_the_sample(spark):
     table = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SAMPLE}/documents.parquet").collect()}
     pattern = re.compile(r"[\w.+-]+@[\w-]+\.[\w.]*\w|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b|\b\d{1,3}(?:\.\d{1,3}){3}\b")
     assert len(got) == len(table) and sum(r["n_replaced"] for r in got) > 0
+    valid = lambda v: valid_luhn(v) if v.isdigit() else all(int(x) < 256 for x in v.split(".")) if v[0].isdigit() and "@" not in v else True
     for r in got:
         assert len(r["text"]) >= len(table[r["doc_id"]]) - 30
-        assert not set(pattern.findall(table[r["doc_id"]])) & set(pattern.findall(r["text"]))
+        assert not {v for v in pattern.findall(table[r["doc_id"]]) if valid(v)} & set(pattern.findall(r["text"]))
 
 
 # ---- decontamination
