@@ -15,7 +15,8 @@ def day_first_date(text: Column, strict: bool = False) -> Column:
     if strict:
         return F.to_date(text, DAY_FIRST)
     day, month, year, rest = (F.split_part(text, F.lit("/"), F.lit(i)) for i in (1, 2, 3, 4))
-    shaped = (F.length(day) <= 2) & (F.length(month) <= 2) & (F.length(year) == 4) & (rest == "")
+    digits_only = F.translate(F.concat(day, month, year), "0123456789", "") == ""
+    shaped = (F.length(day) <= 2) & (F.length(month) <= 2) & (F.length(year) == 4) & (rest == "") & digits_only
     return F.when(shaped, F.concat_ws("-", year, month, day).try_cast("date"))
 
 
@@ -29,12 +30,18 @@ def iso_week(day: Column) -> Column:
     return F.weekofyear(day)
 
 
+def iso_year(day: Column) -> Column:
+    """Year that the ISO week belongs to: the last days of December may lie in week 1 of the next one."""
+    return F.extract(F.lit("YEAROFWEEK"), day)
+
+
 def with_calendar_parts(df: DataFrame, day: Column, week_rule: str = "server") -> DataFrame:
-    """Add year, quarter, month, week and dayweek (Sunday = 1)."""
-    week = server_week(day) if week_rule == "server" else iso_week(day)
+    """Add year, quarter, month, week and dayweek (Sunday = 1). With ISO weeks the year is that of the week."""
+    server = week_rule == "server"
+    week = server_week(day) if server else iso_week(day)
     return df.withColumns(
         {
-            "year": F.year(day),
+            "year": F.year(day) if server else iso_year(day),
             "quarter": F.quarter(day),
             "month": F.month(day),
             "week": week,
@@ -74,15 +81,22 @@ def current_period(as_of: date, history_year: int | None = None, week_rule: str
     if history_year:
         return {"year": history_year}
     if week_rule == "iso":
-        return {"year": as_of.year, "yearweek": as_of.isocalendar()[1]}
+        return dict(zip(("year", "yearweek"), as_of.isocalendar()))
     jan_first = date(as_of.year, 1, 1)
     week = ((as_of - jan_first).days + jan_first.isoweekday() % 7) // 7 + 1
     return {"year": as_of.year, "yearweek": week}
 
 
-def following_week(year: Column, week: Column) -> tuple[Column, Column]:
-    """Year and number of the next week; week 52 and later roll over to week 1."""
-    rolls = week >= 52
+def last_week(year: Column, week_rule: str = "server") -> Column:
+    """Number of the last week of a year: 53 or 54 by the server rule, 52 or 53 by ISO."""
+    if week_rule == "iso":
+        return iso_week(F.make_date(year, F.lit(12), F.lit(28)))
+    return server_week(F.make_date(year, F.lit(12), F.lit(31)))
+
+
+def following_week(year: Column, week: Column, week_rule: str = "server") -> tuple[Column, Column]:
+    """Year and number of the next week. By the `compat` rule weeks 52 and later all lead to week 1."""
+    rolls = week >= (F.lit(52) if week_rule == "compat" else last_week(year, week_rule))
     return year + rolls.cast("int"), F.when(rolls, F.lit(1)).otherwise(week + 1)
 
 

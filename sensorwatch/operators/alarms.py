@@ -19,13 +19,13 @@ def weekly_bands(trend: DataFrame, feature: str | None = None, first_by: str | N
     )
 
 
-def forecast_rows(predictions: DataFrame, bands: DataFrame, sigma: float = 2.0) -> DataFrame:
+def forecast_rows(predictions: DataFrame, bands: DataFrame, sigma: float = 2.0, week_rule: str = "server") -> DataFrame:
     """Predicted mean, deviation and mean + sigma * deviation beside the band of the current week.
 
     `predictions` holds year, week and `pred_stitcharea_week_mean` / `..._stddev`; the target week
     is the one after.
     """
-    year, week = following_week(F.col("year"), F.col("week"))
+    year, week = following_week(F.col("year"), F.col("week"), week_rule)
     banded = predictions.join(bands, ["year", "week"], "left")
     value = F.col(f"pred_{TARGET}_week_mean") + sigma * F.col(f"pred_{TARGET}_week_stddev")
     return banded.select(
@@ -124,9 +124,9 @@ def status(alarms: DataFrame) -> DataFrame:
 
 
 def trend_with_alarms(trend: DataFrame, alarms: DataFrame) -> DataFrame:
-    """Trend rows beside the forecast made for their week."""
-    foretold = alarms.select(
-        F.col("pred_year").alias("year"), F.col("pred_week").alias("week"), f"alarm_pre_{TARGET}",
-        f"predicted_{TARGET}_calculate",
-    )
+    """Trend rows beside the forecast made for their week; of several forecasts, that of the latest week."""
+    values = [f"alarm_pre_{TARGET}", f"predicted_{TARGET}_calculate"]
+    latest = F.max_by(F.struct(*values), F.struct("week", *values))
+    foretold = alarms.groupBy(F.col("pred_year").alias("year"), F.col("pred_week").alias("_week")).agg(latest.alias("_last"))
+    foretold = foretold.select("year", F.col("_week").alias("week"), *[F.col(f"_last.{v}") for v in values])
     return trend.join(foretold, ["year", "week"], "left")

@@ -8,18 +8,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from ..session import staged
 from .skew import MAX_GROUP_ROWS, attach, hot_groups
 
-PARTS = 256
 BROADCAST_VALUES = 100_000
 
 
 def _entry(df: DataFrame, name: str) -> Column:
-    """(column, number, text): numbers sort as numbers, text as text."""
+    """(column, number, text): numbers sort as numbers, text as text. Numbers that share a double, as large
+    whole numbers do, are told apart and ordered by their text, padded to one width."""
     is_number = isinstance(df.schema[name].dataType, T.NumericType)
     number = F.col(name).cast("double") if is_number else F.lit(None).cast("double")
-    text = F.lit("") if is_number else F.col(name).cast("string")
+    text = _exact_text(df, name) if is_number else F.col(name).cast("string")
     return F.struct(F.lit(name).alias("column"), number.alias("number"), text.alias("text"))
 
 
+def _exact_text(df: DataFrame, name: str) -> Column:
+    """Empty for doubles and floats. Else the distance of a number from its double, padded so that it sorts."""
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.lit("")
+    exact = F.col(name).cast("decimal(38,10)")
+    gap = exact - F.col(name).cast("double").cast("decimal(38,10)")
+    return F.lpad((gap + F.lit(10**12)).cast("string"), 40, "0")
+
+
 def category_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct non-missing values of all columns in one pass, combined before the shuffle."""
     entries = F.array(*[F.when(F.col(c).isNotNull(), _entry(df, c)) for c in columns])
@@ -38,7 +47,7 @@ def number_categories(values: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -
     for column, size in sizes.items():
         if size > max_group_rows:
             found = values.filter(F.col("column") == column)
-            parts = min(PARTS, -(-size // max_group_rows))
+            parts = -(-size // max_group_rows)
             sample = found.orderBy(F.xxhash64(*order)).limit(parts * 40).orderBy(*order).collect()
             cuts += [(column, sample[i * 40]) for i in range(1, parts) if i * 40 < len(sample)]
     if not cuts:
@@ -92,16 +101,18 @@ class CategoryCodes:
         """
         for name, size in self.sizes.items():
             is_number = isinstance(df.schema[name].dataType, T.NumericType)
-            match, kind = ("number", "double") if is_number else ("text", "string")
-            codes = self.dictionary.filter(F.col("column") == name).select(F.col(match).alias("_value"), F.col("code").alias("_code"))
-            valued = df.withColumn("_value", F.col(name).cast(kind))
+            match = {"_number": "number", "_text": "text"} if is_number else {"_text": "text"}
+            own = self.dictionary.filter(F.col("column") == name)
+            codes = own.select(*[F.col(c).alias(n) for n, c in match.items()], F.col("code").alias("_code"))
+            entry = _entry(df, name)
+            valued = df.withColumns({n: F.when(F.col(name).isNotNull(), entry[c]) for n, c in match.items()})
             if size <= BROADCAST_VALUES or df.isStreaming:
-                joined = valued.join(F.broadcast(codes) if size <= BROADCAST_VALUES else codes, "_value", "left")
+                joined = valued.join(F.broadcast(codes) if size <= BROADCAST_VALUES else codes, list(match), "left")
             else:
-                hot = hot_groups(valued, ["_value"], max_group_rows)
-                joined = attach(valued, codes, ["_value"], hot, max_group_rows, "left")
+                hot = hot_groups(valued, list(match), max_group_rows)
+                joined = attach(valued, codes, list(match), hot, max_group_rows, "left")
             target = name if as_codes else f"{name}_code"
-            df = joined.withColumn(target, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_code", "_value")
+            df = joined.withColumn(target, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_code", *match)
         return df
 
     def save(self, path: str) -> None:

@@ -1,6 +1,6 @@
 """Measurement extract: batches, tests and cells joined with their limits."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -8,37 +8,27 @@ from ..functions import calendar
 from ..functions.limits import range_text
 from ..functions.text import lower_names, strip_strings
 from ..schemas import MEASUREMENTS
-from .skew import MAX_GROUP_ROWS, attach, hot_groups_of
+from .skew import MAX_GROUP_ROWS, attach
 
 
 def join_measurements(batches: DataFrame, tests: DataFrame, cells: DataFrame,
                       max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[str, Mapping[int, int]] | None = None) -> DataFrame:
     """batches x tests on batchid, x cells on testid. Name clashes keep the test's own column as tp_*.
 
-    `hot` holds the hot values of each key, if known already.
+    Hot keys are split by adaptive execution; `hot` names keys to salt beforehand.
     """
     clashes = [c for c in tests.columns if c in batches.columns and c != "batchid"]
     tests = tests.withColumnsRenamed({c: f"tp_{c}" for c in clashes})
-    hot = hot_keys(tests, ["batchid", "testid"], max_group_rows) if hot is None else hot
-    joined = attach(tests, batches, ["batchid"], hot["batchid"], max_group_rows)
-    return attach(joined, cells, ["testid"], hot["testid"], max_group_rows)
-
-
-def hot_keys(rows: DataFrame, names: Sequence[str], max_group_rows: int, source: DataFrame | None = None) -> dict[str, dict[int, int]]:
-    """Hot values per key. `source` is the plain table `rows` was filtered from: counting it is a
-    matter of file footers, and a table below the limit has no hot value."""
-    names = list(dict.fromkeys(names))
-    if source is not None and source.count() <= max_group_rows:
-        return {n: {} for n in names}
-    return dict(zip(names, hot_groups_of(rows, [[n] for n in names], max_group_rows)))
+    hot = hot or {}
+    joined = attach(tests, batches, ["batchid"], hot.get("batchid", {}), max_group_rows)
+    return attach(joined, cells, ["testid"], hot.get("testid", {}), max_group_rows)
 
 
 def with_limits(rows: DataFrame, limits: DataFrame, key: str = "batchid", how: str = "inner",
                 max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[int, int] | None = None) -> DataFrame:
     """Limits of each row as `<measurement>_limit`. Several limit rows per key repeat the row."""
     renamed = limits.withColumnsRenamed({c: f"{c}_limit" for c in limits.columns if c != key})
-    hot = hot_keys(rows, [key], max_group_rows)[key] if hot is None else hot
-    return attach(rows, renamed, [key], hot, max_group_rows, how)
+    return attach(rows, renamed, [key], hot or {}, max_group_rows, how)
 
 
 def with_spc_ranges(rows: DataFrame, measurements=MEASUREMENTS) -> DataFrame:
@@ -60,14 +50,12 @@ def _with_test_day(tests: DataFrame) -> DataFrame:
 
 def extract(batches: DataFrame, tests: DataFrame, cells: DataFrame, limits: DataFrame, config_id=None,
             year=None, quarter=None, month=None, yearweek=None, weekday=None, week_rule: str = "server",
-            limit_key: str = "batchid", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+            limit_key: str = "batchid") -> DataFrame:
     """Tests of one configuration and period with ranges, limits and calendar parts.
 
     Text is trimmed before the joins, where each value is still stored once. The configuration filter reaches the batch scan. The period filter is applied to the tests
     before any join; over a typed date column the year also becomes a plain range for the scan.
-    Hot keys are looked for once, over the key columns of the tests; `limit_key` is one of them.
     """
-    source = tests
     batches, tests, cells, limits = (strip_strings(lower_names(t)) for t in (batches, tests, cells, limits))
     if config_id is not None:
         batches = batches.filter(F.col("configid") == config_id)
@@ -75,6 +63,5 @@ def extract(batches: DataFrame, tests: DataFrame, cells: DataFrame, limits: Data
         tests = tests.filter(calendar.year_range(F.col("date"), year))
     tests = calendar.with_calendar_parts(_with_test_day(tests), F.col("_day"), week_rule).drop("_day")
     tests = tests.filter(calendar.period_predicate(year, quarter, month, yearweek, weekday))
-    hot = hot_keys(tests, ["batchid", "testid", limit_key], max_group_rows, source)
-    rows = join_measurements(batches, tests, cells, max_group_rows, hot)
-    return with_limits(with_spc_ranges(rows), limits, limit_key, "inner", max_group_rows, hot[limit_key])
+    rows = join_measurements(batches, tests, cells)
+    return with_limits(with_spc_ranges(rows), limits, limit_key)

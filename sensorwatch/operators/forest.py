@@ -199,7 +199,7 @@ class ForestModel:
 
     def label(self, scored: DataFrame) -> DataFrame:
         """-1 for scores strictly beyond the cut, 1 otherwise."""
-        return scored.withColumn("anomaly", F.when(F.col("score") > self.cut, -1).otherwise(1))
+        return scored.withColumn("outlier", F.when(F.col("score") > self.cut, -1).otherwise(1))
 
     def predict(self, df: DataFrame) -> DataFrame:
         return self.label(self.score(df))

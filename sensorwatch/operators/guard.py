@@ -4,14 +4,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_PERIODS = 100_000
-
+from ..session import staged
 
 def new_period_rows(new: DataFrame, existing: DataFrame, keys: Sequence[str], on_conflict: str = "skip_batch") -> DataFrame:
     """Rows of `new` that may be appended.
 
     skip_rows leaves out the periods that exist. skip_batch leaves out everything as soon as one
-    period exists. Stored periods are reduced to their distinct keys before the join.
+    period exists. Stored periods are reduced to their distinct keys before the join; under skip_batch
+    `new` is read twice, so pass a staged frame (as append_new_periods does).
     """
     stored = existing.select(*keys).distinct()
     if on_conflict == "skip_rows":
@@ -31,6 +31,8 @@ def append_new_periods(new: DataFrame, path: str, keys: Sequence[str], on_confli
     """
     from ..sources.files import read_snapshot
 
+    if on_conflict == "skip_batch":
+        new = staged(new, "guarded")
     existing = read_snapshot(new.sparkSession, path, new.schema)
     allowed = new_period_rows(new, existing, keys, on_conflict)
     if partition_by:

@@ -2,8 +2,9 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.calendar import following_week
 from ..schemas import FEATURES
 
 
@@ -28,11 +29,12 @@ def period_rollup(df: DataFrame, day: str, features: Sequence[str], unit: str =
 
 def weekly_profile(df: DataFrame, year: int, current_year: int, current_week: int,
                    features: Sequence[str] = (*FEATURES, "test_time_sec")) -> DataFrame:
-    """Weekly means of a year (weeks 1..52, or up to now for the current year), followed by the weeks
+    """Weekly means of a year (all its weeks, or up to now for the current year), followed by the weeks
     of the current year when the asked year has passed."""
-    last = 52 if year < current_year else current_week
-    wanted = (F.col("year") == year) & F.col("week").between(1, last)
-    if year < current_year:
+    wanted = F.col("year") == year
+    if year >= current_year:
+        wanted = wanted & F.col("week").between(1, current_week)
+    else:
         wanted = wanted | ((F.col("year") == current_year) & F.col("week").between(1, current_week))
     return df.filter(wanted).groupBy("year", "week").agg(*[F.avg(f).alias(f) for f in features])
 
@@ -64,16 +66,20 @@ def append_frames(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def anomalies_first(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Anomalies (-1), then normals, each in order. A union would not keep any order."""
-    return df.orderBy("anomaly", *order)
+def outliers_first(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Outliers (-1), then normals, each in order. A union would not keep any order."""
+    return df.orderBy("outlier", *order)
 
 
 def slice_rows(df: DataFrame, week: Column | int, cells: Sequence[float]) -> DataFrame:
     return df.filter((F.col("week") == week) & F.col("tp_cell_name").isin(list(cells)))
 
 
-def lagged_weeks(weekly: DataFrame, targets: Sequence[str], horizon: int = 1) -> DataFrame:
-    """Targets of `horizon` weeks later as `next_<target>`. The window runs over calendar weeks."""
-    ahead = Window.orderBy("year", "week")
-    return weekly.withColumns({f"next_{t}": F.lead(t, horizon).over(ahead) if horizon else F.col(t) for t in targets})
+def lagged_weeks(weekly: DataFrame, targets: Sequence[str], horizon: int = 1, week_rule: str = "server") -> DataFrame:
+    """Targets of the week that comes `horizon` calendar weeks later as `next_<target>`; NULL when it has no row."""
+    year, week = F.col("year"), F.col("week")
+    for _ in range(horizon):
+        year, week = following_week(year, week, week_rule)
+    later = weekly.select(F.col("year").alias("_year"), F.col("week").alias("_week"), *[F.col(t).alias(f"next_{t}") for t in targets])
+    ahead = weekly.withColumns({"_year": year.cast("int"), "_week": week.cast("int")})
+    return ahead.join(later, ["_year", "_week"], "left").drop("_year", "_week")

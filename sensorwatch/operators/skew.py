@@ -1,17 +1,18 @@
 """Grouped work that stays balanced when one group holds a large share of the rows.
 
 A group is hot when it has more than `max_group_rows` rows. Hot groups are found by one counting
-job (map-side combined, returns at most MAX_SPLITS key hashes). The splits only decide where rows
-are processed; every result is exact for any choice of splits.
+job (map-side combined; at most rows / max_group_rows key hashes return). The splits only decide
+where rows are processed; every result is exact for any choice of splits.
 """
 
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..session import staged
 
 MAX_GROUP_ROWS = 5_000_000
-MAX_SPLITS = 4096
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -31,7 +32,7 @@ def hot_groups_of(df: DataFrame, key_sets: Sequence[Sequence[str]], max_group_ro
         hashes = df.select(F.posexplode(F.array(*[key_hash(k) for k in key_sets])).alias("k", "h"))
     large = hashes.groupBy("k", "h").count().filter(F.col("count") > max_group_rows)
     found: list[dict[int, int]] = [{} for _ in key_sets]
-    for row in large.orderBy(F.desc("count")).limit(MAX_SPLITS).collect():
+    for row in large.collect():
         found[row["k"]][row["h"]] = row["count"]
     return found
 
@@ -43,8 +44,8 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], hot: Mapping
     Without keys `groups` is one row and is read as a scalar subquery. Rows of a hot key are spread
     over salts, and the matching `groups` rows are repeated once per salt. Any row-preserving or
     filtering join type works, because each row of `rows` meets each partner exactly once. Salts are
-    hashes of the row, so a repeated task salts alike; exact copies share a salt, and a partition
-    they overfill is split by adaptive execution.
+    hashes of the row (of its columns that can be hashed), so a repeated task salts alike; exact
+    copies share a salt, and a partition they overfill is split by adaptive execution.
     """
     if not keys:
         packed = groups.select(F.struct("*")).scalar()
@@ -55,7 +56,7 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], hot: Mapping
     copies, h = F.lit(1).cast("long"), key_hash(keys)
     for size, members in _salt_tiers(hot, max_group_rows).items():
         copies = F.when(h.isin(members), F.lit(size).cast("long")).otherwise(copies)
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), copies))
+    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(rows)), copies))
     salted_groups = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
     return salted_rows.join(salted_groups, [*keys, "_salt"], how).drop("_salt")
 
@@ -65,47 +66,44 @@ def _salt_tiers(hot: Mapping[int, int], max_group_rows: int) -> dict[int, list[i
     tiers: dict[int, list[int]] = {}
     for h, rows in hot.items():
         salts = 1 << (-(-rows // max_group_rows) - 1).bit_length()
-        tiers.setdefault(min(MAX_SPLITS, salts), []).append(h)
+        tiers.setdefault(salts, []).append(h)
     return tiers
 
 
-def _position(df: DataFrame, name: str) -> Column:
-    """A double that never decreases as the column increases; NULL sorts first, as in Spark."""
-    kind, col = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.DateType):
-        number = F.unix_date(col).cast("double")
-    elif isinstance(kind, T.TimestampNTZType):
-        day = F.unix_date(col.cast("date")).cast("double") * 86400
-        number = day + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
-    elif isinstance(kind, (T.TimestampType, T.NumericType)):
-        number = col.cast("double")
-    else:
-        raise TypeError(f"cannot split rows by {name}: {kind.simpleString()}")
-    return F.coalesce(number, F.lit(float("-inf")))
-
-
-def _split_points(df: DataFrame, name: str, parts: int, rows: int) -> list[float]:
-    """Values that cut the rows into about equal parts, taken from a sample."""
-    levels = [i / parts for i in range(1, parts)]
-    share = min(1.0, 2000 * parts / max(rows, 1))
-    points = df.sample(share, seed=1).approxQuantile(name, levels, 1 / (4 * parts))
-    return sorted({p for p in points if p not in (float("-inf"), float("inf"))})
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns without a map, which has no hash."""
+    return [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
 
 
-def split_hot_groups(df: DataFrame, keys: Sequence[str], order: str, hot: Mapping[int, int],
+def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: Mapping[int, int],
                      max_group_rows: int) -> DataFrame:
-    """Add `_hot` and `_part`; the parts of a hot group follow each other in the given order."""
+    """Add `_hot` and `_part`; the parts of a hot group follow each other in the given order.
+
+    Rows of hot groups are ranged by key and by the whole order, whatever its types; ties in the first
+    columns are cut by the later ones. The ranges are written to the shared folder, so that every plan
+    over the result, and every repeated task, sees the same parts.
+    """
     is_hot = key_hash(keys).isin(list(hot)) if keys else F.lit(True)
-    marked = df.withColumns({"_hot": is_hot, "_pos": _position(df, order)})
+    parts = max(2, -(-2 * sum(hot.values()) // max_group_rows))
+    ranged = df.filter(is_hot).repartitionByRange(parts, *keys, *order)
+    ranged = staged(ranged.withColumns({"_hot": F.lit(True), "_part": F.spark_partition_id()}), "ranges")
+    if not keys:
+        return ranged
+    return ranged.unionByName(df.filter(~is_hot).withColumns({"_hot": F.lit(False), "_part": F.lit(-1)}))
+
+
+def _value_parts(values: DataFrame, hot: Mapping[int, int], keys: Sequence[str], max_group_rows: int) -> DataFrame:
+    """Add `_part` to rows (keys, _v): hot groups are cut at sampled values, searched by bisection."""
     rows = sum(hot.values())
-    parts = min(MAX_SPLITS, max(2, -(-rows // max_group_rows)))
-    points = _split_points(marked.filter("_hot").select("_pos"), "_pos", parts, rows)
-    edges = [float("-inf"), *points, float("inf")]
-    if len(edges) < 3:
-        edges = [float("-inf"), 0.0, float("inf")]
-    cut = Bucketizer(splits=edges, inputCol="_pos", outputCol="_cut", handleInvalid="keep").transform(marked)
-    part = F.when(F.col("_hot"), F.col("_cut").cast("int")).otherwise(F.lit(-1))
-    return cut.withColumn("_part", part).drop("_pos", "_cut")
+    parts = max(2, -(-rows // max_group_rows))
+    is_hot = key_hash(keys).isin(list(hot)) if keys else F.lit(True)
+    share = min(1.0, 2000 * parts / max(rows, 1))
+    levels = [i / parts for i in range(1, parts)]
+    points = values.filter(is_hot).sample(share, seed=1).approxQuantile("_v", levels, 1 / (4 * parts))
+    inner = sorted({p for p in points if p not in (float("-inf"), float("inf"))}) or [0.0]
+    edges = [float("-inf"), *inner, float("inf")]
+    cut = Bucketizer(splits=edges, inputCol="_v", outputCol="_cut", handleInvalid="keep").transform(values)
+    return cut.withColumn("_part", F.when(is_hot, F.col("_cut").cast("int")).otherwise(F.lit(-1))).drop("_cut")
 
 
 def rolling(df: DataFrame, aggregates: Mapping[str, Column], keys: Sequence[str], order: Sequence[str],
@@ -124,7 +122,7 @@ def rolling(df: DataFrame, aggregates: Mapping[str, Column], keys: Sequence[str]
         frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*span)
         return df.withColumns({name: agg.over(frame) for name, agg in aggregates.items()})
 
-    split = split_hot_groups(df, keys, order[0], hot, max_group_rows)
+    split = split_hot_groups(df, keys, order, hot, max_group_rows)
     part = Window.partitionBy(*keys, "_part").orderBy(*order)
     staged = split.withColumns(
         {
@@ -147,16 +145,13 @@ def exact_quantiles(df: DataFrame, value: str, levels: Mapping[str, float], keys
     """Linearly interpolated quantiles per group, one column per named level.
 
     Equal values are combined before they are ordered, and hot groups are cut into value ranges, so
-    no task orders more than about `max_group_rows` values whatever the group sizes or ties.
+    no task orders more than about `max_group_rows` values whatever the group sizes or ties. Ranges
+    are counted first, and only those that hold a wanted rank are shuffled.
     """
     keys = list(keys)
     values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     hot = hot_groups(values, keys, max_group_rows)
-    if hot:
-        values = split_hot_groups(values, keys, "_v", hot, max_group_rows).drop("_hot")
-    else:
-        values = values.withColumn("_part", F.lit(-1))
-    tally = values.groupBy(*keys, "_part", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    values = _value_parts(values, hot, keys, max_group_rows) if hot else values.withColumn("_part", F.lit(-1))
     per_part = values.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_rows"))
     over_parts = Window.partitionBy(*keys).orderBy("_part")
     per_part = per_part.withColumns(
@@ -174,6 +169,9 @@ def exact_quantiles(df: DataFrame, value: str, levels: Mapping[str, float], keys
         for rank in (low, high):
             holds_a_rank = holds_a_rank | ((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_rows")))
     wanted = per_part.filter(holds_a_rank)
+    # Only parts that hold a wanted rank are tallied.
+    held = values.join(wanted.select(*keys, "_part"), [*keys, "_part"], "left_semi") if hot else values
+    tally = held.groupBy(*keys, "_part", "_v").agg(F.count(F.lit(1)).alias("_n"))
     within = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     placed = tally.join(wanted, [*keys, "_part"]).withColumn("_end", F.col("_before") + F.sum("_n").over(within))
 

@@ -178,7 +178,7 @@ def alert_counts(df: DataFrame, value_range: DataFrame, limits: DataFrame, featu
     """Rows per dashboard label, zero-filled, and the true row total.
 
     Every row of a group carries the label of the group, so the counts follow from the group sizes.
-    `value_range` holds `<feature>_lo_value` and `<feature>_hi_value` of the anomalies.
+    `value_range` holds `<feature>_lo_value` and `<feature>_hi_value` of the outliers.
     """
     bands = control_bands(df, [feature], keys, order, **options)
     summary = band_summary(bands, [feature], keys).drop(f"{feature}_lo_value", f"{feature}_hi_value")

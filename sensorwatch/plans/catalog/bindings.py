@@ -7,15 +7,14 @@ rule, so that the clean-up steps have work to do.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ...functions.calendar import iso_week, iso_year
 from ...operators.extract import extract
 from ...operators.refine import refine
 from ...operators.rollup import weekly_rollup
-from ...sources.files import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(rows) if name == "lineitem" else rows
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def batches(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,7 +88,7 @@ def weekly(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def series(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as measurements: seq is a unique order, lot a key; errors play the anomalies."""
+    """Events as measurements: seq is a unique order, lot a key; errors play the outliers."""
     lot = F.col("user_id")
     text = (
         F.when(lot % 11 == 0, F.lit(""))
@@ -101,9 +100,9 @@ def series(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_id").alias("seq"),
         lot.alias("lot"),
         day.alias("day"),
-        F.year(day).alias("year"),
-        F.weekofyear(day).alias("week"),
-        F.when(F.col("event_type") == "error", F.lit(-1)).otherwise(F.lit(1)).alias("anomaly"),
+        iso_year(day).alias("year"),
+        iso_week(day).alias("week"),
+        F.when(F.col("event_type") == "error", F.lit(-1)).otherwise(F.lit(1)).alias("outlier"),
         F.col("value").alias("domecasegap"),
         F.get_json_object("props", "$.k").cast("double").alias("stitcharea"),
         text.alias("domecasegap_limit"),
@@ -114,6 +113,8 @@ def series(spark: SparkSession, folder: str) -> DataFrame:
 # The same frames as SQL.
 SERVER_WEEK = "((dayofyear({d}) - 1 + dayofweek(date_trunc('year', {d}))) // 7 + 1)"
 
+LAST_WEEK = SERVER_WEEK.format(d="make_date(CAST(year AS INTEGER), 12, 31)")
+
 _LIMIT_TEXT = """CASE WHEN s_suppkey % 13 = 0 THEN ''
   WHEN s_suppkey % 7 = 0 THEN ':' || (s_nationkey + 30) || '{z}'
   WHEN s_suppkey % 11 = 0 THEN CAST(floor(abs(s_acctbal) / 1000) AS INTEGER) || '{z}:'
@@ -153,8 +154,8 @@ _SERIES_TEXT = """CASE WHEN user_id % 11 = 0 THEN '' WHEN user_id % 5 = 0 THEN '
 
 SERIES = f"""
 series AS (
-  SELECT event_id AS seq, user_id AS lot, CAST(ts AS DATE) AS day, year(ts) AS year, weekofyear(ts) AS week,
-    CASE WHEN event_type = 'error' THEN -1 ELSE 1 END AS anomaly, value AS domecasegap,
+  SELECT event_id AS seq, user_id AS lot, CAST(ts AS DATE) AS day, isoyear(ts) AS year, weekofyear(ts) AS week,
+    CASE WHEN event_type = 'error' THEN -1 ELSE 1 END AS outlier, value AS domecasegap,
     CAST(json_extract_string(props, '$.k') AS DOUBLE) AS stitcharea,
     {_SERIES_TEXT} AS domecasegap_limit, {_SERIES_TEXT} AS stitcharea_limit
   FROM events)"""

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ...operators import alarms, guard, kpi, rollup, spc, thresholds
 from ...functions.limits import parse_range
-from ...operators.skew import attach
+from ...operators.skew import attach, rolling
 from ...session import staged
 from . import bindings as b
 from .registry import query, rounded
@@ -16,8 +16,8 @@ STATS = [
 ]
 
 
-def _round(df, digits, *names):
-    return df.withColumns({n: rounded(F.col(n), digits) for n in names})
+def _round(df, *names):
+    return df.withColumns({n: rounded(F.col(n)) for n in names})
 
 
 def _longs(df, *names):
@@ -34,54 +34,54 @@ _WEEK_KEYS = "CAST(year AS BIGINT) AS year, CAST(week AS BIGINT) AS week"
 
 @query(
     "A1_weekly_rollup",
-    f"WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, " + ", ".join(f"round({s} + 0.0000123456, 4) AS {s}" for s in STATS) + " FROM weekly",
+    f"WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, " + ", ".join(f"CAST(CAST({s} AS FLOAT) AS DOUBLE) AS {s}" for s in STATS) + " FROM weekly",
 )
 def weekly_rollup(spark, folder):
-    return _round(_longs(b.weekly(spark, folder), "year", "week"), 4, *STATS)
+    return _round(_longs(b.weekly(spark, folder), "year", "week"), *STATS)
 
 
 @query(
     "A2_weekly_profile",
-    f"""WITH {b.REFINED} SELECT {_WEEK_KEYS}, round(avg(domecasegap) + 0.0000123456, 4) AS domecasegap, round(avg(stitcharea) + 0.0000123456, 4) AS stitcharea,
-    round(avg(test_time_sec) + 0.0000123456, 4) AS test_time_sec FROM refined
-    WHERE (year = 1998 AND week BETWEEN 1 AND 52) OR (year = 2000 AND week BETWEEN 1 AND 30) GROUP BY year, week""",
+    f"""WITH {b.REFINED} SELECT {_WEEK_KEYS}, CAST(CAST(avg(domecasegap) AS FLOAT) AS DOUBLE) AS domecasegap, CAST(CAST(avg(stitcharea) AS FLOAT) AS DOUBLE) AS stitcharea,
+    CAST(CAST(avg(test_time_sec) AS FLOAT) AS DOUBLE) AS test_time_sec FROM refined
+    WHERE year = 1998 OR (year = 2000 AND week BETWEEN 1 AND 30) GROUP BY year, week""",
 )
 def weekly_profile(spark, folder):
     profile = rollup.weekly_profile(b.refined(spark, folder), 1998, 2000, 30)
-    return _round(_longs(profile, "year", "week"), 4, "domecasegap", "stitcharea", "test_time_sec")
+    return _round(_longs(profile, "year", "week"), "domecasegap", "stitcharea", "test_time_sec")
 
 
-_KPI = """count(*) FILTER (WHERE anomaly = -1) AS bad, count(*) FILTER (WHERE anomaly <> -1) AS good,
-    avg({f}) FILTER (WHERE anomaly = -1) AS bad_mean, avg({f}) FILTER (WHERE anomaly <> -1) AS good_mean"""
+_KPI = """count(*) FILTER (WHERE outlier = -1) AS bad, count(*) FILTER (WHERE outlier <> -1) AS good,
+    avg({f}) FILTER (WHERE outlier = -1) AS bad_mean, avg({f}) FILTER (WHERE outlier <> -1) AS good_mean"""
 
 
 @query(
-    "A3_anomaly_kpi",
+    "A3_outlier_kpi",
     f"""WITH {b.SERIES}, k AS (SELECT lot, {_KPI.format(f="stitcharea")}, avg({b.LOW_SIDE.format(t="stitcharea_limit")}) AS lo,
     avg({b.HIGH_SIDE.format(t="stitcharea_limit")}) AS hi FROM series GROUP BY lot)
-    SELECT lot, 'stitcharea' AS feature, printf('%.3f%%', bad / (good + 1) * 100.0) AS anomaly_vs_nomaly, bad AS anomaly_count,
-    printf('%.3f', bad_mean) AS mean_anomaly_feature, printf('%.3f', good_mean) AS mean_namoly_feature,
+    SELECT lot, 'stitcharea' AS feature, printf('%.3f%%', bad / (good + 1) * 100.0) AS outlier_vs_normal, bad AS outlier_count,
+    printf('%.3f', bad_mean) AS mean_outlier_feature, printf('%.3f', good_mean) AS mean_normal_feature,
     coalesce(lo, 0) AS lo_avg, coalesce(hi, 0) AS hi_avg FROM k""",
 )
-def anomaly_kpi(spark, folder):
-    figures = kpi.anomaly_kpi(b.series(spark, folder), "stitcharea", keys=["lot"])
+def outlier_kpi(spark, folder):
+    figures = kpi.outlier_kpi(b.series(spark, folder), "stitcharea", keys=["lot"])
     return figures.select("*", "limit_feature.lo_avg", "limit_feature.hi_avg").drop("limit_feature")
 
 
 @query(
-    "A4_anomaly_evaluation",
+    "A4_outlier_evaluation",
     f"WITH {b.SERIES}, "
     + ", ".join(f"k_{f} AS (SELECT {_KPI.format(f=f)} FROM series)" for f in FEATURES)
     + " "
     + " UNION ALL ".join(
-        f"""SELECT '{f}' AS feature, round(bad / good + 0.000000123456, 6) AS ratio, bad AS amount, round(bad_mean + 0.0000123456, 4) AS mean_anomaly,
-        round(good_mean + 0.0000123456, 4) AS mean_normal, round(bad_mean / good_mean + 0.000000123456, 6) AS mean_ratio FROM k_{f}"""
+        f"""SELECT '{f}' AS feature, CAST(CAST(bad / good AS FLOAT) AS DOUBLE) AS ratio, bad AS amount, CAST(CAST(bad_mean AS FLOAT) AS DOUBLE) AS mean_outlier,
+        CAST(CAST(good_mean AS FLOAT) AS DOUBLE) AS mean_normal, CAST(CAST(bad_mean / good_mean AS FLOAT) AS DOUBLE) AS mean_ratio FROM k_{f}"""
         for f in FEATURES
     ),
 )
-def anomaly_evaluation(spark, folder):
-    figures = kpi.anomaly_evaluation(b.series(spark, folder), FEATURES)
-    return _round(_round(figures, 6, "ratio", "mean_ratio"), 4, "mean_anomaly", "mean_normal")
+def outlier_evaluation(spark, folder):
+    figures = kpi.outlier_evaluation(b.series(spark, folder), FEATURES)
+    return _round(figures, "ratio", "mean_ratio", "mean_outlier", "mean_normal")
 
 
 @query(
@@ -116,13 +116,13 @@ def rows_of_large_groups(spark, folder):
 
 @query(
     "A9_mean_limits",
-    f"""WITH {b.REFINED} SELECT tp_cell_name, round(avg(coalesce({b.LOW_SIDE.format(t="domecasegap_limit")}, 0)) + 0.000000123456, 6) AS lo_limit,
-    round(avg(coalesce({b.HIGH_SIDE.format(t="domecasegap_limit")}, 0)) + 0.000000123456, 6) AS hi_limit FROM refined GROUP BY 1""",
+    f"""WITH {b.REFINED} SELECT tp_cell_name, CAST(CAST(avg(coalesce({b.LOW_SIDE.format(t="domecasegap_limit")}, 0)) AS FLOAT) AS DOUBLE) AS lo_limit,
+    CAST(CAST(avg(coalesce({b.HIGH_SIDE.format(t="domecasegap_limit")}, 0)) AS FLOAT) AS DOUBLE) AS hi_limit FROM refined GROUP BY 1""",
 )
 def mean_limits(spark, folder):
     means = spc.mean_limits(b.refined(spark, folder), ["domecasegap"], ["tp_cell_name"])
     renamed = means.withColumnsRenamed({"domecasegap_lo_limit": "lo_limit", "domecasegap_hi_limit": "hi_limit"})
-    return _round(renamed, 6, "lo_limit", "hi_limit")
+    return _round(renamed, "lo_limit", "hi_limit")
 
 
 @query("A10_distinct_values", f"WITH {b.REFINED} SELECT DISTINCT lotnumber, tp_cell_name FROM refined")
@@ -144,38 +144,38 @@ def row_count_gate(spark, folder):
 @query(
     "A12_daily_rollup",
     """SELECT strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS period, max(l_quantity) AS maximum_l_quantity, min(l_quantity) AS minimum_l_quantity,
-    round(avg(l_quantity) + 0.000000123456, 6) AS l_quantity_week_mean, round(stddev_samp(l_quantity) + 0.000000123456, 6) AS l_quantity_week_stddev FROM lineitem GROUP BY 1""",
+    CAST(CAST(avg(l_quantity) AS FLOAT) AS DOUBLE) AS l_quantity_week_mean, CAST(CAST(stddev_samp(l_quantity) AS FLOAT) AS DOUBLE) AS l_quantity_week_stddev FROM lineitem GROUP BY 1""",
 )
 def daily_rollup(spark, folder):
     daily = rollup.period_rollup(b.table(spark, folder, "lineitem"), "l_shipdate", ["l_quantity"], "day")
-    return _round(daily.withColumn("period", F.col("period").cast("string")), 6, "l_quantity_week_mean", "l_quantity_week_stddev")
+    return _round(daily.withColumn("period", F.col("period").cast("string")), "l_quantity_week_mean", "l_quantity_week_stddev")
 
 
 @query(
     "A13_sigma_thresholds",
-    """SELECT l_suppkey, round(avg(l_quantity) - 3 * stddev_samp(l_quantity) + 0.000000123456, 6) AS lo_limit,
-    round(avg(l_quantity) + 3 * stddev_samp(l_quantity) + 0.000000123456, 6) AS hi_limit FROM lineitem GROUP BY 1""",
+    """SELECT l_suppkey, CAST(CAST(avg(l_quantity) - 3 * stddev_samp(l_quantity) AS FLOAT) AS DOUBLE) AS lo_limit,
+    CAST(CAST(avg(l_quantity) + 3 * stddev_samp(l_quantity) AS FLOAT) AS DOUBLE) AS hi_limit FROM lineitem GROUP BY 1""",
 )
 def sigma_thresholds(spark, folder):
     limits = thresholds.sigma_thresholds(b.table(spark, folder, "lineitem"), "l_quantity", ["l_suppkey"])
-    return _round(limits, 6, "lo_limit", "hi_limit")
+    return _round(limits, "lo_limit", "hi_limit")
 
 
-_PERCENTILES = """SELECT l_suppkey, round(quantile_cont(l_extendedprice, 0.01) + 0.0000123456, 4) AS lo_limit,
-    round(quantile_cont(l_extendedprice, 0.99) + 0.0000123456, 4) AS hi_limit FROM lineitem GROUP BY 1"""
+_PERCENTILES = """SELECT l_suppkey, CAST(CAST(quantile_cont(l_extendedprice, 0.01) AS FLOAT) AS DOUBLE) AS lo_limit,
+    CAST(CAST(quantile_cont(l_extendedprice, 0.99) AS FLOAT) AS DOUBLE) AS hi_limit FROM lineitem GROUP BY 1"""
 
 
 @query("A13_percentile_thresholds", _PERCENTILES)
 def percentile_thresholds(spark, folder):
     limits = thresholds.percentile_thresholds(b.table(spark, folder, "lineitem"), "l_extendedprice", ["l_suppkey"])
-    return _round(limits, 4, "lo_limit", "hi_limit")
+    return _round(limits, "lo_limit", "hi_limit")
 
 
 @query("A13_percentile_thresholds_split", _PERCENTILES)
 def percentile_thresholds_split(spark, folder):
     """The same with so low a limit that the groups are cut into value ranges."""
     rows = b.table(spark, folder, "lineitem")
-    return _round(thresholds.percentile_thresholds(rows, "l_extendedprice", ["l_suppkey"], max_group_rows=300), 4, "lo_limit", "hi_limit")
+    return _round(thresholds.percentile_thresholds(rows, "l_extendedprice", ["l_suppkey"], max_group_rows=300), "lo_limit", "hi_limit")
 
 
 def _bands(feature, partition="PARTITION BY lot"):
@@ -183,7 +183,7 @@ def _bands(feature, partition="PARTITION BY lot"):
 
 
 _W = "WINDOW w AS (PARTITION BY lot ORDER BY seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
-_SERIES_LINES = """round(ma + 0.000000123456, 6) AS ma, round(std + 0.000000123456, 6) AS std, round(ma - 2 * std + 0.000000123456, 6) AS spc_lower, round(ma + 2 * std + 0.000000123456, 6) AS spc_upper"""
+_SERIES_LINES = """CAST(CAST(ma AS FLOAT) AS DOUBLE) AS ma, CAST(CAST(std AS FLOAT) AS DOUBLE) AS std, CAST(CAST(ma - 2 * std AS FLOAT) AS DOUBLE) AS spc_lower, CAST(CAST(ma + 2 * std AS FLOAT) AS DOUBLE) AS spc_upper"""
 _CHART = f"""WITH {b.SERIES}, m AS (SELECT seq, lot, domecasegap, avg(domecasegap) OVER w AS ma, stddev_samp(domecasegap) OVER w AS std
     FROM series {_W}) SELECT seq, lot, domecasegap AS value, {_SERIES_LINES} FROM m"""
 LINES = ["ma", "std", "spc_lower", "spc_upper"]
@@ -191,14 +191,14 @@ LINES = ["ma", "std", "spc_lower", "spc_upper"]
 
 @query("W1_W2_W5_chart_series", _CHART)
 def chart_series(spark, folder):
-    return _round(spc.chart_series(b.series(spark, folder), "domecasegap", ["lot"], ["seq"]), 6, *LINES)
+    return _round(spc.chart_series(b.series(spark, folder), "domecasegap", ["lot"], ["seq"]), *LINES)
 
 
 @query("W1_W2_chart_series_split", _CHART)
 def chart_series_split(spark, folder):
     """The same with so low a limit that most lots are cut into parts."""
     chart = spc.chart_series(b.series(spark, folder), "domecasegap", ["lot"], ["seq"], max_group_rows=65)
-    return _round(chart, 6, *LINES)
+    return _round(chart, *LINES)
 
 
 @query(
@@ -208,7 +208,7 @@ def chart_series_split(spark, folder):
 )
 def global_rolling_window(spark, folder):
     chart = spc.chart_series(b.series(spark, folder), "domecasegap", [], ["seq"], max_group_rows=500)
-    return _round(chart, 6, *LINES)
+    return _round(chart, *LINES)
 
 
 def _trend_sql(keys, rows):
@@ -231,33 +231,33 @@ def _trend_sql(keys, rows):
           WHEN hi_value > hi_limit OR lo_value < lo_limit THEN '4:Above limits' ELSE '5:Unknown' END AS alarm
           FROM g JOIN t {on})
         {rows.format(f=f, key=key, on=on)})""")
-    return f"WITH {b.SERIES}, flagged AS (SELECT * FROM series WHERE anomaly = -1) " + " UNION ALL ".join(f"SELECT * FROM {p}" for p in parts)
+    return f"WITH {b.SERIES}, flagged AS (SELECT * FROM series WHERE outlier = -1) " + " UNION ALL ".join(f"SELECT * FROM {p}" for p in parts)
 
 
-_TREND_ROWS = """SELECT {key}seq, '{f}' AS feature, {f} AS value, round(ma + 0.000000123456, 6) AS ma, round(std + 0.000000123456, 6) AS std,
-  round(ma - 2 * std + 0.000000123456, 6) AS spc_lower, round(ma + 2 * std + 0.000000123456, 6) AS spc_upper, alarm FROM m JOIN l {on} WHERE limit_text <> ''"""
-_TREND_GROUPS = """SELECT {key}'{f}' AS feature, rows, lo_value, hi_value, round(lo_spc + 0.000000123456, 6) AS lo_spc, round(hi_spc + 0.000000123456, 6) AS hi_spc, alarm FROM l"""
+_TREND_ROWS = """SELECT {key}seq, '{f}' AS feature, {f} AS value, CAST(CAST(ma AS FLOAT) AS DOUBLE) AS ma, CAST(CAST(std AS FLOAT) AS DOUBLE) AS std,
+  CAST(CAST(ma - 2 * std AS FLOAT) AS DOUBLE) AS spc_lower, CAST(CAST(ma + 2 * std AS FLOAT) AS DOUBLE) AS spc_upper, alarm FROM m JOIN l {on} WHERE limit_text <> ''"""
+_TREND_GROUPS = """SELECT {key}'{f}' AS feature, rows, lo_value, hi_value, CAST(CAST(lo_spc AS FLOAT) AS DOUBLE) AS lo_spc, CAST(CAST(hi_spc AS FLOAT) AS DOUBLE) AS hi_spc, alarm FROM l"""
 
 
 def _flagged(rows):
-    return rows.filter(F.col("anomaly") == -1)
+    return rows.filter(F.col("outlier") == -1)
 
 
 @query("W3_L1_trend_per_lot", _trend_sql("lot", _TREND_ROWS))
 def trend_per_lot(spark, folder):
     rows = b.series(spark, folder)
     limits = spc.first_limits(rows, FEATURES, ["lot"], ["seq"])
-    return _round(spc.spc_trend(_flagged(rows), limits, FEATURES, ["lot"], ["seq"]), 6, *LINES)
+    return _round(spc.spc_trend(_flagged(rows), limits, FEATURES, ["lot"], ["seq"]), *LINES)
 
 
-@query("W3_L1_trend_of_all_anomalies", _trend_sql("", _TREND_ROWS).replace("WHERE limit_text <> ''", ""))
-def trend_of_all_anomalies(spark, folder):
-    """No key: one ordered series over all anomalies, cut into parts, with one label per feature."""
+@query("W3_L1_trend_of_all_outliers", _trend_sql("", _TREND_ROWS).replace("WHERE limit_text <> ''", ""))
+def trend_of_all_outliers(spark, folder):
+    """No key: one ordered series over all outliers, cut into parts, with one label per feature."""
     rows = b.series(spark, folder).withColumns(
         {f"{f}_limit": F.when(F.col(f"{f}_limit") == "", F.lit(":")).otherwise(F.col(f"{f}_limit")) for f in FEATURES}
     )
     limits = spc.first_limits(rows, FEATURES, [], ["seq"])
-    return _round(spc.spc_trend(_flagged(rows), limits, FEATURES, [], ["seq"], max_group_rows=100), 6, *LINES)
+    return _round(spc.spc_trend(_flagged(rows), limits, FEATURES, [], ["seq"], max_group_rows=100), *LINES)
 
 
 @query("L1_A6_group_trend_labels", _trend_sql("lot", _TREND_GROUPS))
@@ -265,20 +265,20 @@ def group_trend_labels(spark, folder):
     rows = b.series(spark, folder)
     limits = spc.first_limits(rows, FEATURES, ["lot"], ["seq"])
     trends = spc.group_trends(_flagged(rows), limits, FEATURES, ["lot"], ["seq"])
-    return _round(trends.drop("lo_limit", "hi_limit"), 6, "lo_spc", "hi_spc")
+    return _round(trends.drop("lo_limit", "hi_limit"), "lo_spc", "hi_spc")
 
 
 @query(
     "W4_U3_trend_of_large_lots",
     f"""WITH {b.SERIES}, big AS (SELECT lot FROM series GROUP BY lot HAVING count(*) >= 70), m AS (SELECT seq, lot, domecasegap,
-    avg(domecasegap) OVER w AS ma, stddev_samp(domecasegap) OVER w AS std FROM series WHERE anomaly = -1 AND lot IN (SELECT lot FROM big)
+    avg(domecasegap) OVER w AS ma, stddev_samp(domecasegap) OVER w AS std FROM series WHERE outlier = -1 AND lot IN (SELECT lot FROM big)
     {_W}) SELECT seq, lot, domecasegap AS value, {_SERIES_LINES} FROM m""",
 )
 def trend_of_large_lots(spark, folder):
     rows = b.series(spark, folder)
     large = rollup.groups_with_rows(rows, ["lot"], 70).select("lot")
     chosen = attach(_flagged(rows).select("seq", "lot", "domecasegap"), large, ["lot"], how="left_semi")
-    return _round(spc.chart_series(chosen, "domecasegap", ["lot"], ["seq"]), 6, *LINES)
+    return _round(spc.chart_series(chosen, "domecasegap", ["lot"], ["seq"]), *LINES)
 
 
 @query(
@@ -287,40 +287,40 @@ def trend_of_large_lots(spark, folder):
     s AS (SELECT CAST(unnest(generate_series(min(week_end), max(week_end), INTERVAL 7 DAY)) AS DATE) AS week_end FROM w),
     j AS (SELECT s.week_end, weekly_mean, avg(weekly_mean) OVER o AS a, count(weekly_mean) OVER o AS n FROM s LEFT JOIN w ON w.week_end = s.week_end
     WINDOW o AS (ORDER BY s.week_end ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
-    SELECT strftime(week_end, '%Y-%m-%d') AS week_end, round(weekly_mean + 0.000000123456, 6) AS weekly_mean, round(CASE WHEN n = 7 THEN a END + 0.000000123456, 6) AS moving_average FROM j""",
+    SELECT strftime(week_end, '%Y-%m-%d') AS week_end, CAST(CAST(weekly_mean AS FLOAT) AS DOUBLE) AS weekly_mean, CAST(CAST(CASE WHEN n = 7 THEN a END AS FLOAT) AS DOUBLE) AS moving_average FROM j""",
 )
 def weekly_moving_average(spark, folder):
     rows = b.table(spark, folder, "lineitem").select(F.col("l_shipdate").cast("date").alias("day"), "l_quantity")
     weekly = spc.weekly_moving_average(rows, "day", "l_quantity")
-    return _round(weekly.withColumn("week_end", F.col("week_end").cast("string")), 6, "weekly_mean", "moving_average")
+    return _round(weekly.withColumn("week_end", F.col("week_end").cast("string")), "weekly_mean", "moving_average")
 
 
 @query(
     "W7_drift_toward_limit",
     f"""WITH {b.SERIES}, d AS (SELECT lot, regr_slope(domecasegap, seq) AS slope, arg_max(domecasegap, seq) AS last_value, count(*) AS rows
-    FROM series GROUP BY lot) SELECT lot, round(slope + 0.00000000123456, 8) AS slope, last_value, rows,
-    round(slope / ((CASE WHEN slope > 0 THEN 95.0 WHEN slope < 0 THEN 5.0 END) - last_value) + 0.0000000000123456, 10) AS steps_inverse FROM d""",
+    FROM series GROUP BY lot) SELECT lot, CAST(CAST(slope AS FLOAT) AS DOUBLE) AS slope, last_value, rows,
+    CAST(CAST(slope / ((CASE WHEN slope > 0 THEN 95.0 WHEN slope < 0 THEN 5.0 END) - last_value) AS FLOAT) AS DOUBLE) AS steps_inverse FROM d""",
 )
 def drift_toward_limit(spark, folder):
     """The steps are compared by their inverse, which stays finite for a flat series."""
     moved = spc.drift(b.series(spark, folder), "domecasegap", "seq", ["lot"], 5.0, 95.0)
     moved = moved.withColumn("steps_inverse", F.try_divide(F.lit(1.0), F.col("steps_to_limit"))).drop("steps_to_limit")
-    return _round(_round(moved, 8, "slope"), 10, "steps_inverse")
+    return _round(moved, "slope", "steps_inverse")
 
 
 @query(
     "W7_rolling_drift",
-    f"""WITH {b.SERIES} SELECT seq, lot, round(regr_slope(domecasegap, seq) OVER (PARTITION BY lot ORDER BY seq ROWS BETWEEN 9 PRECEDING
-    AND CURRENT ROW) + 0.000000123456, 6) AS slope FROM series""",
+    f"""WITH {b.SERIES} SELECT seq, lot, CAST(CAST(regr_slope(domecasegap, seq) OVER (PARTITION BY lot ORDER BY seq ROWS BETWEEN 9 PRECEDING
+    AND CURRENT ROW) AS FLOAT) AS DOUBLE) AS slope FROM series""",
 )
 def rolling_drift(spark, folder):
     rows = b.series(spark, folder).select("seq", "lot", "domecasegap")
-    return _round(spc.rolling_drift(rows, "domecasegap", "seq", ["lot"]), 6, "slope").drop("domecasegap")
+    return _round(spc.rolling_drift(rows, "domecasegap", "seq", ["lot"]), "slope").drop("domecasegap")
 
 
 _ALERT_SQL = f"""WITH {b.SERIES}, m AS (SELECT lot, domecasegap, avg(domecasegap) OVER w AS ma, stddev_samp(domecasegap) OVER w AS std FROM series {_W}),
     s AS (SELECT lot, count(*) AS total, avg(ma - 2 * std) AS lo_spc, avg(ma + 2 * std) AS hi_spc FROM m GROUP BY lot),
-    r AS (SELECT lot, min(domecasegap) AS lo_value, max(domecasegap) AS hi_value FROM series WHERE anomaly = -1 GROUP BY lot),
+    r AS (SELECT lot, min(domecasegap) AS lo_value, max(domecasegap) AS hi_value FROM series WHERE outlier = -1 GROUP BY lot),
     x AS (SELECT lot, avg(coalesce({b.LOW_SIDE.format(t="domecasegap_limit")}, 0)) AS lo_limit, avg(coalesce({b.HIGH_SIDE.format(t="domecasegap_limit")}, 0)) AS hi_limit
       FROM series GROUP BY lot),
     l AS (SELECT lot, total, CASE WHEN lo_value > lo_spc OR hi_value < hi_spc THEN
@@ -341,12 +341,12 @@ def alert_counts(spark, folder):
 
 @query(
     "K2_latest_record",
-    f"""WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap, round(stitcharea_week_mean + 0.0000123456, 4) AS stitcharea_week_mean FROM weekly
+    f"""WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap, CAST(CAST(stitcharea_week_mean AS FLOAT) AS DOUBLE) AS stitcharea_week_mean FROM weekly
     ORDER BY year DESC, week DESC LIMIT 1""",
 )
 def latest_record(spark, folder):
     last = rollup.latest(b.weekly(spark, folder), ["year", "week"])
-    return _round(_longs(last, "year", "week"), 4, "stitcharea_week_mean").select("year", "week", "maximum_domecasegap", "stitcharea_week_mean")
+    return _round(_longs(last, "year", "week"), "stitcharea_week_mean").select("year", "week", "maximum_domecasegap", "stitcharea_week_mean")
 
 
 @query("K2_latest_per_key", f"WITH {b.SERIES} SELECT lot, max(seq) AS seq, arg_max(domecasegap, seq) AS domecasegap FROM series GROUP BY lot")
@@ -407,7 +407,7 @@ def guard_skip_batch(spark, folder):
 # Predictions given from outside: here the statistics of the week itself.
 _FORECAST = f"""{b.WEEKLY}, bands AS (SELECT year, week, avg(stitcharea) - 0.5 * stddev_samp(stitcharea) AS lower, avg(stitcharea) + 1.99 * stddev_samp(stitcharea)
   + (week % 3 - 1) * 500 AS upper FROM refined GROUP BY year, week),
-forecast AS (SELECT week, year + CASE WHEN week >= 52 THEN 1 ELSE 0 END AS pred_year, CASE WHEN week >= 52 THEN 1 ELSE week + 1 END AS pred_week,
+forecast AS (SELECT week, year + CASE WHEN week >= {b.LAST_WEEK} THEN 1 ELSE 0 END AS pred_year, CASE WHEN week >= {b.LAST_WEEK} THEN 1 ELSE week + 1 END AS pred_week,
   stitcharea_week_mean + 2 * stitcharea_week_stddev AS predicted, lower, upper FROM weekly LEFT JOIN bands USING (year, week))"""
 
 
@@ -428,13 +428,24 @@ def _forecast(spark, folder):
 @query(
     "J5_L3_forecast_rows",
     f"""WITH {_FORECAST} SELECT CAST(week AS BIGINT) AS week, CAST(pred_year AS BIGINT) AS pred_year, CAST(pred_week AS BIGINT) AS pred_week,
-    round(predicted + 0.0000123456, 4) AS predicted, round(lower + 0.0000123456, 4) AS lower, round(upper + 0.0000123456, 4) AS upper FROM forecast""",
+    CAST(CAST(predicted AS FLOAT) AS DOUBLE) AS predicted, CAST(CAST(lower AS FLOAT) AS DOUBLE) AS lower, CAST(CAST(upper AS FLOAT) AS DOUBLE) AS upper FROM forecast""",
 )
 def forecast_rows(spark, folder):
     rows = _forecast(spark, folder)[1]
     named = rows.select("week", "pred_year", "pred_week", F.col("predicted_stitcharea_calculate").alias("predicted"),
                         F.col("spc_lower_limit").alias("lower"), F.col("spc_upper_limit").alias("upper"))
-    return _round(_longs(named, "week", "pred_year", "pred_week"), 4, "predicted", "lower", "upper")
+    return _round(_longs(named, "week", "pred_year", "pred_week"), "predicted", "lower", "upper")
+
+
+def _message_parts():
+    """The message with its numbers taken out, and its first and last number."""
+    number = r"-?\d+\.\d+"
+    at = lambda place: rounded(F.element_at(F.regexp_extract_all("message", F.lit(number), F.lit(0)), place).cast("double"))
+    some = F.col("message").rlike(number)
+    return [
+        F.regexp_replace("message", number, "#").alias("message"), F.when(some, at(1)).alias("value"),
+        F.when(some & ~F.col("message").endswith("nan"), at(-1)).alias("upper"),
+    ]
 
 
 def _state_query(name, few, many):
@@ -444,7 +455,11 @@ def _state_query(name, few, many):
         FROM c) SELECT CAST(pred_year AS BIGINT) AS pred_year, CAST(pred_week AS BIGINT) AS pred_week,
         CASE WHEN n > {few} AND n < {many} AND o THEN 1 ELSE 0 END AS alarm, CASE WHEN n > {few} AND n >= {many} THEN 1 ELSE 0 END AS retrain_required,
         CASE WHEN n <= {few} THEN 1 ELSE 0 END AS additional_records_needed,
-        CASE WHEN n <= {few} THEN 'Need to have more data' WHEN n >= {many} THEN 'Need to re-train the d' WHEN o THEN 'Alarm: predicted_stitc' ELSE 'No Alarm: predicted_st' END AS head
+        CASE WHEN n <= {few} THEN 'Need to have more data for prediction model training....' WHEN n >= {many} THEN 'Need to re-train the data.....'
+        WHEN o THEN 'Alarm: predicted_stitcharea # for week: ' || pred_week || ' is out of SPC limits '
+        ELSE 'No Alarm: predicted_stitcharea ' || CASE WHEN predicted IS NULL THEN 'nan' ELSE '#' END || ' for week: ' || pred_week || ' is within SPC limits ' END
+        || CASE WHEN n <= {few} OR n >= {many} THEN '' ELSE CASE WHEN lower IS NULL THEN 'nan' ELSE '#' END || ': ' || CASE WHEN upper IS NULL THEN 'nan' ELSE '#' END END AS message,
+        CASE WHEN n > {few} AND n < {many} THEN CAST(CAST(predicted AS FLOAT) AS DOUBLE) END AS value, CASE WHEN n > {few} AND n < {many} THEN CAST(CAST(upper AS FLOAT) AS DOUBLE) END AS upper
         FROM s""",
     )
     def run(spark, folder):
@@ -453,7 +468,7 @@ def _state_query(name, few, many):
         flags = _longs(state, "pred_year", "pred_week", "alarm_pre_stitcharea", "retrain_required", "additional_records_needed")
         return flags.select(
             "pred_year", "pred_week", F.col("alarm_pre_stitcharea").alias("alarm"), "retrain_required", "additional_records_needed",
-            F.substring("message", 1, 22).alias("head"),
+            *_message_parts(),
         )
 
 
@@ -474,13 +489,32 @@ def next_training(spark, folder):
 @query(
     "L6_point_alarms",
     f"""WITH {b.SERIES}, m AS (SELECT seq, avg(domecasegap) OVER w AS ma, stddev_samp(domecasegap) OVER w AS std FROM series {_W}),
-    g AS (SELECT avg(ma - 2 * std) AS lo, avg(ma + 2 * std) AS hi FROM m) SELECT seq, round(ma + 2 * std + 0.000000123456, 6) AS predicted,
+    g AS (SELECT avg(ma - 2 * std) AS lo, avg(ma + 2 * std) AS hi FROM m) SELECT seq, CAST(CAST(ma + 2 * std AS FLOAT) AS DOUBLE) AS predicted,
     coalesce(ma + 2 * std < (SELECT lo FROM g) OR ma + 2 * std > (SELECT hi FROM g), FALSE) AS alarm FROM m""",
 )
 def point_alarms(spark, folder):
     chart = spc.chart_series(b.series(spark, folder), "domecasegap", ["lot"], ["seq"])
     band = chart.agg(F.avg("spc_lower").alias("spc_lower"), F.avg("spc_upper").alias("spc_upper"))
-    return _round(alarms.band_point_alarms(chart, "ma", "std", band).select("seq", "predicted", "alarm"), 6, "predicted")
+    return _round(alarms.band_point_alarms(chart, "ma", "std", band).select("seq", "predicted", "alarm"), "predicted")
+
+
+_TIED = """d AS (SELECT (l_orderkey * 8 + l_linenumber) * 100000 + l_partkey AS seq, strftime(date_trunc('week', l_shipdate), '%Y-%m-%d') AS week,
+  strftime(l_shipdate, '%Y-%m-%d') AS day, max(l_quantity) AS v FROM lineitem GROUP BY 1, 2, 3)"""
+
+
+@query(
+    "W3_trend_tied_dates_split",
+    f"""WITH {_TIED} SELECT week, day, seq, CAST(CAST(avg(v) OVER w AS FLOAT) AS DOUBLE) AS ma, CAST(CAST(stddev_samp(v) OVER w AS FLOAT) AS DOUBLE) AS std FROM d
+    WINDOW w AS (PARTITION BY week ORDER BY day, seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
+)
+def trend_tied_dates_split(spark, folder):
+    """Rolling lines of weekly groups ordered by day (as text, at most seven values) and row, every group cut into parts."""
+    seq = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")
+    keyed = b.table(spark, folder, "lineitem").groupBy(
+        seq.alias("seq"), F.date_format(F.date_trunc("week", "l_shipdate"), "yyyy-MM-dd").alias("week"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")
+    ).agg(F.max("l_quantity").alias("v"))
+    lines = {"ma": F.avg("v"), "std": F.stddev_samp("v")}
+    return _round(rolling(keyed, lines, ["week"], ["day", "seq"], 10, 60).select("week", "day", "seq", "ma", "std"), "ma", "std")
 
 
 @query(
@@ -542,13 +576,13 @@ def user_thresholds(spark, folder):
 
 @query(
     "J7_alarms_in_trend",
-    f"""WITH {_FORECAST}, t AS (SELECT year, week, count(*) AS rows FROM refined GROUP BY year, week)
-    SELECT CAST(t.year AS BIGINT) AS year, CAST(t.week AS BIGINT) AS week, rows, CASE WHEN pred_week IS NULL THEN NULL WHEN predicted < lower OR predicted > upper THEN 1 ELSE 0 END AS alarm
-    FROM t LEFT JOIN forecast f ON f.pred_year = t.year AND f.pred_week = t.week""",
+    f"""WITH {_FORECAST}
+    SELECT batchid, testid, CAST(t.year AS BIGINT) AS year, CAST(t.week AS BIGINT) AS week, CASE WHEN pred_week IS NULL THEN NULL WHEN predicted < lower OR predicted > upper THEN 1 ELSE 0 END AS alarm
+    FROM refined t LEFT JOIN forecast f ON f.pred_year = t.year AND f.pred_week = t.week""",
 )
 def alarms_in_trend(spark, folder):
     weekly, rows = _forecast(spark, folder)
     state = alarms.alarm_state(rows, weekly, 20, 100_000)
-    trend = b.refined(spark, folder).groupBy("year", "week").agg(F.count(F.lit(1)).alias("rows"))
-    joined = alarms.trend_with_alarms(trend, state)
-    return _longs(joined.select("year", "week", "rows", F.col("alarm_pre_stitcharea").alias("alarm")), "year", "week", "alarm")
+    rows = b.raw(spark, folder).filter("pass_failed = 'Pass' and domecasegap is not null and stitcharea is not null")
+    joined = alarms.trend_with_alarms(rows.select("batchid", "testid", "year", "week"), state)
+    return _longs(joined.select("batchid", "testid", "year", "week", F.col("alarm_pre_stitcharea").alias("alarm")), "year", "week", "alarm")

@@ -6,7 +6,8 @@ from ...functions import calendar, limits as ranges, text
 from ...operators import refine as clean
 from ...operators.encode import CategoryCodes
 from ...operators.extract import join_measurements, with_limits, with_spc_ranges
-from ...operators.rollup import anomalies_first, append_frames, slice_rows
+from ...operators.rollup import outliers_first, append_frames, slice_rows
+from ...operators.skew import hot_groups_of
 from ...schemas import CATEGORIES, NOT_MODELLED
 from . import bindings as b
 from .registry import query, rounded
@@ -59,15 +60,16 @@ def batches_tests_cells(spark, folder):
 
 @query(
     "J1_skewed_keys_salted",
-    """SELECT o_orderpriority AS lot, count(*) AS rows, round(sum(l_quantity) + 0.00123456, 2) AS total
+    """SELECT o_orderpriority AS lot, count(*) AS rows, CAST(CAST(sum(l_quantity) AS FLOAT) AS DOUBLE) AS total
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1""",
 )
 def skewed_keys_salted(spark, folder):
     """The same join with so low a limit that the largest batches are spread over salts."""
     lowered = [text.lower_names(f(spark, folder)) for f in (b.batches, b.tests, b.cells)]
-    rows = join_measurements(*lowered, max_group_rows=4)
+    hot = dict(zip(("batchid", "testid"), hot_groups_of(lowered[1], [["batchid"], ["testid"]], 4)))
+    rows = join_measurements(*lowered, max_group_rows=4, hot=hot)
     gap = F.coalesce("domecasegap", F.lit(13.0))
-    return rows.groupBy(F.trim("lotnumber").alias("lot")).agg(F.count(F.lit(1)).alias("rows"), rounded(F.sum(gap), 2).alias("total"))
+    return rows.groupBy(F.trim("lotnumber").alias("lot")).agg(F.count(F.lit(1)).alias("rows"), rounded(F.sum(gap)).alias("total"))
 
 
 @query(
@@ -187,12 +189,12 @@ def week_and_cells(spark, folder):
 
 @query(
     "P15_split_by_label",
-    f"WITH {b.SERIES} SELECT anomaly = -1 AS flagged, count(*) AS rows, sum(seq) AS seqs FROM series GROUP BY 1",
+    f"WITH {b.SERIES} SELECT outlier = -1 AS flagged, count(*) AS rows, sum(seq) AS seqs FROM series GROUP BY 1",
 )
 def split_by_label(spark, folder):
     rows = b.series(spark, folder)
     tally = lambda df, flag: df.agg(F.lit(flag).alias("flagged"), F.count(F.lit(1)).alias("rows"), F.sum("seq").alias("seqs"))
-    return tally(rows.filter("anomaly = -1"), True).unionByName(tally(rows.filter("anomaly <> -1"), False))
+    return tally(rows.filter("outlier = -1"), True).unionByName(tally(rows.filter("outlier <> -1"), False))
 
 
 _MEASURES = ["domecasegap", "stitcharea", "laserpower", "minstitchwidth", "leaktest"]
@@ -201,7 +203,7 @@ _MEASURES = ["domecasegap", "stitcharea", "laserpower", "minstitchwidth", "leakt
 @query(
     "P17_ranges_around_values",
     f"WITH {b.RAW} SELECT testid, batchid, "
-    + ", ".join(f"round({m} * 0.8 + 0.00000123456, 5) AS {m}_lo, round({m} * 1.2 + 0.00000123456, 5) AS {m}_hi, {m} AS {m}_spc_orig" for m in _MEASURES)
+    + ", ".join(f"CAST(CAST({m} * 0.8 AS FLOAT) AS DOUBLE) AS {m}_lo, CAST(CAST({m} * 1.2 AS FLOAT) AS DOUBLE) AS {m}_hi, {m} AS {m}_spc_orig" for m in _MEASURES)
     + " FROM raw",
 )
 def ranges_around_values(spark, folder):
@@ -209,7 +211,7 @@ def ranges_around_values(spark, folder):
     sides = []
     for m in _MEASURES:
         around = ranges.range_around(F.col(m))
-        sides += [rounded(around["lo"], 5).alias(f"{m}_lo"), rounded(around["hi"], 5).alias(f"{m}_hi"), f"{m}_spc_orig"]
+        sides += [rounded(around["lo"]).alias(f"{m}_lo"), rounded(around["hi"]).alias(f"{m}_hi"), f"{m}_spc_orig"]
     return rows.select("testid", "batchid", *sides)
 
 
@@ -288,8 +290,8 @@ def epoch_time(spark, folder):
 @query(
     "D6_following_week",
     f"""WITH {b.RAW} SELECT DISTINCT CAST(year AS BIGINT) AS year, CAST(week AS BIGINT) AS week,
-    CAST(year + CASE WHEN week >= 52 THEN 1 ELSE 0 END AS BIGINT) AS next_year,
-    CAST(CASE WHEN week >= 52 THEN 1 ELSE week + 1 END AS BIGINT) AS next_week FROM raw""",
+    CAST(year + CASE WHEN week >= {b.LAST_WEEK} THEN 1 ELSE 0 END AS BIGINT) AS next_year,
+    CAST(CASE WHEN week >= {b.LAST_WEEK} THEN 1 ELSE week + 1 END AS BIGINT) AS next_week FROM raw""",
 )
 def following_week(spark, folder):
     weeks = b.raw(spark, folder).select("year", "week").distinct()
@@ -309,12 +311,12 @@ def json_round_trip(spark, folder):
 
 @query(
     "D8_number_text",
-    f"""WITH {b.SERIES} SELECT lot, printf('%.3f%%', count(*) FILTER (WHERE anomaly = -1) / count(*) * 100.0) AS share,
+    f"""WITH {b.SERIES} SELECT lot, printf('%.3f%%', count(*) FILTER (WHERE outlier = -1) / count(*) * 100.0) AS share,
     printf('%.3f', avg(stitcharea)) AS mean, printf('%f', max(domecasegap)) AS highest FROM series GROUP BY lot""",
 )
 def number_text(spark, folder):
     rows = b.series(spark, folder).groupBy("lot").agg(
-        F.count_if(F.col("anomaly") == -1).alias("n"), F.count(F.lit(1)).alias("rows"), F.avg("stitcharea").alias("m"),
+        F.count_if(F.col("outlier") == -1).alias("n"), F.count(F.lit(1)).alias("rows"), F.avg("stitcharea").alias("m"),
         F.max("domecasegap").alias("h"),
     )
     return rows.select(
@@ -345,6 +347,6 @@ def append_frames_query(spark, folder):
     return append_frames(old, new).select("event_id", "user_id", "value", "event_type")
 
 
-@query("U2_anomalies_first", f"WITH {b.SERIES} SELECT seq, anomaly, domecasegap FROM series ORDER BY anomaly, seq")
-def anomalies_first_query(spark, folder):
-    return anomalies_first(b.series(spark, folder).select("seq", "anomaly", "domecasegap"), ["seq"])
+@query("U2_outliers_first", f"WITH {b.SERIES} SELECT seq, outlier, domecasegap FROM series ORDER BY outlier, seq")
+def outliers_first_query(spark, folder):
+    return outliers_first(b.series(spark, folder).select("seq", "outlier", "domecasegap"), ["seq"])

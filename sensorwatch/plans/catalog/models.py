@@ -26,19 +26,19 @@ def _model_frame(spark, folder):
 def outlier_labels(spark, folder):
     rows = _model_frame(spark, folder)
     _, labelled = IsolationForest(rows.columns, SEED, contamination=0.05).fit_score(rows, rows.columns)
-    return labelled.select("batchid", "week", "year", "domecasegap", "stitcharea", rounded("score", 6).alias("score"), "anomaly")
+    return labelled.select("batchid", "week", "year", "domecasegap", "stitcharea", rounded("score").alias("score"), "outlier")
 
 
 def _cut_query(name, level, **options):
     @query(
         name,
         f"""WITH c AS (SELECT quantile_cont(l_extendedprice, {1 - level}) AS cut FROM lineitem)
-        SELECT l_orderkey, l_linenumber, l_extendedprice AS value, CASE WHEN l_extendedprice > cut THEN -1 ELSE 1 END AS anomaly FROM lineitem, c""",
+        SELECT l_orderkey, l_linenumber, l_extendedprice AS value, CASE WHEN l_extendedprice > cut THEN -1 ELSE 1 END AS outlier FROM lineitem, c""",
     )
     def run(spark, folder):
         rows = b.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("value"))
         cut = exact_quantiles(rows, "value", {"cut": 1 - level}, (), **options).select("cut").scalar()
-        return rows.withColumn("anomaly", F.when(F.col("value") > cut, F.lit(-1)).otherwise(F.lit(1)))
+        return rows.withColumn("outlier", F.when(F.col("value") > cut, F.lit(-1)).otherwise(F.lit(1)))
 
 
 _cut_query("F3_contamination_cut", 0.05)
@@ -49,7 +49,7 @@ _cut_query("F3_contamination_cut_split", 0.015, max_group_rows=2_000)
 def one_feature_outliers(spark, folder):
     rows = b.refined(spark, folder).select("batchid", "test_time_sec")
     _, labelled = IsolationForest(["test_time_sec"], SEED, contamination=0.015).fit_score(rows, ["batchid", "test_time_sec"])
-    return labelled.groupBy("anomaly").agg(F.count(F.lit(1)).alias("rows"), F.avg("test_time_sec").alias("mean_time"))
+    return labelled.groupBy("outlier").agg(F.count(F.lit(1)).alias("rows"), F.avg("test_time_sec").alias("mean_time"))
 
 
 @query("F4_three_feature_outliers")
@@ -57,7 +57,7 @@ def three_feature_outliers(spark, folder):
     features = ["domecasegap", "stitcharea", "test_time_sec"]
     rows = b.refined(spark, folder).select("batchid", *features)
     _, labelled = IsolationForest(features, SEED, contamination=0.015).fit_score(rows, ["batchid", *features])
-    return labelled.select("batchid", *features, rounded("score", 6).alias("score"), "anomaly")
+    return labelled.select("batchid", *features, rounded("score").alias("score"), "outlier")
 
 
 _LEVELS = [0.001, 0.003, 0.005, 0.007, 0.009, 0.011, 0.013, 0.015, 0.017, 0.019]
@@ -67,12 +67,12 @@ _LEVELS = [0.001, 0.003, 0.005, 0.007, 0.009, 0.011, 0.013, 0.015, 0.017, 0.019]
     "F5_contamination_sweep",
     "WITH l AS (SELECT unnest([" + ", ".join(f"CAST({x} AS DOUBLE)" for x in _LEVELS) + "]) AS contamination), c AS ("
     + " UNION ALL ".join(f"SELECT CAST({x} AS DOUBLE) AS contamination, quantile_cont(l_extendedprice, {1 - x}) AS cut FROM lineitem" for x in _LEVELS)
-    + """) SELECT (SELECT count(*) FROM lineitem) AS rows, contamination, round(cut + 0.0000123456, 4) AS cut, (SELECT count(*) FROM lineitem WHERE l_extendedprice > cut) AS flagged
+    + """) SELECT (SELECT count(*) FROM lineitem) AS rows, contamination, CAST(CAST(cut AS FLOAT) AS DOUBLE) AS cut, (SELECT count(*) FROM lineitem WHERE l_extendedprice > cut) AS flagged
     FROM l JOIN c USING (contamination)""",
 )
 def contamination_levels(spark, folder):
     scored = b.table(spark, folder, "lineitem").select(F.col("l_extendedprice").alias("score"))
-    return contamination_sweep(scored, _LEVELS).withColumn("cut", rounded("cut", 4))
+    return contamination_sweep(scored, _LEVELS).withColumn("cut", rounded("cut"))
 
 
 @query("F6_S12_stored_model", f"WITH {b.REFINED} SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM refined")
@@ -85,7 +85,7 @@ def stored_model(spark, folder):
     model.save(spark, path)
     again = ForestModel.load(spark, path).score_column(spark)
     rescored = labelled.withColumn("again", F.when(again > model.cut, -1).otherwise(1))
-    return rescored.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("again") != F.col("anomaly")).alias("changed"))
+    return rescored.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("again") != F.col("outlier")).alias("changed"))
 
 
 _CHART = f"""{b.SERIES}, chart AS (SELECT seq, lot, week, domecasegap, stitcharea, avg(domecasegap) OVER w AS ma, stddev_samp(domecasegap) OVER w AS std FROM series
@@ -114,7 +114,7 @@ def _fitted_sql(target):
     "M1_M4_M6_linear_bands",
     f"WITH {_CHART}, {_fitted_sql('ma')}, {_fitted_sql('std')} "
     + " UNION ALL ".join(
-        f"""SELECT '{t}' AS target, count(*) AS rows, round(avg(({t} - (my + w1 * (domecasegap - m1) + w2 * (stitcharea - m2))) ** 2) + 0.00000123456, 5) AS mse
+        f"""SELECT '{t}' AS target, count(*) AS rows, CAST(CAST(avg(({t} - (my + w1 * (domecasegap - m1) + w2 * (stitcharea - m2))) ** 2) AS FLOAT) AS DOUBLE) AS mse
         FROM full_rows, fit_{t} WHERE (seq * 7919 + 42) % 100 >= 80"""
         for t in ("ma", "std")
     ),
@@ -127,7 +127,7 @@ def linear_bands(spark, folder):
         model = fc.linear_model(train, target, ["domecasegap", "stitcharea"], "predicted")
         scored = fc.apply_model(model, test)
         error = scored.agg(F.lit(target).alias("target"), F.count(F.lit(1)).alias("rows"),
-                           rounded(F.avg(F.pow(F.col(target) - F.col("predicted"), 2)), 5).alias("mse"))
+                           rounded(F.avg(F.pow(F.col(target) - F.col("predicted"), 2))).alias("mse"))
         found = error if found is None else found.unionByName(error)
     return found
 
@@ -135,38 +135,38 @@ def linear_bands(spark, folder):
 @query(
     "M2_regression_per_week",
     f"WITH {_CHART}, solved AS (" + _SOLVED.format(keys="week,", y="ma", source="full_rows", group="GROUP BY week")
-    + """) SELECT CAST(week AS BIGINT) AS week, n AS rows, 0.0::DOUBLE AS week_weight, round(w1 + 0.000000123456, 6) AS gap_weight, round(w2 + 0.000000123456, 6) AS area_weight,
-    round(my - w1 * m1 - w2 * m2 + 0.00000123456, 5) AS intercept FROM solved""",
+    + """) SELECT CAST(week AS BIGINT) AS week, n AS rows, 0.0::DOUBLE AS week_weight, CAST(CAST(w1 AS FLOAT) AS DOUBLE) AS gap_weight, CAST(CAST(w2 AS FLOAT) AS DOUBLE) AS area_weight,
+    CAST(CAST(my - w1 * m1 - w2 * m2 AS FLOAT) AS DOUBLE) AS intercept FROM solved""",
 )
 def regression_per_week(spark, folder):
     """The week itself is constant within a group and gets no weight."""
     fits = fc.grouped_linear_fit(_chart(spark, folder), "ma", ["week", "domecasegap", "stitcharea"], ["week"])
-    weight = lambda i: rounded(F.col("coefficients")[i], 6)
+    weight = lambda i: rounded(F.col("coefficients")[i])
     return fits.select(
         F.col("week").cast("long").alias("week"), "rows", F.abs(weight(0)).alias("week_weight"), weight(1).alias("gap_weight"),
-        weight(2).alias("area_weight"), rounded("intercept", 5).alias("intercept"),
+        weight(2).alias("area_weight"), rounded("intercept").alias("intercept"),
     )
 
 
 @query(
     "M2_grouped_prediction_error",
     f"WITH {_CHART}, solved AS (" + _SOLVED.format(keys="lot,", y="std", source="full_rows", group="GROUP BY lot")
-    + """) SELECT lot, round(avg((std - (my + w1 * (domecasegap - m1) + w2 * (stitcharea - m2))) ** 2) + 0.00000123456, 5) AS mse FROM full_rows JOIN solved USING (lot) GROUP BY lot""",
+    + """) SELECT lot, CAST(CAST(avg((std - (my + w1 * (domecasegap - m1) + w2 * (stitcharea - m2))) ** 2) AS FLOAT) AS DOUBLE) AS mse FROM full_rows JOIN solved USING (lot) GROUP BY lot""",
 )
 def grouped_prediction_error(spark, folder):
     rows = _chart(spark, folder)
     fits = fc.grouped_linear_fit(rows, "std", ["domecasegap", "stitcharea"], ["lot"])
     predicted = fc.grouped_predict(rows, fits, ["domecasegap", "stitcharea"], ["lot"], "predicted")
-    return fc.mean_squared_error(predicted, "std", "predicted", ["lot"]).withColumn("mse", rounded("mse", 5))
+    return fc.mean_squared_error(predicted, "std", "predicted", ["lot"]).withColumn("mse", rounded("mse"))
 
 
 @query(
     "M1_one_feature_regression",
-    """SELECT count(*) AS rows, round(regr_slope(l_extendedprice, l_quantity) + 0.00000123456, 5) AS slope, round(regr_intercept(l_extendedprice, l_quantity) + 0.0000123456, 4) AS intercept FROM lineitem""",
+    """SELECT count(*) AS rows, CAST(CAST(regr_slope(l_extendedprice, l_quantity) AS FLOAT) AS DOUBLE) AS slope, CAST(CAST(regr_intercept(l_extendedprice, l_quantity) AS FLOAT) AS DOUBLE) AS intercept FROM lineitem""",
 )
 def one_feature_regression(spark, folder):
     fit = fc.grouped_linear_fit(b.table(spark, folder, "lineitem"), "l_extendedprice", ["l_quantity"], [])
-    return fit.select("rows", rounded(F.col("coefficients")[0], 5).alias("slope"), rounded("intercept", 4).alias("intercept"))
+    return fit.select("rows", rounded(F.col("coefficients")[0]).alias("slope"), rounded("intercept").alias("intercept"))
 
 
 @query("M4_repeatable_split", f"WITH {b.SERIES} SELECT seq, (seq * 7919 + 42) % 100 < 80 AS train FROM series")
@@ -187,11 +187,11 @@ def holdout_sizes(spark, folder):
 
 @query(
     "M6_D10_squared_error",
-    f"WITH {_CHART} SELECT lot, round(avg((domecasegap - ma) ** 2) + 0.000000123456, 6) AS mse FROM chart GROUP BY lot",
+    f"WITH {_CHART} SELECT lot, CAST(CAST(avg((domecasegap - ma) ** 2) AS FLOAT) AS DOUBLE) AS mse FROM chart GROUP BY lot",
 )
 def squared_error(spark, folder):
     chart = spc.control_bands(b.series(spark, folder), ["domecasegap"], ["lot"], ["seq"])
-    return fc.mean_squared_error(chart, "domecasegap", "domecasegap_ma", ["lot"]).withColumn("mse", rounded("mse", 6))
+    return fc.mean_squared_error(chart, "domecasegap", "domecasegap_ma", ["lot"]).withColumn("mse", rounded("mse"))
 
 
 MEAN, SPREAD = "stitcharea_week_mean", "stitcharea_week_stddev"
@@ -217,14 +217,14 @@ def feature_importance(spark, folder):
 
 @query(
     "M8_residual_summary",
-    f"""WITH {_CHART} SELECT count(domecasegap - ma) AS rows, round(avg(domecasegap - ma) + 0.000000123456, 6) AS mean, round(stddev_samp(domecasegap - ma) + 0.000000123456, 6) AS stddev,
-    round(min(domecasegap - ma) + 0.000000123456, 6) AS lowest, round(max(domecasegap - ma) + 0.000000123456, 6) AS highest,
-    round(1 - avg((domecasegap - ma) ** 2) / var_pop(domecasegap) + 0.000000123456, 6) AS r2 FROM chart""",
+    f"""WITH {_CHART} SELECT count(domecasegap - ma) AS rows, CAST(CAST(avg(domecasegap - ma) AS FLOAT) AS DOUBLE) AS mean, CAST(CAST(stddev_samp(domecasegap - ma) AS FLOAT) AS DOUBLE) AS stddev,
+    CAST(CAST(min(domecasegap - ma) AS FLOAT) AS DOUBLE) AS lowest, CAST(CAST(max(domecasegap - ma) AS FLOAT) AS DOUBLE) AS highest,
+    CAST(CAST(1 - avg((domecasegap - ma) ** 2) / var_pop(domecasegap) AS FLOAT) AS DOUBLE) AS r2 FROM chart""",
 )
 def residual_summary(spark, folder):
     chart = spc.control_bands(b.series(spark, folder), ["domecasegap"], ["lot"], ["seq"])
     summary = fc.residual_summary(chart, "domecasegap", "domecasegap_ma")
-    return summary.withColumns({c: rounded(c, 6) for c in ("mean", "stddev", "lowest", "highest", "r2")})
+    return summary.withColumns({c: rounded(c) for c in ("mean", "stddev", "lowest", "highest", "r2")})
 
 
 @query("M9_band_forecaster")

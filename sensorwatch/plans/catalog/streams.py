@@ -25,7 +25,7 @@ def _longs(df, *names):
 
 @query(
     "S2_S3_S4_snapshot_and_append",
-    f"WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap, round(stitcharea_week_mean + 0.0000123456, 4) AS stitcharea_week_mean FROM weekly",
+    f"WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap, CAST(CAST(stitcharea_week_mean AS FLOAT) AS DOUBLE) AS stitcharea_week_mean FROM weekly",
 )
 def snapshot_and_append(spark, folder):
     """A missing table reads as empty; a snapshot replaces it; an append adds to it by year."""
@@ -36,13 +36,13 @@ def snapshot_and_append(spark, folder):
     files.write_snapshot(first, path, partition_by=["year"])
     files.append_rows(weekly.filter("year > 1998"), path, partition_by=["year"])
     rows = files.read_snapshot(spark, path, WEEKLY)
-    return _longs(rows.select("year", "week", "maximum_domecasegap", rounded("stitcharea_week_mean", 4).alias("stitcharea_week_mean")), "year", "week")
+    return _longs(rows.select("year", "week", "maximum_domecasegap", rounded("stitcharea_week_mean").alias("stitcharea_week_mean")), "year", "week")
 
 
 @query(
     "S5_column_documents",
-    f"""WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap, round(stitcharea_week_mean + 0.0000123456, 4) AS stitcharea_week_mean,
-    round(domecasegap_week_stddev + 0.0000123456, 4) AS domecasegap_week_stddev FROM weekly""",
+    f"""WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap, CAST(CAST(stitcharea_week_mean AS FLOAT) AS DOUBLE) AS stitcharea_week_mean,
+    CAST(CAST(domecasegap_week_stddev AS FLOAT) AS DOUBLE) AS domecasegap_week_stddev FROM weekly""",
 )
 def column_documents(spark, folder):
     """The weekly history as one {column: {index: value}} document per year, imported again. A year has
@@ -54,7 +54,7 @@ def column_documents(spark, folder):
     documents = weekly.groupBy("folder").agg(*cells).select("folder", F.to_json(F.struct(*names)).alias("value"))
     documents.repartition("folder").write.partitionBy("folder").text(path)
     rows = files.read_column_documents(spark, f"{path}/*/*.txt", WEEKLY)
-    shown = rows.select("year", "week", "maximum_domecasegap", *[rounded(n, 4).alias(n) for n in ("stitcharea_week_mean", "domecasegap_week_stddev")])
+    shown = rows.select("year", "week", "maximum_domecasegap", *[rounded(n).alias(n) for n in ("stitcharea_week_mean", "domecasegap_week_stddev")])
     return _longs(shown, "year", "week")
 
 
@@ -91,7 +91,7 @@ def _run(stream, label, spark):
 
 @query(
     "S7_S8_T1_complete_batches",
-    "SELECT strftime(ts, '%Y-%m-%d') AS batch_id, count(*) AS rows, sum(event_id) AS ids, round(sum(value) + 0.00123456, 2) AS total FROM events GROUP BY 1",
+    "SELECT strftime(ts, '%Y-%m-%d') AS batch_id, count(*) AS rows, sum(event_id) AS ids, CAST(CAST(sum(value) AS FLOAT) AS DOUBLE) AS total FROM events GROUP BY 1",
 )
 def complete_batches(spark, folder):
     """One message batch per day, spread over several files; each is released once, when complete."""
@@ -108,7 +108,7 @@ def complete_batches(spark, folder):
     released = files.read_snapshot(spark, f"{root}/released_rows", FRAME)
     decoded = messages.decode_rows(released, rows.schema)
     return decoded.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"), rounded(F.sum("value"), 2).alias("total")
+        F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"), rounded(F.sum("value")).alias("total")
     )
 
 
@@ -153,14 +153,14 @@ def scored_stream(spark, folder):
     rows = b.table(spark, folder, "events").select("event_id", "value")
     model, labelled = IsolationForest(["value"], 917, contamination=0.015).fit_score(rows, ["event_id"])
     live = _run(jobs.scored_stream(_event_stream(spark, folder).select("event_id", "value"), model), "scored", spark)
-    both = live.select("event_id", F.col("anomaly").alias("live")).join(labelled.select("event_id", "anomaly"), "event_id")
-    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("live") != F.col("anomaly")).alias("changed"))
+    both = live.select("event_id", F.col("outlier").alias("live")).join(labelled.select("event_id", "outlier"), "event_id")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("live") != F.col("outlier")).alias("changed"))
 
 
 @query(
     "T5_weekly_stream",
-    """SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week_start, event_type, max(value) AS maximum, min(value) AS minimum, round(avg(value) + 0.000000123456, 6) AS mean,
-    round(stddev_samp(value) + 0.000000123456, 6) AS stddev, count(value) AS rows FROM events GROUP BY 1, 2""",
+    """SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week_start, event_type, max(value) AS maximum, min(value) AS minimum, CAST(CAST(avg(value) AS FLOAT) AS DOUBLE) AS mean,
+    CAST(CAST(stddev_samp(value) AS FLOAT) AS DOUBLE) AS stddev, count(value) AS rows FROM events GROUP BY 1, 2""",
 )
 def weekly_stream(spark, folder):
     root = scratch_path(spark, "weekly-stream")
@@ -169,8 +169,8 @@ def weekly_stream(spark, folder):
     jobs.keep_latest(weekly, keys, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     rows = jobs.read_latest(spark, f"{root}/out", weekly.schema, keys)
     return rows.select(
-        F.date_format("week_start", "yyyy-MM-dd").alias("week_start"), "event_type", "maximum", "minimum", rounded("mean", 6).alias("mean"),
-        rounded("stddev", 6).alias("stddev"), "rows",
+        F.date_format("week_start", "yyyy-MM-dd").alias("week_start"), "event_type", "maximum", "minimum", rounded("mean").alias("mean"),
+        rounded("stddev").alias("stddev"), "rows",
     )
 
 
@@ -201,5 +201,5 @@ def weekly_forecast(spark, folder):
     daily.weekly_history(refined, f"{root}/weekly")
     ident = ["batchid", "blister_id", "stitcharea", "domecasegap", "date"]
     _, _, labelled = daily.score_rows(refined, ident, seed=917)
-    daily.anomaly_trends(labelled, ident, f"{root}/trend")
+    daily.outlier_trends(labelled, ident, f"{root}/trend")
     return daily.weekly_forecast(spark, f"{root}/weekly", f"{root}/trend", f"{root}/models", f"{root}/alarms", next_train=100_000)

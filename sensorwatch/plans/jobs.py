@@ -40,10 +40,10 @@ def score_rows(refined: DataFrame, row_id, seed: int, contamination: float = 0.0
     return model, codes, labelled
 
 
-def anomaly_trends(labelled: DataFrame, order, path: str | None = None, on_conflict: str = "skip_rows", rule: str = "compat") -> DataFrame:
-    """Band rows and trend labels of the anomalies per year and week; appended for new periods only."""
+def outlier_trends(labelled: DataFrame, order, path: str | None = None, on_conflict: str = "skip_rows", rule: str = "compat") -> DataFrame:
+    """Band rows and trend labels of the outliers per year and week; appended for new periods only."""
     keys = ["year", "week"]
-    flagged = labelled.filter(F.col("anomaly") == -1)
+    flagged = labelled.filter(F.col("outlier") == -1)
     limits = spc.first_limits(labelled, FEATURES, keys, order)
     trend = spc.spc_trend(flagged, limits, FEATURES, keys, order, rule)
     if path:
@@ -94,7 +94,7 @@ def weekly_forecast(spark: SparkSession, history_path: str, trend_path: str, mod
 def dashboard(labelled: DataFrame, refined: DataFrame, week: int, cells, feature: str, order) -> dict[str, DataFrame]:
     """Series, limits and label counts for one week and a choice of cells."""
     chosen = labelled.filter((F.col("week") == week) & F.col("tp_cell_name").isin(list(cells)))
-    flagged = labelled.filter(F.col("anomaly") == -1)
+    flagged = labelled.filter(F.col("outlier") == -1)
     value_range = flagged.agg(F.min(feature).alias(f"{feature}_lo_value"), F.max(feature).alias(f"{feature}_hi_value"))
     limits = spc.mean_limits(refined, [feature])
     return {

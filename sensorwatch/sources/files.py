@@ -29,16 +29,6 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         raise
 
 
-def spread(df: DataFrame, at_most: int = 64) -> DataFrame:
-    """Use the task slots for a small plain scan.
-
-    A file with one row group is one task, however many slots are free, which shows when rows need
-    costly work. A scan with at least as many splits as slots (any large table) is left as it is.
-    """
-    slots = min(df.sparkSession.sparkContext.defaultParallelism, at_most)
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path)

@@ -36,9 +36,25 @@ def test_clock_seconds(spark):
 
 
 def test_following_week(spark):
-    rows = spark.createDataFrame([(2022, 51), (2022, 52), (2022, 53)], "y int, w int")
-    year, week = calendar.following_week(F.col("y"), F.col("w"))
-    assert [tuple(r) for r in rows.select(year, week).collect()] == [(2022, 52), (2023, 1), (2023, 1)]
+    rows = spark.createDataFrame([(2022, 51), (2022, 52), (2022, 53), (2000, 53), (2000, 54), (2020, 52), (2020, 53)], "y int, w int")
+
+    def following(rule):
+        return [tuple(r) for r in rows.select(*calendar.following_week(F.col("y"), F.col("w"), rule)).collect()]
+
+    assert following("server") == [(2022, 52), (2022, 53), (2023, 1), (2000, 54), (2001, 1), (2020, 53), (2021, 1)]
+    assert following("iso") == [(2022, 52), (2023, 1), (2023, 1), (2001, 1), (2001, 1), (2020, 53), (2021, 1)]
+    assert following("compat")[:3] == [(2022, 52), (2023, 1), (2023, 1)]
+
+
+def test_iso_weeks_carry_their_year(spark):
+    days = spark.createDataFrame([(date(2024, 12, 31),), (date(2020, 12, 31),), (date(2021, 1, 1),), (date(2023, 7, 3),)], "d date")
+    parts = calendar.with_calendar_parts(days, F.col("d"), "iso").select("year", "week")
+    assert [tuple(r) for r in parts.collect()] == [(2025, 1), (2020, 53), (2020, 53), (2023, 27)]
+    assert calendar.current_period(date(2024, 12, 31), week_rule="iso") == {"year": 2025, "yearweek": 1}
+
+
+def test_dates_are_digits(spark):
+    assert column(spark, ["5T/07/2023", "5 /07/2023", "5/7/2023", "+5/07/2023"], "string", calendar.day_first_date) == [None, None, date(2023, 7, 5), None]
 
 
 def test_current_period_agrees_with_the_column_rule(spark):

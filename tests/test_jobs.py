@@ -58,10 +58,10 @@ def test_from_messages_to_alarms(spark, folder):
 
     ident = [*["batchid", "blister_id", "stitcharea", "domecasegap", "date"]]
     model, codes, labelled = jobs.score_rows(refined, ident, seed=7, trees=20)
-    flagged = labelled.filter("anomaly = -1").count()
+    flagged = labelled.filter("outlier = -1").count()
     assert 0 < flagged <= 0.05 * refined.count() + 1
-    trend = jobs.anomaly_trends(labelled, ident, f"{folder}/trend")
-    jobs.anomaly_trends(labelled, ident, f"{folder}/trend")
+    trend = jobs.outlier_trends(labelled, ident, f"{folder}/trend")
+    jobs.outlier_trends(labelled, ident, f"{folder}/trend")
     assert spark.read.parquet(f"{folder}/trend").count() == trend.count()
 
     for _ in range(2):
@@ -101,7 +101,7 @@ def test_configuration_filter_reaches_the_batch_rows_before_the_join(spark):
     assert text.index("Join") < text.index("substring(o_orderpriority") or "substr(o_orderpriority" in text
 
 
-@pytest.mark.parametrize("name", ["W1_W2_W5_chart_series", "L1_A6_group_trend_labels", "A3_anomaly_kpi", "A1_weekly_rollup", "A13_percentile_thresholds"])
+@pytest.mark.parametrize("name", ["W1_W2_W5_chart_series", "L1_A6_group_trend_labels", "A3_outlier_kpi", "A1_weekly_rollup", "A13_percentile_thresholds"])
 def test_keyed_queries_have_no_single_partition(spark, name):
     text = plan(QUERIES[name](spark, SAMPLE))
     assert "SinglePartition" not in text and "CartesianProduct" not in text and "NestedLoop" not in text

@@ -17,7 +17,7 @@ def planted(spark):
 
 
 def labels(rows):
-    return {r["id"]: r["anomaly"] for r in rows.collect()}
+    return {r["id"]: r["outlier"] for r in rows.collect()}
 
 
 def test_planted_outliers_under_any_partitioning(spark, planted):
@@ -57,10 +57,10 @@ def test_copies_stand_by_their_number(spark, pool_rows):
     assert size == 3000 if pool_rows > 3000 else size < 700
     assert 0.55 < copies / size < 0.8
     found = [forest.fit_score(rows.repartition(n), ["x", "y"])[1] for n in (1, 7)]
-    flagged = [df.filter("anomaly = -1").count() for df in found]
+    flagged = [df.filter("outlier = -1").count() for df in found]
     assert flagged[0] == flagged[1] and found[0].exceptAll(found[1].select(*found[0].columns)).count() == 0
-    assert found[0].filter("x = 0.25 and anomaly = -1").count() == 0
-    assert found[0].filter("x > 30 and anomaly = 1").count() == 0
+    assert found[0].filter("x = 0.25 and outlier = -1").count() == 0
+    assert found[0].filter("x > 30 and outlier = 1").count() == 0
 
 
 def test_scores_follow_the_published_formula(spark):

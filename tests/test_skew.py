@@ -66,10 +66,28 @@ def test_parts_of_a_hot_group_are_bounded(spark, lopsided):
     frame, df = lopsided
     hot = skew.hot_groups(df, ["k"], 100)
     assert sorted(hot.values()) == sorted(n for n in frame.groupby("k").size() if n > 100)
-    sizes = skew.split_hot_groups(df, ["k"], "seq", hot, 100).groupBy("k", "_part").count()
+    sizes = skew.split_hot_groups(df, ["k"], ["seq"], hot, 100).groupBy("k", "_part").count()
     assert sizes.agg(F.max("count")).first()[0] <= 200
 
 
+def test_hot_groups_are_cut_by_any_whole_order(spark):
+    rows = [("g", "2024-01-01", f"b{k:04d}", float(k % 7)) for k in range(400)]
+    df = spark.createDataFrame(rows, "k string, day string, bid string, v double")
+    hot = skew.hot_groups(df, ["k"], 50)
+    sizes = skew.split_hot_groups(df, ["k"], ["day", "bid"], hot, 50).groupBy("k", "_part").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 100
+    split = skew.rolling(df, {"ma": F.avg("v")}, ["k"], ["day", "bid"], 10, 50).select("bid", F.round("ma", 9).alias("ma"))
+    plain = skew.rolling(df, {"ma": F.avg("v")}, ["k"], ["day", "bid"], 10, 10**6).select("bid", F.round("ma", 9).alias("ma"))
+    assert split.exceptAll(plain).count() == 0 and split.count() == 400
+
+
+def test_rows_with_a_map_can_be_salted(spark):
+    df = spark.range(300).select(F.lit(1).alias("k"), "id", F.create_map(F.lit("a"), "id").alias("m"))
+    groups = spark.createDataFrame([(1, "x")], "k int, g string")
+    joined = skew.attach(df, groups, ["k"], skew.hot_groups(df, ["k"], 50), 50)
+    assert joined.filter("g = 'x'").count() == 300
+
+
 def test_global_rolling_has_no_single_partition_on_rows(spark, lopsided):
     _, df = lopsided
     plan = skew.rolling(df, {"ma": F.avg("v")}, [], ["seq"], 10, 200)._jdf.queryExecution().executedPlan().toString()

@@ -75,10 +75,3 @@ def test_messages_by_group(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, k string")
     frames = messages.decode_frames(messages.to_messages(rows, F.col("k"), ["id"], by=["k"]))
     assert {(r["batch_id"], r["expected_rows"]) for r in frames.collect()} == {("a", 2), ("b", 1)}
-
-
-def test_spread_leaves_large_scans_alone(spark, folder):
-    spark.range(100).repartition(20).write.parquet(f"{folder}/many")
-    wide = spark.read.parquet(f"{folder}/many")
-    assert files.spread(wide, at_most=2).rdd.getNumPartitions() == wide.rdd.getNumPartitions()
-    assert files.spread(spark.range(10, numPartitions=1), at_most=4).rdd.getNumPartitions() == 4
