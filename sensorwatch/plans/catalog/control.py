@@ -381,8 +381,7 @@ def positional_split(spark, folder):
 def remainder_of_sample(spark, folder):
     from ...operators.forecast import in_training
 
-    rows = b.series(spark, folder).select("seq", "lot")
-    return rows.join(rows.filter(in_training(F.col("seq"))).select("seq"), "seq", "left_anti")
+    return b.series(spark, folder).select("seq", "lot").filter(~in_training(F.col("seq")))
 
 
 @query("S9_J4_guard_skip_rows", f"WITH {b.WEEKLY} SELECT {_WEEK_KEYS} FROM weekly WHERE year > 1998")
@@ -535,11 +534,23 @@ def range_alarm(spark, folder):
     "L8_status",
     f"""WITH {_FORECAST}, l AS (SELECT * FROM forecast ORDER BY pred_year DESC, pred_week DESC LIMIT 1)
     SELECT CASE WHEN predicted < lower OR predicted > upper THEN 'red' ELSE 'green' END AS color, CAST(pred_year AS BIGINT) AS pred_year,
-    CAST(pred_week AS BIGINT) AS pred_week FROM l""",
+    CAST(pred_week AS BIGINT) AS pred_week, CASE WHEN predicted < lower OR predicted > upper THEN 'Alarm: ' ELSE 'No Alarm: ' END || 'predicted_stitcharea '
+    || CASE WHEN predicted IS NULL THEN 'nan' ELSE '#' END || ' for week: ' || pred_week || CASE WHEN predicted < lower OR predicted > upper THEN ' is out of SPC limits '
+    ELSE ' is within SPC limits ' END || CASE WHEN lower IS NULL THEN 'nan: nan' ELSE '#: #' END AS message,
+    CAST(CAST(predicted AS FLOAT) AS DOUBLE) AS value, CAST(CAST(upper AS FLOAT) AS DOUBLE) AS upper FROM l""",
 )
 def status(spark, folder):
     weekly, rows = _forecast(spark, folder)
-    return _longs(alarms.status(alarms.alarm_state(rows, weekly, 20, 100_000)).drop("message"), "pred_year", "pred_week")
+    last = _longs(alarms.status(alarms.alarm_state(rows, weekly, 20, 100_000)), "pred_year", "pred_week")
+    return last.select("color", "pred_year", "pred_week", *_message_parts())
+
+
+@query("L8_status_without_alarms", "SELECT 'yellow' AS color, CAST(NULL AS BIGINT) AS pred_year, CAST(NULL AS BIGINT) AS pred_week FROM (SELECT count(*) FROM lineitem)")
+def status_without_alarms(spark, folder):
+    """Before the first forecast the status is yellow, in one row."""
+    weekly, rows = _forecast(spark, folder)
+    none = alarms.alarm_state(rows, weekly, 20, 100_000).filter("pred_year < 0")
+    return _longs(alarms.status(none).drop("message"), "pred_year", "pred_week")
 
 
 _ZONE = """CASE WHEN v < lo THEN 'below' WHEN v > hi THEN 'above' WHEN v <= lo + abs(lo) * 0.1 OR v >= hi - abs(hi) * 0.1 THEN 'near' ELSE 'inside' END"""

@@ -140,12 +140,13 @@ def sentinel_fill(spark, folder):
 @query(
     "P5_model_columns",
     f"""WITH {b.REFINED} SELECT CAST(week AS BIGINT) AS week, CAST(year AS BIGINT) AS year, batchid, tp_cell_name, domecasegap,
-    stitcharea, CAST(test_time_sec AS BIGINT) AS test_time_sec FROM refined""",
+    stitcharea, CAST(test_time_sec AS BIGINT) AS test_time_sec, pass_failed, CAST(dometypeid AS BIGINT) AS dometypeid, CAST(bodytypeid AS BIGINT) AS bodytypeid,
+    CAST(error_code_number AS BIGINT) AS error_code_number, lotnumber FROM refined""",
 )
 def model_columns(spark, folder):
     rows = clean.model_columns(b.refined(spark, folder))
     assert len(rows.columns) == 12 and not set(rows.columns) & set(NOT_MODELLED)
-    return _longs(rows.drop(*CATEGORIES), "week", "year", "test_time_sec")
+    return _longs(rows, "week", "year", "test_time_sec", "dometypeid", "bodytypeid", "error_code_number")
 
 
 @query("P10_integer_keys", f"WITH {b.RAW} SELECT CAST(batchid AS BIGINT) AS batchid, CAST(tp_cell_name AS BIGINT) AS cell FROM raw")
@@ -192,9 +193,8 @@ def week_and_cells(spark, folder):
     f"WITH {b.SERIES} SELECT outlier = -1 AS flagged, count(*) AS rows, sum(seq) AS seqs FROM series GROUP BY 1",
 )
 def split_by_label(spark, folder):
-    rows = b.series(spark, folder)
-    tally = lambda df, flag: df.agg(F.lit(flag).alias("flagged"), F.count(F.lit(1)).alias("rows"), F.sum("seq").alias("seqs"))
-    return tally(rows.filter("outlier = -1"), True).unionByName(tally(rows.filter("outlier <> -1"), False))
+    flagged = (F.col("outlier") == -1).alias("flagged")
+    return b.series(spark, folder).groupBy(flagged).agg(F.count(F.lit(1)).alias("rows"), F.sum("seq").alias("seqs"))
 
 
 _MEASURES = ["domecasegap", "stitcharea", "laserpower", "minstitchwidth", "leaktest"]

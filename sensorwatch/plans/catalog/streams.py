@@ -5,6 +5,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from ...functions import text
 from ...operators.encode import CategoryCodes
 from ...operators.forest import IsolationForest
 from ...schemas import WEEKLY
@@ -78,6 +79,34 @@ def message_round_trip(spark, folder):
     return messages.decode_rows(frames, rows.schema).select("event_id", "user_id", "event_type", "value", "expected_rows")
 
 
+@query(
+    "S7_unreadable_messages",
+    """SELECT CASE WHEN event_id % 3 = 0 THEN 'not json ' || event_id WHEN event_id % 3 = 1 THEN '{"batch_id":null,"row_no":"' || event_id || '"}'
+    ELSE '{"batch_id":"x","row_no":"' || event_id || '","payload":"{broken"}' END AS value FROM events WHERE event_id % 5 = 0""",
+)
+def unreadable_messages(spark, folder):
+    """Broken messages among good ones, as a quarantine receives them."""
+    rows = b.table(spark, folder, "events").select("event_id", "value")
+    number = F.col("event_id").cast("string")
+    broken = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("not json "), number)).when(
+        F.col("event_id") % 3 == 1, F.concat(F.lit('{"batch_id":null,"row_no":"'), number, F.lit('"}'))
+    ).otherwise(F.concat(F.lit('{"batch_id":"x","row_no":"'), number, F.lit('","payload":"{broken"}')))
+    bad = rows.filter("event_id % 5 = 0").select(broken.alias("value"))
+    return messages.unreadable_messages(messages.to_messages(rows, "all", ["event_id"]).unionByName(bad))
+
+
+@query("P16_required_columns", "SELECT count(*) AS rows, TRUE AS refused FROM events")
+def required_columns(spark, folder):
+    """A table that has the columns passes through; one that lacks a column is refused by name."""
+    rows = b.table(spark, folder, "events")
+    try:
+        text.require_columns(rows, ["event_id", "weld_gap"])
+        refused = False
+    except ValueError as error:
+        refused = "weld_gap" in str(error)
+    return text.require_columns(rows, ["event_id", "value"]).agg(F.count(F.lit(1)).alias("rows"), F.lit(refused).alias("refused"))
+
+
 def _event_stream(spark, folder):
     schema = b.table(spark, folder, "events").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)

@@ -52,6 +52,7 @@ NOT_MODELLED = [
 CATEGORIES = ["pass_failed", "dometypeid", "bodytypeid", "error_code_number", "lotnumber"]
 FEATURES = ["domecasegap", "stitcharea"]
 
+# Column names of the weekly history and of the alarm log.
 WEEKLY = table(
     "year int, week int, maximum_domecasegap double, minimum_domecasegap double, "
     "domecasegap_week_mean double, domecasegap_week_stddev double, maximum_stitcharea double, "

@@ -29,6 +29,22 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         raise
 
 
+def numbered(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the `<name>=<number>` folders of a path, in order."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath().getName() for f in system.listStatus(root)] if system.exists(root) else []
+    return sorted(int(f.split("=")[1]) for f in found if f.startswith(f"{name}="))
+
+
+def drop_numbered(spark: SparkSession, path: str, name: str, keep_from: int) -> None:
+    """Remove the `<name>=<number>` folders with smaller numbers."""
+    for number in numbered(spark, path, name):
+        if number < keep_from:
+            gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}={number}")
+            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path)

@@ -47,9 +47,17 @@ def read_stream(spark: SparkSession, options: dict[str, str], fmt: str = "kafka"
 
 
 def decode_frames(messages: DataFrame) -> DataFrame:
+    """Frames of the messages that name a batch; `unreadable_messages` has the others."""
     return messages.select(F.from_json("value", FRAME).alias("m")).filter("m.batch_id is not null").select("m.*")
 
 
+def unreadable_messages(messages: DataFrame) -> DataFrame:
+    """`value` of the messages that name no batch or hold no row: they can never complete a batch, so they are kept apart."""
+    frame = F.from_json("value", FRAME)
+    readable = frame["batch_id"].isNotNull() & F.coalesce(F.try_parse_json(frame["payload"]).isNotNull(), F.lit(False))
+    return messages.select("value").filter(~F.coalesce(readable, F.lit(False)))
+
+
 def decode_rows(frames: DataFrame, schema: T.StructType, column: str = "payload") -> DataFrame:
     return frames.select(*[c for c in frames.columns if c != column], F.from_json(column, schema).alias("_row")).select(
         *[c for c in frames.columns if c != column], "_row.*"

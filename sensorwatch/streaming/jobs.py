@@ -9,12 +9,13 @@ from ..operators.forest import ForestModel
 from ..operators.refine import refine
 from ..operators.thresholds import limit_alerts, with_thresholds
 from ..schemas import table
-from ..sources.files import read_snapshot
+from ..session import staged
+from ..sources.files import drop_numbered, numbered, read_snapshot
 from ..sources.messages import FRAME
 
 LIVE = {"processingTime": "15 seconds"}
 CATCH_UP = {"availableNow": True}
-BUCKETS = 64
+REPLAY_BATCHES = 10_000
 BROADCAST_BATCHES = 100_000
 
 
@@ -82,42 +83,59 @@ def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequ
     return updates.groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*")
 
 
+def fold_updates(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
+    """Fold all updates into the folder of the newest one, and remove the others. Run it while the stream is stopped."""
+    numbers = numbered(spark, path, "batch")
+    if len(numbers) > 1:
+        staged(read_latest(spark, path, schema, keys), "folded").write.mode("overwrite").parquet(f"{path}/batch={numbers[-1]}")
+        drop_numbered(spark, path, "batch", numbers[-1])
+
+
 class FramedBatches:
     """Release a batch only when all of its announced rows have arrived.
 
     Arriving rows go to a folder per micro-batch, so a repeated micro-batch replaces its own files.
     A small table of open batches remembers the micro-batch of their first row; only folders since
-    the oldest open batch that got rows now are read again, and in them only the buckets of such
-    batches. A released batch is recorded and never released again. `release` gets the rows and the
-    micro-batch number, and should write under that number, as Spark may repeat a micro-batch.
+    the oldest open batch that got rows now are read again. A released batch is recorded, and not
+    released again within `replay` micro-batches. `release` gets the rows and the micro-batch number,
+    and should write under that number, as Spark may repeat a micro-batch.
+
+    A micro-batch starts only once the one before is committed. What that one no longer needs is
+    removed then: rows older than the oldest open batch, earlier tables of open batches, and released
+    batches beyond the replay horizon. So the folders hold what is open and the horizon, no more.
     """
 
-    def __init__(self, root: str, release: Callable[[DataFrame, int], None]):
+    def __init__(self, root: str, release: Callable[[DataFrame, int], None], replay: int = REPLAY_BATCHES):
         self.arrived, self.released, self.open = f"{root}/arrived", f"{root}/released", f"{root}/open"
-        self.release = release
+        self.release, self.replay = release, replay
+
+    def _tidy(self, spark: SparkSession, batch: int) -> None:
+        first = read_snapshot(spark, f"{self.open}/epoch={batch - 1}", table("batch_id string, first long")).agg(F.min("first")).first()[0]
+        oldest = {self.arrived: batch - 1 if first is None else min(first, batch - 1), self.open: batch - 1, self.released: batch - self.replay}
+        for folder, keep in oldest.items():
+            drop_numbered(spark, folder, "epoch", keep)
 
     def _arrived_since(self, spark: SparkSession, first: int, last: int) -> DataFrame:
-        stored = T.StructType([*FRAME.fields, T.StructField("epoch", T.LongType()), T.StructField("bucket", T.IntegerType())])
+        stored = T.StructType([*FRAME.fields, T.StructField("epoch", T.LongType())])
         folders = [f"{self.arrived}/epoch={n}" for n in range(first, last + 1)]
         return spark.read.schema(stored).option("basePath", self.arrived).parquet(*folders)
 
     def __call__(self, frames: DataFrame, batch: int) -> None:
         spark = frames.sparkSession
-        bucket = F.pmod(F.xxhash64("batch_id"), F.lit(BUCKETS)).cast("int")
-        arriving = frames.select(*FRAME.fieldNames()).withColumn("bucket", bucket)
-        arriving.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.arrived}/epoch={batch}")
+        self._tidy(spark, batch)
+        frames.select(*FRAME.fieldNames()).write.mode("overwrite").parquet(f"{self.arrived}/epoch={batch}")
 
         done = read_snapshot(spark, self.released, table("batch_id string, epoch long")).filter(F.col("epoch") < batch)
         still_open = read_snapshot(spark, f"{self.open}/epoch={batch - 1}", table("batch_id string, first long"))
-        now = self._arrived_since(spark, batch, batch).select("bucket", "batch_id").distinct()
+        now = self._arrived_since(spark, batch, batch).select("batch_id").distinct()
         touched = now.join(done, "batch_id", "left_anti").join(still_open, "batch_id", "left")
         seen = touched.agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("batches")).first()
 
         arrived = self._arrived_since(spark, batch if seen["first"] is None else seen["first"], batch)
-        wanted = touched.select("bucket", "batch_id")
+        wanted = touched.select("batch_id")
         wanted = F.broadcast(wanted) if seen["batches"] <= BROADCAST_BATCHES else wanted
-        candidates = arrived.join(wanted, ["bucket", "batch_id"], "left_semi")
-        rows = candidates.dropDuplicates(["bucket", "batch_id", "row_no"])
+        candidates = arrived.join(wanted, "batch_id", "left_semi")
+        rows = candidates.dropDuplicates(["batch_id", "row_no"])
         sizes = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("expected_rows").alias("expected"))
         sizes.filter("n = expected").select("batch_id").write.mode("overwrite").parquet(f"{self.released}/epoch={batch}")
         ready = spark.read.schema("batch_id string").parquet(f"{self.released}/epoch={batch}")
@@ -126,7 +144,7 @@ class FramedBatches:
         kept = still_open.unionByName(opened).groupBy("batch_id").agg(F.min("first").alias("first"))
         kept.join(ready, "batch_id", "left_anti").write.mode("overwrite").parquet(f"{self.open}/epoch={batch}")
         if not ready.isEmpty():
-            self.release(rows.join(ready, "batch_id", "left_semi").drop("bucket", "epoch"), batch)
+            self.release(rows.join(ready, "batch_id", "left_semi").drop("epoch"), batch)
 
     def start(self, frames: DataFrame, checkpoint: str, trigger: dict = CATCH_UP) -> StreamingQuery:
         writer = frames.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorwatch.operators.forest import IsolationForest
 from sensorwatch.operators.refine import refine
-from sensorwatch.sources import messages
+from sensorwatch.sources import files, messages
 from sensorwatch.streaming import jobs
 
 
@@ -125,8 +125,36 @@ def test_alert_stream(spark, folder):
     assert {r["id"]: r["zone"] for r in live.collect()} == {2: "above", 3: "below"}
 
 
-def test_live_trigger_is_fifteen_seconds():
-    assert jobs.LIVE == {"processingTime": "15 seconds"}
+def test_live_trigger_runs(spark, folder):
+    spark.range(20).write.parquet(f"{folder}/in")
+    live = jobs.to_files(spark.readStream.schema("id long").parquet(f"{folder}/in"), f"{folder}/out", f"{folder}/checkpoint", jobs.LIVE)
+    try:
+        live.processAllAvailable()
+        assert spark.read.parquet(f"{folder}/out").count() == 20
+    finally:
+        live.stop()
+
+
+def test_framing_keeps_no_more_than_is_open(spark, folder):
+    """Each micro-batch completes the batch begun in the one before; folders do not pile up."""
+    done = []
+    framed = jobs.FramedBatches(folder, lambda rows, n: done.append((n, rows.count())), replay=3)
+    frame = lambda k, part: (f"b{k}", 2, str(part), "{}")
+    for k in range(12):
+        rows = [frame(k, 0)] + ([frame(k - 1, 1)] if k else [])
+        framed(spark.createDataFrame(rows, "batch_id string, expected_rows long, row_no string, payload string").coalesce(1), k)
+        assert len(files.numbered(spark, f"{folder}/arrived", "epoch")) <= 3
+        assert len(files.numbered(spark, f"{folder}/open", "epoch")) <= 2 and len(files.numbered(spark, f"{folder}/released", "epoch")) <= 4
+    assert done == [(k, 2) for k in range(1, 12)]
+
+
+def test_updates_are_folded(spark, folder):
+    for k in range(3):
+        spark.createDataFrame([(1, k), (10 + k, k)], "id long, v long").write.parquet(f"{folder}/u/batch={k}")
+    schema = spark.createDataFrame([], "id long, v long").schema
+    jobs.fold_updates(spark, f"{folder}/u", schema, ["id"])
+    assert files.numbered(spark, f"{folder}/u", "batch") == [2]
+    assert sorted(map(tuple, jobs.read_latest(spark, f"{folder}/u", schema, ["id"]).collect())) == [(1, 2), (10, 0), (11, 1), (12, 2)]
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
