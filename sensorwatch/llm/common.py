@@ -42,6 +42,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """rows with columns that are computed once for each row: a generator's output is not copied into the filters and expressions above it."""
+    return rows.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorwatch.llm.common import with_once
+
 ROUNDS = 8
 #: Patterns of the formats, tried in this order at each place.
 CARD = r"\d(?:[ -]?\d){12,18}"
@@ -187,13 +189,12 @@ def pseudonym(value: Column, key: str) -> Column:
 def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """docs with the text rewritten, `n_replaced`, and `replaced`: kind and pseudonym of each value, in order of place."""
     text = F.col(text_col)
-    found = F.when(text.rlike(CANDIDATE), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
-    rows = docs.withColumn("_found", found)
-    rows = rows.withColumn("_new", F.transform("_found", lambda v: pseudonym(v, key)))
+    rows = with_once(docs, _found=F.when(text.rlike(CANDIDATE), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))))
+    rows = with_once(rows, _new=F.transform("_found", lambda v: pseudonym(v, key)))
     around = F.split(text, CANDIDATE, -1)
     shown = F.zip_with("_new", "_found", lambda n, v: F.coalesce(n["text"], v))
     built = F.concat(F.array_join(F.zip_with(F.slice(around, F.lit(1), F.size("_found")), shown, lambda a, b: F.concat(a, b)), ""), F.element_at(around, -1))
-    replaced = F.filter("_new", lambda n: n["text"].isNotNull())
-    rows = rows.withColumns({"n_replaced": F.coalesce(F.size(replaced), F.lit(0)).cast("long"), "replaced": F.coalesce(replaced, F.array().cast("array<struct<kind:string,text:string>>"))})
-    rows = rows.withColumn("n_replaced", F.greatest("n_replaced", F.lit(0)))
+    none = F.array().cast("array<struct<kind:string,text:string>>")
+    rows = rows.withColumn("replaced", F.coalesce(F.filter("_new", lambda n: n["text"].isNotNull()), none))
+    rows = rows.withColumn("n_replaced", F.size("replaced").cast("long"))
     return rows.withColumn(text_col, F.when(F.col("_found").isNotNull(), built).otherwise(text)).drop("_found", "_new")
