@@ -1,8 +1,7 @@
 """Forecast models of weekly statistics and of the control bands."""
 
 import sys
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -152,36 +151,32 @@ def grouped_linear_fit(df: DataFrame, target: str, features: Sequence[str], keys
 
 
 def grouped_predict(df: DataFrame, fits: DataFrame, features: Sequence[str], keys: Sequence[str], prediction: str,
-                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Apply the fit of each row's group; the fits are one row per group."""
+                    max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[int, int] | None = None) -> DataFrame:
+    """Apply the fit of each row's group; the fits are one row per group. `hot` names hot groups already known."""
+    hot = hot_groups(df, keys, max_group_rows) if hot is None else hot
     parts = fits.select(*keys, F.col("coefficients").alias("_w"), F.col("intercept").alias("_b"))
-    joined = attach(df, parts, keys, hot_groups(df, keys, max_group_rows), max_group_rows)
+    joined = attach(df, parts, keys, hot, max_group_rows)
     value = F.col("_b")
     for i, f in enumerate(features):
         value = value + F.col("_w")[i] * F.col(f)
     return joined.withColumn(prediction, value).drop("_w", "_b")
 
 
-@dataclass
-class BandForecaster:
-    """Two linear models, for the moving average and the deviation, with an alarm level for each."""
+def holdout_errors(df: DataFrame, target: str, features: Sequence[str], keys: Sequence[str], ident: str, more_than: int = 20) -> DataFrame:
+    """Per group: a regression on its training rows and the mean squared error on its other rows.
 
-    features: Sequence[str] = tuple(BAND_FEATURES)
-    ma_upper: float = 115.0
-    std_upper: float = 10.0
-    ma_model: PipelineModel | None = None
-    std_model: PipelineModel | None = None
-
-    def train(self, df: DataFrame, ma: str = "ma", std: str = "std") -> "BandForecaster":
-        self.ma_model = linear_model(df, ma, self.features, "pred_ma")
-        self.std_model = linear_model(df, std, self.features, "pred_std")
-        return self
-
-    def predict(self, df: DataFrame) -> DataFrame:
-        return apply_model(self.std_model, apply_model(self.ma_model, df))
-
-    def alarms(self, df: DataFrame) -> DataFrame:
-        predicted = self.predict(df)
-        return predicted.withColumns(
-            {"ma_alarm": F.col("pred_ma") > self.ma_upper, "std_alarm": F.col("pred_std") > self.std_upper}
-        )
+    Nothing is fitted unless there are more than `more_than` groups. The split is repeatable, by `ident`.
+    """
+    train, test = split_rows(df.na.drop(subset=[target, *features]), ident)
+    enough = df.select(*keys).distinct().agg(F.count(F.lit(1)) > more_than).scalar()
+    fits = grouped_linear_fit(train, target, features, keys).filter(enough)
+    predicted = grouped_predict(test, fits, features, keys, "_predicted", hot={})
+    return mean_squared_error(predicted, target, "_predicted", keys)
+
+
+def level_alarms(train: DataFrame, df: DataFrame, levels: Mapping[str, float], features: Sequence[str] = tuple(BAND_FEATURES)) -> DataFrame:
+    """`pred_<target>` and `<target>_alarm` (prediction above the level) for any number of targets, each with a linear model of its own."""
+    for target, level in levels.items():
+        df = apply_model(linear_model(train, target, features, f"pred_{target}"), df)
+        df = df.withColumn(f"{target}_alarm", F.col(f"pred_{target}") > level)
+    return df

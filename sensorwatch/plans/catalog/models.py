@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ...operators import forecast as fc
 from ...operators import rollup, spc
+from ...operators.alarms import band_point_alarms
 from ...operators.encode import CategoryCodes
 from ...operators.forest import ForestModel, IsolationForest, contamination_sweep
 from ...operators.refine import fill_missing, model_columns
@@ -227,13 +228,58 @@ def residual_summary(spark, folder):
     return summary.withColumns({c: rounded(c) for c in ("mean", "stddev", "lowest", "highest", "r2")})
 
 
-@query("M9_band_forecaster")
+_BAND_MEANS = """, bands AS (SELECT lot, week, avg(domecasegap) AS domecasegap, avg(stitcharea) AS stitcharea, avg(ma) AS ma, avg(std) AS std FROM full_rows GROUP BY lot, week)"""
+
+
+def _predicted_sql(fit):
+    return f"({fit}.my + {fit}.w1 * (r.domecasegap - {fit}.m1) + {fit}.w2 * (r.stitcharea - {fit}.m2))"
+
+
+@query(
+    "M9_band_forecaster",
+    f"WITH {_CHART}{_BAND_MEANS}, " + ", ".join(f"f{t} AS (" + _SOLVED.format(keys="", y=t, source="bands", group="") + ")" for t in ("ma", "std"))
+    + f""" SELECT lot, CAST(week AS BIGINT) AS week, CAST(CAST({_predicted_sql("fma")} AS FLOAT) AS DOUBLE) AS pred_ma, CAST(CAST({_predicted_sql("fstd")} AS FLOAT) AS DOUBLE) AS pred_std,
+    {_predicted_sql("fma")} > 60 AS ma_alarm, {_predicted_sql("fstd")} > 55 AS std_alarm FROM bands r, fma, fstd""",
+)
 def band_forecaster(spark, folder):
     """Weekly means of the bands, both targets predicted and held against their alarm levels."""
     weekly = _chart(spark, folder).groupBy("lot", "week").agg(*[F.avg(c).alias(c) for c in ("domecasegap", "stitcharea", "ma", "std")])
     weekly = staged(weekly, "bands")
-    predictor = fc.BandForecaster(["week", "domecasegap", "stitcharea"], ma_upper=60.0, std_upper=55.0).train(weekly)
-    return predictor.alarms(weekly)
+    found = fc.level_alarms(weekly, weekly, {"ma": 60.0, "std": 55.0}, ["domecasegap", "stitcharea"])
+    return found.select("lot", F.col("week").cast("long").alias("week"), rounded("pred_ma").alias("pred_ma"), rounded("pred_std").alias("pred_std"), "ma_alarm", "std_alarm")
+
+
+_TRAIN, _TEST = "(seq * 7919 + 42) % 100 < 80", "(seq * 7919 + 42) % 100 >= 80"
+
+
+@query(
+    "M2_heldout_error_per_group",
+    f"WITH {_CHART}, solved AS (" + _SOLVED.format(keys="lot,", y="ma", source=f"full_rows WHERE {_TRAIN}", group="GROUP BY lot")
+    + f""") SELECT r.lot, CAST(CAST(avg((r.ma - {_predicted_sql("solved")}) ** 2) AS FLOAT) AS DOUBLE) AS mse FROM (SELECT * FROM full_rows WHERE {_TEST}) r JOIN solved ON solved.lot = r.lot
+    WHERE (SELECT count(DISTINCT lot) FROM full_rows) > 20 GROUP BY r.lot""",
+)
+def heldout_error_per_group(spark, folder):
+    """A regression for each group on 80 % of its rows, its error on the others; only with more than 20 groups."""
+    errors = fc.holdout_errors(_chart(spark, folder), "ma", ["domecasegap", "stitcharea"], ["lot"], "seq")
+    return errors.withColumn("mse", rounded("mse"))
+
+
+@query(
+    "L6_alarms_of_predictions",
+    f"WITH {_CHART}, " + ", ".join(f"f{t} AS (" + _SOLVED.format(keys="lot,", y=t, source="full_rows", group="GROUP BY lot") + ")" for t in ("ma", "std"))
+    + f""", g AS (SELECT avg(ma - 2 * std) AS lo, avg(ma + 2 * std) AS hi FROM full_rows), p AS (SELECT seq, {_predicted_sql("fma")} + 2 * {_predicted_sql("fstd")} AS predicted
+    FROM full_rows r JOIN fma ON fma.lot = r.lot JOIN fstd ON fstd.lot = r.lot)
+    SELECT seq, CAST(CAST(predicted AS FLOAT) AS DOUBLE) AS predicted, predicted < lo OR predicted > hi AS alarm FROM p, g""",
+)
+def alarms_of_predictions(spark, folder):
+    """Predicted mean and deviation of each row's group, held against the mean band."""
+    rows, features = staged(_chart(spark, folder), "chart"), ["domecasegap", "stitcharea"]
+    predicted = rows
+    for target in ("ma", "std"):
+        predicted = fc.grouped_predict(predicted, fc.grouped_linear_fit(rows, target, features, ["lot"]), features, ["lot"], f"pred_{target}", hot={})
+    band = rows.agg(F.avg(F.col("ma") - 2 * F.col("std")).alias("spc_lower"), F.avg(F.col("ma") + 2 * F.col("std")).alias("spc_upper"))
+    found = band_point_alarms(predicted, "pred_ma", "pred_std", band)
+    return found.select("seq", rounded("predicted").alias("predicted"), "alarm")
 
 
 @query(

@@ -162,7 +162,7 @@ def test_boosted_model_survives_storage(spark, folder):
 
 def test_band_forecaster_alarms(spark):
     rows = spark.range(40).select(F.col("id").cast("double").alias("week"), (F.col("id") * 4).cast("double").alias("ma"), (F.col("id") / 4).alias("std"))
-    found = fc.BandForecaster(["week"]).train(rows).alarms(rows)
+    found = fc.level_alarms(rows, rows, {"ma": 115.0, "std": 10.0}, ["week"])
     assert found.filter("ma_alarm").count() == 11 and found.filter("std_alarm").count() == 0
 
 
