@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorwatch.llm.common import new_folder
+from sensorwatch.llm.common import new_folder, staged
 from sensorwatch.llm.cross_polytope import nearest
 from sensorwatch.llm.decontamination import contaminated
 from sensorwatch.llm.line_dedup import dedup_lines
@@ -35,7 +35,7 @@ def op2_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents come in; those labelled toxic are withdrawn; those of low quality are counted anew with single blanks; every batch is sent twice."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     rollup = TokenRollup(spark, new_folder(spark, "rollup"))
-    low = labels.where("quality = 0").select("doc_id")
+    low = staged(labels.where("quality = 0").select("doc_id"), "low")
     revised = docs.join(low, "doc_id", "left_semi").withColumn("text", F.regexp_replace(F.trim("text"), r"\s+", " "))
     for _ in range(2):
         rollup.commit("arrivals", inserted=docs)
