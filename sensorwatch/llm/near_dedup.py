@@ -242,6 +242,7 @@ class SetStore:
         ids = left.select("id").unionByName(right.select("id")).distinct()
         if self.sets is not None:
             ids = ids.join(self.sets, "id", "left_anti")
+        ids = staged(ids, "wanted")  # a table of known size: while it is small, Spark broadcasts it and leaves the texts where they are
         found = staged(self.texts.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets, "id long, shingles binary"), "sets")
         self.sets = found if self.sets is None else self.sets.unionByName(found)
         return staged(in_blocks(left, right, BLOCK, self.sets).mapInArrow(_verify(percent), "a long, b long"), "verified")
