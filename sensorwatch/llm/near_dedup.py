@@ -118,27 +118,46 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shingles, pa.binary())], names=["id", "shingles"])
 
 
+class Union:
+    """Union-find over the components of a block: `join` says whether it has merged two."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (above := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(above, above)
+            x = above
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
 def _verify(percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each left row with the first right row that its full set links it to; all right rows of a key lie in one component."""
+        """Links between components of a block that the full sets of a left and a right row prove; as many as join them, no more."""
         for table in groups(batches):
-            ids, sides = table.column("id").to_numpy(), table.column("side").to_numpy()
+            ids, sides, of = (table.column(c).to_numpy() for c in ("id", "side", "component"))
             sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
             left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
             sizes = np.array([len(sets[k]) for k in right])
             values = np.concatenate([sets[k] for k in right])
             order = np.argsort(values, kind="stable")
             values, owners = values[order], np.repeat(np.arange(len(right)), sizes)[order]
-            a, b = [], []
+            a, b, union = [], [], Union()
             for k in left:
                 low, high = np.searchsorted(values, sets[k], "left"), np.searchsorted(values, sets[k], "right")
                 n = high - low
                 spots = np.arange(n.sum()) + np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
                 shared = np.bincount(owners[spots], minlength=len(right))
-                linked = np.flatnonzero(100 * shared >= percent * (len(sets[k]) + sizes - shared))
-                if len(linked):
-                    a.append(ids[k])
-                    b.append(ids[right[linked[0]]])
+                linked = right[(100 * shared >= percent * (len(sets[k]) + sizes - shared)) & (of[right] != of[k])]
+                for t in linked[np.unique(of[linked], return_index=True)[1]]:
+                    if union.join(int(of[k]), int(of[t])):
+                        a.append(ids[k])
+                        b.append(ids[t])
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -149,13 +168,13 @@ def _compare(percent: int, miss: float):
     least = least_matches(miss, percent / 100)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For a block of a bucket: the leaders with an open pair (x, y null), and the pairs of components that hold one (x < y)."""
+        """For a block of a bucket: the leaders with an open pair (id, component), and as many pairs of components as join those that hold one."""
         for table in groups(batches):
             ids, sides, of = (table.column(c).to_numpy() for c in ("id", "side", "component"))
             size = table.column("size").to_numpy()
             signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u2").reshape(-1, HASHES)
             right = np.flatnonzero(sides == 1)
-            active, pairs = set(), set()
+            active, pairs, union = {}, [], Union()
             for k in np.flatnonzero(sides == 0):
                 alive = right[(of[right] != of[k]) & (100 * np.minimum(size[right], size[k]) >= percent * np.maximum(size[right], size[k]))]
                 matches = np.zeros(len(alive), np.int64)
@@ -164,10 +183,10 @@ def _compare(percent: int, miss: float):
                     matches += (signs[alive, part] == signs[k, part]).sum(axis=1)
                     alive, matches = alive[matches >= low], matches[matches >= low]
                 if len(alive):
-                    active.add((int(ids[k]), int(of[k])))
+                    active[int(ids[k])] = int(of[k])
                     active.update(zip(ids[alive].tolist(), of[alive].tolist()))
-                    pairs.update((min(int(of[k]), c), max(int(of[k]), c)) for c in of[alive].tolist())
-            rows = [(True, *x) for x in active] + [(False, *x) for x in pairs]
+                    pairs += [(False, int(of[k]), c) for c in np.unique(of[alive]).tolist() if union.join(int(of[k]), c)]
+            rows = [(True, *x) for x in active.items()] + pairs
             if rows:
                 kind, x, y = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(kind, pa.bool_()), pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["is_id", "x", "y"])
@@ -212,7 +231,8 @@ def _links(texts: DataFrame, leaders: DataFrame, percent: int, miss: float) -> D
     best = candidates.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a"))
     best = staged(best.select(F.col("a").alias("key"), F.col("b").alias("id")), "best")
     sets = SetStore(texts)
-    first = sets.linked(best, best.select("key", F.col("key").alias("id")).distinct(), percent)
+    hub = F.col("key").alias("id"), F.col("key").alias("component")
+    first = sets.linked(best.withColumn("component", F.col("id")), best.select("key", *hub).distinct(), percent)
     of = components(first)
     # What is left: pairs of one bucket in different components. Most buckets hold one component and end here.
     member = shared.join(of.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
@@ -222,14 +242,12 @@ def _links(texts: DataFrame, leaders: DataFrame, percent: int, miss: float) -> D
     blocks = in_blocks(member.where("component <> main").drop("main"), member.drop("main"), BLOCK, leaders)
     found = staged(blocks.mapInArrow(_compare(percent, miss), "is_id boolean, x long, y long").distinct(), "open")
     active = found.where("is_id").select(F.col("x").alias("id"), F.col("y").alias("component"))
-    number = active.groupBy("component").agg(F.count("*").alias("n"))
-    pairs = found.where("not is_id").join(number.withColumnsRenamed({"component": "x", "n": "nx"}), "x").join(number.withColumnsRenamed({"component": "y", "n": "ny"}), "y")
-    # The larger component of a pair is the group; the smaller one's documents are compared with it.
-    larger = F.col("nx") >= F.col("ny")
-    pairs = staged(pairs.select(F.when(larger, F.col("x")).otherwise(F.col("y")).alias("key"), F.when(larger, F.col("y")).otherwise(F.col("x")).alias("component")), "pairs")
-    left = active.join(pairs, "component").select("key", "id")
-    right = active.join(pairs.select("key").distinct().withColumnRenamed("key", "component"), "component").select(F.col("component").alias("key"), "id")
-    return first.unionByName(sets.linked(left, right, percent))
+    # Components that open pairs connect are verified together: all but those of the largest one against all.
+    together = components(found.where("not is_id"), "x", "y").select(F.col("node").alias("component"), F.col("component").alias("key"))
+    active = staged(active.join(together, "component").select("key", "id", "component"), "active")
+    number = active.groupBy("key", "component").count()
+    main = number.groupBy("key").agg(F.max_by("component", F.struct("count", -F.col("component"))).alias("main"))
+    return first.unionByName(sets.linked(active.join(main.hint("rebalance"), "key").where("component <> main").drop("main"), active, percent))
 
 
 class SetStore:
