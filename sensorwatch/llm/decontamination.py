@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorwatch.llm.common import with_once
+
 WINDOW, PERCENT = 5, 75
 
 #: Unit words that count as units after a number.
@@ -33,27 +35,33 @@ UNITS = (
 NUMBER, NAME, UNIT = "<n>", "<p>", "<u>"
 
 
-def template_text(text: Column) -> tuple[Column, Column]:
-    """(values, template): two texts of equally many tokens with one blank between them."""
-    text = F.coalesce(text, F.lit(""))
+#: What stands between words: ASCII, Latin-1, general and ideographic marks and blanks, without U+0001 and U+0002, which mark names and decimals.
+BETWEEN = "[\\x00\\x03-\\x2f\\x3a-\\x60\\x7b-\\xa9\\xab-\\xb4\\xb6-\\xb9\\xbb-\\xbf\\u2000-\\u206f\\u3000-\\u303f]+"
+
+
+def with_template(texts: DataFrame) -> DataFrame:
+    """texts (.., text) with `words` and `template`: two texts of equally many tokens with one blank between them."""
+    text = F.coalesce("text", F.lit(""))
     # A capital after a sentence's end, a line's end or at the text's start says nothing: such words are lowered.
     # A name is a capitalised word that follows a lower-case word or a comma; it is marked before the case is lost.
-    marked = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{Nd},;][ \t]{1,3})", "\u0001")
-    marked = F.lower(F.regexp_replace(marked, r"[.,](?<=\p{Nd}[.,])(?=\p{Nd})", "\u0002"))
-    words = F.trim(F.regexp_replace(marked, "[^\\p{L}\\p{M}\\p{Nd}\u0001\u0002]+", " "))
+    marked = F.regexp_replace(text, r"[ \t](?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{Nd},;][ \t]{1,3})", " \u0001")
+    rows = with_once(texts, marked=F.lower(marked)).drop("text")
+    rows = with_once(rows, numbers=F.col("marked").rlike(r"\p{Nd}"))
+    decimals = F.regexp_replace("marked", r"[.,](?<=\p{Nd}[.,])(?=\p{Nd})", "\u0002")
+    marked = F.when(F.col("numbers"), decimals).otherwise(F.col("marked"))
+    rows = with_once(rows, words=F.trim(F.regexp_replace(marked, BETWEEN, " "))).drop("marked")
+    names = F.when(F.contains("words", F.lit("\u0001")), F.regexp_replace("words", "\u0001[^ ]+", NAME)).otherwise(F.col("words"))
     units = "|".join(UNITS)
-    template = F.regexp_replace(words, "(?<![^ ])\u0001[^ ]+", NAME)
-    template = F.regexp_replace(template, "(?<![^ ])[+-]?\\p{Nd}[^ ]*", NUMBER)
-    template = F.regexp_replace(template, f"(?<={NUMBER} )(?:{units})(?![^ ])", UNIT)
-    return words, template
+    counted = F.regexp_replace(F.regexp_replace(names, "(?<![^ ])\\p{Nd}[^ ]*", NUMBER), f"(?<={NUMBER} )(?:{units})(?![^ ])", UNIT)
+    return with_once(rows, template=F.when(F.col("numbers"), counted).otherwise(names)).drop("numbers")
 
 
 def windows(texts: DataFrame, name: str, extra: str) -> DataFrame:
     """(name, window, slots): a row for each window of each text; slots: the values of a window with placeholders, else null."""
-    values, template = template_text(F.col("text"))
-    rows = texts.select(name, values.alias("words"), template.alias("template")).where("template <> ''")
-    rows = rows.select(name, F.split("template", " ").alias("tokens"), F.when(F.instr("template", "<") > 0, F.split("words", " ")).alias("values"))
-    rows = rows.where(F.size("tokens") >= WINDOW).withColumn("hashes", F.transform("tokens", lambda x: F.xxhash64(x)))
+    rows = with_template(texts.select(name, "text")).where("template <> ''")
+    values = F.when(F.contains("template", F.lit("<")), F.split("words", " "))
+    rows = with_once(rows, tokens=F.split("template", " "), values=values).drop("words", "template").where(F.size("tokens") >= WINDOW)
+    rows = with_once(rows, hashes=F.transform("tokens", lambda x: F.xxhash64(x)))
     # Slots are read before the rows are made, so that a row carries its own window only.
     window = lambda k: F.struct(F.xxhash64(*(F.get("hashes", k + i) for i in range(WINDOW))).alias("window"), slot_values(k).alias(extra))
     rows = rows.select(name, F.explode(F.transform(F.sequence(F.lit(0), F.size("tokens") - WINDOW), window)).alias("w"))
