@@ -50,6 +50,8 @@ SWAP, JOIN, SQUEEZE, MARK = 1.5, 0.5, 1.0, 4.0
 
 _LETTER = r"[^\W\d_]"
 _SPACED = re.compile(rf"(?<!\S)(?:{_LETTER}|[0-9@$!|+])(?:[ .\-_*]+(?:{_LETTER}|[0-9@$!|+])){{2,}}(?![^\s.,;:!?])")
+_LETTERS, _RUN = re.compile(_LETTER + "+"), re.compile(r"(.)\1\1")
+_CLOSING, _OPENING = ".,;:!?\"')]%*&", "\"'(["
 _EDGES = re.compile(r"^[^\w@$!|+(€£¡]+|[^\w@$]+$")
 _DISGUISED = re.compile(rf"{_LETTER}[^\s]*[0-9@$!|+(€£¡*_.\-]|[0-9@$!|+(€£¡][^\s]*{_LETTER}|({_LETTER})\1\1")
 
@@ -74,6 +76,11 @@ def _code_table() -> np.ndarray:
     return table
 
 
+@lru_cache(1)
+def _code_list() -> list[int]:
+    return _code_table().tolist()
+
+
 def codes(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     return _code_table()[np.minimum(points, 0xFFFF)]
@@ -132,17 +139,18 @@ def lattice(token: str, spaced: bool) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(token: str, model: np.ndarray, spaced: bool = False) -> str:
-    """The likeliest letters of the token's lattice, blanks where marks stand for themselves."""
+def decode(token: str, model: np.ndarray | list, spaced: bool = False) -> str:
+    """The likeliest letters of the token's lattice, blanks where marks stand for themselves. A model as nested lists is read faster."""
+    table, costs = _code_list(), model if isinstance(model, list) else model.tolist()
     best: dict[tuple[int, int], tuple[float, tuple]] = {(OUTSIDE, OUTSIDE): (0.0, ())}
     for ways in [*lattice(token, spaced), [(" ", 0.0)]]:
         following: dict[tuple[int, int], tuple[float, tuple]] = {}
         for letters, cost in ways:
-            steps = [int(x) for x in codes(letters)]
+            steps = [table[min(ord(c), 0xFFFF)] for c in letters]
             for (a, b), (before, path) in best.items():
                 total = before + cost
                 for c in steps:
-                    total += float(model[a, b, c])
+                    total += costs[a][b][c]
                     a, b = b, c
                 if (a, b) not in following or total < following[a, b][0]:
                     following[a, b] = (total, (path, letters))
@@ -158,42 +166,48 @@ def decode(token: str, model: np.ndarray, spaced: bool = False) -> str:
 
 
 def _word_features(word: str) -> list[str]:
-    return [word, *(f"^{word[:n]}" for n in (4, 5) if len(word) >= n)]
+    return [word, "^" + word[:4], "^" + word[:5]] if len(word) >= 5 else [word, "^" + word] if len(word) == 4 else [word]
 
 
 class Reader:
-    """The feature hashes of a text. Tokens seen before are looked up."""
+    """What a text's tokens are worth. Each token is read once and then known; tokens of no worth are only remembered as seen."""
 
     def __init__(self, model: np.ndarray, value):
-        """value: of a list of features, what is kept for a token."""
-        self.model, self.value = model, value
+        """value: of a list of features, what is kept for a token; empty or zero for nothing."""
+        self.model, self.value = model.tolist(), value
         self.known: dict[str, object] = {}
+        self.seen: set[str] = set()
 
     def _read(self, token: str):
+        plain = token.rstrip(_CLOSING).lstrip(_OPENING)
+        if plain.isalpha() and not _RUN.search(plain):
+            return self.value(_word_features(plain)) if len(plain) >= 3 else None
         plain = _EDGES.sub("", token)
-        if _DISGUISED.search(plain):
-            words = decode(plain, self.model).split()
-        else:
-            words = re.findall(_LETTER + "+", plain)
+        words = decode(plain, self.model).split() if _DISGUISED.search(plain) else _LETTERS.findall(plain)
+        return self._worth(words)
+
+    def _worth(self, words: list[str]):
         return self.value([f for w in words if len(w) >= 3 for f in _word_features(w)])
 
     def values(self, text: str | None) -> list:
         tokens = (text or "").lower().split()
-        known = self.known
-        if len(known) > CACHED_TOKENS:
-            known.clear()
+        found = set(tokens)
+        new = found - self.seen
+        if len(self.seen) + len(new) > CACHED_TOKENS:
+            self.seen, self.known, new = set(), {}, found
         out = []
-        for token in set(tokens):
-            got = known.get(token)
-            if got is None:
-                got = self._read(token)
-                if len(token) < 64:
-                    known[token] = got
-            out.append(got)
-        if sum(len(t) == 1 for t in tokens) >= 3:
-            for found in set(_SPACED.findall(" ".join(tokens))):
-                words = decode(found, self.model, spaced=True).split()
-                out.append(self.value([f for w in words if len(w) >= 3 for f in _word_features(w)]))
+        for token in new:
+            got = self._read(token)
+            if len(token) >= 64:
+                out += [got] if got else []
+                continue
+            self.seen.add(token)
+            if got:
+                self.known[token] = got
+        out += [self.known[token] for token in self.known.keys() & found]
+        if min(map(len, found), default=2) == 1 and _SPACED.search(text := " ".join(tokens)):
+            worth = [self._worth(decode(x, self.model, spaced=True).split()) for x in set(_SPACED.findall(text))]
+            out += [x for x in worth if x]
         return out
 
 
@@ -247,12 +261,31 @@ def _weights(table, positive: int, negative: int, toxic: str, other: str) -> dic
     return dict(zip(table.feature.to_numpy()[at].tolist(), odds[at].tolist()))
 
 
+def _largest(weights: dict[int, float]):
+    """The largest weight of a list of features. Prefixes, of which there are few, are hashed once."""
+    prefixes: dict[str, float] = {}
+
+    def largest(features: list[str]) -> float:
+        best = 0.0
+        for f in features:
+            got = prefixes.get(f)
+            if got is None:
+                got = weights.get(xxhash.xxh3_64_intdigest(f) >> 1, 0.0)
+                if f[0] == "^":
+                    prefixes[f] = got
+            if got > best:
+                best = got
+        return best
+
+    return largest
+
+
 def _strongest(shared, extra: int):
     """Batches (text, ...) -> the other columns and the three largest token weights."""
 
     def strongest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, weights = shared.value
-        reader = Reader(model, lambda fs: max((weights.get(xxhash.xxh3_64_intdigest(f) >> 1, 0.0) for f in fs), default=0.0))
+        reader = Reader(model, _largest(weights))
         for batch in text_batches(batches):
             top = np.zeros((batch.num_rows, 3))
             for k, text in enumerate(batch.column(0).to_pylist()):
