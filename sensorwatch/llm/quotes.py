@@ -105,13 +105,18 @@ def _threads(rows: DataFrame, placed: DataFrame, links: DataFrame) -> DataFrame:
     before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("previous"))
     reply = turns.join(before, ["conv_id", "turn"], "left").join(links.select("conv_id", "turn", "answered"), ["conv_id", "turn"], "left")
     reply = staged(reply.select("conv_id", "turn", F.coalesce("answered", "previous").alias("reply_turn")), "replies")
-    pointer = reply.select("conv_id", "turn", F.coalesce("reply_turn", "turn").alias("reached"), F.col("reply_turn").isNotNull().cast("long").alias("depth"))
+    is_root = F.col("reply_turn").isNull()
+    pointer = reply.select("conv_id", "turn", F.coalesce("reply_turn", "turn").alias("reached"), (~is_root).cast("long").alias("depth"), is_root.alias("done"))
     while True:
         pointer = staged(pointer, "pointers")
-        hop = pointer.select("conv_id", F.col("turn").alias("reached"), F.col("reached").alias("further"), F.col("depth").alias("more"))
-        if not pointer.join(hop, ["conv_id", "reached"]).where("further <> reached").head(1):
+        under_way = pointer.where("not done").drop("done")
+        if under_way.isEmpty():
             break
-        pointer = pointer.join(hop, ["conv_id", "reached"]).select("conv_id", "turn", F.col("further").alias("reached"), (F.col("depth") + F.col("more")).alias("depth"))
+        # A message that has reached its root rests; the others go on from where the message they have reached has got to.
+        hop = pointer.select("conv_id", F.col("turn").alias("reached"), F.col("reached").alias("further"), F.col("depth").alias("more"), "done")
+        moved = under_way.join(hop, ["conv_id", "reached"]).select("conv_id", "turn", F.col("further").alias("reached"), (F.col("depth") + F.col("more")).alias("depth"), "done")
+        pointer = pointer.where("done").unionByName(moved)
+    pointer = pointer.drop("done")
     out = rows.join(reply, ["conv_id", "turn"], "left").join(pointer.withColumnRenamed("reached", "root_turn"), ["conv_id", "turn"], "left")
     out = out.join(links.select("conv_id", "turn", "quoted"), ["conv_id", "turn"], "left")
     levels = F.array_max(F.transform("passages", lambda x: x["level"]))
