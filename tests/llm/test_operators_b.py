@@ -267,6 +267,20 @@ def test_fenwick_chains_equal_the_quadratic_recurrence():
         assert all(x[a] < x[b] and y[a] < y[b] for c in found for a, b in zip(c, c[1:]))
 
 
+def test_two_passages_of_one_pair_have_their_chains():
+    rng = np.random.default_rng(11)
+    for long, between, short in ((300, 60, 80), (600, 150, 120), (1000, 200, 200)):
+        for _ in range(20):
+            x, y = [], []
+            for start, size in ((0, long), (long + between, short)):
+                at = passages.minimizers(rng.integers(0, 1 << 60, size - passages.SEED + 1).astype(np.uint64))
+                x, y = x + [start + int(k) for k in at], y + [start + int(k) + 7 for k in at]
+            found = passages.chains(x, y)
+            assert sorted(len(c) for c in found) == sorted([sum(k < long for k in x), sum(k >= long for k in x)])
+            best = found[0]
+            assert x[best[0]] < passages.NEIGHBOURS and x[best[-1]] >= long - passages.SEED - passages.NEIGHBOURS
+
+
 def test_minimizers_cover_every_window():
     hashes = np.random.default_rng(5).integers(0, 1 << 60, 500).astype(np.uint64)
     at = set(passages.minimizers(hashes).tolist())
