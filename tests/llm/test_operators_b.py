@@ -281,6 +281,21 @@ def test_two_passages_of_one_pair_have_their_chains():
             assert x[best[0]] < passages.NEIGHBOURS and x[best[-1]] >= long - passages.SEED - passages.NEIGHBOURS
 
 
+def test_passages_whose_seeds_are_first_seen_elsewhere(spark):
+    texts, here = [], []
+    for p in range(12):  # documents 2000+ and 3000+ share 70 words; each of these runs of five also stands in an earlier document of its own
+        shared = own(f"s{p}x", 70)
+        texts += [(100 * p + k, own(f"q{p}x{k}y", 30) + shared[k : k + 5] + own(f"r{p}x{k}y", 30)) for k in range(0, 66)]
+        texts += [(i + p, own(f"a{i}x{p}y", 40) + shared + own(f"b{i}x{p}y", 40)) for i in (2000, 3000)]
+        here += [2000 + p, 3000 + p]
+    # The first document holds a run of the passage before the passage itself, and the whole passage twice.
+    twice = own("t", 80)
+    texts += [(5000, twice[20:40] + own("u", 90) + twice + own("v", 90) + twice), (5001, own("w", 60) + twice)]
+    got = repeated_passages(docs_of(spark, [(i, " ".join(w)) for i, w in texts])).collect()
+    found = sorted((r["doc_id"], r["start_word"], r["end_word"]) for r in got)
+    assert found == sorted([(i, 40, 110) for i in here] + [(5000, 110, 190), (5000, 280, 360), (5001, 60, 140)])
+
+
 def test_minimizers_cover_every_window():
     hashes = np.random.default_rng(5).integers(0, 1 << 60, 500).astype(np.uint64)
     at = set(passages.minimizers(hashes).tolist())
