@@ -6,7 +6,9 @@ words inside a sentence) and units (a unit word after a number) become typed pla
 1. Every run of five template tokens is hashed, on both sides, and the hashes are joined.
 2. Slot consistency: where a matched window holds placeholders, the item's values and the document's are paired. An item whose equal values
    meet unequal ones in the document (or the other way round) is no re-parameterised copy: its windows with slots do not count.
-3. A document is contaminated by an item when the windows that count are at least 75 % of the item's windows.
+3. Values of different places of a document are not mixed: the check is made for each alignment (difference of places in document and item), for
+   bands of neighbouring alignments, and for the whole document.
+4. A document is contaminated by an item when in one of them the windows that count are at least 75 % of the item's windows.
 
 Only DataFrame operations run here. Each document gives as many rows as it has tokens; the benchmark side is small and Spark broadcasts it
 while it is under its own limit, else the join is by shuffle, where rows of a frequent window are spread by skew handling.
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 from sensorwatch.llm.common import with_once
 
 WINDOW, PERCENT = 5, 75
+#: Places that a text may be shifted by against an item, by words put in or left out, within one alignment.
+BAND = 16
 
 #: Unit words that count as units after a number.
 UNITS = (
@@ -57,15 +61,15 @@ def with_template(texts: DataFrame) -> DataFrame:
 
 
 def windows(texts: DataFrame, name: str, extra: str) -> DataFrame:
-    """(name, window, slots): a row for each window of each text; slots: the values of a window with placeholders, else null."""
+    """(name, window, at, slots): a row for each window of each text; at: its place; slots: the values of a window with placeholders, else null."""
     rows = with_template(texts.select(name, "text")).where("template <> ''")
     values = F.when(F.contains("template", F.lit("<")), F.split("words", " "))
     rows = with_once(rows, tokens=F.split("template", " "), values=values).drop("words", "template").where(F.size("tokens") >= WINDOW)
     rows = with_once(rows, hashes=F.transform("tokens", lambda x: F.xxhash64(x)))
     # Slots are read before the rows are made, so that a row carries its own window only.
-    window = lambda k: F.struct(F.xxhash64(*(F.get("hashes", k + i) for i in range(WINDOW))).alias("window"), slot_values(k).alias(extra))
+    window = lambda k: F.struct(F.xxhash64(*(F.get("hashes", k + i) for i in range(WINDOW))).alias("window"), k.alias("at"), slot_values(k).alias(extra))
     rows = rows.select(name, F.explode(F.transform(F.sequence(F.lit(0), F.size("tokens") - WINDOW), window)).alias("w"))
-    return rows.select(name, "w.window", f"w.{extra}")
+    return rows.select(name, "w.window", "w.at", f"w.{extra}")
 
 
 def slot_values(spot: Column) -> Column:
@@ -77,26 +81,43 @@ def slot_values(spot: Column) -> Column:
     return F.when(F.col("values").isNotNull() & some, F.array_compact(F.array(*each)))
 
 
+def alignments(shift: Column) -> Column:
+    """(width, band) of each alignment that a shift of places belongs to: its own, both bands of BAND places, and the whole document (width 0)."""
+    one = lambda width, band: F.struct(F.lit(width).alias("width"), band.cast("int").alias("band"))
+    half = BAND // 2
+    return F.array(one(0, F.lit(0)), one(1, shift), one(BAND, F.floor(shift / BAND) * BAND), one(BAND, F.floor((shift + half) / BAND) * BAND - half))
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_found, n_slots, consistent, reparameterised of each contaminated document and its items."""
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")).dropDuplicates()
     items = windows(items, "item_id", "item_slots")
-    items = items.groupBy("item_id", "window").agg(F.min("item_slots").alias("item_slots"))
-    size = items.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    items = items.groupBy("item_id", "window", F.col("at").alias("item_at")).agg(F.min("item_slots").alias("item_slots"))
+    size = items.groupBy("item_id").agg(F.countDistinct("window").alias("n_windows"))
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = windows(texts, "doc_id", "slots")
-    hits = found.join(items, "window").groupBy("doc_id", "item_id", "window", "item_slots").agg(F.min("slots").alias("slots"))
+    hits = found.join(items, "window").withColumn("shift", F.col("at") - F.col("item_at"))
+    hits = hits.select("doc_id", "item_id", "window", "item_at", "at", "item_slots", "slots", F.explode(alignments(F.col("shift"))).alias("along"))
+    # One place of a window in each alignment; over the whole document, its smallest values.
+    place = F.min(F.struct("item_at", "at", "item_slots", "slots"))
+    hits = hits.groupBy("doc_id", "item_id", "along", "window").agg(place.alias("place"), F.min("item_slots").alias("item_least"), F.min("slots").alias("least"))
+    whole = F.col("along.width") == 0
+    values = {"item_slots": F.when(whole, F.col("item_least")).otherwise(F.col("place.item_slots")), "slots": F.when(whole, F.col("least")).otherwise(F.col("place.slots"))}
+    hits = hits.withColumns(values)
     # The pairs of values of a document and an item: a function both ways when they are consistent.
     pairs = F.flatten(F.collect_set(F.zip_with("item_slots", "slots", lambda i, d: F.struct(i.alias("i"), d.alias("d")))))
-    per = hits.groupBy("doc_id", "item_id").agg(
+    per = hits.groupBy("doc_id", "item_id", "along").agg(
         F.count("*").alias("n_all"), F.count(F.when(F.col("item_slots").isNull(), 1)).alias("n_plain"), F.array_distinct(pairs).alias("pairs")
     )
     one_way = lambda field: F.size(F.array_distinct(F.transform("pairs", lambda x: x[field])))
     per = per.withColumns({"n_slots": F.size("pairs"), "consistent": (one_way("i") == F.size("pairs")) & (one_way("d") == F.size("pairs"))})
     per = per.withColumn("n_found", F.when(F.col("consistent"), F.col("n_all")).otherwise(F.col("n_plain")))
     per = per.join(size, "item_id").where(F.col("n_found") * 100 >= F.col("n_windows") * percent)
+    # The alignment that finds most windows speaks for the document; of equal ones the widest.
+    best = F.max_by(F.struct("n_windows", "n_found", "n_slots", "consistent", "pairs"), F.struct("n_found", "consistent", whole, "along"))
+    per = per.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
     changed = F.exists("pairs", lambda x: x["i"] != x["d"])
     return per.select("doc_id", "item_id", "n_windows", "n_found", "n_slots", "consistent", (F.col("consistent") & changed).alias("reparameterised"))
 

@@ -168,6 +168,20 @@ def test_changed_questions_are_found(spark):
     assert contaminated(docs_of(spark, []), items).count() == 0 and contaminated(docs_of(spark, texts), items.limit(0)).count() == 0
 
 
+def test_values_of_different_places_are_not_mixed(spark):
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    changed = ITEM.replace("120", "85").replace("300 km", "17 miles").replace("for 2", "for 7")
+    broken = ITEM.replace("with 120", "with 85").replace("300", "9").replace("for 2", "for 9")
+    # The question before or after its variant, beside one window of its own with other values, and broken ones only; a name of two words shifts the rest.
+    texts = [
+        (1, f"{ITEM}. {changed}"), (2, f"{changed}. {ITEM}"), (3, f"{ITEM} and so on, at 1 with 2 people and more"), (4, f"{broken}. {broken}"),
+        (5, f"{changed}. well, {ITEM.replace('Anna', 'Anna Maria')}"),
+    ]
+    got = {r["doc_id"]: r for r in contaminated(docs_of(spark, texts), items).collect()}
+    assert set(got) == {1, 2, 3, 5}
+    assert all(r["consistent"] for r in got.values()) and not got[3]["reparameterised"]
+
+
 def test_exact_leaks_of_the_sample(spark):
     plain = lambda t: " " + " ".join(re.findall(r"\w+", t.lower())) + " "
     items = {r["item_id"]: plain(r["text"]) for r in spark.read.parquet(f"{SAMPLE}/benchmark.parquet").collect()}
