@@ -163,7 +163,7 @@ class LineIndex:
 
     def filters(self) -> DataFrame:
         rows = self._read("filters", "shard int, data binary, version int")
-        return rows.groupBy("shard").agg(F.max_by("data", "version").alias("data"))
+        return rows.groupBy("shard").agg(F.max_by("data", F.struct("version", F.length("data"))).alias("data"))
 
     # ---- changes
 
@@ -206,12 +206,13 @@ class LineIndex:
         least = self.min_docs
         turned = change.where((F.col("n") >= least) != (F.col("before") >= least)).select(_shard(self.shards).alias("shard"), "key", (F.col("n") >= least).alias("gained"))
         old = self.filters()
-        popular = self.popular().select(_shard(self.shards).alias("shard"), "key") if version else None
 
         def update(key, old_filter: pd.DataFrame, turned_keys: pd.DataFrame) -> pd.DataFrame:
             if turned_keys.empty:
                 return pd.DataFrame({"shard": [], "data": []})
             gained, lost = (_hash_of_keys(turned_keys.key[turned_keys.gained == g].tolist()) for g in (True, False))
+            if len(old_filter) and not len(old_filter.data.iloc[0]):
+                return pd.DataFrame({"shard": [key[0]], "data": [b""]})
             held = CuckooFilter.read(old_filter.data.iloc[0]) if len(old_filter) else CuckooFilter.sized(2 * len(gained))
             held.delete(lost)
             if not held.insert(gained):
@@ -219,15 +220,19 @@ class LineIndex:
             return pd.DataFrame({"shard": [key[0]], "data": [held.bytes()]})
 
         made = old.groupBy("shard").cogroup(turned.groupBy("shard")).applyInPandas(update, "shard int, data binary")
-        self._write(made.withColumn("version", F.lit(version)), "filters", version)
-        made = self.spark.read.schema("shard int, data binary").parquet(f"{self.path}/filters/v={version}")
-        full = [r[0] for r in made.where("length(data) = 0").select("shard").collect()] if version else []
+        # Filters that ran full come out empty here; the folder of filters gets the good ones and those built anew, once.
+        self._write(made, "filters_made", version)
+        made = self.spark.read.schema("shard int, data binary").parquet(f"{self.path}/filters_made/v={version}")
+        full = [r[0] for r in made.where("length(data) = 0").select("shard").collect()]
+        made = made.where("length(data) > 0")
         if full:
-            self._rebuild(made, change, popular, full, version)
+            made = made.unionByName(self._rebuilt(change, full))
+        self._write(made.withColumn("version", F.lit(version)), "filters", version)
 
-    def _rebuild(self, made: DataFrame, change: DataFrame, popular: DataFrame, full: list[int], version: int) -> None:
-        """Filters that ran full, built anew at twice the size from the exact table."""
+    def _rebuilt(self, change: DataFrame, full: list[int]) -> DataFrame:
+        """(shard, data) of the filters that ran full, built anew at twice the size from the exact table."""
         least = self.min_docs
+        popular = self.popular().select(_shard(self.shards).alias("shard"), "key")
         now = popular.join(change.select("key"), "key", "left_anti").unionByName(change.where(F.col("n") >= least).select(_shard(self.shards).alias("shard"), "key"))
 
         def build(key, keys: pd.DataFrame) -> pd.DataFrame:
@@ -238,29 +243,29 @@ class LineIndex:
                 held = CuckooFilter.sized(room)
             return pd.DataFrame({"shard": [key[0]], "data": [held.bytes()]})
 
-        fresh = now.where(F.col("shard").isin(full)).groupBy("shard").applyInPandas(build, "shard int, data binary")
-        self._write(fresh.withColumn("version", F.lit(version)), "filters_grown", version)
-        self.spark.read.parquet(f"{self.path}/filters_grown/v={version}").write.mode("append").parquet(f"{self.path}/filters/v={version}")
+        return now.where(F.col("shard").isin(full)).groupBy("shard").applyInPandas(build, "shard int, data binary")
 
     # ---- use
 
     def passing(self, keys: DataFrame) -> DataFrame:
         """The (key, id) rows whose key a filter holds: all popular ones, and one in several thousand others."""
-        filters = self.filters().where("length(data) > 0")
+        filters = self.filters()
         total = filters.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]
         if total > FILTER_BYTES:
             return keys
         held = self.spark.sparkContext.broadcast({r["shard"]: bytes(r["data"]) for r in filters.collect()})
 
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tables = {s: CuckooFilter.read(d) for s, d in held.value.items()}
+            tables = {s: CuckooFilter.read(d) if d else None for s, d in held.value.items()}
             for batch in batches:
                 hashes = _hash_of_keys(batch.column(0).to_pylist())
                 shard, found = batch.column(2).to_numpy(), np.zeros(batch.num_rows, bool)
                 order = np.argsort(shard, kind="stable")
                 for rows in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
                     if len(rows) and shard[rows[0]] in tables:
-                        found[rows] = tables[shard[rows[0]]].contains(hashes[rows])
+                        # An empty filter is one that cannot be read: the exact join decides about its keys.
+                        table = tables[shard[rows[0]]]
+                        found[rows] = True if table is None else table.contains(hashes[rows])
                 yield batch.filter(pa.array(found)).select([0, 1])
 
         return keys.select("key", "id", _shard(self.shards).alias("shard")).mapInArrow(probe, "key binary, id long")

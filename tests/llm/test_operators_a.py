@@ -142,6 +142,16 @@ def test_deletions_bring_lines_back(spark, folder):
     assert index.counts().where("n > 0").select("n", "keeper").collect()[0] == (4, 5)
 
 
+def test_filters_that_ran_full_are_built_anew(spark, tmp_path):
+    index = LineIndex(spark, f"{tmp_path}/grown", min_docs=2, shards=2)
+    batch = lambda first, last: [(2 * k + c, f"a line of its own, number {k}, which two documents hold") for k in range(first, last) for c in (0, 1)]
+    for name, rows in (("a", batch(0, 20)), ("b", batch(20, 600)), ("c", batch(600, 620))):
+        index.commit(name, rows_of(spark, rows))
+    kept = spark.read.parquet(f"{index.path}/filters").collect()
+    assert len({(r["shard"], r["version"]) for r in kept}) == len(kept) and all(len(r["data"]) for r in kept)
+    assert {r["doc_id"] for r in index.clean(rows_of(spark, batch(0, 620))).collect() if r["n_dropped"]} == {2 * k for k in range(620)}
+
+
 def test_cuckoo_filter_keeps_what_it_holds():
     keys = np.random.default_rng(1).integers(0, 1 << 62, 20_000).astype(np.uint64)
     held = CuckooFilter.sized(len(keys))
