@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from sensorwatch.llm.common import new_folder, staged
 from sensorwatch.llm.cross_polytope import nearest
 from sensorwatch.llm.decontamination import contaminated
+from sensorwatch.llm.languages import document_languages, fit_languages
+from sensorwatch.llm.lexical_search import SEARCH_SQL, top_documents
 from sensorwatch.llm.line_dedup import dedup_lines
 from sensorwatch.llm.near_dedup import near_duplicates
 from sensorwatch.llm.packing import pack
 from sensorwatch.llm.passages import repeated_passages
+from sensorwatch.llm.phrases import PHRASES_SQL, collocations
 from sensorwatch.llm.pseudonyms import pseudonymised
 from sensorwatch.llm.quotes import linked_conversations
 from sensorwatch.llm.rollup import TokenRollup
@@ -76,12 +79,31 @@ def op10_cuckoo_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_document_fp_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return top_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 10)
+
+
+def op12_fm_index_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
+def op13_crf_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose crc32(doc_id as text) mod 3 is not 1 are learned from; a null id is held out, too."""
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(True))
+    predicted = document_languages(docs, fit_languages(docs.where(~held_out)))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 OPERATORS = (
     op1_quotation_linking, op2_token_rollup, op3_feistel_pseudonyms, op4_template_decontamination, op5_noisy_channel_toxicity,
     op6_cross_polytope, op7_collinear_chaining, op8_minhash_bayes, op9_best_fit_packing, op10_cuckoo_line_dedup,
+    op11_document_fp_tree, op12_fm_index_collocations, op13_crf_languages,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in OPERATORS}
 SQL: dict[str, str] = {
+    "op11_document_fp_tree": SEARCH_SQL,
+    "op12_fm_index_collocations": PHRASES_SQL,
     "op10_cuckoo_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
