@@ -12,6 +12,7 @@ from ...operators.skew import exact_quantiles
 from ...schemas import CATEGORIES
 from ...session import scratch_path, staged
 from . import bindings as b
+from .forest_twin import draw_ctes, labelled_ctes
 from .registry import query, rounded
 
 SEED = 917
@@ -23,13 +24,81 @@ def _model_frame(spark, folder):
     return fill_missing(model_columns(CategoryCodes.fit(rows, CATEGORIES).encode(rows)))
 
 
-@query("F1_F2_outlier_labels")
+_CODE = "CASE WHEN {c} IS NULL THEN -1 ELSE dense_rank() OVER (ORDER BY {c}) - 1 END AS {c}"
+_MODEL_SQL = f"""{b.REFINED}, framed AS (SELECT week, year, batchid, tp_cell_name, domecasegap, stitcharea, test_time_sec, {", ".join(_CODE.format(c=c) for c in CATEGORIES)} FROM refined)"""
+#: A whole number for each content, the same in both engines: the start of the digest of all columns, those with cents in cents.
+_CONTENT = ["week", "year", "batchid", "tp_cell_name", "domecasegap", "stitcharea", "bodytypeid", "dometypeid", "lotnumber", "test_time_sec", "error_code_number", "pass_failed"]
+
+
+def _digest_sql(columns):
+    return "CAST('0x' || substr(md5(concat_ws('|', " + ", ".join(f"CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR)" for c in columns) + ")), 1, 15) AS BIGINT)"
+
+
+def _digest(columns):
+    text = F.concat_ws("|", *[F.round(F.col(c).cast("double") * 100).cast("long").cast("string") for c in columns])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+_SINGLE = lambda c: f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}"
+
+
+@query(
+    "F1_F2_outlier_labels",
+    f"WITH RECURSIVE {_MODEL_SQL}, numbered AS (SELECT *, {_digest_sql(_CONTENT)} AS _id FROM framed), {labelled_ctes('numbered', _CONTENT, SEED, 0.05)} "
+    f"SELECT batchid, week, year, domecasegap, stitcharea, {_SINGLE('score')}, outlier FROM labelled",
+)
 def outlier_labels(spark, folder):
+    """Draws, trees, scores, cut and labels of the 12-column model, all of them redone by the twin."""
     rows = _model_frame(spark, folder)
-    _, labelled = IsolationForest(rows.columns, SEED, contamination=0.05).fit_score(rows, rows.columns)
+    _, labelled = IsolationForest(_CONTENT, SEED, contamination=0.05).fit_score(rows, number=_digest(_CONTENT))
     return labelled.select("batchid", "week", "year", "domecasegap", "stitcharea", rounded("score").alias("score"), "outlier")
 
 
+@query("F1_forest_draws", f"WITH RECURSIVE {b.SERIES}, numbered AS (SELECT seq AS _id FROM series), {draw_ctes('numbered', SEED, 20, 256)} SELECT tree, place, _id AS seq FROM chosen")
+def forest_draws(spark, folder):
+    """The sample of each tree: the rows with its smallest tickets."""
+    rows = staged(b.series(spark, folder).select(F.col("seq").alias("_id")), "numbers")
+    available = rows.count()
+    drawn = IsolationForest([], SEED, trees=20).draw(rows, min(256, available), available)
+    return drawn.select("tree", F.col("place").cast("long").alias("place"), F.col("_id").alias("seq"))
+
+
+_THREE = ["domecasegap", "stitcharea", "test_time_sec"]
+
+
+@query(
+    "F4_three_feature_outliers",
+    f"WITH RECURSIVE {b.REFINED}, numbered AS (SELECT batchid, {', '.join(_THREE)}, {_digest_sql(['batchid', *_THREE])} AS _id FROM refined), {labelled_ctes('numbered', _THREE, SEED, 0.015)} "
+    f"SELECT batchid, {', '.join(_THREE)}, {_SINGLE('score')}, outlier FROM labelled",
+)
+def three_feature_outliers(spark, folder):
+    rows = b.refined(spark, folder).select("batchid", *_THREE)
+    _, labelled = IsolationForest(_THREE, SEED, contamination=0.015).fit_score(rows, number=_digest(["batchid", *_THREE]))
+    return labelled.select("batchid", *_THREE, rounded("score").alias("score"), "outlier")
+
+
+#: A small model with levels fixed by hand: three trees over gap and area.
+_SMALL = ForestModel.from_nodes(
+    ["domecasegap", "stitcharea"],
+    [
+        (0, 0, 0, 25.0, 16, 0.0), (0, 1, 1, 40_000.0, 9, 1.0), (0, 2, -1, 0.0, 7, 4.25), (0, 3, -1, 0.0, 8, 5.5), (0, 4, -1, 0.0, 1, 2.0),
+        (1, 0, 1, 90_000.0, 16, 0.0), (1, 1, -1, 0.0, 15, 5.0), (1, 2, -1, 0.0, 1, 1.0),
+        (2, 0, 0, 2.5, 16, 0.0), (2, 1, -1, 0.0, 2, 2.0), (2, 2, 0, 48.5, 14, 1.0), (2, 5, -1, 0.0, 12, 6.125), (2, 6, -1, 0.0, 2, 3.0),
+    ],
+    16, 4, cut=0.6,
+)
+
+
+@query(
+    "F2_X2_small_model_labels",
+    f"WITH {b.RAW}, s AS (SELECT batchid, domecasegap, stitcharea, {_SMALL.score_sql()} AS score FROM raw) SELECT batchid, domecasegap, stitcharea, {_SINGLE('score')}, CASE WHEN score > 0.6 THEN -1 ELSE 1 END AS outlier FROM s",
+)
+def small_model_labels(spark, folder):
+    """A given model applied to every row, missing values included, as one expression in the JVM."""
+    labelled = _SMALL.predict(b.raw(spark, folder).select("batchid", "domecasegap", "stitcharea"))
+    return labelled.withColumn("score", rounded("score"))
+
+
 def _cut_query(name, level, **options):
     @query(
         name,
@@ -46,19 +115,16 @@ _cut_query("F3_contamination_cut", 0.05)
 _cut_query("F3_contamination_cut_split", 0.015, max_group_rows=2_000)
 
 
-@query("F4_one_feature_outliers")
+@query(
+    "F4_one_feature_outliers",
+    f"WITH RECURSIVE {b.REFINED}, numbered AS (SELECT test_time_sec, CAST(test_time_sec AS BIGINT) AS _id FROM refined), {labelled_ctes('numbered', ['test_time_sec'], SEED, 0.015)} "
+    "SELECT outlier, count(*) AS rows, CAST(CAST(avg(test_time_sec) AS FLOAT) AS DOUBLE) AS mean_time FROM labelled GROUP BY outlier",
+)
 def one_feature_outliers(spark, folder):
-    rows = b.refined(spark, folder).select("batchid", "test_time_sec")
-    _, labelled = IsolationForest(["test_time_sec"], SEED, contamination=0.015).fit_score(rows, ["batchid", "test_time_sec"])
-    return labelled.groupBy("outlier").agg(F.count(F.lit(1)).alias("rows"), F.avg("test_time_sec").alias("mean_time"))
-
-
-@query("F4_three_feature_outliers")
-def three_feature_outliers(spark, folder):
-    features = ["domecasegap", "stitcharea", "test_time_sec"]
-    rows = b.refined(spark, folder).select("batchid", *features)
-    _, labelled = IsolationForest(features, SEED, contamination=0.015).fit_score(rows, ["batchid", *features])
-    return labelled.select("batchid", *features, rounded("score").alias("score"), "outlier")
+    """One feature of few values: nearly all rows are copies, drawn by their number."""
+    rows = b.refined(spark, folder).select("test_time_sec")
+    _, labelled = IsolationForest(["test_time_sec"], SEED, contamination=0.015).fit_score(rows, number=F.col("test_time_sec"))
+    return labelled.groupBy("outlier").agg(F.count(F.lit(1)).alias("rows"), rounded(F.avg("test_time_sec")).alias("mean_time"))
 
 
 _LEVELS = [0.001, 0.003, 0.005, 0.007, 0.009, 0.011, 0.013, 0.015, 0.017, 0.019]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorwatch.operators import forecast as fc
-from sensorwatch.operators.forest import ForestModel, IsolationForest, contamination_sweep, mean_unsuccessful_path
+from sensorwatch.operators.forest import PRIME, ForestModel, IsolationForest, contamination_sweep, mean_unsuccessful_path, scrambled, tree_numbers
 
 
 @pytest.fixture(scope="module")
@@ -33,36 +33,64 @@ def test_other_seed_other_trees(spark, planted):
     assert one != two
 
 
-def test_pool_smaller_than_the_data(spark, planted):
-    forest = IsolationForest(["x", "y"], seed=11, contamination=0.01, trees=40, sample_size=64, pool_rows=700)
-    model, labelled = forest.fit_score(planted, ["id"])
-    roots = [n for n in model.nodes if n[1] == 0]
-    assert len(roots) == 40 and all(n[4] == 64 for n in roots)
-    assert all(labels(labelled)[i] == -1 for i in range(1000, 1010))
-
-
-@pytest.mark.parametrize("pool_rows", [500, 200_000])
-def test_copies_stand_by_their_number(spark, pool_rows):
-    """Two thirds of the rows are copies of one point; that point must fill its share of the draws."""
+def tickets(numbers, seed, tree):
+    """The ticket of each whole number in a tree, with numbers of any size."""
+    f1, o1, f2, o2, _ = tree_numbers(seed, tree)
+    found = []
+    for n in numbers:
+        a = scrambled((scrambled((n % PRIME + seed) % PRIME) + n // PRIME) % PRIME)
+        b = scrambled((a + 1) % PRIME)
+        found.append(((a * f1 + o1) % PRIME + ((b * f2 + o2) % PRIME + 0.5) / PRIME) / PRIME)
+    return np.array(found)
+
+
+@pytest.mark.parametrize("size, parts", [(50, 3), (199_000, 5), (201_000, 9)])
+def test_samples_are_the_smallest_tickets(spark, size, parts):
+    """Whatever the number of rows and of partitions, and however low the first level."""
+    numbers = np.arange(size) * 3_000_000_019 + 5
+    rows = spark.range(0, size, 1, parts).select((F.col("id") * 3_000_000_019 + 5).alias("_id"))
+    forest, wanted = IsolationForest([], seed=8, trees=3), min(64, size)
+    for available in (size, 1000 * size):
+        found = forest.draw(rows, wanted, available).collect()
+        for tree in range(3):
+            mine = [r["_id"] for r in sorted(found, key=lambda r: r["place"]) if r["tree"] == tree]
+            assert mine == numbers[np.argsort(tickets(numbers.tolist(), 8, tree))[:wanted]].tolist()
+
+
+def test_copies_stand_by_their_number(spark):
+    """Two thirds of the rows are copies of one point, one pair is twice there; each has its share of the draws."""
     rng = np.random.default_rng(9)
     frame = pd.DataFrame(rng.normal(0, 1, (3000, 2)), columns=["x", "y"])
     frame.iloc[:2000] = 0.25
     frame.iloc[2990:] += 40
+    frame.iloc[2100] = frame.iloc[2101]
     rows = spark.createDataFrame(frame)
-    forest = IsolationForest(["x", "y"], seed=4, contamination=0.005, trees=30, sample_size=100, pool_rows=pool_rows)
-    prepared = rows.select(F.xxhash64("x", "y", F.lit(4)).alias("_id"), "x", "y")
-    pool = forest._pool(prepared, 3000)
-    size, copies = pool.count(), pool.filter("x = 0.25").count()
-    assert pool.select("_row").distinct().count() == size
-    assert size == 3000 if pool_rows > 3000 else size < 700
-    assert 0.55 < copies / size < 0.8
+    forest = IsolationForest(["x", "y"], seed=4, contamination=0.005, trees=30, sample_size=100)
+    slim = forest._slim(rows, ["x", "y"], None)
+    drawn = forest.draw(slim, 100, 3000)
+    copied = slim.filter("x = 0.25").first()["_id"]
+    by_tree = {r["tree"]: (r["n"], r["copies"]) for r in drawn.groupBy("tree").agg(F.count("*").alias("n"), F.count_if(F.col("_id") == copied).alias("copies")).collect()}
+    assert len(by_tree) == 30 and all(n == 100 and 45 < c < 85 for n, c in by_tree.values())
+    assert 0.63 < np.mean([c for _, c in by_tree.values()]) / 100 < 0.70
+    everything = forest.draw(slim, 3000, 3000).filter("tree = 0").groupBy("_id").count().groupBy("count").count()
+    assert {r[0]: r[1] for r in everything.collect()} == {2000: 1, 2: 1, 1: 998}
     found = [forest.fit_score(rows.repartition(n), ["x", "y"])[1] for n in (1, 7)]
-    flagged = [df.filter("outlier = -1").count() for df in found]
-    assert flagged[0] == flagged[1] and found[0].exceptAll(found[1].select(*found[0].columns)).count() == 0
+    assert found[0].exceptAll(found[1].select(*found[0].columns)).count() == 0
     assert found[0].filter("x = 0.25 and outlier = -1").count() == 0
     assert found[0].filter("x > 30 and outlier = 1").count() == 0
 
 
+def test_expression_and_numpy_score_the_same(spark, planted):
+    rows = planted.unionByName(spark.createDataFrame([(None, float("nan"), 5000), (0.0, None, 5001)], "x double, y double, id long"))
+    model = IsolationForest(["x", "y"], seed=3, trees=4, sample_size=32).fit(planted, ["id"])
+    both = rows.select(model.score_column(spark, native=True).alias("a"), model.score_column(spark, native=False).alias("b"))
+    assert both.count() == 1012 and both.filter("abs(a - b) > 1e-15 or a is null").count() == 0
+    plan = model.score(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    same = rows.withColumn("c", F.expr(model.score_sql()))
+    assert same.filter("c is null").count() == 0
+
+
 def test_scores_follow_the_published_formula(spark):
     """A point alone in its leaf at depth 1 in every tree scores 2 ** (-1 / c(n))."""
     rows = spark.createDataFrame([(i, 0.0) for i in range(9)] + [(9, 100.0)], "id int, x double")
