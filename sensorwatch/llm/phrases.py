@@ -1,12 +1,16 @@
 """Collocation mining: phrases whose words stand together far more often than their parts would by themselves, by language.
 
-Method: each task reads its documents shard by shard (SHARD_WORDS words). A shard's words become numbers, one for each word of each language, and a
-bidirectional FM-index is built over the numbers: the order of the suffixes and of the reversed prefixes, with the word that stands before each
+Method: each task reads its documents shard by shard (SHARD_WORDS words) and stores a shard as numbers, one for each word of each language. A
+bidirectional FM-index is built over a shard's numbers: the order of the suffixes and of the reversed prefixes, with the word that stands before each
 (the Burrows-Wheeler transforms), so that an interval of the one order and its twin in the other stand for all places of a phrase. Extending
 an interval by a word on either side is a rank query. Beginning with single words, phrases are extended to the right and then to the left until they
 have `longest` words, all intervals of a length at once; the width of an interval is the phrase's count. As no longer phrases are asked for, suffixes are
-ordered by that many words only, which leaves all intervals the same. Shards return their counts (language, phrase, number of words, count), and Spark sums
-them by phrase. A phrase's left and right extensions in the summed table decide whether a longer candidate holds most of its places.
+ordered by that many words only, which leaves all intervals the same. Shards return their counts, and Spark sums them by phrase. A phrase's left and
+right extensions in the summed table decide whether a longer candidate holds most of its places.
+
+Lengths are counted one after the other, for a phrase is frequent only if both phrases of one word less in it are. Shards learn these by a bitmap of
+BITMAP_BITS hashed bits, whatever the number of frequent phrases. A bit that several phrases share lets rare phrases through to be counted, never the other way
+round, so results do not depend on it.
 
 Rules: A-Z are lowered, `.,;:!?` and U+000A to U+000D end a piece, blanks and tabs part words, and phrases lie within a piece. A candidate has
 `shortest` to `longest` words and `least` places or more. Cut after its first k words, it scores floor(1000000 a a / (l r)); its lowest cut
@@ -30,11 +34,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorwatch.llm.common import staged
+from sensorwatch.llm.common import staged, union_all
 
 # Executors need not have this package: the functions of this module travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -44,19 +49,19 @@ SHARD_WORDS = 1 << 21
 PIECE_BYTES = 1 << 20
 #: A-Z lowered; what ends a piece becomes a line end, a tab a blank.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
-COUNTS = "lang string, phrase string, words int, places long"
+#: Bits by which shards know the frequent phrases of a length: 8 MB.
+BITMAP_BITS = 1 << 26
+SHARDS = "words array<binary>, langs array<int>, names array<string>, text binary"
+#: key: language, tab, phrase (no word holds a tab); the phrase is empty in the row of a language's number of words.
+COUNTS = "key string, places long"
 
 
 def collocations(docs: DataFrame, shortest: int = 2, longest: int = 3, least: int = 10, top: int = 2000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of the best phrases of each language. docs: text, lang."""
-    found = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").mapInArrow(_indexing(longest), COUNTS)
-    # Shards have counted already: to combine again before the shuffle would only hash every phrase twice.
-    summed = found.repartition("lang", "phrase", "words").groupBy("lang", "phrase", "words").agg(F.sum("places").alias("places"))
-    counted = staged(summed.where((F.col("places") >= least) | (F.col("words") == 0)), "phrases")
+    counted = frequent_phrases(docs, longest, least)
     totals = counted.where("words = 0").select("lang", F.col("places").alias("n"))
     grams = counted.where("words > 0")
-    split = F.split("phrase", " ")
-    candidates = grams.where(F.col("words") >= shortest).withColumn("_w", split)
+    candidates = grams.where(F.col("words") >= shortest).withColumn("_w", F.split("phrase", " "))
     kept = candidates.join(_absorbed(candidates, shortest), ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (100 * F.col("longer") < 50 * F.col("places"))
     )
@@ -65,6 +70,56 @@ def collocations(docs: DataFrame, shortest: int = 2, longest: int = 3, least: in
     return scored.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def frequent_phrases(docs: DataFrame, longest: int, least: int) -> DataFrame:
+    """lang, phrase, words, places of all phrases of up to `longest` words with `least` places, and the empty phrase of 0 words with a language's words."""
+    spark = docs.sparkSession
+    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
+    shards = staged(texts.mapInArrow(_shard_rows, SHARDS), "shards")
+    found, bitmaps = [], []
+    for size in range(1, longest + 1):
+        counts = shards.mapInArrow(_counting(spark.sparkContext.broadcast(bitmaps), size, longest), COUNTS)
+        # Shards have counted already: to combine again before the shuffle would only hash every phrase twice.
+        summed = counts.repartition("key").groupBy("key").agg(F.sum("places").alias("places"))
+        phrase = F.substring_index("key", "\t", -1)
+        words = F.when(phrase == "", F.lit(0)).otherwise(F.lit(size))
+        lang = F.expr("left(key, length(key) - length(substring_index(key, '\t', -1)) - 1)")
+        kept = summed.where((F.col("places") >= least) | (phrase == "")).select(lang.alias("lang"), phrase.alias("phrase"), words.alias("words"), "places")
+        found.append(staged(kept, "phrases"))
+        if size < longest:
+            bitmaps = [*bitmaps, _bitmap(found[-1].where("words > 0"))]
+    return union_all(found)
+
+
+def _bitmap(grams: DataFrame) -> np.ndarray:
+    """The bits of the phrases of one length, combined by Spark; the driver gets BITMAP_BITS bits at most."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = [_word_numbers(p.encode().split(b" "), [lang] * (p.count(" ") + 1)) for lang, p in zip(*(c.to_pylist() for c in batch.columns))]
+            at = _bit(np.array(numbers, np.uint64).reshape(len(numbers), -1)) if numbers else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 5, pa.int32()), pa.array(np.int64(1) << (at & 31))], ["word", "bits"])
+
+    rows = grams.select("lang", "phrase").mapInArrow(places, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bitmap = np.zeros(BITMAP_BITS >> 5, np.uint32)
+    bitmap[rows["word"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint32)
+    return bitmap
+
+
+def _word_numbers(words: list[bytes], langs: list[str]) -> np.ndarray:
+    number = xxhash.xxh3_64_intdigest
+    return np.fromiter((number(lang.encode() + b"\t" + w) for w, lang in zip(words, langs)), np.uint64, len(words))
+
+
+def _bit(numbers: np.ndarray) -> np.ndarray:
+    """The bit of each phrase, given the numbers of its words (one phrase a row)."""
+    mixed = np.zeros(len(numbers), np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(numbers.shape[1]):
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + numbers[:, j]
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return (mixed >> np.uint64(20)).astype(np.int64) % BITMAP_BITS
+
+
 def _phrase(words: Column, start: Column, size: Column) -> Column:
     return F.array_join(F.slice(words, start, size), " ")
 
@@ -92,10 +147,25 @@ def _scored(candidates: DataFrame, grams: DataFrame) -> DataFrame:
     return lowest.select("lang", "phrase", "a", "c.l", "c.r", "c.score")
 
 
-def _indexing(longest: int):
+def _shard_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for words, langs, text in _shards(batches):
+        names = list(dict.fromkeys(langs))
+        number = {x: i for i, x in enumerate(names)}
+        lists = ((words, pa.binary()), ([number[x] for x in langs], pa.int32()), (names, pa.string()))
+        columns = [pa.array([x], pa.list_(kind)) for x, kind in lists]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([text.astype(np.int32).tobytes()], pa.binary())], ["words", "langs", "names", "text"])
+
+
+def _counting(bitmaps, size: int, longest: int):
+    """Counts of the phrases of one size whose parts of one word less may be frequent."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, langs, text in _shards(batches):
-            yield from _counted(BidirectionalIndex(text, len(words), longest), words, langs, longest)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                words, langs, names, text = (batch.column(i)[row] for i in range(4))
+                yield from _counted(
+                    words.values.cast(pa.binary()), langs.values.to_numpy(), names.as_py(), np.frombuffer(text.as_py(), np.int32), bitmaps.value, size, longest
+                )
 
     return count
 
@@ -146,28 +216,39 @@ def _pieces(text: bytes) -> Iterator[bytes]:
         start = end
 
 
-def _counted(index: BidirectionalIndex, words: list[bytes], langs: list[str], longest: int) -> Iterator[pa.RecordBatch]:
-    """Rows of COUNTS: every phrase of 1 to `longest` words, and the empty phrase of 0 words with the number of words of a language."""
-    names, numbers = pa.array([b"", *words], pa.binary()), {x: i for i, x in enumerate(dict.fromkeys(langs))}
-    lang_of = np.array([0, *(numbers[x] for x in langs)], np.int32)
-    codes = list(numbers)
+def _counted(words: pa.Array, langs: np.ndarray, names: list[str], text: np.ndarray, bitmaps: list[np.ndarray], size: int, longest: int) -> Iterator[pa.RecordBatch]:
+    """Rows of COUNTS: the phrases of `size` words; with the single words also the number of words of each language."""
+    index = BidirectionalIndex(text, len(words), longest)
     phrases, places = index.single_words()
-    total = np.bincount(lang_of[phrases[:, 0]], weights=places.size, minlength=len(codes))
-    yield _rows(pa.array(codes, pa.string()), pa.array([b""] * len(codes), pa.binary()), 0, total.astype(np.int64))
-    for size in range(1, longest + 1):
-        for at in range(0, len(phrases), 1 << 16):
-            ids = phrases[at : at + (1 << 16)]
-            joined = pc.binary_join_element_wise(*(names.take(pa.array(ids[:, j])) for j in range(size)), b" ")
-            lang = pa.DictionaryArray.from_arrays(pa.array(lang_of[ids[:, 0]]), pa.array(codes, pa.string())).cast(pa.string())
-            yield _rows(lang, joined, size, places.size[at : at + (1 << 16)])
-        if size < longest:
-            # To the right first, then to the left: each needs the interval that the other direction has kept in step.
-            phrases, places = index.extended(phrases, places, right=size % 2 == 1)
+    codes = pa.DictionaryArray.from_arrays(pa.array(langs), pa.array(names, pa.string())).cast(pa.string())
+    if size == 1:
+        total = np.bincount(langs[phrases[:, 0] - 1], weights=places.size, minlength=len(names))
+        yield _rows(pa.array([f"{x}\t".encode() for x in names], pa.binary()), total.astype(np.int64))
+    else:
+        numbers = np.concatenate((np.zeros(1, np.uint64), _word_numbers(words.to_pylist(), codes.to_pylist())))
+    for reached in range(1, size):
+        frequent = lambda some: _holds(bitmaps[reached - 1], _bit(numbers[some]))  # noqa: B023, E731
+        phrases, places = _kept(phrases, places, frequent(phrases))
+        # To the right first, then to the left: each needs the interval that the other direction has kept in step.
+        phrases, places = index.extended(phrases, places, right=reached % 2 == 1)
+        phrases, places = _kept(phrases, places, frequent(phrases[:, 1:] if reached % 2 == 1 else phrases[:, :-1]))
+    keys = pc.binary_join_element_wise(codes.cast(pa.binary()), words, b"\t")
+    for at in range(0, len(phrases), 1 << 16):
+        ids = phrases[at : at + (1 << 16)] - 1
+        yield _rows(pc.binary_join_element_wise(keys.take(pa.array(ids[:, 0])), *(words.take(pa.array(ids[:, j])) for j in range(1, size)), b" "), places.size[at : at + (1 << 16)])
 
 
-def _rows(lang: pa.Array, phrase: pa.Array, words: int, places: np.ndarray) -> pa.RecordBatch:
-    sizes = pa.array(np.full(len(phrase), words, np.int32))
-    return pa.RecordBatch.from_arrays([lang, phrase.view(pa.string()), sizes, pa.array(places, pa.int64())], ["lang", "phrase", "words", "places"])
+def _holds(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bitmap[at >> 5] >> (at & 31).astype(np.uint32)) & 1 > 0
+
+
+def _kept(phrases: np.ndarray, places: "Places", keep: np.ndarray) -> tuple[np.ndarray, "Places"]:
+    return phrases[keep], Places(places.forward[keep], places.backward[keep], places.size[keep])
+
+
+def _rows(keys: pa.Array, places: np.ndarray) -> pa.RecordBatch:
+    # Not checked again: words are cut at ASCII characters only.
+    return pa.RecordBatch.from_arrays([keys.view(pa.string()), pa.array(places, pa.int64())], ["key", "places"])
 
 
 class Places:
@@ -183,7 +264,13 @@ class BidirectionalIndex:
     def __init__(self, text: np.ndarray, words: int, depth: int):
         self.text, self.words = np.concatenate(([0], text, [0])).astype(np.int64), words
         self.first = np.concatenate(([0], np.cumsum(np.bincount(self.text, minlength=words + 1))))
-        self._side = {False: self._transform(self.text, depth), True: self._transform(self.text[::-1], depth)}
+        self.depth, self._made = depth, {}
+
+    def _side(self, right: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The transform of one direction, made when first needed."""
+        if right not in self._made:
+            self._made[right] = self._transform(self.text[::-1] if right else self.text, self.depth)
+        return self._made[right]
 
     @staticmethod
     def _transform(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +292,7 @@ class BidirectionalIndex:
 
     def extended(self, phrases: np.ndarray, places: Places, right: bool) -> tuple[np.ndarray, Places]:
         """All phrases that begin (right) or end with one of these and have one word more, with their places."""
-        transform, keys = self._side[right]
+        transform, keys = self._side(right)
         begin = places.backward if right else places.forward
         ends = np.cumsum(places.size)
         owner = np.repeat(np.arange(len(begin)), places.size)
