@@ -2,7 +2,9 @@
 
 import sys
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from itertools import combinations_with_replacement
+from math import isfinite
 
 import numpy as np
 import pandas as pd
@@ -10,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .skew import MAX_GROUP_ROWS, attach, hot_groups
 
@@ -31,13 +33,13 @@ def split_rows(df: DataFrame, ident: str, share: float = 0.8, seed: int = 42) ->
     return df.filter(chosen), df.filter(~chosen)
 
 
-def holdout(df: DataFrame, ident: Sequence[str], share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Exactly int(share * n) rows in hash order for validation; the remainder trains.
+def holdout(df: DataFrame, ident: Sequence[str], share: float = 0.2, seed: int = 42, ticket: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Exactly int(share * n) rows in hash order, or in that of `ticket`, for validation; the remainder trains.
 
     Meant for period tables, which hold one row per calendar period.
     """
     n = int(share * df.count())
-    ticket = F.xxhash64(*ident, F.lit(seed))
+    ticket = F.xxhash64(*ident, F.lit(seed)) if ticket is None else ticket
     chosen = df.select(*ident).orderBy(ticket, *ident).limit(n)
     return df.join(chosen, list(ident), "left_anti"), df.join(chosen, list(ident), "left_semi")
 
@@ -67,15 +69,45 @@ def boosted_model(df: DataFrame, target: str, prediction: str, drop: Sequence[st
     filled = ", ".join(f"coalesce(double(`{f}`), {SENTINEL}) AS `_{prediction}_{f}`" for f in features)
     stages = [
         SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
-        VectorAssembler(inputCols=[f"_{prediction}_{f}" for f in features], outputCol=f"_{prediction}_x"),
+        VectorAssembler(inputCols=[f"_{prediction}_{f}" for f in features], outputCol=f"_{prediction}__vector"),
         GBTRegressor(
-            featuresCol=f"_{prediction}_x", labelCol=target, predictionCol=prediction, seed=seed, maxIter=iterations,
+            featuresCol=f"_{prediction}__vector", labelCol=target, predictionCol=prediction, seed=seed, maxIter=iterations,
             maxDepth=depth,
         ),
     ]
     return Pipeline(stages=stages).fit(df.na.drop(subset=[target]))
 
 
+@dataclass
+class HeldOutFit:
+    """A model cut at the iteration with the smallest held-out error, and the errors of all iterations tried."""
+
+    model: PipelineModel
+    best: int
+    errors: list[tuple[int, float, float]]
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        """iteration (from 1), learn, test: root mean squared errors on the training and the held-out rows."""
+        return spark.createDataFrame(self.errors, "iteration int, learn double, test double")
+
+
+def boosted_with_holdout(train: DataFrame, held_out: DataFrame, target: str, prediction: str, drop: Sequence[str] = (), seed: int = 42,
+                         iterations: int = 20, depth: int = 3) -> HeldOutFit:
+    """Boosted trees that stop where the held-out error is smallest (the earliest of equal ones).
+
+    All iterations are fitted and logged; as a tree depends on the ones before it only, the model with fewer iterations is the
+    same model cut. Without complete held-out rows nothing is cut.
+    """
+    whole = boosted_model(train, target, prediction, drop, seed, iterations, depth)
+    prepare = PipelineModel(whole.stages[:-1])
+    frames = [prepare.transform(df.na.drop(subset=[target])) for df in (train, held_out)]
+    learn, test = ([float("nan")] * iterations if f.isEmpty() else [e**0.5 for e in whole.stages[-1].evaluateEachIteration(f, "squared")] for f in frames)
+    errors = [(i, a, b) for i, (a, b) in enumerate(zip(learn, test), 1)]
+    best = min(errors, key=lambda e: (e[2], e[0]))[0] if all(isfinite(e) for e in test) else iterations
+    model = whole if best == iterations else boosted_model(train, target, prediction, drop, seed, best, depth)
+    return HeldOutFit(model, best, errors)
+
+
 def apply_model(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add the prediction column; NULL where a linear model misses a feature."""
     name = model.stages[-1].getPredictionCol()

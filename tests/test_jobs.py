@@ -1,6 +1,7 @@
 """The daily and weekly jobs end to end, and the shape of the plans."""
 
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,23 @@ def test_from_messages_to_alarms(spark, folder):
     assert board["alerts"].first()["total"] == chosen and board["limits"].count() == 1
 
 
+def test_first_forecast_without_a_trend_and_the_schedule_between_runs(spark, folder):
+    """No trend table: no band, no alarm. The size for the next training is read from the log: a second run does not train again."""
+    weekly = weekly_rollup(b.refined(spark, SAMPLE)).orderBy("year", "week").limit(41)
+    weeks = sorted((r["year"], r["week"]) for r in weekly.collect())
+    paths = [f"{folder}/{n}" for n in ("weekly", "no-trend", "models", "alarms")]
+    for upto, trains, size in ((39, True, 51), (40, False, 51), (41, False, 51)):
+        rows = weekly.filter(F.struct("year", "week") <= F.struct(*[F.lit(x) for x in weeks[upto - 1]]))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year").parquet(paths[0])
+        before = {p: p.stat().st_mtime_ns for p in Path(paths[2]).rglob("*") if p.is_file()}
+        state = jobs.weekly_forecast(spark, *paths, 20, 39).first()
+        after = {p: p.stat().st_mtime_ns for p in Path(paths[2]).rglob("*") if p.is_file()}
+        assert (before != after) == trains
+        assert state["next_retraining_qty"] == size and state["retrain_required"] == 0 and state["alarm_pre_stitcharea"] == 0
+        assert state["spc_lower_limit"] is None and "nan: nan" in state["message"]
+    assert read_snapshot(spark, paths[3], ALARMS).count() == 3
+
+
 def test_forecast_needs_enough_history(spark, folder):
     few = weekly_rollup(b.refined(spark, SAMPLE)).limit(5)
     few.write.partitionBy("year").parquet(f"{folder}/weekly")

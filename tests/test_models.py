@@ -200,3 +200,25 @@ def test_missing_features_still_get_a_forecast(spark):
     assert boosted.count() == 60 and boosted.filter("p is null").count() == 0
     linear = fc.apply_model(fc.linear_model(rows, "y", ["a", "b"], "p"), rows)
     assert [r["a"] for r in linear.filter("p is null").collect()] == [7.0]
+
+
+def test_boosting_stops_at_the_smallest_held_out_error(spark):
+    """The cut model is the whole one without its last trees, and the log agrees with its predictions."""
+    rng = np.random.default_rng(4)
+    frame = pd.DataFrame({"x": rng.normal(0, 1, 160), "z": rng.normal(0, 1, 160)})
+    frame["y"] = np.sin(frame.x * 2) + rng.normal(0, 0.6, 160)
+    rows = spark.createDataFrame(frame.assign(id=range(160))).coalesce(1)
+    train, held_out = rows.filter("id % 3 > 0"), rows.filter("id % 3 = 0")
+    fit = fc.boosted_with_holdout(train, held_out, "y", "p", ["id"], iterations=12, depth=3)
+    learn, test = [e[1] for e in fit.errors], [e[2] for e in fit.errors]
+    assert len(test) == 12 and learn == sorted(learn, reverse=True) and fit.best < 12
+    assert test[fit.best - 1] == min(test) and fit.model.stages[-1].getNumTrees == fit.best
+    whole = fc.boosted_model(train, "y", "p", ["id"], iterations=12)
+    cut = [t.toDebugString.split("\n", 1)[1] for t in fit.model.stages[-1].trees]
+    assert cut == [t.toDebugString.split("\n", 1)[1] for t in whole.stages[-1].trees][: fit.best]
+    error = fc.mean_squared_error(fc.apply_model(fit.model, held_out), "y", "p").first()["mse"] ** 0.5
+    assert error == pytest.approx(min(test))
+    log = fit.log(spark).orderBy("iteration").collect()
+    assert [r["test"] for r in log] == test and log[0]["iteration"] == 1
+    nothing = fc.boosted_with_holdout(train, held_out.filter("false"), "y", "p", ["id"], iterations=3)
+    assert nothing.best == 3
