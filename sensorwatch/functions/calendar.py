@@ -1,6 +1,6 @@
 """Dates, calendar parts and periods."""
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,14 +10,20 @@ DAY_FIRST = "dd/MM/yyyy"
 def day_first_date(text: Column, strict: bool = False) -> Column:
     """Day/month/year text as a date; unreadable text is NULL unless strict.
 
-    The parts are put in ISO order and cast, which is several times faster than a format pattern.
+    The parts are put in ISO order and cast, which is several times faster than a format pattern; the usual ten
+    characters by position, anything shorter part by part.
     """
     if strict:
         return F.to_date(text, DAY_FIRST)
+    at = lambda first, size: F.substring(text, first, size)
+    padded = (F.length(text) == 10) & (at(3, 1) == "/") & (at(6, 1) == "/")
+    by_place = F.concat(at(7, 4), F.lit("-"), at(4, 2), F.lit("-"), at(1, 2))
     day, month, year, rest = (F.split_part(text, F.lit("/"), F.lit(i)) for i in (1, 2, 3, 4))
-    digits_only = F.translate(F.concat(day, month, year), "0123456789", "") == ""
-    shaped = (F.length(day) <= 2) & (F.length(month) <= 2) & (F.length(year) == 4) & (rest == "") & digits_only
-    return F.when(shaped, F.concat_ws("-", year, month, day).try_cast("date"))
+    digits_only = lambda parts: F.translate(parts, "0123456789", "") == ""
+    shaped = (F.length(text) < 10) & (F.length(day) <= 2) & (F.length(month) <= 2) & (F.length(year) == 4) & (rest == "")
+    return F.when(padded & (F.translate(by_place, "0123456789", "") == "--"), by_place.try_cast("date")).when(
+        shaped & digits_only(F.concat(day, month, year)), F.concat_ws("-", year, month, day).try_cast("date")
+    )
 
 
 def server_week(day: Column) -> Column:
@@ -71,9 +77,31 @@ def period_predicate(year=None, quarter=None, month=None, yearweek=None, weekday
     return predicate
 
 
-def year_range(day: Column, year: int) -> Column:
-    """The same year as a plain date range, which a columnar scan can use to skip row groups."""
-    return (day >= F.lit(date(year, 1, 1))) & (day < F.lit(date(year + 1, 1, 1)))
+def period_days(year=None, quarter=None, month=None, yearweek=None, weekday=None, week_rule: str = "server") -> tuple[date, date] | None:
+    """First and last day that a period can hold, which a columnar scan can use to skip; None without a year.
+
+    The order of precedence is that of `period_predicate`; the range may hold more days than the period, never fewer.
+    """
+    if not year:
+        return None
+    first, last = date(year, 1, 1), date(year, 12, 31)
+    if week_rule == "iso":  # weeks belong to the year of their Thursday
+        first, last = first - timedelta(days=3), last + timedelta(days=3)
+    if quarter or month:
+        start, size = (3 * quarter - 2, 3) if quarter else (month, 1)
+        if not 1 <= start <= 12:
+            return first, last
+        end = date(year + (start + size > 12), (start + size - 1) % 12 + 1, 1) - timedelta(days=1)
+        # The year of an ISO week may begin or end in the neighbouring calendar year.
+        return (date(year, start, 1), end) if week_rule != "iso" or 1 < start and start + size <= 12 else (first, last)
+    if yearweek and 1 <= yearweek <= 54:
+        if week_rule == "iso":
+            monday = date(year, 1, 4) - timedelta(days=date(year, 1, 4).weekday())
+        else:
+            monday = date(year, 1, 1) - timedelta(days=date(year, 1, 1).isoweekday() % 7)
+        start = monday + timedelta(weeks=yearweek - 1)
+        return max(first, start), min(last, start + timedelta(days=6))
+    return first, last
 
 
 def current_period(as_of: date, history_year: int | None = None, week_rule: str = "server") -> dict:

@@ -1,6 +1,6 @@
 """Measurement extract: batches, tests and cells joined with their limits."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -8,19 +8,21 @@ from ..functions import calendar
 from ..functions.limits import range_text
 from ..functions.text import lower_names, strip_strings
 from ..schemas import MEASUREMENTS
+from ..sources.daystore import TEST_YEAR, DayStore
 from .skew import MAX_GROUP_ROWS, attach
 
 
 def join_measurements(batches: DataFrame, tests: DataFrame, cells: DataFrame,
-                      max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[str, Mapping[int, int]] | None = None) -> DataFrame:
-    """batches x tests on batchid, x cells on testid. Name clashes keep the test's own column as tp_*.
+                      max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[str, Mapping[int, int]] | None = None,
+                      batch_keys: Sequence[str] = ("batchid",)) -> DataFrame:
+    """batches x tests on batchid (and further keys), x cells on testid. Name clashes keep the test's own column as tp_*.
 
     Hot keys are split by adaptive execution; `hot` names keys to salt beforehand.
     """
-    clashes = [c for c in tests.columns if c in batches.columns and c != "batchid"]
+    clashes = [c for c in tests.columns if c in batches.columns and c not in batch_keys]
     tests = tests.withColumnsRenamed({c: f"tp_{c}" for c in clashes})
     hot = hot or {}
-    joined = attach(tests, batches, ["batchid"], hot.get("batchid", {}), max_group_rows)
+    joined = attach(tests, batches, list(batch_keys), hot.get("batchid", {}), max_group_rows)
     return attach(joined, cells, ["testid"], hot.get("testid", {}), max_group_rows)
 
 
@@ -48,20 +50,34 @@ def _with_test_day(tests: DataFrame) -> DataFrame:
     return tests.withColumn("_day", F.col("date").cast("date"))
 
 
-def extract(batches: DataFrame, tests: DataFrame, cells: DataFrame, limits: DataFrame, config_id=None,
+def extract(batches: DataFrame, tests: DataFrame | DayStore, cells: DataFrame, limits: DataFrame, config_id=None,
             year=None, quarter=None, month=None, yearweek=None, weekday=None, week_rule: str = "server",
             limit_key: str = "batchid") -> DataFrame:
     """Tests of one configuration and period with ranges, limits and calendar parts.
 
     Text is trimmed before the joins, where each value is still stored once. The configuration filter reaches the batch scan. The period filter is applied to the tests
-    before any join; over a typed date column the year also becomes a plain range for the scan.
+    before any join; over a typed date column its days also become a plain range for the scan. A day store reads the partitions of the period's years, and of the years of
+    the configuration's batches, and parses nothing.
     """
-    batches, tests, cells, limits = (strip_strings(lower_names(t)) for t in (batches, tests, cells, limits))
+    period = dict(year=year, quarter=quarter, month=month, yearweek=yearweek, weekday=weekday)
+    batches, cells, limits = (strip_strings(lower_names(t)) for t in (batches, cells, limits))
     if config_id is not None:
         batches = batches.filter(F.col("configid") == config_id)
-    if year and not isinstance(tests.schema["date"].dataType, T.StringType):
-        tests = tests.filter(calendar.year_range(F.col("date"), year))
+    batch_keys = ["batchid"]
+    if stored := isinstance(tests, DayStore):
+        if config_id is not None:
+            batch_keys = ["batchid", TEST_YEAR]
+            batches = batches.join(tests.batch_years(batches.sparkSession), "batchid")
+        tests = tests.tests(batches.sparkSession)
+    else:
+        tests = strip_strings(lower_names(tests))
+    days = calendar.period_days(**period, week_rule=week_rule)
+    if days and not isinstance(tests.schema["date"].dataType, T.StringType):
+        if stored:
+            tests = tests.filter(F.col(TEST_YEAR).between(days[0].year, days[1].year))
+        tests = tests.filter(F.col("date").between(*(F.lit(d) for d in days)))
     tests = calendar.with_calendar_parts(_with_test_day(tests), F.col("_day"), week_rule).drop("_day")
-    tests = tests.filter(calendar.period_predicate(year, quarter, month, yearweek, weekday))
-    rows = join_measurements(batches, tests, cells)
+    tests = tests.filter(calendar.period_predicate(**period))
+    rows = join_measurements(batches, tests, cells, batch_keys=batch_keys)
+    rows = rows.drop(TEST_YEAR) if stored else rows
     return with_limits(with_spc_ranges(rows), limits, limit_key)

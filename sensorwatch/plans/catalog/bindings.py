@@ -11,6 +11,8 @@ from ...functions.calendar import iso_week, iso_year
 from ...operators.extract import extract
 from ...operators.refine import refine
 from ...operators.rollup import weekly_rollup
+from ...session import scratch_path
+from ...sources.daystore import DayStore
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -79,6 +81,25 @@ def raw(spark: SparkSession, folder: str, **period) -> DataFrame:
     )
 
 
+_STORES: dict[tuple[str, str], DayStore] = {}
+
+
+def day_store(spark: SparkSession, folder: str) -> DayStore:
+    """The tests of a folder as a day store, written once in a session, as a daily job finds it."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STORES:
+        store = DayStore(scratch_path(spark, "days"))
+        store.append(tests(spark, folder))
+        _STORES[key] = store
+    return _STORES[key]
+
+
+def stored(spark: SparkSession, folder: str, **period) -> DataFrame:
+    """The extract of a period over the day store."""
+    store = day_store(spark, folder)
+    return extract(batches(spark, folder), store, cells(spark, folder), limits(spark, folder), limit_key="cell_id", **period)
+
+
 def refined(spark: SparkSession, folder: str) -> DataFrame:
     return refine(raw(spark, folder))
 

@@ -30,7 +30,7 @@ _PARTS_SQL = ", ".join(f"CAST({p} AS BIGINT) AS {p}" for p in PARTS)
     laserpower AS laserpower_spc_orig FROM raw WHERE configid = 1 AND year = 1997""",
 )
 def measurement_extract(spark, folder):
-    rows = b.raw(spark, folder, config_id=1, year=1997)
+    rows = b.stored(spark, folder, config_id=1, year=1997)
     extra = ["domecasegap_limit", "stitcharea_limit", "laserpower_spc_orig"]
     return _longs(rows.select(*PLAIN, *PARTS, *extra), "configid", *PARTS)
 
@@ -38,13 +38,19 @@ def measurement_extract(spark, folder):
 def _period_query(name, condition, **period):
     @query(name, f"WITH {b.RAW} SELECT {_PLAIN_SQL}, {_PARTS_SQL} FROM raw WHERE {condition}")
     def run(spark, folder):
-        return _longs(b.raw(spark, folder, **period).select(*PLAIN, *PARTS), "configid", *PARTS)
+        return _longs(b.stored(spark, folder, **period).select(*PLAIN, *PARTS), "configid", *PARTS)
 
 
 _period_query("P12_period_quarter_over_month", "year = 1998 AND quarter = 2", year=1998, quarter=2, month=9, yearweek=3)
 _period_query("P12_period_month_over_week", "year = 1998 AND month = 9", year=1998, month=9, yearweek=3, weekday=2)
 _period_query("P12_period_week_and_weekday", "year = 1998 AND week = 30 AND dayweek = 4", year=1998, yearweek=30, weekday=4)
 _period_query("P12_period_weekday_alone", "year = 1998 AND dayweek = 1", year=1998, weekday=1)
+@query("P12_period_of_text_dates", f"WITH {b.RAW} SELECT {_PLAIN_SQL}, {_PARTS_SQL} FROM raw WHERE year = 1998 AND week = 30")
+def period_of_text_dates(spark, folder):
+    """The same without a store: the text date of each row is parsed."""
+    return _longs(b.raw(spark, folder, year=1998, yearweek=30).select(*PLAIN, *PARTS), "configid", *PARTS)
+
+
 _period_query("P13_configuration_and_year", "configid = 3 AND year = 1999", config_id=3, year=1999)
 
 

@@ -220,7 +220,7 @@ def first_arrivals(spark, folder):
 )
 def daily_ingest(spark, folder):
     """The rows of the week that holds a given day."""
-    tables = {n: getattr(b, n)(spark, folder) for n in ("batches", "tests", "cells", "limits")}
+    tables = {n: getattr(b, n)(spark, folder) for n in ("batches", "cells", "limits")} | {"tests": b.day_store(spark, folder)}
     rows = daily.daily_ingest(tables, date(1998, 5, 20), config_id=2, limit_key="cell_id")
     return _longs(rows.select("testid", "batchid", "domecasegap", "stitcharea", "year", "week"), "year", "week")
 
