@@ -9,11 +9,11 @@ from ..functions.limits import range_text
 from ..functions.text import lower_names, strip_strings
 from ..schemas import MEASUREMENTS
 from ..sources.daystore import TEST_YEAR, DayStore
-from .skew import MAX_GROUP_ROWS, attach
+from .skew import MAX_GROUP_ROWS, NO_GROUPS, HotGroups, attach
 
 
 def join_measurements(batches: DataFrame, tests: DataFrame, cells: DataFrame,
-                      max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[str, Mapping[int, int]] | None = None,
+                      max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[str, HotGroups] | None = None,
                       batch_keys: Sequence[str] = ("batchid",)) -> DataFrame:
     """batches x tests on batchid (and further keys), x cells on testid. Name clashes keep the test's own column as tp_*.
 
@@ -22,15 +22,15 @@ def join_measurements(batches: DataFrame, tests: DataFrame, cells: DataFrame,
     clashes = [c for c in tests.columns if c in batches.columns and c not in batch_keys]
     tests = tests.withColumnsRenamed({c: f"tp_{c}" for c in clashes})
     hot = hot or {}
-    joined = attach(tests, batches, list(batch_keys), hot.get("batchid", {}), max_group_rows)
-    return attach(joined, cells, ["testid"], hot.get("testid", {}), max_group_rows)
+    joined = attach(tests, batches, list(batch_keys), hot.get("batchid", NO_GROUPS), max_group_rows)
+    return attach(joined, cells, ["testid"], hot.get("testid", NO_GROUPS), max_group_rows)
 
 
 def with_limits(rows: DataFrame, limits: DataFrame, key: str = "batchid", how: str = "inner",
-                max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[int, int] | None = None) -> DataFrame:
+                max_group_rows: int = MAX_GROUP_ROWS, hot: HotGroups | None = None) -> DataFrame:
     """Limits of each row as `<measurement>_limit`. Several limit rows per key repeat the row."""
     renamed = limits.withColumnsRenamed({c: f"{c}_limit" for c in limits.columns if c != key})
-    return attach(rows, renamed, [key], hot or {}, max_group_rows, how)
+    return attach(rows, renamed, [key], hot or NO_GROUPS, max_group_rows, how)
 
 
 def with_spc_ranges(rows: DataFrame, measurements=MEASUREMENTS) -> DataFrame:

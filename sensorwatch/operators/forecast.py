@@ -14,7 +14,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from .skew import MAX_GROUP_ROWS, attach, hot_groups
+from .skew import MAX_GROUP_ROWS, NO_GROUPS, HotGroups, attach, hot_groups
 
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -183,7 +183,7 @@ def grouped_linear_fit(df: DataFrame, target: str, features: Sequence[str], keys
 
 
 def grouped_predict(df: DataFrame, fits: DataFrame, features: Sequence[str], keys: Sequence[str], prediction: str,
-                    max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[int, int] | None = None) -> DataFrame:
+                    max_group_rows: int = MAX_GROUP_ROWS, hot: HotGroups | None = None) -> DataFrame:
     """Apply the fit of each row's group; the fits are one row per group. `hot` names hot groups already known."""
     hot = hot_groups(df, keys, max_group_rows) if hot is None else hot
     parts = fits.select(*keys, F.col("coefficients").alias("_w"), F.col("intercept").alias("_b"))
@@ -202,7 +202,7 @@ def holdout_errors(df: DataFrame, target: str, features: Sequence[str], keys: Se
     train, test = split_rows(df.na.drop(subset=[target, *features]), ident)
     enough = df.select(*keys).distinct().agg(F.count(F.lit(1)) > more_than).scalar()
     fits = grouped_linear_fit(train, target, features, keys).filter(enough)
-    predicted = grouped_predict(test, fits, features, keys, "_predicted", hot={})
+    predicted = grouped_predict(test, fits, features, keys, "_predicted", hot=NO_GROUPS)
     return mean_squared_error(predicted, target, "_predicted", keys)
 
 

@@ -1,11 +1,12 @@
 """Grouped work that stays balanced when one group holds a large share of the rows.
 
 A group is hot when it has more than `max_group_rows` rows. Hot groups are found by one counting
-job (map-side combined; at most rows / max_group_rows key hashes return). The splits only decide
-where rows are processed; every result is exact for any choice of splits.
+job (map-side combined) and kept as a table of key hashes, which plans join: a plan does not grow with
+their number. The splits only decide where rows are processed; every result is exact for any choice of splits.
 """
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -13,31 +14,65 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import staged
 
 MAX_GROUP_ROWS = 5_000_000
+#: So many hot groups come to the driver and back as a local table; more are written to the shared folder.
+LISTED_GROUPS = 1_000
+#: Up to so many hot groups (two numbers each, 32 MB) are broadcast; more are joined by shuffle.
+BROADCAST_GROUPS = 2_000_000
+
+
+@dataclass(frozen=True)
+class HotGroups:
+    """The groups above a limit: a table (_h, _rows) of key hashes and row counts, the number of groups, and their rows together."""
+
+    table: DataFrame | None = None
+    groups: int = 0
+    rows: int = 0
+
+    def __bool__(self) -> bool:
+        return self.groups > 0
+
+    def joined(self) -> DataFrame:
+        """The table as it should be joined."""
+        return F.broadcast(self.table) if self.groups <= BROADCAST_GROUPS else self.table
+
+
+NO_GROUPS = HotGroups()
 
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> dict[int, int]:
-    """Key hashes of the largest groups above the limit, with their row counts."""
+def hot_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> HotGroups:
+    """The groups of a frame above the limit."""
     return hot_groups_of(df, [keys], max_group_rows)[0]
 
 
-def hot_groups_of(df: DataFrame, key_sets: Sequence[Sequence[str]], max_group_rows: int = MAX_GROUP_ROWS) -> list[dict[int, int]]:
+def hot_groups_of(df: DataFrame, key_sets: Sequence[Sequence[str]], max_group_rows: int = MAX_GROUP_ROWS) -> list[HotGroups]:
     """The same for several keys of one frame, in one job over the key columns alone."""
+    spark = df.sparkSession
     if len(key_sets) == 1:
-        hashes = df.select(F.lit(0).alias("k"), key_hash(key_sets[0]).alias("h"))
+        hashes = df.select(F.lit(0).alias("k"), key_hash(key_sets[0]).alias("_h"))
     else:
-        hashes = df.select(F.posexplode(F.array(*[key_hash(k) for k in key_sets])).alias("k", "h"))
-    large = hashes.groupBy("k", "h").count().filter(F.col("count") > max_group_rows)
-    found: list[dict[int, int]] = [{} for _ in key_sets]
-    for row in large.collect():
-        found[row["k"]][row["h"]] = row["count"]
+        hashes = df.select(F.posexplode(F.array(*[key_hash(k) for k in key_sets])).alias("k", "_h"))
+    large = hashes.groupBy("k", "_h").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_group_rows)
+    listed = large.orderBy(F.desc("_rows")).limit(LISTED_GROUPS + 1).collect()
+    found = []
+    if len(listed) <= LISTED_GROUPS:
+        for i in range(len(key_sets)):
+            mine = [(r["_h"], r["_rows"]) for r in listed if r["k"] == i]
+            table = spark.createDataFrame(mine, "_h long, _rows long") if mine else None
+            found.append(HotGroups(table, len(mine), sum(n for _, n in mine)))
+        return found
+    written = staged(large, "hot")
+    totals = {r["k"]: (r["n"], r["rows"]) for r in written.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).collect()}
+    for i in range(len(key_sets)):
+        groups, rows = totals.get(i, (0, 0))
+        found.append(HotGroups(written.filter(F.col("k") == i).select("_h", "_rows"), groups, rows) if groups else NO_GROUPS)
     return found
 
 
-def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], hot: Mapping[int, int] = {},
+def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], hot: HotGroups = NO_GROUPS,
            max_group_rows: int = MAX_GROUP_ROWS, how: str = "inner") -> DataFrame:
     """Join a frame with few rows per key (`groups`) to many rows per key.
 
@@ -53,21 +88,18 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], hot: Mapping
         return rows.withColumn("_packed", packed).select("*", *[F.col("_packed")[c].alias(c) for c in added]).drop("_packed")
     if not hot:
         return rows.join(groups, list(keys), how)
-    copies, h = F.lit(1).cast("long"), key_hash(keys)
-    for size, members in _salt_tiers(hot, max_group_rows).items():
-        copies = F.when(h.isin(members), F.lit(size).cast("long")).otherwise(copies)
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(rows)), copies))
-    salted_groups = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
+    salted_rows = _with_salts(rows, keys, hot, max_group_rows)
+    salted_rows = salted_rows.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(rows)), F.col("_salts"))).drop("_salts")
+    salted_groups = _with_salts(groups, keys, hot, max_group_rows)
+    salted_groups = salted_groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))).drop("_salts")
     return salted_rows.join(salted_groups, [*keys, "_salt"], how).drop("_salt")
 
 
-def _salt_tiers(hot: Mapping[int, int], max_group_rows: int) -> dict[int, list[int]]:
-    """Key hashes by number of salts, a power of two that leaves at most `max_group_rows` per salt."""
-    tiers: dict[int, list[int]] = {}
-    for h, rows in hot.items():
-        salts = 1 << (-(-rows // max_group_rows) - 1).bit_length()
-        tiers.setdefault(salts, []).append(h)
-    return tiers
+def _with_salts(df: DataFrame, keys: Sequence[str], hot: HotGroups, max_group_rows: int) -> DataFrame:
+    """Add `_salts`: 1, or for a hot key the power of two that leaves at most `max_group_rows` rows for each salt."""
+    salts = F.pow(F.lit(2), F.ceil(F.log2(F.ceil(F.col("_rows") / max_group_rows)))).cast("long")
+    marked = df.withColumn("_key", key_hash(keys)).join(hot.joined().withColumnRenamed("_h", "_key"), "_key", "left")
+    return marked.withColumn("_salts", F.coalesce(salts, F.lit(1).cast("long"))).drop("_key", "_rows")
 
 
 def _hashable(df: DataFrame) -> list[str]:
@@ -75,7 +107,7 @@ def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
 
 
-def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: Mapping[int, int],
+def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotGroups,
                      max_group_rows: int) -> DataFrame:
     """Add `_hot` and `_part`; the parts of a hot group follow each other in the given order.
 
@@ -83,31 +115,34 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], h
     columns are cut by the later ones. The ranges are written to the shared folder, so that every plan
     over the result, and every repeated task, sees the same parts.
     """
-    is_hot = key_hash(keys).isin(list(hot)) if keys else F.lit(True)
-    parts = max(2, -(-2 * sum(hot.values()) // max_group_rows))
-    ranged = df.filter(is_hot).repartitionByRange(parts, *keys, *order)
+    parts = max(2, -(-2 * hot.rows // max_group_rows))
+    marked = df.withColumn("_h", key_hash(keys))
+    chosen = marked.join(hot.joined(), "_h", "left_semi") if keys else marked
+    ranged = chosen.drop("_h").repartitionByRange(parts, *keys, *order)
     ranged = staged(ranged.withColumns({"_hot": F.lit(True), "_part": F.spark_partition_id()}), "ranges")
     if not keys:
         return ranged
-    return ranged.unionByName(df.filter(~is_hot).withColumns({"_hot": F.lit(False), "_part": F.lit(-1)}))
+    rest = marked.join(hot.joined(), "_h", "left_anti").drop("_h")
+    return ranged.unionByName(rest.withColumns({"_hot": F.lit(False), "_part": F.lit(-1)}))
 
 
-def _value_parts(values: DataFrame, hot: Mapping[int, int], keys: Sequence[str], max_group_rows: int) -> DataFrame:
+def _value_parts(values: DataFrame, hot: HotGroups, keys: Sequence[str], max_group_rows: int) -> DataFrame:
     """Add `_part` to rows (keys, _v): hot groups are cut at sampled values, searched by bisection."""
-    rows = sum(hot.values())
-    parts = max(2, -(-rows // max_group_rows))
-    is_hot = key_hash(keys).isin(list(hot)) if keys else F.lit(True)
-    share = min(1.0, 2000 * parts / max(rows, 1))
+    parts = max(2, -(-hot.rows // max_group_rows))
+    values = values.withColumn("_h", key_hash(keys))
+    values = values.join(hot.joined(), "_h", "left").drop("_h") if keys else values.withColumn("_rows", F.col("_h")).drop("_h")
+    is_hot = F.col("_rows").isNotNull()
+    share = min(1.0, 2000 * parts / max(hot.rows, 1))
     levels = [i / parts for i in range(1, parts)]
     points = values.filter(is_hot).sample(share, seed=1).approxQuantile("_v", levels, 1 / (4 * parts))
     inner = sorted({p for p in points if p not in (float("-inf"), float("inf"))}) or [0.0]
     edges = [float("-inf"), *inner, float("inf")]
     cut = Bucketizer(splits=edges, inputCol="_v", outputCol="_cut", handleInvalid="keep").transform(values)
-    return cut.withColumn("_part", F.when(is_hot, F.col("_cut").cast("int")).otherwise(F.lit(-1))).drop("_cut")
+    return cut.withColumn("_part", F.when(is_hot, F.col("_cut").cast("int")).otherwise(F.lit(-1))).drop("_cut", "_rows")
 
 
 def rolling(df: DataFrame, aggregates: Mapping[str, Column], keys: Sequence[str], order: Sequence[str],
-            rows: int = 10, max_group_rows: int = MAX_GROUP_ROWS, hot: Mapping[int, int] | None = None) -> DataFrame:
+            rows: int = 10, max_group_rows: int = MAX_GROUP_ROWS, hot: HotGroups | None = None) -> DataFrame:
     """Aggregates over the current and the previous `rows - 1` rows of each group.
 
     `order` must be a total order within a group. Groups up to `max_group_rows` use one plain window.

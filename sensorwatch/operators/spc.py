@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.calendar import sunday_ending
 from ..functions.limits import parse_range
-from .skew import MAX_GROUP_ROWS, attach, hot_groups, rolling
+from .skew import MAX_GROUP_ROWS, HotGroups, attach, hot_groups, rolling
 
 WINDOW_ROWS = 10
 SIGMA = 2.0
@@ -25,7 +25,7 @@ ALERT_LABELS = ["Within SPC limits", "Approaching SPC limits", "Out of SPC limit
 
 def control_bands(df: DataFrame, features: Sequence[str], keys: Sequence[str], order: Sequence[str],
                   window: int = WINDOW_ROWS, sigma: float = SIGMA, max_group_rows: int = MAX_GROUP_ROWS,
-                  hot: Mapping[int, int] | None = None) -> DataFrame:
+                  hot: HotGroups | None = None) -> DataFrame:
     """Rolling mean, sample deviation and mean -+ sigma * deviation, for all features in one window."""
     aggregates = {}
     for f in features:

@@ -5,7 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.limits import limit_zone
-from .skew import MAX_GROUP_ROWS, attach, exact_quantiles, hot_groups
+from .skew import MAX_GROUP_ROWS, NO_GROUPS, attach, exact_quantiles, hot_groups
 
 
 def sigma_thresholds(df: DataFrame, value: str, keys: Sequence[str], k: float = 3.0) -> DataFrame:
@@ -22,7 +22,7 @@ def percentile_thresholds(df: DataFrame, value: str, keys: Sequence[str], low: f
 def with_thresholds(rows: DataFrame, thresholds: DataFrame, keys: Sequence[str], default: Mapping[str, float] | None = None,
                     max_group_rows: int = MAX_GROUP_ROWS, check_skew: bool = True) -> DataFrame:
     """Thresholds by key; rows without one get the default, if any."""
-    hot = hot_groups(rows, keys, max_group_rows) if check_skew else {}
+    hot = hot_groups(rows, keys, max_group_rows) if check_skew else NO_GROUPS
     joined = attach(rows, thresholds.select(*keys, "lo_limit", "hi_limit"), keys, hot, max_group_rows, "left")
     if default:
         joined = joined.na.fill(dict(default))

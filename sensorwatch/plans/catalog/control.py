@@ -26,6 +26,11 @@ def _longs(df, *names):
     return df.withColumns({n: F.col(n).cast("long") for n in names})
 
 
+def _fiftieth(rows):
+    """A limit for hot groups that follows the table: a fiftieth of its rows."""
+    return max(10, rows.count() // 50)
+
+
 def _stored_weekly(spark, folder):
     """The weekly history as a written table, as the forecast and the guards find it."""
     return staged(b.weekly(spark, folder), "weekly")
@@ -196,11 +201,13 @@ def chart_series(spark, folder):
     return _round(spc.chart_series(b.series(spark, folder), "domecasegap", ["lot"], ["seq"]), *LINES)
 
 
-@query("W1_W2_chart_series_split", _CHART)
+@query("W1_W2_chart_series_split", _CHART.replace("PARTITION BY lot", "PARTITION BY lot % 10"))
 def chart_series_split(spark, folder):
-    """The same with so low a limit that most lots are cut into parts."""
-    chart = spc.chart_series(b.series(spark, folder), "domecasegap", ["lot"], ["seq"], max_group_rows=65)
-    return _round(chart, *LINES)
+    """Ten groups of lots, each far above the limit and cut into parts."""
+    rows = staged(b.series(spark, folder).withColumn("ten", F.col("lot") % 10), "series")
+    banded = spc.control_bands(rows, ["domecasegap"], ["ten"], ["seq"], max_group_rows=_fiftieth(rows))
+    lines = [F.col(f"domecasegap_{n}").alias(n) for n in LINES]
+    return _round(banded.select("seq", "lot", F.col("domecasegap").alias("value"), *lines), *LINES)
 
 
 @query(
@@ -209,7 +216,8 @@ def chart_series_split(spark, folder):
     FROM series WINDOW w AS (ORDER BY seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)) SELECT seq, domecasegap AS value, {_SERIES_LINES} FROM m""",
 )
 def global_rolling_window(spark, folder):
-    chart = spc.chart_series(b.series(spark, folder), "domecasegap", [], ["seq"], max_group_rows=500)
+    rows = b.series(spark, folder)
+    chart = spc.chart_series(rows, "domecasegap", [], ["seq"], max_group_rows=_fiftieth(rows))
     return _round(chart, *LINES)
 
 
@@ -259,7 +267,7 @@ def trend_of_all_outliers(spark, folder):
         {f"{f}_limit": F.when(F.col(f"{f}_limit") == "", F.lit(":")).otherwise(F.col(f"{f}_limit")) for f in FEATURES}
     )
     limits = spc.first_limits(rows, FEATURES, [], ["seq"])
-    return _round(spc.spc_trend(_flagged(rows), limits, FEATURES, [], ["seq"], max_group_rows=100), *LINES)
+    return _round(spc.spc_trend(_flagged(rows), limits, FEATURES, [], ["seq"], max_group_rows=_fiftieth(rows)), *LINES)
 
 
 @query("L1_A6_group_trend_labels", _trend_sql("lot", _TREND_GROUPS))
@@ -499,23 +507,24 @@ def point_alarms(spark, folder):
     return _round(alarms.band_point_alarms(chart, "ma", "std", band).select("seq", "predicted", "alarm"), "predicted")
 
 
-_TIED = """d AS (SELECT (l_orderkey * 8 + l_linenumber) * 100000 + l_partkey AS seq, strftime(date_trunc('week', l_shipdate), '%Y-%m-%d') AS week,
-  strftime(l_shipdate, '%Y-%m-%d') AS day, max(l_quantity) AS v FROM lineitem GROUP BY 1, 2, 3)"""
+_TIED = """d AS (SELECT (l_orderkey * 8 + l_linenumber) * 100000 + l_partkey AS seq, strftime(l_shipdate, '%Y') AS year,
+  strftime(l_shipdate, '%Y-%m') AS month, max(l_quantity) AS v FROM lineitem GROUP BY 1, 2, 3)"""
 
 
 @query(
     "W3_trend_tied_dates_split",
-    f"""WITH {_TIED} SELECT week, day, seq, CAST(CAST(avg(v) OVER w AS FLOAT) AS DOUBLE) AS ma, CAST(CAST(stddev_samp(v) OVER w AS FLOAT) AS DOUBLE) AS std FROM d
-    WINDOW w AS (PARTITION BY week ORDER BY day, seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
+    f"""WITH {_TIED} SELECT year, month, seq, CAST(CAST(avg(v) OVER w AS FLOAT) AS DOUBLE) AS ma, CAST(CAST(stddev_samp(v) OVER w AS FLOAT) AS DOUBLE) AS std FROM d
+    WINDOW w AS (PARTITION BY year ORDER BY month, seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
 )
 def trend_tied_dates_split(spark, folder):
-    """Rolling lines of weekly groups ordered by day (as text, at most seven values) and row, every group cut into parts."""
+    """Rolling lines of yearly groups ordered by month (as text, twelve values at most) and row, every group cut into parts."""
     seq = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")
     keyed = b.table(spark, folder, "lineitem").groupBy(
-        seq.alias("seq"), F.date_format(F.date_trunc("week", "l_shipdate"), "yyyy-MM-dd").alias("week"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")
+        seq.alias("seq"), F.date_format("l_shipdate", "yyyy").alias("year"), F.date_format("l_shipdate", "yyyy-MM").alias("month")
     ).agg(F.max("l_quantity").alias("v"))
+    keyed = staged(keyed, "keyed")
     lines = {"ma": F.avg("v"), "std": F.stddev_samp("v")}
-    return _round(rolling(keyed, lines, ["week"], ["day", "seq"], 10, 60).select("week", "day", "seq", "ma", "std"), "ma", "std")
+    return _round(rolling(keyed, lines, ["year"], ["month", "seq"], 10, _fiftieth(keyed)).select("year", "month", "seq", "ma", "std"), "ma", "std")
 
 
 @query(

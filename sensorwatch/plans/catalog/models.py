@@ -8,7 +8,7 @@ from ...operators.alarms import band_point_alarms
 from ...operators.encode import CategoryCodes
 from ...operators.forest import ForestModel, IsolationForest, contamination_sweep
 from ...operators.refine import fill_missing, model_columns
-from ...operators.skew import exact_quantiles
+from ...operators.skew import NO_GROUPS, exact_quantiles
 from ...schemas import CATEGORIES, WEEKLY
 from ...session import scratch_path, staged
 from . import bindings as b
@@ -399,7 +399,7 @@ def alarms_of_predictions(spark, folder):
     rows, features = staged(_chart(spark, folder), "chart"), ["domecasegap", "stitcharea"]
     predicted = rows
     for target in ("ma", "std"):
-        predicted = fc.grouped_predict(predicted, fc.grouped_linear_fit(rows, target, features, ["lot"]), features, ["lot"], f"pred_{target}", hot={})
+        predicted = fc.grouped_predict(predicted, fc.grouped_linear_fit(rows, target, features, ["lot"]), features, ["lot"], f"pred_{target}", hot=NO_GROUPS)
     band = rows.agg(F.avg(F.col("ma") - 2 * F.col("std")).alias("spc_lower"), F.avg(F.col("ma") + 2 * F.col("std")).alias("spc_upper"))
     found = band_point_alarms(predicted, "pred_ma", "pred_std", band)
     return found.select("seq", rounded("predicted").alias("predicted"), "alarm")

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.skew import attach, hot_groups
+from ..operators.skew import NO_GROUPS, attach, hot_groups
 from ..schemas import table
 
 FRAME = table("batch_id string, expected_rows long, row_no string, payload string")
@@ -20,7 +20,7 @@ def to_messages(df: DataFrame, batch_id: str | Column, row_id: Sequence[str], by
     """One message per row. `row_id` must tell rows apart; it makes replays recognisable. With `by`
     there is one batch per value of those columns, and `batch_id` is a column made of them."""
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_expected"))
-    counted = attach(df, sizes, by, hot_groups(df, by) if by else {})
+    counted = attach(df, sizes, by, hot_groups(df, by) if by else NO_GROUPS)
     framed = counted.select(
         (batch_id if isinstance(batch_id, Column) else F.lit(batch_id)).alias("batch_id"),
         F.col("_expected").alias("expected_rows"),

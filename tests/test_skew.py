@@ -65,7 +65,7 @@ def test_rolling_by_other_order_types(spark, lopsided, kind):
 def test_parts_of_a_hot_group_are_bounded(spark, lopsided):
     frame, df = lopsided
     hot = skew.hot_groups(df, ["k"], 100)
-    assert sorted(hot.values()) == sorted(n for n in frame.groupby("k").size() if n > 100)
+    assert sorted(r["_rows"] for r in hot.table.collect()) == sorted(n for n in frame.groupby("k").size() if n > 100)
     sizes = skew.split_hot_groups(df, ["k"], ["seq"], hot, 100).groupBy("k", "_part").count()
     assert sizes.agg(F.max("count")).first()[0] <= 200
 
@@ -128,5 +128,25 @@ def test_salted_join_equals_plain_join(spark, lopsided, how):
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
 
 
-def test_salts_follow_the_size_of_the_group():
-    assert skew._salt_tiers({1: 101, 2: 250, 3: 1600}, 100) == {2: [1], 4: [2], 16: [3]}
+def test_salts_follow_the_size_of_the_group(spark):
+    sizes = {1: 101, 2: 250, 3: 1600, 4: 7, 5: 200}
+    df = spark.createDataFrame([(k,) for k, n in sizes.items() for _ in range(n)], "k int")
+    hot = skew.hot_groups(df, ["k"], 100)
+    assert (hot.groups, hot.rows) == (4, 2151) and not skew.hot_groups(df, ["k"], 10_000)
+    marked = skew._with_salts(df, ["k"], hot, 100).distinct().collect()
+    assert {r["k"]: r["_salts"] for r in marked} == {1: 2, 2: 4, 3: 16, 4: 1, 5: 2}
+
+
+def test_plans_do_not_grow_with_the_number_of_hot_keys(spark, monkeypatch):
+    """Nearly a million hot keys are written and joined; the plan is that of a few."""
+    df = spark.range(0, 2_000_000, 1, 8).select((F.col("id") % 999_000).alias("k"), "id")
+    groups = spark.range(0, 999_000, 1, 4).select(F.col("id").alias("k"), F.lit(2).alias("g"))
+    hot = skew.hot_groups(df, ["k"], 1)
+    assert (hot.groups, hot.rows) == (999_000, 2_000_000)
+    joined = skew.attach(df, groups, ["k"], hot, 1)
+    text = joined._jdf.queryExecution().analyzed().toString()
+    few = skew.attach(df, groups, ["k"], skew.hot_groups(df.filter("k < 5"), ["k"], 1), 1)._jdf.queryExecution().analyzed().toString()
+    assert len(text) < 1.5 * len(few) + 2000
+    assert joined.agg(F.count("*"), F.sum("g")).first()[:] == (2_000_000, 4_000_000)
+    monkeypatch.setattr(skew, "BROADCAST_GROUPS", 10)
+    assert skew.attach(df, groups, ["k"], hot, 1).count() == 2_000_000
