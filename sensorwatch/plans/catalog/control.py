@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ...operators import alarms, guard, kpi, rollup, spc, thresholds
+from ...functions.calendar import with_calendar_parts
 from ...functions.limits import parse_range
 from ...operators.skew import attach, rolling
 from ...schemas import ALARMS
@@ -185,6 +186,44 @@ def percentile_thresholds_split(spark, folder):
     return _round(thresholds.percentile_thresholds(rows, "l_extendedprice", ["l_suppkey"], max_group_rows=300), "lo_limit", "hi_limit")
 
 
+_ITEM_WEEKS = f"""items AS (SELECT l_suppkey, l_extendedprice AS price, CAST(year(l_shipdate) AS INTEGER) AS year, CAST({b.SERVER_WEEK.format(d="l_shipdate")} AS INTEGER) AS week FROM lineitem)"""
+
+
+def _item_weeks(spark, folder):
+    """Prices of suppliers with the week of their day."""
+    rows = b.table(spark, folder, "lineitem").select("l_suppkey", F.col("l_extendedprice").alias("price"), F.col("l_shipdate").cast("date").alias("d"))
+    return with_calendar_parts(rows, F.col("d")).select("l_suppkey", "price", "year", "week")
+
+
+@query(
+    "A13_thresholds_from_sketches",
+    f"""WITH {_ITEM_WEEKS} SELECT l_suppkey, quantile_disc(price, 0.01) AS lo_limit, quantile_disc(price, 0.99) AS hi_limit, count(*) AS rows FROM items
+    WHERE year BETWEEN 1996 AND 1997 GROUP BY l_suppkey""",
+)
+def thresholds_from_sketches(spark, folder):
+    """Limits over two past years from the stored weekly sketches. So few rows of a supplier are all kept, and the limits are exact."""
+    path = scratch_path(spark, "sketches")
+    thresholds.sketch_history(_item_weeks(spark, folder), path, ["price"], ["l_suppkey"])
+    history = spark.read.parquet(path).filter(F.col("year").between(1996, 1997))
+    return thresholds.merged_thresholds(history, "price", ["l_suppkey"])
+
+
+@query(
+    "A13_sketch_rank_error",
+    f"""WITH {_ITEM_WEEKS} SELECT CAST(year AS BIGINT) AS year, count(*) AS rows, TRUE AS low_within, TRUE AS high_within FROM items GROUP BY year""",
+)
+def sketch_rank_error(spark, folder):
+    """Limits of whole years, merged from coarse weekly sketches of all suppliers: the share of prices up to a limit is the level, but for the stated error."""
+    rows, size = staged(_item_weeks(spark, folder), "items"), 200
+    sketches = thresholds.period_sketches(rows, ["price"], ["l_suppkey"], size=size)
+    limits = thresholds.merged_thresholds(sketches.select("year", "price_sketch"), "price", ["year"], 0.05, 0.95)
+    joined = rows.join(F.broadcast(limits.drop("rows")), "year")
+    share = lambda limit: F.count_if(F.col("price") <= F.col(limit)) / F.count(F.lit(1))
+    error = 2 * thresholds.rank_error(size)
+    checked = joined.groupBy(F.col("year").cast("long").alias("year")).agg(F.count(F.lit(1)).alias("rows"), share("lo_limit").alias("lo"), share("hi_limit").alias("hi"))
+    return checked.select("year", "rows", (F.abs(F.col("lo") - 0.05) <= error).alias("low_within"), (F.abs(F.col("hi") - 0.95) <= error).alias("high_within"))
+
+
 def _bands(feature, partition="PARTITION BY lot"):
     return f"""avg({feature}) OVER w AS {feature}_ma, stddev_samp({feature}) OVER w AS {feature}_std"""
 
