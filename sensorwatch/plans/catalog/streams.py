@@ -3,7 +3,7 @@ folder and returns what it wrote; the streams run until their input is used up."
 
 from datetime import date
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ...functions import text
 from ...operators import alarms, spc
@@ -13,7 +13,7 @@ from ...schemas import WEEKLY
 from ...session import scratch_path, staged
 from ...sources import files, messages
 from ...sources.messages import FRAME
-from ...streaming import jobs
+from ...streaming import jobs, state
 from .. import jobs as daily
 from . import bindings as b
 from . import models
@@ -144,6 +144,59 @@ def complete_batches(spark, folder):
     )
 
 
+def _in_order(spark, rows, order, path, pieces=4):
+    """The rows as files that arrive one after the other, ranged by `order`; a stream over them takes one file at a time."""
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    width = (high - low) // pieces + 1
+    for i in range(pieces):
+        start = low + i * width
+        rows.filter((F.col(order) >= start) & (F.col(order) < start + width)).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query(
+    "T1_complete_batches_in_state",
+    """SELECT strftime(ts, '%Y-%m-%d') AS batch_id, count(*) AS rows, sum(event_id) AS ids, CAST(CAST(sum(value) AS FLOAT) AS DOUBLE) AS total, TRUE AS complete FROM events
+    WHERE day(ts) <> 15 GROUP BY 1""",
+)
+def complete_batches_in_state(spark, folder):
+    """The same release from keyed state. Every row is sent twice; the batch of the 15th lacks a row, and so is never released."""
+    root = scratch_path(spark, "state-batches")
+    rows = b.table(spark, folder, "events").select("event_id", "ts", F.col("ts").cast("date").cast("string").alias("day"), "value")
+    sent = messages.to_messages(rows.drop("ts"), F.col("day"), ["event_id"], by=["day"])
+    frames = messages.decode_frames(sent).withColumn("event_id", F.col("row_no").cast("long"))
+    framed = staged(frames.join(rows.select("event_id", F.col("ts").cast("timestamp").alias("sent")), "event_id"), "frames")
+    first_of_15 = framed.filter("day(sent) = 15").agg(F.min("event_id")).scalar()
+    kept = framed.filter(F.coalesce(F.col("event_id") != first_of_15, F.lit(True)))
+    twice = kept.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    stream = _in_order(spark, staged(twice, "twice"), "event_id", f"{root}/topic").drop("event_id", "copy")
+    state.use_state_store(spark)
+    released = _run(state.release_batches(stream, "sent", "60 days"), "released", spark)
+    decoded = messages.decode_rows(released, T.StructType([f for f in rows.schema.fields if f.name != "ts"]))
+    return decoded.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"), rounded(F.sum("value")).alias("total"), F.bool_and("complete").alias("complete")
+    )
+
+
+@query(
+    "T3_W1_W2_rolling_bands_stream",
+    """SELECT event_id, user_id, value, CAST(CAST(avg(value) OVER w AS FLOAT) AS DOUBLE) AS ma, CAST(CAST(stddev_samp(value) OVER w AS FLOAT) AS DOUBLE) AS std,
+    coalesce(abs(value - avg(value) OVER w) > 2 * stddev_samp(value) OVER w, FALSE) AS outside FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
+)
+def rolling_bands_in_stream(spark, folder):
+    """Mean, deviation and band of every arriving row over its key's last ten, from keyed state; the last file is sent again at the end."""
+    path = scratch_path(spark, "bands-in")
+    rows = b.table(spark, folder, "events").select("event_id", "user_id", "value")
+    stream = _in_order(spark, rows, "event_id", path)
+    rows.filter(F.col("event_id") > rows.agg(F.max("event_id") - 100).scalar()).coalesce(1).write.mode("append").parquet(path)
+    state.use_state_store(spark)
+    bands = _run(state.rolling_bands_stream(stream, ["value"], ["user_id"], "event_id"), "bands", spark)
+    outside = F.abs(F.col("value") - F.col("value_ma")) > 2 * F.col("value_std")
+    return bands.select(
+        "event_id", "user_id", "value", rounded("value_ma").alias("ma"), rounded("value_std").alias("std"), F.coalesce(outside, F.lit(False)).alias("outside")
+    )
+
+
 @query(
     "T2_refined_stream",
     f"""WITH {b.REFINED} SELECT batchid, domecasegap, stitcharea, CAST(test_time_sec AS BIGINT) AS test_time_sec, strftime(day, '%Y-%m-%d') AS date,
