@@ -19,11 +19,14 @@ from __future__ import annotations
 
 import base64
 import importlib
+import json
+import re
 import zlib
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +50,8 @@ class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes.
 
     This vocabulary never merges across a space that a non-blank character follows: such a space opens the next word. So a text
-    is cut there, and each word, with the space before it, is encoded once and looked up afterwards.
+    is cut there, and each word, with the space before it, is encoded once and looked up afterwards. Special tokens of the vocabulary, which its
+    .json file beside the ranks names, are found in the text first; what lies between them is encoded by itself.
     """
 
     def __init__(self, path: str):
@@ -58,11 +62,23 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.words: dict[str, bytes] = {}
+        self.special: dict[str, bytes] = {}
+        named = Path(path).with_suffix(".json")
+        if named.exists():
+            added = json.loads(named.read_text(encoding="utf-8"))["added_tokens"]
+            self.special = {t["content"]: np.uint32(t["id"]).tobytes() for t in added}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.parted = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
 
     def _bytes(self, text: str) -> bytes:
         return np.asarray(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if self.parted and any(t in text for t in self.special):
+            return b"".join(self.special[part] if part in self.special else self._plain(part) for part in self.parted.split(text))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if not text:
             return b""
         first, *words = text.split(" ")
