@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from ..session import staged
 from .skew import MAX_GROUP_ROWS, attach, hot_groups
 
-BROADCAST_VALUES = 100_000
+#: Bytes of a column's values and codes up to which they are broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
 def _entry(df: DataFrame, name: str) -> Column:
@@ -38,34 +39,18 @@ def category_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def number_categories(values: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Codes 0.. in sorted order per column.
 
-    A column with very many values is cut at sampled values into ranges; a code is then the number
-    of values in earlier ranges plus the position within the range.
+    When a column has very many values, all of them are ranged by column and value at sampled bounds, which a row finds by bisection; a code is
+    then the number of values in earlier ranges plus the position within the range. The ranges are written, so that every plan sees the same.
     """
     order = ["number", "text"]
-    sizes = {r["column"]: r["count"] for r in values.groupBy("column").count().collect()}
-    cuts = []
-    for column, size in sizes.items():
-        if size > max_group_rows:
-            found = values.filter(F.col("column") == column)
-            parts = -(-size // max_group_rows)
-            sample = found.orderBy(F.xxhash64(*order)).limit(parts * 40).orderBy(*order).collect()
-            cuts += [(column, sample[i * 40]) for i in range(1, parts) if i * 40 < len(sample)]
-    if not cuts:
+    sizes = [r["count"] for r in values.groupBy("column").count().collect()]
+    if max(sizes, default=0) <= max_group_rows:
         per_column = Window.partitionBy("column").orderBy(*order)
         return values.select("*", (F.row_number().over(per_column) - 1).cast("int").alias("code"))
 
-    here = F.struct(F.coalesce("number", F.lit(float("-inf"))), F.col("text"))
-    bounds = F.array(
-        *[
-            F.struct(
-                F.lit(column).alias("column"),
-                F.struct(F.lit(float("-inf") if r["number"] is None else r["number"]), F.lit(r["text"])).alias("at"),
-            )
-            for column, r in cuts
-        ]
-    )
-    passed = F.filter(bounds, lambda b: (b["column"] == F.col("column")) & (b["at"] <= here))
-    ranged = values.withColumn("_part", F.size(passed))
+    parts = -(-2 * sum(sizes) // max_group_rows)
+    ranged = values.repartitionByRange(parts, "column", *order).withColumn("_part", F.spark_partition_id())
+    ranged = staged(ranged, "ranges")
     totals = ranged.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("column", "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
@@ -80,11 +65,13 @@ class CategoryCodes:
 
     dictionary: DataFrame
     sizes: dict[str, int]
+    """Bytes by column: 20 for number and code, and those of the text."""
 
     @classmethod
     def of(cls, dictionary: DataFrame) -> "CategoryCodes":
-        sizes = dictionary.groupBy("column").count().orderBy("column").collect()
-        return cls(dictionary, {r["column"]: r["count"] for r in sizes})
+        held = F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 20).alias("bytes")
+        sizes = dictionary.groupBy("column").agg(held).orderBy("column").collect()
+        return cls(dictionary, {r["column"]: r["bytes"] for r in sizes})
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> "CategoryCodes":
@@ -96,8 +83,8 @@ class CategoryCodes:
     def encode(self, df: DataFrame, as_codes: bool = True, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
         """Replace each column by its code (or add `<column>_code`). Missing and unseen values are -1.
 
-        A column with few values is joined by broadcast; its size is known from the dictionary. One
-        with many values is joined by shuffle, with its hot values spread over salts.
+        A column whose values are few bytes is joined by broadcast; the size is known from the dictionary. One
+        with more is joined by shuffle, with its hot values spread over salts.
         """
         for name, size in self.sizes.items():
             is_number = isinstance(df.schema[name].dataType, T.NumericType)
@@ -106,8 +93,8 @@ class CategoryCodes:
             codes = own.select(*[F.col(c).alias(n) for n, c in match.items()], F.col("code").alias("_code"))
             entry = _entry(df, name)
             valued = df.withColumns({n: F.when(F.col(name).isNotNull(), entry[c]) for n, c in match.items()})
-            if size <= BROADCAST_VALUES or df.isStreaming:
-                joined = valued.join(F.broadcast(codes) if size <= BROADCAST_VALUES else codes, list(match), "left")
+            if size <= BROADCAST_BYTES or df.isStreaming:
+                joined = valued.join(F.broadcast(codes) if size <= BROADCAST_BYTES else codes, list(match), "left")
             else:
                 hot = hot_groups(valued, list(match), max_group_rows)
                 joined = attach(valued, codes, list(match), hot, max_group_rows, "left")

@@ -1,6 +1,7 @@
 """Storage round trips and streaming queries. Each writes to its own folder under the shared scratch
 folder and returns what it wrote; the streams run until their input is used up."""
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F, types as T
@@ -12,6 +13,7 @@ from ...operators.forest import IsolationForest
 from ...schemas import WEEKLY
 from ...session import scratch_path, staged
 from ...sources import files, messages
+from ...sources.commits import PeriodTable
 from ...sources.messages import FRAME
 from ...streaming import jobs, state
 from .. import jobs as daily
@@ -232,6 +234,82 @@ def alert_stream(spark, folder):
     return _run(alerts, "alerts", spark)
 
 
+@query(
+    "T3_alert_stream_salted",
+    """WITH r AS (SELECT event_id, user_id, value AS v, (user_id % 10) * 1.0 AS lo, 90.0 + user_id % 60 AS hi FROM events)
+    SELECT event_id, v AS value, CASE WHEN v < lo THEN 'below' WHEN v > hi THEN 'above' ELSE 'near' END AS zone FROM r
+    WHERE v < lo OR v > hi OR v <= lo + abs(lo) * 0.1 OR v >= hi - abs(hi) * 0.1""",
+)
+def alert_stream_salted(spark, folder):
+    """The same with limits joined by shuffle and the rows of each key spread over four tasks."""
+    users = b.table(spark, folder, "events").select("user_id").distinct()
+    limits = users.select("user_id", (F.col("user_id") % 10).cast("double").alias("lo_limit"), (F.col("user_id") % 60 + 90).cast("double").alias("hi_limit"))
+    alerts = jobs.alert_stream(_event_stream(spark, folder), limits.hint("shuffle_merge"), ["user_id"], "value", salts=4)
+    return _run(alerts.select("event_id", "value", "zone"), "alerts", spark)
+
+
+@query("T7_live_cadence", "SELECT event_type, count(*) AS rows, '15 seconds' AS cadence FROM events GROUP BY event_type")
+def live_cadence(spark, folder):
+    """A live stream with its standing trigger: the rows at hand are written by the first micro-batch, and the query waits for the next one until it is stopped."""
+    root, live = scratch_path(spark, "live"), _event_stream(spark, folder).select("event_id", "event_type")
+    running = jobs.to_files(live, f"{root}/out", f"{root}/checkpoint", jobs.LIVE)
+    running.processAllAvailable()
+    waits = running.isActive
+    running.stop()
+    rows = spark.read.schema(live.schema).parquet(f"{root}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
+    return rows.withColumn("cadence", F.lit(jobs.LIVE["processingTime"] if waits else "ended"))
+
+
+@query(
+    "S10_station_files",
+    """SELECT 'Cell_' || l_returnflag AS station, l_linestatus AS lot, l_orderkey, l_linenumber, l_quantity FROM lineitem""",
+)
+def station_files(spark, folder):
+    """One CSV file for each station and lot, named after them, scanned as one table."""
+    root = scratch_path(spark, "stations")
+    rows = staged(b.table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_quantity"), "rows")
+    place = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    system = place(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for flag, status in rows.select("l_returnflag", "l_linestatus").distinct().collect():
+        one = rows.filter((F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status)).drop("l_returnflag", "l_linestatus")
+        one.coalesce(1).write.option("header", True).csv(f"{root}/written/{flag}{status}")
+        written = system.globStatus(place(f"{root}/written/{flag}{status}/part-*.csv"))[0].getPath()
+        system.mkdirs(place(f"{root}/files"))
+        system.rename(written, place(f"{root}/files/Cell_{flag}_{status}.csv"))
+    schema = T.StructType([f for f in rows.schema.fields if f.name not in ("l_returnflag", "l_linestatus")])
+    return files.read_station_files(spark, f"{root}/files/*.csv", schema).select("station", "lot", "l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query(
+    "S13_managed_table",
+    f"WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap FROM weekly WHERE year >= 1996",
+)
+def managed_table(spark, folder):
+    """The weekly history saved as a partitioned table of the catalogue and read by name, some years of it."""
+    name = f"history_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'warehouse')}'")
+    files.save_table(b.weekly(spark, folder), f"{name}.weekly", ["year"])
+    return _longs(spark.table(f"{name}.weekly").filter("year >= 1996"), "year", "week").select("year", "week", "maximum_domecasegap")
+
+
+@query(
+    "S9_two_writers",
+    f"WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap, TRUE AS first_wins, TRUE AS second_lost, TRUE AS nothing_of_the_dead FROM weekly WHERE year <= 1997",
+)
+def two_writers(spark, folder):
+    """Two writers find the weeks of 1996 missing at the same time; one adds them, the other sees it and adds only what is still missing. A third one dies before its manifest."""
+    weekly = staged(b.weekly(spark, folder).select("year", "week", "maximum_domecasegap"), "weekly")
+    history = PeriodTable(spark, scratch_path(spark, "history"), weekly.schema, ["year", "week"])
+    early, late = weekly.filter("year <= 1996"), weekly.filter("year between 1996 and 1997")
+    one, two = history.prepare(early), history.prepare(late)
+    history.prepare(weekly.filter("year > 1997"))
+    first, second = history.commit(one), history.commit(two)
+    history.append(late, "skip_rows")
+    rows = _longs(history.read(), "year", "week")
+    dead = rows.filter("year > 1997").isEmpty()
+    return rows.withColumns({"first_wins": F.lit(first), "second_lost": F.lit(not second), "nothing_of_the_dead": F.lit(dead)})
+
+
 @query("T4_scored_stream", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM events")
 def scored_stream(spark, folder):
     """Labels of the stream equal those of the batch they were fitted on."""

@@ -16,7 +16,7 @@ from ..sources.messages import FRAME
 LIVE = {"processingTime": "15 seconds"}
 CATCH_UP = {"availableNow": True}
 REPLAY_BATCHES = 10_000
-BROADCAST_BATCHES = 100_000
+BROADCAST_BYTES = 16 << 20
 
 
 def event_time(df: DataFrame, column: str) -> DataFrame:
@@ -39,9 +39,19 @@ def refined_stream(stream: DataFrame, codes=None, **options) -> DataFrame:
     return codes.encode(rows) if codes else rows
 
 
-def alert_stream(stream: DataFrame, thresholds: DataFrame, keys: Sequence[str], value: str, margin: float = 0.1) -> DataFrame:
-    """Rows near or beyond their limits. The limits are a static table, read again in every micro-batch."""
-    return limit_alerts(with_thresholds(stream, thresholds, keys, check_skew=False), value, margin)
+def alert_stream(stream: DataFrame, thresholds: DataFrame, keys: Sequence[str], value: str, margin: float = 0.1, salts: int = 1) -> DataFrame:
+    """Rows near or beyond their limits. The limits are a static table, read again in every micro-batch.
+
+    Limits that are too large to be broadcast are joined by shuffle; `salts` then spreads the rows of every key over so many tasks, by a hash of
+    the row, and repeats the limits as often.
+    """
+    if salts > 1:
+        hashed = [f.name for f in stream.schema if "map<" not in f.dataType.simpleString()]
+        stream = stream.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
+        thresholds = thresholds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        keys = [*keys, "_salt"]
+    alerts = limit_alerts(with_thresholds(stream, thresholds, keys, check_skew=False), value, margin)
+    return alerts.drop("_salt")
 
 
 def scored_stream(stream: DataFrame, model: ForestModel) -> DataFrame:
@@ -129,11 +139,11 @@ class FramedBatches:
         still_open = read_snapshot(spark, f"{self.open}/epoch={batch - 1}", table("batch_id string, first long"))
         now = self._arrived_since(spark, batch, batch).select("batch_id").distinct()
         touched = now.join(done, "batch_id", "left_anti").join(still_open, "batch_id", "left")
-        seen = touched.agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("batches")).first()
+        seen = touched.agg(F.min("first").alias("first"), F.sum(F.octet_length("batch_id") + 16).alias("bytes")).first()
 
         arrived = self._arrived_since(spark, batch if seen["first"] is None else seen["first"], batch)
         wanted = touched.select("batch_id")
-        wanted = F.broadcast(wanted) if seen["batches"] <= BROADCAST_BATCHES else wanted
+        wanted = F.broadcast(wanted) if (seen["bytes"] or 0) <= BROADCAST_BYTES else wanted
         candidates = arrived.join(wanted, "batch_id", "left_semi")
         rows = candidates.dropDuplicates(["batch_id", "row_no"])
         sizes = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("expected_rows").alias("expected"))
