@@ -14,6 +14,7 @@ from ...schemas import WEEKLY
 from ...session import scratch_path, staged
 from ...sources import files, messages
 from ...sources.commits import PeriodTable
+from ...sources.documents import read_column_documents_in_pieces
 from ...sources.messages import FRAME
 from ...streaming import jobs, state
 from .. import jobs as daily
@@ -45,25 +46,38 @@ def snapshot_and_append(spark, folder):
     return _longs(rows.select("year", "week", "maximum_domecasegap", rounded("stitcharea_week_mean").alias("stitcharea_week_mean")), "year", "week")
 
 
-@query(
-    "S5_column_documents",
-    f"""WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap, CAST(CAST(stitcharea_week_mean AS FLOAT) AS DOUBLE) AS stitcharea_week_mean,
-    CAST(CAST(domecasegap_week_stddev AS FLOAT) AS DOUBLE) AS domecasegap_week_stddev FROM weekly""",
-)
-def column_documents(spark, folder):
-    """The weekly history as one {column: {index: value}} document per year, imported again. A year has
-    at most 54 weeks, so a document is small."""
+_DOCUMENTS = f"""WITH {b.WEEKLY} SELECT {_WEEK_KEYS}, maximum_domecasegap, CAST(CAST(stitcharea_week_mean AS FLOAT) AS DOUBLE) AS stitcharea_week_mean,
+    CAST(CAST(domecasegap_week_stddev AS FLOAT) AS DOUBLE) AS domecasegap_week_stddev FROM weekly"""
+
+
+def _written_documents(spark, folder):
+    """The weekly history as one {column: {index: value}} document per year. A year has at most 54 weeks, so a document is small."""
     path = scratch_path(spark, "documents")
     names = WEEKLY.fieldNames()
     weekly = b.weekly(spark, folder).withColumn("folder", F.col("year"))
     cells = [F.map_from_entries(F.collect_list(F.struct(F.col("week").cast("string"), F.col(n).cast("string")))).alias(n) for n in names]
     documents = weekly.groupBy("folder").agg(*cells).select("folder", F.to_json(F.struct(*names)).alias("value"))
     documents.repartition("folder").write.partitionBy("folder").text(path)
-    rows = files.read_column_documents(spark, f"{path}/*/*.txt", WEEKLY)
+    return f"{path}/*/*.txt"
+
+
+def _shown_documents(rows):
     shown = rows.select("year", "week", "maximum_domecasegap", *[rounded(n).alias(n) for n in ("stitcharea_week_mean", "domecasegap_week_stddev")])
     return _longs(shown, "year", "week")
 
 
+@query("S5_column_documents", _DOCUMENTS)
+def column_documents(spark, folder):
+    """Documents imported again, a file as one value."""
+    return _shown_documents(files.read_column_documents(spark, _written_documents(spark, folder), WEEKLY))
+
+
+@query("S5_column_documents_in_pieces", _DOCUMENTS)
+def column_documents_in_pieces(spark, folder):
+    """The same, read fragment by fragment, as a document of any size is."""
+    return _shown_documents(read_column_documents_in_pieces(spark, _written_documents(spark, folder), WEEKLY))
+
+
 @query(
     "S11_positional_names",
     "SELECT 'B' || l_suppkey AS blisterid, l_quantity AS domecasegap, l_extendedprice AS stitcharea, l_returnflag AS testtimemin, l_tax AS testtimesec, l_linestatus AS material FROM lineitem",

@@ -59,7 +59,8 @@ def read_column_documents(spark: SparkSession, path: str, schema: T.StructType)
     """Import documents of the form {column: {index: value}}, one table per file.
 
     Files are read in parallel; a file becomes rows keyed by its index. Values are cast to the
-    declared schema, and the file and index are kept as `source_file` and `source_index`.
+    declared schema, and the file and index are kept as `source_file` and `source_index`. A file is one value, of 2 GB at
+    most and better far less; `documents.read_column_documents_in_pieces` reads larger ones.
     """
     documents = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("source_file"),
