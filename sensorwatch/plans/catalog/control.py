@@ -260,7 +260,17 @@ def global_rolling_window(spark, folder):
     return _round(chart, *LINES)
 
 
-def _trend_sql(keys, rows):
+_COMPAT_RULE = """WHEN lo_value < lo_spc AND hi_value > hi_spc THEN '0:Within SPC limits'
+          WHEN lo_value * 1.1 >= lo_spc OR hi_value * 0.9 <= hi_spc THEN '1:Approaching SPC limits'
+          WHEN lo_value > lo_spc THEN '2:Below SPC limits' WHEN hi_value > hi_spc THEN '3:Above SPC limits'
+          WHEN hi_value > hi_limit OR lo_value < lo_limit THEN '4:Above limits'"""
+_STRICT_RULE = """WHEN hi_value > hi_limit OR lo_value < lo_limit THEN '4:Above limits'
+          WHEN hi_value > hi_spc THEN '3:Above SPC limits' WHEN lo_value < lo_spc THEN '2:Below SPC limits'
+          WHEN lo_value <= lo_spc + abs(lo_spc) * 0.1 OR hi_value >= hi_spc - abs(hi_spc) * 0.1 THEN '1:Approaching SPC limits'
+          WHEN lo_value >= lo_spc AND hi_value <= hi_spc THEN '0:Within SPC limits'"""
+
+
+def _trend_sql(keys, rows, rule=_COMPAT_RULE):
     """Trend rows over both features; keys is '' or 'lot'."""
     part, group, on = (f"PARTITION BY {keys} ", f"GROUP BY {keys}", f"USING ({keys})") if keys else ("", "", "ON TRUE")
     key = f"{keys}, " if keys else ""
@@ -274,10 +284,7 @@ def _trend_sql(keys, rows):
         t AS (SELECT {key}arg_min(coalesce({low}, -1e300), seq) AS lo_limit, arg_min(coalesce({high}, 1e300), seq) AS hi_limit,
           arg_min({f}_limit, seq) AS limit_text FROM series {group}),
         l AS (SELECT g.*, t.* {"EXCLUDE (" + keys + ")" if keys else ""}, CASE
-          WHEN lo_value < lo_spc AND hi_value > hi_spc THEN '0:Within SPC limits'
-          WHEN lo_value * 1.1 >= lo_spc OR hi_value * 0.9 <= hi_spc THEN '1:Approaching SPC limits'
-          WHEN lo_value > lo_spc THEN '2:Below SPC limits' WHEN hi_value > hi_spc THEN '3:Above SPC limits'
-          WHEN hi_value > hi_limit OR lo_value < lo_limit THEN '4:Above limits' ELSE '5:Unknown' END AS alarm
+          {rule} ELSE '5:Unknown' END AS alarm
           FROM g JOIN t {on})
         {rows.format(f=f, key=key, on=on)})""")
     return f"WITH {b.SERIES}, flagged AS (SELECT * FROM series WHERE outlier = -1) " + " UNION ALL ".join(f"SELECT * FROM {p}" for p in parts)
@@ -317,6 +324,15 @@ def group_trend_labels(spark, folder):
     return _round(trends.drop("lo_limit", "hi_limit"), "lo_spc", "hi_spc")
 
 
+@query("L1_strict_group_labels", _trend_sql("lot", _TREND_GROUPS, _STRICT_RULE))
+def strict_group_labels(spark, folder):
+    """The same groups by the rule that names what a range does to its band and limits."""
+    rows = b.series(spark, folder)
+    limits = spc.first_limits(rows, FEATURES, ["lot"], ["seq"])
+    trends = spc.group_trends(_flagged(rows), limits, FEATURES, ["lot"], ["seq"], rule="strict")
+    return _round(trends.drop("lo_limit", "hi_limit"), "lo_spc", "hi_spc")
+
+
 @query(
     "W4_U3_trend_of_large_lots",
     f"""WITH {b.SERIES}, big AS (SELECT lot FROM series GROUP BY lot HAVING count(*) >= 70), m AS (SELECT seq, lot, domecasegap,

@@ -227,6 +227,83 @@ def grouped_prediction_error(spark, folder):
     return fc.mean_squared_error(predicted, "std", "predicted", ["lot"]).withColumn("mse", rounded("mse"))
 
 
+_FOUR = ["week", "domecasegap", "stitcharea", "test_time_sec"]
+_CHART_FOUR = f"{_CHART}, four_rows AS (SELECT *, CAST((seq * 37) % 600 * 60 AS DOUBLE) AS test_time_sec FROM full_rows)"
+
+
+def _chart_four(spark, folder):
+    """The chart rows with all four features of the band models; the test time is made from the place in the series."""
+    return _chart(spark, folder).withColumn("test_time_sec", (F.col("seq") * 37 % 600 * 60).cast("double"))
+
+
+def _least_squares(name, source, target, features, keys=()):
+    """Common table expressions that solve a regression by elimination: <name> with the keys, n, my, m0.. (means) and w0.. (weights)."""
+    k, by = len(features), ", ".join(keys)
+    head = f"{by}, " if keys else ""
+    moments = [f"avg({f}) AS m{i}" for i, f in enumerate(features)] + [f"covar_pop({f}, {target}) AS b{i}" for i, f in enumerate(features)]
+    moments += [f"covar_pop({f}, {g}) AS a{i}{j}" for i, f in enumerate(features) for j, g in enumerate(features) if j >= i]
+    parts = [f"{name}_0 AS (SELECT {head}count(*) AS n, avg({target}) AS my, {', '.join(moments)} FROM {source} {'GROUP BY ' + by if keys else ''})"]
+    for p in range(k - 1):  # below the pivot p; the rest of the matrix stays symmetric
+        changed = [f"a{i}{j} - a{p}{i} * a{p}{j} / a{p}{p} AS a{i}{j}" for i in range(p + 1, k) for j in range(i, k)]
+        changed += [f"b{i} - a{p}{i} * b{p} / a{p}{p} AS b{i}" for i in range(p + 1, k)]
+        parts.append(f"{name}_{p + 1} AS (SELECT * REPLACE ({', '.join(changed)}) FROM {name}_{p})")
+    back = [f"(b{i} - ({' + '.join([f'a{i}{j} * w{j}' for j in range(i + 1, k)] or ['0'])})) / a{i}{i} AS w{i}" for i in range(k - 1, -1, -1)]
+    parts.append(f"{name} AS (SELECT *, {', '.join(back)} FROM {name}_{k - 1})")
+    return ", ".join(parts)
+
+
+def _foretold(fit, row, features):
+    return f"({fit}.my + " + " + ".join(f"{fit}.w{i} * ({row}.{f} - {fit}.m{i})" for i, f in enumerate(features)) + ")"
+
+
+@query(
+    "M1_four_features",
+    f"WITH {_CHART_FOUR}, " + ", ".join(_least_squares(f"fit_{t}", "(SELECT * FROM four_rows WHERE (seq * 7919 + 42) % 100 < 80)", t, _FOUR) for t in ("ma", "std"))
+    + " " + " UNION ALL ".join(
+        f"""SELECT '{t}' AS target, count(*) AS rows, CAST(CAST(avg(({t} - {_foretold(f"fit_{t}", "r", _FOUR)}) ** 2) AS FLOAT) AS DOUBLE) AS mse
+        FROM four_rows r, fit_{t} WHERE (seq * 7919 + 42) % 100 >= 80""" for t in ("ma", "std")
+    ),
+)
+def four_feature_bands(spark, folder):
+    """Moving average and deviation from week, gap, area and test time: fit on 80 %, error on the rest."""
+    train, test = fc.split_rows(_chart_four(spark, folder), "seq")
+    found = None
+    for target in ("ma", "std"):
+        scored = fc.apply_model(fc.linear_model(train, target, _FOUR, "predicted"), test)
+        error = scored.agg(F.lit(target).alias("target"), F.count(F.lit(1)).alias("rows"),
+                           rounded(F.avg(F.pow(F.col(target) - F.col("predicted"), 2))).alias("mse"))
+        found = error if found is None else found.unionByName(error)
+    return found
+
+
+@query(
+    "M2_four_features_per_cell",
+    f"WITH {_CHART_FOUR}, ten_rows AS (SELECT *, lot % 10 AS cell FROM four_rows), " + _least_squares("fit", "ten_rows", "ma", _FOUR, ["cell"])
+    + f""" SELECT r.cell, count(*) AS rows, CAST(CAST(avg((ma - {_foretold("fit", "r", _FOUR)}) ** 2) AS FLOAT) AS DOUBLE) AS mse FROM ten_rows r JOIN fit ON fit.cell = r.cell GROUP BY r.cell""",
+)
+def four_features_per_cell(spark, folder):
+    """A regression with all four features for each of ten cells, and its error."""
+    rows = staged(_chart_four(spark, folder).withColumn("cell", F.col("lot") % 10), "chart")
+    predicted = fc.grouped_predict(rows, fc.grouped_linear_fit(rows, "ma", _FOUR, ["cell"]), _FOUR, ["cell"], "predicted", hot=NO_GROUPS)
+    error = F.avg(F.pow(F.col("ma") - F.col("predicted"), 2))
+    return predicted.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), rounded(error).alias("mse"))
+
+
+@query(
+    "M9_four_feature_forecaster",
+    f"WITH {_CHART_FOUR}, bands AS (SELECT lot, week, avg(domecasegap) AS domecasegap, avg(stitcharea) AS stitcharea, avg(test_time_sec) AS test_time_sec, avg(ma) AS ma, avg(std) AS std FROM four_rows GROUP BY lot, week), "
+    + ", ".join(_least_squares(f"f{t}", "bands", t, _FOUR) for t in ("ma", "std"))
+    + f""" SELECT lot, CAST(week AS BIGINT) AS week, CAST(CAST({_foretold("fma", "r", _FOUR)} AS FLOAT) AS DOUBLE) AS pred_ma, CAST(CAST({_foretold("fstd", "r", _FOUR)} AS FLOAT) AS DOUBLE) AS pred_std,
+    {_foretold("fma", "r", _FOUR)} > 60 AS ma_alarm, {_foretold("fstd", "r", _FOUR)} > 55 AS std_alarm FROM bands r, fma, fstd""",
+)
+def four_feature_forecaster(spark, folder):
+    """Weekly means of the bands foretold from the four features, with the alarm levels of both targets."""
+    means = [F.avg(c).alias(c) for c in ("domecasegap", "stitcharea", "test_time_sec", "ma", "std")]
+    weekly = staged(_chart_four(spark, folder).groupBy("lot", "week").agg(*means), "bands")
+    found = fc.level_alarms(weekly, weekly, {"ma": 60.0, "std": 55.0}, _FOUR)
+    return found.select("lot", F.col("week").cast("long").alias("week"), rounded("pred_ma").alias("pred_ma"), rounded("pred_std").alias("pred_std"), "ma_alarm", "std_alarm")
+
+
 @query(
     "M1_one_feature_regression",
     """SELECT count(*) AS rows, CAST(CAST(regr_slope(l_extendedprice, l_quantity) AS FLOAT) AS DOUBLE) AS slope, CAST(CAST(regr_intercept(l_extendedprice, l_quantity) AS FLOAT) AS DOUBLE) AS intercept FROM lineitem""",
