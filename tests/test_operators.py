@@ -85,7 +85,7 @@ def test_codes_numbered_in_ranges(spark):
 def test_encoding_a_column_with_many_values(spark, monkeypatch):
     from sensorwatch.operators import encode
 
-    monkeypatch.setattr(encode, "BROADCAST_VALUES", 10)
+    monkeypatch.setattr(encode, "BROADCAST_BYTES", 5)
     rows = spark.range(2000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 100).alias("n"))
     coded = CategoryCodes.fit(rows, ["n"]).encode(rows, max_group_rows=50)
     assert coded.filter("n is null or n < -1 or n > 99").count() == 0
