@@ -310,6 +310,31 @@ def test_passages_whose_seeds_are_first_seen_elsewhere(spark):
     assert found == sorted([(i, 40, 110) for i in here] + [(5000, 110, 190), (5000, 280, 360), (5001, 60, 140)])
 
 
+@pytest.mark.parametrize("often", [passages.OFTEN, 3])
+def test_fuzzy_passages_whose_runs_stand_in_earlier_documents(spark, monkeypatch, often):
+    monkeypatch.setattr(passages, "OFTEN", often)  # a small limit sends all of them over keys of two seeds
+    monkeypatch.setattr(passages, "CHUNK", 2)
+    texts, here = [], []
+    for p in range(10):  # two documents share 100 words, one in twelve changed; all runs of five also stand alone in two earlier documents each
+        shared = own(f"s{p}x", 100)
+        fuzzy = [f"f{p}y{k}" if k % 12 == 11 else w for k, w in enumerate(shared)]
+        texts += [(1000 * p + 10 * k + c, own(f"q{p}x{k}y{c}z", 30) + shared[k : k + 5] + own(f"r{p}x{k}y{c}z", 30)) for k in range(96) for c in range(2)]
+        texts += [(20_000 + p, own(f"a{p}y", 40) + shared + own(f"b{p}y", 40)), (30_000 + p, own(f"c{p}y", 60) + fuzzy + own(f"d{p}y", 40))]
+        here += [(20_000 + p, 40, 30_000 + p), (30_000 + p, 60, 20_000 + p)]
+    got = {r["doc_id"]: r for r in repeated_passages(docs_of(spark, [(i, " ".join(w)) for i, w in texts])).collect()}
+    assert set(got) == {i for i, _, _ in here}
+    for i, start, other in here:
+        assert got[i]["linked_doc"] == other
+        assert abs(got[i]["start_word"] - start) <= 13 and abs(got[i]["end_word"] - start - 100) <= 13, got[i]
+
+
+def test_copies_are_repeated_as_a_whole(spark):
+    text, short = " ".join(own("a", 70) + own("b", 60)), " ".join(own("c", 30))
+    docs = docs_of(spark, [(9, text), (4, text), (7, text), (4, text), (2, " ".join(own("b", 60) + own("d", 60))), (5, short), (6, short)])
+    got = sorted(tuple(r) for r in repeated_passages(docs).collect())
+    assert got == [(2, 0, 60, 60, 4), (4, 0, 130, 130, 2), (7, 0, 130, 130, 2), (9, 0, 130, 130, 2)]
+
+
 def test_minimizers_cover_every_window():
     hashes = np.random.default_rng(5).integers(0, 1 << 60, 500).astype(np.uint64)
     at = set(passages.minimizers(hashes).tolist())
