@@ -9,7 +9,7 @@ from ..functions.limits import range_text
 from ..functions.text import lower_names, strip_strings
 from ..schemas import MEASUREMENTS
 from ..sources.daystore import TEST_YEAR, DayStore
-from .skew import MAX_GROUP_ROWS, NO_GROUPS, HotGroups, attach
+from .skew import MAX_GROUP_ROWS, NO_GROUPS, HotGroups, attach, row_hash
 
 
 def join_measurements(batches: DataFrame, tests: DataFrame, cells: DataFrame,
@@ -22,8 +22,12 @@ def join_measurements(batches: DataFrame, tests: DataFrame, cells: DataFrame,
     clashes = [c for c in tests.columns if c in batches.columns and c not in batch_keys]
     tests = tests.withColumnsRenamed({c: f"tp_{c}" for c in clashes})
     hot = hot or {}
-    joined = attach(tests, batches, list(batch_keys), hot.get("batchid", NO_GROUPS), max_group_rows)
-    return attach(joined, cells, ["testid"], hot.get("testid", NO_GROUPS), max_group_rows)
+    if not any(hot.values()):
+        return attach(attach(tests, batches, list(batch_keys)), cells, ["testid"])
+    # One hash of the test serves both joins: one of the joined row would carry all columns through the first.
+    tests = tests.withColumn("_spread", row_hash(tests))
+    joined = attach(tests, batches, list(batch_keys), hot.get("batchid", NO_GROUPS), max_group_rows, spread="_spread")
+    return attach(joined, cells, ["testid"], hot.get("testid", NO_GROUPS), max_group_rows, spread="_spread").drop("_spread")
 
 
 def with_limits(rows: DataFrame, limits: DataFrame, key: str = "batchid", how: str = "inner",

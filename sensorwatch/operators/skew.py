@@ -73,14 +73,16 @@ def hot_groups_of(df: DataFrame, key_sets: Sequence[Sequence[str]], max_group_ro
 
 
 def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], hot: HotGroups = NO_GROUPS,
-           max_group_rows: int = MAX_GROUP_ROWS, how: str = "inner") -> DataFrame:
+           max_group_rows: int = MAX_GROUP_ROWS, how: str = "inner", spread: str | None = None) -> DataFrame:
     """Join a frame with few rows per key (`groups`) to many rows per key.
 
     Without keys `groups` is one row and is read as a scalar subquery. Rows of a hot key are spread
     over salts, and the matching `groups` rows are repeated once per salt. Any row-preserving or
     filtering join type works, because each row of `rows` meets each partner exactly once. Salts are
     hashes of the row (of its columns that can be hashed), so a repeated task salts alike; exact
-    copies share a salt, and a partition they overfill is split by adaptive execution.
+    copies share a salt, and a partition they overfill is split by adaptive execution. The hash is made
+    before any shuffle, so that columns nobody reads later are not shuffled for it; `spread` names a column
+    that holds it already, as in a chain of joins.
     """
     if not keys:
         packed = groups.select(F.struct("*")).scalar()
@@ -88,8 +90,9 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], hot: HotGrou
         return rows.withColumn("_packed", packed).select("*", *[F.col("_packed")[c].alias(c) for c in added]).drop("_packed")
     if not hot:
         return rows.join(groups, list(keys), how)
-    salted_rows = _with_salts(rows, keys, hot, max_group_rows)
-    salted_rows = salted_rows.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(rows)), F.col("_salts"))).drop("_salts")
+    hashed = rows.withColumn("_row", row_hash(rows) if spread is None else F.col(spread))
+    salted_rows = _with_salts(hashed, keys, hot, max_group_rows)
+    salted_rows = salted_rows.withColumn("_salt", F.pmod("_row", F.col("_salts"))).drop("_salts", "_row")
     salted_groups = _with_salts(groups, keys, hot, max_group_rows)
     salted_groups = salted_groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))).drop("_salts")
     return salted_rows.join(salted_groups, [*keys, "_salt"], how).drop("_salt")
@@ -102,9 +105,9 @@ def _with_salts(df: DataFrame, keys: Sequence[str], hot: HotGroups, max_group_ro
     return marked.withColumn("_salts", F.coalesce(salts, F.lit(1).cast("long"))).drop("_key", "_rows")
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    """Columns without a map, which has no hash."""
-    return [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the columns without a map, which has no hash."""
+    return F.xxhash64(*[f.name for f in df.schema if "map<" not in f.dataType.simpleString()])
 
 
 def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotGroups,

@@ -150,3 +150,20 @@ def test_plans_do_not_grow_with_the_number_of_hot_keys(spark, monkeypatch):
     assert joined.agg(F.count("*"), F.sum("g")).first()[:] == (2_000_000, 4_000_000)
     monkeypatch.setattr(skew, "BROADCAST_GROUPS", 10)
     assert skew.attach(df, groups, ["k"], hot, 1).count() == 2_000_000
+
+
+def test_salts_carry_no_unread_columns_through_the_joins(spark):
+    rows = spark.range(60).selectExpr("id % 3 AS k", "id % 4 AS m", "id AS v", "concat('w', id) AS wide")
+    groups = spark.range(3).selectExpr("id AS k", "id * 10 AS g")
+    cells = spark.range(4).selectExpr("id AS m", "id * 7 AS c")
+    hot = skew.hot_groups_of(rows, [["k"], ["m"]], 4)
+    spread = rows.withColumn("_spread", skew.row_hash(rows))
+    joined = skew.attach(spread, groups, ["k"], hot[0], 4, spread="_spread")
+    joined = skew.attach(joined, cells, ["m"], hot[1], 4, spread="_spread").select("v", "g", "c")
+    assert sorted(map(tuple, joined.collect())) == [(i, i % 3 * 10, i % 4 * 7) for i in range(60)]
+    for df in (joined, skew.attach(rows, groups, ["k"], hot[0], 4).select("v", "g")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        depths = [len(line) - len(line.lstrip(" :+-")) for line in plan.splitlines()]
+        for i, line in enumerate(plan.splitlines()):  # only the scan's side of the joins names the column
+            below = next((k for k in range(i + 1, len(depths)) if depths[k] <= depths[i]), len(depths))
+            assert "wide" not in line or not any("Join" in other for other in plan.splitlines()[i:below])
