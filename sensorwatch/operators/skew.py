@@ -207,6 +207,8 @@ def exact_quantiles(df: DataFrame, value: str, levels: Mapping[str, float], keys
         for rank in (low, high):
             holds_a_rank = holds_a_rank | ((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_rows")))
     wanted = per_part.filter(holds_a_rank)
+    if not keys:  # two parts for each level at most; a shuffled join would bring all rows of a part, wanted or not, into one task
+        wanted = F.broadcast(wanted)
     # Only parts that hold a wanted rank are tallied.
     held = values.join(wanted.select(*keys, "_part"), [*keys, "_part"], "left_semi") if hot else values
     tally = held.groupBy(*keys, "_part", "_v").agg(F.count(F.lit(1)).alias("_n"))

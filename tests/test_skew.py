@@ -116,6 +116,18 @@ def test_quantile_of_one_repeated_value(spark):
     np.testing.assert_allclose([found["m"], found["t"]], wanted)
 
 
+def test_parts_without_a_wanted_rank_are_not_shuffled(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).cast("double").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = skew.exact_quantiles(df, "v", {"m": 0.5, "t": 0.95}, (), 100)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+        np.testing.assert_allclose(list(found.first()), [499.5, 949.05])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, lopsided, how):
     _, df = lopsided
