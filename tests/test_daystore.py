@@ -50,6 +50,18 @@ def test_years_without_a_batch_of_the_configuration_are_not_read(spark, folder):
     assert {r["testid"] for r in extract(batches, store, cells, limits).collect()} == {10, 11, 12, 13, 14}
 
 
+def test_a_day_of_any_size_is_written_by_several_tasks(spark, folder):
+    tests = spark.range(0, 40_000, 1, 8).select(F.col("id").alias("testid"), (F.col("id") % 7).alias("batchid"), F.lit("05/02/2021").alias("date"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        DayStore(folder).append(tests)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = DayStore(folder).tests(spark)
+    assert stored.select("testid").distinct().count() == stored.count() == 40_000
+    assert stored.columns == ["testid", "batchid", "date", TEST_YEAR] and len(stored.inputFiles()) > 1
+
+
 @pytest.mark.parametrize("rule", ["server", "iso"])
 def test_days_of_a_period_hold_all_of_it(spark, rule):
     days = [(date(2019, 12, 20) + timedelta(days=i),) for i in range(2240)]
