@@ -160,14 +160,20 @@ def complete_batches(spark, folder):
     )
 
 
-def _in_order(spark, rows, order, path, pieces=4):
-    """The rows as files that arrive one after the other, ranged by `order`; a stream over them takes one file at a time."""
-    low, high = rows.agg(F.min(order), F.max(order)).first()
-    width = (high - low) // pieces + 1
+def _in_order(spark, rows, order, path, pieces=4, file_rows=1_000_000):
+    """The rows in pieces that arrive one after the other, ranged by `order`; a stream over them takes one piece at a time.
+
+    Large pieces are written by several tasks. Every piece has the same number of files; empty ones make up for those that a piece lacks.
+    """
+    low, high, count = rows.agg(F.min(order), F.max(order), F.count(order)).first()
+    width, files = (high - low) // pieces + 1, max(1, -(-count // (pieces * file_rows)))
     for i in range(pieces):
         start = low + i * width
-        rows.filter((F.col(order) >= start) & (F.col(order) < start + width)).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        piece = rows.filter((F.col(order) >= start) & (F.col(order) < start + width))
+        (piece.coalesce(1) if files == 1 else piece.repartition(files, order)).write.mode("append").parquet(path)
+        for _ in range((i + 1) * files - len(spark.read.schema(rows.schema).parquet(path).inputFiles())):
+            rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query(

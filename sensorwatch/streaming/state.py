@@ -5,10 +5,12 @@ restart goes on where the last committed micro-batch ended, and what has expired
 """
 
 import sys
+from base64 import b64decode, b64encode
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,6 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RELEASED = T.StructType([*FRAME.fields, T.StructField("complete", T.BooleanType())])
 CHUNK_ROWS = 10_000
+#: Rows of a batch as they are held.
+HELD = pa.schema([("row_no", pa.large_string()), ("payload", pa.large_string())])
 
 
 def use_state_store(spark: SparkSession) -> None:
@@ -32,7 +36,7 @@ def use_state_store(spark: SparkSession) -> None:
 class BatchRelease(StatefulProcessor):
     """Holds the rows of a batch until all that are announced have come.
 
-    Rows are appended as they arrive, repeats included, and counted. Only when as many have come as are announced are they read: if they
+    Rows are appended as they arrive, in compressed blocks, repeats included, and counted. Only when as many have come as are announced are they read: if they
     are all different the batch is released, else the repeats are removed and the count put right. A released batch stays marked, so that replays
     find it, until no row of it has come for the horizon; an incomplete one is then given up, its rows returned as not complete.
     """
@@ -59,16 +63,17 @@ class BatchRelease(StatefulProcessor):
             if released:
                 continue
             expected = max(expected, int(frame["expected_rows"].max()))
-            self.rows.appendList(list(zip(frame["row_no"], frame["payload"])))
+            columns = [pa.array(frame[c], type=HELD.field(c).type, from_pandas=True) for c in HELD.names]
+            self.rows.appendList(self._blocks(pa.Table.from_arrays(columns, schema=HELD)))
             held += len(frame)
         if not released and held >= expected:
-            distinct = dict(reversed(list(self.rows.get())))  # of repeats, the first one
+            distinct = self._distinct()
             if len(distinct) >= expected:
-                yield from self._frames(key[0], list(reversed(distinct.items())), expected, True)
+                yield from self._frames(key[0], distinct, expected, True)
                 self.rows.clear()
                 held, released = 0, True
             elif len(distinct) < held:
-                self.rows.put(list(reversed(distinct.items())))
+                self.rows.put(self._blocks(distinct))
                 held = len(distinct)
         self.facts.update((held, expected, released))
         self.handle.registerTimer(newest)
@@ -79,15 +84,27 @@ class BatchRelease(StatefulProcessor):
     def _given_up(self, key) -> Iterator[pd.DataFrame]:
         held, expected, released = self.facts.get() if self.facts.exists() else (0, 0, True)
         if not released:
-            distinct = dict(reversed(list(self.rows.get())))
-            yield from self._frames(key[0], list(reversed(distinct.items())), expected, False)
+            yield from self._frames(key[0], self._distinct(), expected, False)
         self.rows.clear()
         self.facts.clear()
 
     @staticmethod
-    def _frames(batch: str, rows: list[tuple], expected: int, complete: bool) -> Iterator[pd.DataFrame]:
+    def _blocks(rows: pa.Table) -> list[tuple[str, str]]:
+        """The rows as values of the list state: the bytes of a block, and the block compressed. All of it is text, as a list state returns other types as text."""
+        plain = [batch.serialize() for batch in rows.to_batches(CHUNK_ROWS)]
+        return [(str(block.size), b64encode(pa.compress(block, codec="zstd", asbytes=True)).decode()) for block in plain]
+
+    def _distinct(self) -> pa.Table:
+        """The held rows; of repeats, the first one."""
+        batches = [pa.ipc.read_record_batch(pa.decompress(b64decode(block), int(size), codec="zstd"), HELD) for size, block in self.rows.get()]
+        rows = pa.Table.from_batches(batches, HELD)
+        first = rows.append_column("at", pa.array(np.arange(len(rows)))).group_by("row_no").aggregate([("at", "min")])["at_min"]
+        return rows if len(first) == len(rows) else rows.take(first)
+
+    @staticmethod
+    def _frames(batch: str, rows: pa.Table, expected: int, complete: bool) -> Iterator[pd.DataFrame]:
         for at in range(0, len(rows), CHUNK_ROWS):
-            part = pd.DataFrame(rows[at : at + CHUNK_ROWS], columns=["row_no", "payload"])
+            part = rows.slice(at, CHUNK_ROWS).to_pandas()
             yield part.assign(batch_id=batch, expected_rows=expected, complete=complete)[[f.name for f in RELEASED.fields]]
 
     def close(self) -> None:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorwatch.operators import spc
+from sensorwatch.plans.catalog import streams
 from sensorwatch.streaming import jobs, state
 
 
@@ -84,6 +85,78 @@ def test_replays_within_the_horizon_and_rows_beyond_it(spark, folder):
     assert found.count(("a", "1", True)) == 2 and ("y", "1", True) in found and "z" not in {f[0] for f in found}
 
 
+class Held:
+    """A state variable in memory, and the handle that makes them."""
+
+    def __init__(self):
+        self.values, self.made, self.timers = [], {}, []
+
+    def getListState(self, name, schema):
+        return self.made.setdefault(name, Held())
+
+    getValueState = getListState
+
+    def listTimers(self):
+        return list(self.timers)
+
+    def registerTimer(self, at):
+        self.timers = [at]
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def exists(self):
+        return bool(self.values)
+
+    def appendList(self, values):
+        self.values += values
+
+    def put(self, values):
+        self.values = list(values)
+
+    update = put
+
+    def get(self):
+        return self.values
+
+    def clear(self):
+        self.values = []
+
+
+def test_rows_are_held_in_blocks(spark):
+    """25,000 rows are a few values of the list state, not one for each; repeats go, the first row of a number stays, and nulls stay nulls."""
+    handle, release = Held(), state.BatchRelease("sent")
+    release.init(handle)
+    clock = type("Clock", (), {"getCurrentWatermarkInMs": lambda self: 0})()
+
+    def send(numbers, payload):
+        rows = [("b", 25_001, n, payload and f"{payload}{n}", pd.Timestamp(START)) for n in numbers]
+        return list(release.handleInputRows(("b",), iter([pd.DataFrame(rows, columns=[*state.FRAME.fieldNames(), "sent"])]), clock))
+
+    assert send([str(i) for i in range(25_000)], "first") == []
+    blocks = handle.made["rows"].values
+    assert len(blocks) == 3 and sum(len(block) for _, block in blocks) < 500_000
+    assert send(["7", "8"], "second") == []
+    assert handle.made["facts"].values[0] == 25_000
+    found = pd.concat(send([None], None))
+    assert len(found) == 25_001 and found["complete"].all() and not handle.made["rows"].values
+    kept = dict(zip(found["row_no"], found["payload"]))
+    assert kept["7"] == "first7" and kept[None] is None and len(kept) == 25_001
+
+
+def test_pieces_of_a_stream_are_written_by_several_tasks(spark, folder):
+    """One piece is one micro-batch, whatever its size: a piece with fewer rows than files, or without any, is made up for by empty files."""
+    numbers = [*range(500), 2001, 3999]
+    rows = spark.createDataFrame([(i,) for i in numbers], "n long")
+    stream = streams._in_order(spark, rows, "n", f"{folder}/in", file_rows=40)
+    files = spark.read.parquet(f"{folder}/in").inputFiles()
+    assert len(files) == 16
+    seen = {}
+    note = lambda batch, number: seen.__setitem__(number, sorted(r["n"] for r in batch.collect()))
+    stream.writeStream.foreachBatch(note).option("checkpointLocation", f"{folder}/kept").trigger(availableNow=True).start().awaitTermination()
+    assert [seen[k] for k in sorted(seen) if seen[k]] == [list(range(500)), [2001], [3999]]
+
+
 def write_file(frame, root, i):
     """Files are taken in the order of their times."""
     frame.to_json(f"{root}/in/{i:03d}.json", orient="records", lines=True)
