@@ -8,6 +8,7 @@ from ..functions import calendar
 from ..functions.limits import range_text
 from ..functions.text import lower_names, strip_strings
 from ..schemas import MEASUREMENTS
+from ..session import split_large_joins
 from ..sources.daystore import TEST_YEAR, DayStore
 from .skew import MAX_GROUP_ROWS, NO_GROUPS, HotGroups, attach, row_hash
 
@@ -61,8 +62,9 @@ def extract(batches: DataFrame, tests: DataFrame | DayStore, cells: DataFrame, l
 
     Text is trimmed before the joins, where each value is still stored once. The configuration filter reaches the batch scan. The period filter is applied to the tests
     before any join; over a typed date column its days also become a plain range for the scan. A day store reads the partitions of the period's years, and of the years of
-    the configuration's batches, and parses nothing.
+    the configuration's batches, and parses nothing. Large partitions of the joins are split, which is set for the session.
     """
+    split_large_joins(batches.sparkSession)
     period = dict(year=year, quarter=quarter, month=month, yearweek=yearweek, weekday=weekday)
     batches, cells, limits = (strip_strings(lower_names(t)) for t in (batches, cells, limits))
     if config_id is not None:

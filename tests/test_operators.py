@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from sensorwatch import session
 from sensorwatch.operators import alarms, guard, kpi, refine as clean, rollup, spc, thresholds
 from sensorwatch.operators.encode import CategoryCodes, category_values, number_categories
 from sensorwatch.operators.extract import extract
@@ -257,3 +258,23 @@ def test_default_thresholds(spark):
     limits = spark.createDataFrame([("a", 0.0, 4.0)], "k string, lo_limit double, hi_limit double")
     checked = thresholds.check_limits(thresholds.with_thresholds(rows, limits, ["k"], {"lo_limit": 1.0, "hi_limit": 9.0}), "v")
     assert {r["k"]: r["zone"] for r in checked.collect()} == {"a": "above", "b": "inside"}
+
+
+def test_large_partitions_of_the_extract_are_split(spark, monkeypatch):
+    """Two partitions of equal size, each too large for one task; before, only one that was five times as large as the others was split."""
+    factor, size = session.JOIN_SPLITS
+    monkeypatch.setitem(session.JOIN_SPLITS, size, "8KB")
+    old = {k: spark.conf.get(k) for k in (factor, size, "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    spark.conf.unset(factor)
+    try:
+        for k, v in zip(list(old)[2:], ("2", "-1", "8KB")):
+            spark.conf.set(k, v)
+        batches = spark.range(400).selectExpr("id AS BatchID", "1 AS ConfigID")
+        rows = spark.range(0, 20_000, 1, 8).selectExpr("id % 400 AS BatchID", "id % 50 AS TestID", "date'2024-01-01' AS Date", "CAST(id AS DOUBLE) AS DomeCaseGap", "1.0D AS StitchArea", "id % 3 AS Cell_ID")
+        cells, limits = spark.range(50).selectExpr("id AS TestID"), spark.range(3).selectExpr("id AS Cell_ID", "':1' AS DomeCaseGap", "':2' AS StitchArea")
+        found = extract(batches, rows, cells.hint("broadcast"), limits.hint("broadcast"), limit_key="cell_id").select("domecasegap", F.spark_partition_id().alias("p")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(r["domecasegap"] for r in found) == [float(i) for i in range(20_000)]
+    assert len({r["p"] for r in found}) > 4
