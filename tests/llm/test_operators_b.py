@@ -328,6 +328,58 @@ def test_fuzzy_passages_whose_runs_stand_in_earlier_documents(spark, monkeypatch
         assert abs(got[i]["start_word"] - start) <= 13 and abs(got[i]["end_word"] - start - 100) <= 13, got[i]
 
 
+def test_comparisons_grow_with_the_documents_of_a_passage(spark, monkeypatch):
+    rows, staged = {}, passages.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(passages, "staged", counted)
+    shared = own("s", 100)  # 60 documents, each with a word of its own in the passage
+    texts = [(i, own(f"a{i}x", 20) + shared[: 40 + i % 9] + [f"f{i}"] + shared[41 + i % 9 :] + own(f"b{i}x", 20)) for i in range(60)]
+    got = {r["doc_id"]: r for r in repeated_passages(docs_of(spark, [(i, " ".join(w)) for i, w in texts])).collect()}
+    assert {i: (r["start_word"], r["end_word"], r["linked_doc"]) for i, r in got.items()} == {i: (20, 120, int(i == 0)) for i in range(60)}
+    assert max(rows.get("chains", 0), rows["spans"]) <= 10 * 60  # every two documents: 1,770 chains, 3,540 spans
+
+
+def test_links_that_the_first_document_of_a_key_does_not_show(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    texts, whole, i = [], {}, 1000
+    for f in range(4):
+        shared = own(f"s{f}x", 120)
+        # Small documents hold two pieces of the passage with other words between, so that frequent keys have one of them first.
+        for k in range(0, 90, 10):
+            texts.append((100 * f + k, own(f"p{f}x{k}y", 30) + shared[k : k + 9] + own(f"q{f}x{k}y", 25) + shared[k + 12 : k + 21] + own(f"r{f}x{k}y", 30)))
+        for _ in range(12):
+            words = [f"w{i}x{k}" if rng.random() < 0.06 else w for k, w in enumerate(shared)]
+            texts.append((i, own(f"a{i}x", 30) + words + own(f"b{i}x", 30)))
+            whole[i] = f
+            i += 1
+    docs = docs_of(spark, [(n, " ".join(w)) for n, w in texts])
+
+    def found(often):
+        monkeypatch.setattr(passages, "OFTEN", often)
+        return {(r["doc_id"], r["linked_doc"]): (r["start_word"], r["end_word"]) for r in repeated_passages(docs).collect()}
+
+    every, first = found(1000), found(3)
+    assert {n for n, _ in every} >= set(whole) and set(every) == set(first)
+    for n, (start, stop) in every.items():
+        assert abs(first[n][0] - start) <= 13 and abs(first[n][1] - stop) <= 13, (n, first[n], start, stop)
+
+
+def test_parts_of_an_alignment_that_are_equal_at_the_ends():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a, b = (rng.integers(0, 4, rng.integers(0, 9)).tolist() for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for x, v in enumerate(a):
+            for y, w in enumerate(b):
+                table[x + 1][y + 1] = max(table[x][y + 1], table[x + 1][y], table[x][y] + (v == w))
+        assert passages._gap_equal(a, b) == table[-1][-1]
+
+
 def test_copies_are_repeated_as_a_whole(spark):
     text, short = " ".join(own("a", 70) + own("b", 60)), " ".join(own("c", 30))
     docs = docs_of(spark, [(9, text), (4, text), (7, text), (4, text), (2, " ".join(own("b", 60) + own("d", 60))), (5, short), (6, short)])
