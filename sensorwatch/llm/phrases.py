@@ -45,6 +45,8 @@ from sensorwatch.llm.common import staged, union_all
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARD_WORDS = 1 << 21
+#: Places of the single words from which phrases are extended at a time.
+SLICE_PLACES = 1 << 18
 #: A longer text is split into words piece by piece.
 PIECE_BYTES = 1 << 20
 #: A-Z lowered; what ends a piece becomes a line end, a tab a blank.
@@ -74,7 +76,8 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int) -> DataFrame:
     """lang, phrase, words, places of all phrases of up to `longest` words with `least` places, and the empty phrase of 0 words with a language's words."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    shards = staged(texts.mapInArrow(_shard_rows, SHARDS), "shards")
+    # One shard in a row group: writers and readers hold one at a time, however many a task has.
+    shards = staged(texts.mapInArrow(_shard_rows, SHARDS), "shards", **{"parquet.block.row.count.limit": 1})
     found, bitmaps = [], []
     for size in range(1, longest + 1):
         counts = shards.mapInArrow(_counting(spark.sparkContext.broadcast(bitmaps), size, longest), COUNTS)
@@ -106,8 +109,11 @@ def _bitmap(grams: DataFrame) -> np.ndarray:
 
 
 def _word_numbers(words: list[bytes], langs: list[str]) -> np.ndarray:
-    number = xxhash.xxh3_64_intdigest
-    return np.fromiter((number(lang.encode() + b"\t" + w) for w, lang in zip(words, langs)), np.uint64, len(words))
+    return _numbers([lang.encode() + b"\t" + w for w, lang in zip(words, langs)])
+
+
+def _numbers(keys: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
 def _bit(numbers: np.ndarray) -> np.ndarray:
@@ -219,23 +225,27 @@ def _pieces(text: bytes) -> Iterator[bytes]:
 def _counted(words: pa.Array, langs: np.ndarray, names: list[str], text: np.ndarray, bitmaps: list[np.ndarray], size: int, longest: int) -> Iterator[pa.RecordBatch]:
     """Rows of COUNTS: the phrases of `size` words; with the single words also the number of words of each language."""
     index = BidirectionalIndex(text, len(words), longest)
-    phrases, places = index.single_words()
     codes = pa.DictionaryArray.from_arrays(pa.array(langs), pa.array(names, pa.string())).cast(pa.string())
+    keys = pc.binary_join_element_wise(codes.cast(pa.binary()), words, b"\t")
+    single, held = index.single_words()
     if size == 1:
-        total = np.bincount(langs[phrases[:, 0] - 1], weights=places.size, minlength=len(names))
+        total = np.bincount(langs[single[:, 0] - 1], weights=held.size, minlength=len(names))
         yield _rows(pa.array([f"{x}\t".encode() for x in names], pa.binary()), total.astype(np.int64))
     else:
-        numbers = np.concatenate((np.zeros(1, np.uint64), _word_numbers(words.to_pylist(), codes.to_pylist())))
-    for reached in range(1, size):
-        frequent = lambda some: _holds(bitmaps[reached - 1], _bit(numbers[some]))  # noqa: B023, E731
-        phrases, places = _kept(phrases, places, frequent(phrases))
-        # To the right first, then to the left: each needs the interval that the other direction has kept in step.
-        phrases, places = index.extended(phrases, places, right=reached % 2 == 1)
-        phrases, places = _kept(phrases, places, frequent(phrases[:, 1:] if reached % 2 == 1 else phrases[:, :-1]))
-    keys = pc.binary_join_element_wise(codes.cast(pa.binary()), words, b"\t")
-    for at in range(0, len(phrases), 1 << 16):
-        ids = phrases[at : at + (1 << 16)] - 1
-        yield _rows(pc.binary_join_element_wise(keys.take(pa.array(ids[:, 0])), *(words.take(pa.array(ids[:, j])) for j in range(1, size)), b" "), places.size[at : at + (1 << 16)])
+        numbers = np.concatenate((np.zeros(1, np.uint64), _numbers(keys.to_pylist())))
+    # A phrase's extensions come from its own interval, so slices of the first words are extended one after the other, and only the index grows with a shard.
+    slices = (np.cumsum(held.size) - held.size) // SLICE_PLACES
+    for here in np.split(np.arange(len(single)), np.flatnonzero(np.diff(slices)) + 1):
+        phrases, places = _kept(single, held, here)
+        for reached in range(1, size):
+            frequent = lambda some: _holds(bitmaps[reached - 1], _bit(numbers[some]))  # noqa: B023, E731
+            phrases, places = _kept(phrases, places, frequent(phrases))
+            # To the right first, then to the left: each needs the interval that the other direction has kept in step.
+            phrases, places = index.extended(phrases, places, right=reached % 2 == 1, onward=reached + 1 < size)
+            phrases, places = _kept(phrases, places, frequent(phrases[:, 1:] if reached % 2 == 1 else phrases[:, :-1]))
+        for at in range(0, len(phrases), 1 << 16):
+            ids = phrases[at : at + (1 << 16)] - 1
+            yield _rows(pc.binary_join_element_wise(keys.take(pa.array(ids[:, 0])), *(words.take(pa.array(ids[:, j])) for j in range(1, size)), b" "), places.size[at : at + (1 << 16)])
 
 
 def _holds(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -251,6 +261,14 @@ def _rows(keys: pa.Array, places: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([keys.view(pa.string()), pa.array(places, pa.int64())], ["key", "places"])
 
 
+def _ranked(numbers: np.ndarray) -> np.ndarray:
+    """The order of numbers from 0, equal ones as they were: by 16 bits at a time, for which numpy has a counting sort."""
+    order = np.argsort((numbers & 0xFFFF).astype(np.uint16), kind="stable").astype(np.int32)
+    for shift in range(16, int(numbers.max(initial=0)).bit_length(), 16):
+        order = order[np.argsort(((numbers >> shift) & 0xFFFF).astype(np.uint16)[order], kind="stable")]
+    return order
+
+
 class Places:
     """Intervals of phrases: where they begin in the order of suffixes and in that of reversed prefixes, and how wide they are in both."""
 
@@ -262,7 +280,7 @@ class BidirectionalIndex:
     """An FM-index of a text of numbers 1 to `words`, 0 between pieces, for phrases of up to `depth` words, read in both directions."""
 
     def __init__(self, text: np.ndarray, words: int, depth: int):
-        self.text, self.words = np.concatenate(([0], text, [0])).astype(np.int64), words
+        self.text, self.words = np.concatenate(([0], text, [0])).astype(np.int32), words
         self.first = np.concatenate(([0], np.cumsum(np.bincount(self.text, minlength=words + 1))))
         self.depth, self._made = depth, {}
 
@@ -275,12 +293,14 @@ class BidirectionalIndex:
     @staticmethod
     def _transform(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """The word before each suffix in suffix order, and the sorted keys (word, place in that order) that answer rank queries."""
-        order = np.arange(len(text))
+        order = np.arange(len(text), dtype=np.int32)
         for _ in range(depth - 1):  # backward steps: suffixes sorted by one more word each time, equal ones as they were
-            before = (order - 1) % len(text)
-            order = before[np.argsort(text[before], kind="stable")]
+            before = np.where(order > 0, order, len(text)).astype(np.int32) - np.int32(1)
+            order = before[_ranked(text[before])]
         transform = text[order - 1]
-        keys = np.sort(transform * len(text) + np.arange(len(text)))
+        keys = transform.astype(np.int64) * len(text)
+        keys += np.arange(len(text))
+        keys.sort()
         return transform, keys
 
     def single_words(self) -> tuple[np.ndarray, Places]:
@@ -290,8 +310,8 @@ class BidirectionalIndex:
         word, size = word[size > 0], size[size > 0]
         return word[:, None], Places(self.first[word], self.first[word], size)
 
-    def extended(self, phrases: np.ndarray, places: Places, right: bool) -> tuple[np.ndarray, Places]:
-        """All phrases that begin (right) or end with one of these and have one word more, with their places."""
+    def extended(self, phrases: np.ndarray, places: Places, right: bool, onward: bool = True) -> tuple[np.ndarray, Places]:
+        """All phrases that begin (right) or end with one of these and have one word more, with their places; of places that are not extended onward, the numbers only."""
         transform, keys = self._side(right)
         begin = places.backward if right else places.forward
         ends = np.cumsum(places.size)
@@ -301,12 +321,16 @@ class BidirectionalIndex:
         both, size = np.unique(owner * (self.words + 1) + symbol, return_counts=True)
         parent, word = both // (self.words + 1), both % (self.words + 1)
         before = np.cumsum(size) - size
-        smaller = before - before[np.searchsorted(parent, parent)]
-        stepped = np.searchsorted(keys, word * len(self.text) + begin[parent])
-        other = (places.forward if right else places.backward)[parent] + smaller
+        new = np.ones(len(parent), bool)
+        new[1:] = parent[1:] != parent[:-1]
+        smaller = before - np.maximum.accumulate(np.where(new, before, 0))
         keep = word > 0
-        parent, word, size, stepped, other = (x[keep] for x in (parent, word, size, stepped, other))
+        parent, word, size, smaller = (x[keep] for x in (parent, word, size, smaller))
         longer = np.column_stack((phrases[parent], word) if right else (word, phrases[parent]))
+        if not onward:
+            return longer, Places(size, size, size)
+        stepped = np.searchsorted(keys, word * len(self.text) + begin[parent])
+        other = (places.forward if right else places.backward)[parent] + smaller
         return longer, Places(other, stepped, size) if right else Places(stepped, other, size)
 
 

@@ -8,6 +8,8 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -213,6 +215,36 @@ def test_index_counts_every_phrase(text, longest):
             found, places = index.extended(found, places, right=size % 2 == 1)
 
 
+def test_a_shard_is_extended_in_slices(monkeypatch):
+    """Beside its index, counting a shard holds the places of a slice of it, and returns the same rows."""
+    rng = np.random.default_rng(6)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words[k] for k in rng.integers(0, 400, 500)) for _ in range(8)]
+    shard = next(phrases._shards(iter([pa.RecordBatch.from_pydict({"lang": ["x"] * 8, "text": texts})])))
+    held, extended = [], phrases.BidirectionalIndex.extended
+    monkeypatch.setattr(phrases, "SLICE_PLACES", 100, raising=False)
+    monkeypatch.setattr(phrases.BidirectionalIndex, "extended", lambda self, some, places, *a, **k: held.append(int(places.size.sum())) or extended(self, some, places, *a, **k))
+    every = np.full(phrases.BITMAP_BITS >> 5, 0xFFFFFFFF, np.uint32)
+    names, langs = pa.array(shard[0], pa.binary()), np.zeros(len(shard[0]), np.int32)
+    for size in (2, 3):
+        found = Counter()
+        for batch in phrases._counted(names, langs, ["x"], shard[2], [every] * (size - 1), size, 3):
+            found.update(dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())))
+        split = [t.split(" ") for t in texts]
+        assert found == Counter(f"x\t{' '.join(w[i : i + size])}" for w in split for i in range(len(w) - size + 1))
+    assert max(held) <= 100 + max(Counter(w for t in texts for w in t.split(" ")).values())
+
+
+def test_a_row_group_holds_one_shard(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "SHARD_WORDS", 50)
+    read, staged = [], phrases.staged
+    monkeypatch.setattr(phrases, "staged", lambda df, name, **options: read.append((name, staged(df, name, **options))) or read[-1][1])
+    mined(spark, random_texts(2, 150))
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in next(df for name, df in read if name == "shards").inputFiles()]
+    rows = [m.row_group(k).num_rows for m in files for k in range(m.num_row_groups)]
+    assert len(rows) > 10 and set(rows) == {1}
+
+
 # ---- languages
 
 
