@@ -369,6 +369,35 @@ def test_links_that_the_first_document_of_a_key_does_not_show(spark, monkeypatch
         assert abs(first[n][0] - start) <= 13 and abs(first[n][1] - stop) <= 13, (n, first[n], start, stop)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_frequent_keys_leave_no_two_documents_out(spark, monkeypatch, seed):
+    """Rows are the same, to the word, whether all pairs are listed and aligned or frequent keys go through blocks."""
+    rng = np.random.default_rng(seed)
+    shared, texts = [own(f"s{p}x", 110) for p in range(3)], []
+    few = [f"c{k}" for k in range(6)]  # words that follow passages by chance, in some documents and not in others
+    for i in range(60):
+        words = list(rng.choice(few, 25))
+        for p in rng.choice(3, rng.integers(1, 3), replace=False):
+            low = int(rng.integers(0, 40)) if rng.random() < 0.5 else 0
+            high = int(rng.integers(70, 110)) if rng.random() < 0.5 else 110
+            rate = rng.choice([0, 0.03, 0.1])
+            words += [rng.choice(few) if rng.random() < rate else w for w in shared[p][low:high]]
+            words += list(rng.choice(few, rng.integers(0, 12))) + own(f"o{i}x{p}y", int(rng.integers(0, 70)))
+        if rng.random() < 0.3:
+            words += ["r0", "r1", "r2"] * int(rng.integers(20, 60)) + list(rng.choice(few, 3))
+        texts.append((i, " ".join(words)))
+    docs = docs_of(spark, texts)
+
+    def found(often, chunk):
+        monkeypatch.setattr(passages, "OFTEN", often)
+        monkeypatch.setattr(passages, "CHUNK", chunk)
+        return sorted(tuple(r) for r in repeated_passages(docs).collect())
+
+    every = found(100_000, 512)
+    assert len(every) > 50
+    assert found(3, 512) == every and found(3, 7) == every
+
+
 def test_parts_of_an_alignment_that_are_equal_at_the_ends():
     rng = np.random.default_rng(4)
     for _ in range(300):
